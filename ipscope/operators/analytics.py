@@ -60,7 +60,7 @@ def hourly_country_counts(reports: DataFrame, ts: str = "reported_ts",
 
 
 def country_spikes(reports: DataFrame, ts: str = "reported_ts", country: str = "country_code",
-                   lookback_hours: int = 24, k: float = 3.0, min_reports: int = 5) -> DataFrame:
+                   lookback_hours: int = 24, k: float = 3.0, min_reports: int = 3) -> DataFrame:
     """Hours whose report count exceeds the trailing mean by ``k`` std devs.
 
     The baseline covers the previous ``lookback_hours`` whole hours, counting hours

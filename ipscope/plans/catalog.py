@@ -11,10 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ipscope import schemas as S
 from ipscope import standin
-from ipscope.operators import analytics
-from ipscope.operators.enrich import enrich_and_score
+from ipscope.functions.casts import normalize_string_array, safe_bool, safe_float, safe_int
+from ipscope.functions.scoring import classify
+from ipscope.operators import analytics, changes, dedupe, lookup, merge, normalize, textscan
+from ipscope.operators.enrich import enrich_and_score, geo_point
 from ipscope.plans.render import render
+from ipscope.sources.responses import parse_geo
 
 RUN_TS = standin.RUN_TS
 
@@ -50,6 +56,195 @@ def q_abuse_by_status(spark, sf_dir):
     return analytics.abuse_by_status(profiles(spark, sf_dir))
 
 
+# ------------------------------------------------------------- normalise
+def _parse(text_df, schema):
+    return text_df.select(*[c for c in text_df.columns if c != "value"],
+                          F.from_json("value", schema).alias("r")).select(
+        *[c for c in text_df.columns if c != "value"], "r.*")
+
+
+def raw_abuse(spark, sf_dir):
+    return _parse(standin.raw_abuse_json(spark, sf_dir), S.RAW_ABUSE_RECORD)
+
+
+def q_normalize_abuse(spark, sf_dir):
+    return normalize.normalize_abuse(raw_abuse(spark, sf_dir), RUN_TS, RUN_TS)
+
+
+def q_normalize_pulses(spark, sf_dir):
+    raw = _parse(standin.raw_pulse_json(spark, sf_dir), S.RAW_PULSE_RECORD)
+    return render(normalize.normalize_pulses(raw, RUN_TS, RUN_TS))
+
+
+def q_normalize_geo(spark, sf_dir):
+    raw = _parse(standin.raw_geo_json(spark, sf_dir), S.RAW_GEO_RECORD)
+    return normalize.normalize_geo(raw, RUN_TS, RUN_TS)
+
+
+def q_safe_casts(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    v = F.col("value").cast("string")
+    k = F.get_json_object("props", "$.k")
+    return ev.select(
+        "event_id",
+        safe_int(v, 0).alias("int_value"), safe_float(v).alias("float_value"),
+        safe_int(k, 0).alias("k_int"), safe_bool(k).alias("k_bool"),
+        safe_int(F.col("props"), 0).alias("props_int"),
+        F.array_join(normalize_string_array(F.col("props")), ", ").alias("props_array"))
+
+
+# ------------------------------------------------------------- text scans
+def q_document_keywords(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return render(textscan.classify_text(docs).drop("text"))
+
+
+def q_document_ips(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return textscan.ip_token_counts(docs)
+
+
+def q_attack_classify(spark, sf_dir):
+    p = standin.pulse_snapshot(spark, sf_dir)
+    cats, kws = classify("otx_pulse_names")
+    return render(p.select("ip_address", cats.alias("attack_categories"),
+                           kws.alias("attack_keywords_matched")))
+
+
+# ------------------------------------------------------------- dedupe / top-n
+def _reports(spark, sf_dir):
+    return standin.abuse_reports(spark, sf_dir).select(
+        "pos", "ip_address", "country_code", "abuse_confidence_score", "last_reported_at")
+
+
+def q_distinct_ips(spark, sf_dir):
+    return dedupe.distinct_ips(_reports(spark, sf_dir))
+
+
+def q_top_n_latest(spark, sf_dir):
+    return dedupe.top_n_latest(_reports(spark, sf_dir), n=100).select("pos", "ip_address", "last_reported_at")
+
+
+def q_dedupe_latest(spark, sf_dir):
+    return dedupe.dedupe_latest(_reports(spark, sf_dir).drop("pos"))
+
+
+def q_last_wins(spark, sf_dir):
+    return dedupe.last_wins(_reports(spark, sf_dir))
+
+
+def q_latest_reported(spark, sf_dir):
+    return analytics.latest_reported(_reports(spark, sf_dir), n=20)
+
+
+# ------------------------------------------------------------- change control
+def _state(spark, sf_dir, name):
+    return standin.view(spark, sf_dir, name).select("pos", *changes.STATE_COLUMNS)
+
+
+def _diff(spark, sf_dir):
+    return changes.diff_snapshots(_state(spark, sf_dir, "v_prev"), _state(spark, sf_dir, "v_curr"))
+
+
+def q_diff_new(spark, sf_dir):
+    return _diff(spark, sf_dir).filter(F.col("change") == "new").select("ip_address")
+
+
+def q_diff_removed(spark, sf_dir):
+    return _diff(spark, sf_dir).filter(F.col("change") == "removed").select("ip_address")
+
+
+def q_diff_changed(spark, sf_dir):
+    return _diff(spark, sf_dir).filter(F.col("change") == "changed").select("ip_address")
+
+
+def q_diff_summary(spark, sf_dir):
+    return changes.diff_summary(_diff(spark, sf_dir))
+
+
+def q_diff_samples(spark, sf_dir):
+    return changes.diff_samples(_diff(spark, sf_dir))
+
+
+def q_fingerprint(spark, sf_dir):
+    prev = changes.fingerprint(_state(spark, sf_dir, "v_prev").drop("pos"))
+    curr = changes.fingerprint(_state(spark, sf_dir, "v_curr").drop("pos"))
+    return changes.snapshots_differ(prev, curr)
+
+
+CARRY_COLUMNS = ["ip", "status", "country_name", "city", "latitude", "longitude",
+                 "first_ingestion_time", "seen_count"]
+
+
+def _carry(spark, sf_dir):
+    old = _parse(standin.raw_geo_json(spark, sf_dir), S.RAW_GEO_RECORD)
+    cands = standin.abuse_reports(spark, sf_dir).select(F.col("ip_address").alias("ip"))
+    fresh = parse_geo(standin.landed_responses(spark, sf_dir), RUN_TS)
+    return changes.carry_forward(old, cands, fresh)
+
+
+def q_carry_forward(spark, sf_dir):
+    return _carry(spark, sf_dir)[0].select(*CARRY_COLUMNS)
+
+
+def q_carry_forward_counts(spark, sf_dir):
+    return _carry(spark, sf_dir)[1]
+
+
+# ------------------------------------------------------------- merge / store
+PREV_RUN_TS = "2024-01-16T00:00:00.000000Z"
+
+
+def merge_inputs(spark, sf_dir):
+    """Stored profiles from the reports before the cutoff; an incoming batch from
+    the reports after it, enriched without a geo snapshot (so COALESCE matters)."""
+    rep = standin.abuse_reports(spark, sf_dir)
+    cut = F.col("last_reported_at") < F.lit(standin.PREV_CUTOFF.replace(" ", "T"))
+    pulses, geo = standin.pulse_snapshot(spark, sf_dir), standin.geo_snapshot(spark, sf_dir)
+    existing = enrich_and_score(rep.filter(cut), pulses, geo, run_ts=PREV_RUN_TS)
+    no_geo = spark.createDataFrame([], S.GEO)  # S5: no geo snapshot for this run
+    incoming = enrich_and_score(rep.filter(~cut), pulses, no_geo, run_ts=RUN_TS)
+    return existing, incoming
+
+
+def q_merge_table(spark, sf_dir):
+    e, i = merge_inputs(spark, sf_dir)
+    return render(merge.merge_profiles(e, i, "table"))
+
+
+def q_merge_document(spark, sf_dir):
+    e, i = merge_inputs(spark, sf_dir)
+    return render(merge.merge_profiles(e, i, "document", run_ts=RUN_TS))
+
+
+def q_geo_point(spark, sf_dir):
+    g = standin.geo_snapshot(spark, sf_dir).withColumn("geo_location", geo_point())
+    return g.select("ip_address", F.col("geo_location.lat").alias("lat"),
+                    F.col("geo_location.lon").alias("lon"))
+
+
+# ------------------------------------------------------------- lookup
+def _lookup(spark, sf_dir):
+    e, _ = merge_inputs(spark, sf_dir)
+    reqs = standin.view(spark, sf_dir, "customer").select(
+        F.expr(standin.ip_of("c_custkey")).alias("ip"))
+    return lookup.lookup(reqs, e, standin.landed_responses(spark, sf_dir), run_ts=RUN_TS)
+
+
+def q_lookup_profile(spark, sf_dir):
+    return render(_lookup(spark, sf_dir)[0])
+
+
+def q_display_profile(spark, sf_dir):
+    return lookup.display_profile(_lookup(spark, sf_dir)[0])
+
+
+# ------------------------------------------------------------- spikes
+def q_country_spikes(spark, sf_dir):
+    rep = standin.view(spark, sf_dir, "v_abuse")
+    return render(analytics.country_spikes(rep))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "left_enrich": q_left_enrich,
@@ -58,4 +253,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "country_counts": q_country_counts,
         "score_histogram": q_score_histogram,
         "abuse_by_status": q_abuse_by_status,
+        "normalize_abuse": q_normalize_abuse,
+        "normalize_pulses": q_normalize_pulses,
+        "normalize_geo": q_normalize_geo,
+        "safe_casts": q_safe_casts,
+        "document_keywords": q_document_keywords,
+        "document_ips": q_document_ips,
+        "attack_classify": q_attack_classify,
+        "distinct_ips": q_distinct_ips,
+        "top_n_latest": q_top_n_latest,
+        "dedupe_latest": q_dedupe_latest,
+        "last_wins": q_last_wins,
+        "latest_reported": q_latest_reported,
+        "diff_new": q_diff_new,
+        "diff_removed": q_diff_removed,
+        "diff_changed": q_diff_changed,
+        "diff_summary": q_diff_summary,
+        "diff_samples": q_diff_samples,
+        "fingerprint": q_fingerprint,
+        "carry_forward": q_carry_forward,
+        "carry_forward_counts": q_carry_forward_counts,
+        "merge_table": q_merge_table,
+        "merge_document": q_merge_document,
+        "geo_point": q_geo_point,
+        "lookup_profile": q_lookup_profile,
+        "display_profile": q_display_profile,
+        "country_spikes": q_country_spikes,
     }

@@ -60,7 +60,8 @@ def status_sql(s: str) -> str:
 GEO_COLS = ", ".join(f"g.{c}" for c in S.GEO_FIELDS)
 
 
-def profiles_ctes(reports: str = "v_abuse", name: str = "prof", fill: bool = True) -> str:
+def profiles_ctes(reports: str = "v_abuse", name: str = "prof", fill: bool = True,
+                  run_ts: str = RUN_TS, geo: str = "v_geo") -> str:
     """CTEs ``{name}_a`` (deduped reports), ``{name}_j`` (joined) and ``{name}``
     (scored, rendered profile rows) over the report view ``reports``."""
     z = (lambda x, d: f"coalesce({x}, {d})") if fill else (lambda x, d: x)
@@ -86,7 +87,7 @@ def profiles_ctes(reports: str = "v_abuse", name: str = "prof", fill: bool = Tru
          p.otx_general_status, p.otx_passive_dns_status,
          {GEO_COLS}
   FROM {name}_a a LEFT JOIN v_pulse p ON p.ip_address = a.ip_address
-  LEFT JOIN v_geo g ON g.ip_address = a.ip_address),
+  LEFT JOIN {geo} g ON g.ip_address = a.ip_address),
 {name}_c AS (
   SELECT *, {kw_list('ptext')} AS W, {cat_list('ptext')} AS C FROM {name}_j),
 {name}_s AS (
@@ -102,8 +103,8 @@ def profiles_ctes(reports: str = "v_abuse", name: str = "prof", fill: bool = Tru
          array_to_string(C, ', ') AS attack_categories,
          array_to_string(W, ', ') AS attack_keywords_matched,
          'pipeline' AS profile_source,
-         {q(RUN_TS)} AS first_seen_at, {q(RUN_TS)} AS last_merged_at, {q(RUN_TS)} AS enriched_at,
-         C AS cat_list, W AS kw_list
+         {q(run_ts)} AS first_seen_at, {q(run_ts)} AS last_merged_at, {q(run_ts)} AS enriched_at,
+         C AS cat_list, W AS kw_list, names AS names_list
   FROM {name}_s)"""
 
 
@@ -114,8 +115,154 @@ def with_profiles(reports: str = "v_abuse") -> str:
 PROFILE_OUT = ", ".join(c for c in S.PROFILE_COLUMNS if c != "geo_location")
 
 
+def classify_cte_cols(names: str) -> str:
+    """Lower-cased text of a names list, as the classifier sees it."""
+    return (f"lower(array_to_string(list_filter({names}, lambda x: x IS NOT NULL AND x <> ''), ' | '))")
+
+
+NO_GEO = "(SELECT * FROM v_geo WHERE false)"
+PREV_RUN_TS = "2024-01-16T00:00:00.000000Z"
+CUT = standin.PREV_CUTOFF.replace(" ", "T")
+
+
+def merge_ctes() -> str:
+    early = f"(SELECT * FROM v_abuse WHERE last_reported_at < {q(CUT)})"
+    late = f"(SELECT * FROM v_abuse WHERE NOT (last_reported_at < {q(CUT)}))"
+    return (standin.with_clause("duckdb").rstrip()
+            + profiles_ctes(early, "pe", run_ts=PREV_RUN_TS)
+            + profiles_ctes(late, "pi", run_ts=RUN_TS, geo=NO_GEO) + "\n")
+
+
+FEED = [c for c in S.PROFILE_COLUMNS if c not in (
+    "ip_address", *S.COMPUTED_COLUMNS, "profile_source", "first_seen_at", "last_merged_at",
+    "enriched_at", "geo_location")]
+
+
+def merge_table_sql() -> str:
+    sel = ["coalesce(i.ip_address, e.ip_address) AS ip_address"]
+    for c in S.PROFILE_COLUMNS:
+        if c in ("ip_address", "geo_location"):
+            continue
+        if c in FEED or c == "profile_source":
+            sel.append(f"coalesce(i.{c}, e.{c}) AS {c}")
+        elif c == "first_seen_at":
+            sel.append(f"coalesce(e.{c}, i.{c}) AS {c}")
+        else:  # computed, last_merged_at, enriched_at: new row wins when present
+            sel.append(f"CASE WHEN i.ip_address IS NOT NULL THEN i.{c} ELSE e.{c} END AS {c}")
+    return (merge_ctes() + "SELECT " + ",\n  ".join(sel)
+            + "\nFROM pe e FULL OUTER JOIN pi i ON e.ip_address = i.ip_address")
+
+
+def merge_document_sql() -> str:
+    m = ["coalesce(i.ip_address, e.ip_address) AS ip_address"]
+    for c in FEED:
+        if c in S.GEO_FIELDS:
+            m.append(f"CASE WHEN i.{c} IS NOT NULL AND CAST(i.{c} AS VARCHAR) <> '' THEN i.{c} "
+                     f"ELSE e.{c} END AS {c}")
+        elif c == "otx_pulse_names":
+            m.append("coalesce(i.names_list, e.names_list) AS mnames")
+        else:
+            m.append(f"coalesce(i.{c}, e.{c}) AS {c}")
+    m.append("i.ip_address IS NOT NULL AS hit")
+    for c in (*S.COMPUTED_COLUMNS, "profile_source", "first_seen_at", "last_merged_at", "enriched_at"):
+        m.append(f"e.{c} AS e_{c}")
+    m.append("coalesce(i.enriched_at, e.enriched_at) AS m_enriched_at")
+    m.append("coalesce(i.profile_source, e.profile_source) AS m_source")
+    m.append(f"coalesce(i.first_seen_at, e.first_seen_at, i.enriched_at, {q(RUN_TS)}) AS m_first_seen")
+    base = ", ".join(m)
+    t = classify_cte_cols("mnames")
+    out = ["ip_address"]
+    for c in FEED:
+        out.append("array_to_string(mnames, ', ') AS otx_pulse_names" if c == "otx_pulse_names" else c)
+    out += [
+        f"CASE WHEN hit THEN rs ELSE e_risk_score END AS risk_score",
+        f"CASE WHEN hit THEN {status_sql('rs')} ELSE e_status END AS status",
+        "CASE WHEN hit THEN array_to_string(C, ', ') ELSE e_attack_categories END AS attack_categories",
+        "CASE WHEN hit THEN array_to_string(W, ', ') ELSE e_attack_keywords_matched END AS attack_keywords_matched",
+        "CASE WHEN hit THEN (CASE WHEN m_source IS NOT NULL AND m_source <> '' THEN m_source "
+        "ELSE 'pipeline' END) ELSE e_profile_source END AS profile_source",
+        "CASE WHEN hit THEN m_first_seen ELSE e_first_seen_at END AS first_seen_at",
+        f"CASE WHEN hit THEN {q(RUN_TS)} ELSE e_last_merged_at END AS last_merged_at",
+        "CASE WHEN hit THEN m_enriched_at ELSE e_enriched_at END AS enriched_at",
+    ]
+    score = score_sql("coalesce(abuse_confidence_score, 0)", "coalesce(otx_pulse_count, 0)",
+                      "coalesce(otx_passive_dns_count, 0)", "C", "W")
+    return (merge_ctes() + f""",
+md AS (SELECT {base} FROM pe e FULL OUTER JOIN pi i ON e.ip_address = i.ip_address),
+mc AS (SELECT *, {kw_list('mt')} AS W, {cat_list('mt')} AS C FROM (SELECT *, {t} AS mt FROM md) x),
+ms AS (SELECT *, {score} AS rs FROM mc)
+SELECT {', '.join(out)} FROM ms""")
+
+
+def lookup_sql() -> str:
+    """Store = early profiles; requests = every customer IP; misses from responses."""
+    names = ("CASE WHEN p.pulse_text IS NULL THEN CAST([] AS VARCHAR[]) "
+             "ELSE string_split(p.pulse_text, ' | ') END")
+    live = f"""
+live_j AS (
+  SELECT {standin.ip_of('c.c_custkey')} AS ip_address,
+         CAST(abs(floor(c.c_acctbal)) % 101 AS INTEGER) AS abuse_confidence_score,
+         substr(n.n_name, 1, 2) AS abuse_country_code, n.n_name AS abuse_country_name,
+         CAST(NULL AS VARCHAR) AS abuse_last_reported_at,
+         CAST(c.c_custkey % 13 AS INTEGER) AS abuse_total_reports,
+         c.c_acctbal AS otx_reputation,
+         len({names}) AS otx_pulse_count,
+         list_filter({names}, lambda x: x IS NOT NULL AND x <> '') AS names,
+         CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN 0 ELSE CAST(c.c_custkey % 5 + 1 AS INTEGER) END
+           AS otx_passive_dns_count,
+         'ok' AS otx_general_status,
+         CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN 'unavailable' ELSE 'ok' END AS otx_passive_dns_status,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE r.r_name END AS geo_continent_name,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE substr(n.n_name, 1, 2) END AS geo_country_code2,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE n.n_name END AS geo_country_name,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE c.c_mktsegment END AS geo_state_province,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE 'City_' || CAST(c.c_custkey % 40 AS VARCHAR) END AS geo_city,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE CAST(c.c_custkey * 7 % 180 - 90 AS DOUBLE) END AS geo_latitude,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE CAST(c.c_custkey * 11 % 360 - 180 AS DOUBLE) END AS geo_longitude,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE r.r_name = 'EUROPE' END AS geo_is_eu,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE 'AS' || CAST(c.c_custkey % 900 + 100 AS VARCHAR) END AS geo_asn_number,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE 'Org ' || c.c_mktsegment END AS geo_asn_organization,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE substr(n.n_name, 1, 2) END AS geo_asn_country,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE r.r_name END AS geo_timezone_name,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE CAST(c.c_custkey % 24 - 12 AS DOUBLE) END AS geo_timezone_offset
+  FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+  JOIN region r ON r.r_regionkey = n.n_regionkey
+  LEFT JOIN v_pulse p ON p.ip_address = {standin.ip_of('c.c_custkey')}
+  WHERE {standin.ip_of('c.c_custkey')} NOT IN (SELECT ip_address FROM pe)),
+live_c AS (SELECT *, {kw_list('lt')} AS W, {cat_list('lt')} AS C
+           FROM (SELECT *, {classify_cte_cols('names')} AS lt FROM live_j) x),
+live_s AS (SELECT *, {score_sql('abuse_confidence_score', 'otx_pulse_count', 'otx_passive_dns_count', 'C', 'W')}
+           AS risk_score FROM live_c)"""
+    early = f"(SELECT * FROM v_abuse WHERE last_reported_at < {q(CUT)})"
+    ctes = (standin.with_clause("duckdb").rstrip()
+            + profiles_ctes(early, "pe", run_ts=PREV_RUN_TS) + ",\n" + live + "\n")
+    cols = [c for c in S.PROFILE_COLUMNS if c != "geo_location"]
+    hit_sel = []
+    live_sel = []
+    for c in cols:
+        if c == "last_merged_at":
+            hit_sel.append(f"{q(RUN_TS)} AS {c}")
+        else:
+            hit_sel.append(c)
+        if c == "otx_pulse_names":
+            live_sel.append("array_to_string(names, ', ') AS otx_pulse_names")
+        elif c in ("attack_categories", "attack_keywords_matched"):
+            live_sel.append(f"array_to_string({'C' if c == 'attack_categories' else 'W'}, ', ') AS {c}")
+        elif c == "status":
+            live_sel.append(f"{status_sql('risk_score')} AS status")
+        elif c == "profile_source":
+            live_sel.append("'live_lookup' AS profile_source")
+        elif c in ("first_seen_at", "last_merged_at", "enriched_at"):
+            live_sel.append(f"{q(RUN_TS)} AS {c}")
+        else:
+            live_sel.append(c)
+    return (ctes + "SELECT " + ", ".join(hit_sel) + " FROM pe\nUNION ALL\nSELECT "
+            + ", ".join(live_sel) + " FROM live_s")
+
+
 def oracle_sql() -> dict[str, str]:
     W = with_profiles()
+    V = standin.with_clause("duckdb")
     o = {}
     o["left_enrich"] = W + f"SELECT {PROFILE_OUT} FROM prof"
     o["risk_score"] = W + "SELECT ip_address, risk_score, status FROM prof"
@@ -131,4 +278,138 @@ def oracle_sql() -> dict[str, str]:
         "SELECT status, count(*) AS ip_count, round(avg(abuse_confidence_score), 2) AS avg_abuse_score, "
         "min(abuse_confidence_score) AS min_abuse_score, max(abuse_confidence_score) AS max_abuse_score "
         "FROM prof GROUP BY status")
+    o["normalize_abuse"] = V + (
+        f"SELECT pos, ip_address, country_code, abuse_confidence_score, last_reported_at, "
+        f"{q(RUN_TS)} AS ingestion_time, {q(RUN_TS)} AS processed_at FROM v_abuse")
+    o["normalize_pulses"] = V + (
+        "SELECT ip_address, otx_reputation, otx_pulse_count, "
+        "coalesce(array_to_string(string_split(pulse_text, ' | '), ', '), '') AS otx_pulse_names, "
+        "otx_passive_dns_count, otx_general_status, otx_passive_dns_status, "
+        "CAST(NULL AS VARCHAR) AS first_ingestion_time, CAST(NULL AS VARCHAR) AS last_ingestion_time, "
+        f"CAST(NULL AS INTEGER) AS seen_count, {q(RUN_TS)} AS raw_ingestion_time, "
+        f"{q(RUN_TS)} AS processed_at FROM v_pulse")
+    o["normalize_geo"] = V + (
+        f"SELECT ip_address, {', '.join(S.GEO_FIELDS)}, geo_status, "
+        "CAST(NULL AS VARCHAR) AS first_ingestion_time, CAST(NULL AS VARCHAR) AS last_ingestion_time, "
+        f"CAST(NULL AS INTEGER) AS seen_count, {q(RUN_TS)} AS raw_ingestion_time, "
+        f"{q(RUN_TS)} AS processed_at FROM v_geo")
+    o["safe_casts"] = (
+        "SELECT event_id, CAST(trunc(value) AS INTEGER) AS int_value, value AS float_value, "
+        "CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_int, "
+        "CASE WHEN json_extract_string(props, '$.k') IN ('1') THEN true "
+        "WHEN json_extract_string(props, '$.k') IN ('0') THEN false END AS k_bool, "
+        "0 AS props_int, trim(props) AS props_array FROM events")
+    o["document_keywords"] = (
+        f"SELECT doc_id, array_to_string({kw_list('lower(text)')}, ', ') AS attack_keywords_matched, "
+        f"array_to_string({cat_list('lower(text)')}, ', ') AS attack_categories FROM documents")
+    from ipscope.functions.ip import IPV4_RE, IPV4_TOKEN_RE
+    o["document_ips"] = (
+        f"SELECT ip_token, count(*) AS n_occurrences, count(DISTINCT doc_id) AS n_docs, "
+        f"CASE WHEN regexp_full_match(ip_token, {q(IPV4_RE)}) THEN 'IPv4' END AS ip_version "
+        f"FROM (SELECT doc_id, unnest(regexp_extract_all(text, {q(IPV4_TOKEN_RE)})) AS ip_token "
+        f"FROM documents) t GROUP BY ip_token")
+    o["attack_classify"] = V + (
+        f"SELECT ip_address, array_to_string({cat_list('lower(coalesce(pulse_text, \'\'))')}, ', ') "
+        f"AS attack_categories, array_to_string({kw_list('lower(coalesce(pulse_text, \'\'))')}, ', ') "
+        f"AS attack_keywords_matched FROM v_pulse")
+    o["distinct_ips"] = V + (
+        "SELECT trim(ip_address) AS ip_address, min(pos) AS first_pos FROM v_abuse "
+        "WHERE ip_address IS NOT NULL AND trim(ip_address) <> '' GROUP BY 1")
+    o["top_n_latest"] = V + (
+        "SELECT pos, ip_address, last_reported_at FROM v_abuse "
+        "WHERE ip_address IS NOT NULL AND ip_address <> '' "
+        "ORDER BY coalesce(last_reported_at, '') DESC, pos ASC LIMIT 100")
+    o["dedupe_latest"] = V + (
+        "SELECT ip_address, country_code, abuse_confidence_score, last_reported_at FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY ip_address ORDER BY last_reported_at DESC NULLS LAST, "
+        "abuse_confidence_score DESC NULLS LAST, country_code DESC NULLS LAST) AS rn FROM v_abuse) t WHERE rn = 1")
+    o["last_wins"] = V + (
+        "SELECT ip_address, pos, country_code, abuse_confidence_score, last_reported_at FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY ip_address ORDER BY pos DESC) AS rn FROM v_abuse) t "
+        "WHERE rn = 1")
+    o["latest_reported"] = V + (
+        "SELECT pos, ip_address, country_code, abuse_confidence_score, last_reported_at FROM v_abuse "
+        "ORDER BY last_reported_at DESC NULLS LAST, ip_address ASC, pos ASC LIMIT 20")
+    diff = V.rstrip() + """,
+d AS (SELECT coalesce(p.ip_address, c.ip_address) AS ip_address,
+        CASE WHEN p.ip_address IS NULL THEN 'new' WHEN c.ip_address IS NULL THEN 'removed'
+             WHEN p.abuse_confidence_score IS DISTINCT FROM c.abuse_confidence_score
+               OR p.last_reported_at IS DISTINCT FROM c.last_reported_at
+               OR p.country_code IS DISTINCT FROM c.country_code THEN 'changed'
+             ELSE 'same' END AS change
+      FROM v_prev p FULL OUTER JOIN v_curr c ON p.ip_address = c.ip_address)
+"""
+    o["diff_new"] = diff + "SELECT ip_address FROM d WHERE change = 'new'"
+    o["diff_removed"] = diff + "SELECT ip_address FROM d WHERE change = 'removed'"
+    o["diff_changed"] = diff + "SELECT ip_address FROM d WHERE change = 'changed'"
+    o["diff_summary"] = diff + (
+        "SELECT count(*) FILTER (WHERE change = 'new') AS new_ip_count, "
+        "count(*) FILTER (WHERE change = 'changed') AS changed_ip_count, "
+        "count(*) FILTER (WHERE change = 'removed') AS removed_ip_count FROM d")
+    o["diff_samples"] = diff + (
+        "SELECT ip_address, change FROM (SELECT *, row_number() OVER (PARTITION BY change "
+        "ORDER BY ip_address) AS rn FROM d WHERE change <> 'same') t WHERE rn <= 10")
+    js = ("'{\"abuse_confidence_score\":' || coalesce(CAST(abuse_confidence_score AS VARCHAR), 'null') || "
+          "',\"country_code\":' || coalesce(CAST(to_json(country_code) AS VARCHAR), 'null') || "
+          "',\"ip_address\":' || coalesce(CAST(to_json(ip_address) AS VARCHAR), 'null') || "
+          "',\"last_reported_at\":' || coalesce(CAST(to_json(last_reported_at) AS VARCHAR), 'null') || '}'")
+    parts = ", ".join(f"sum(CAST(('0x' || substr(h, {1 + 15 * i}, 15)) AS BIGINT)) AS s{i}" for i in range(4))
+    fp = lambda v: (f"(SELECT sha256(concat_ws(':', CAST(n AS VARCHAR), CAST(s0 AS VARCHAR), "
+                    f"CAST(s1 AS VARCHAR), CAST(s2 AS VARCHAR), CAST(s3 AS VARCHAR))) AS fingerprint, n "
+                    f"FROM (SELECT count(*) AS n, {parts} FROM (SELECT sha256({js}) AS h FROM {v}) a) b)")
+    o["fingerprint"] = V + (
+        f"SELECT p.fingerprint AS previous_fingerprint, c.fingerprint AS current_fingerprint, "
+        f"c.n AS record_count, p.fingerprint IS NULL OR p.fingerprint <> c.fingerprint AS changed "
+        f"FROM {fp('v_prev')} p, {fp('v_curr')} c")
+    carry = V.rstrip() + f""",
+cand AS (SELECT DISTINCT ip_address AS ip FROM v_abuse),
+fresh AS (
+  SELECT {standin.ip_of('c.c_custkey')} AS ip,
+         CASE WHEN c.c_acctbal < 0 THEN 'HTTPError: 429 Too Many Requests' ELSE 'ok' END AS status,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE n.n_name END AS country_name,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE 'City_' || CAST(c.c_custkey % 40 AS VARCHAR) END AS city,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE CAST(c.c_custkey * 7 % 180 - 90 AS VARCHAR) END AS latitude,
+         CASE WHEN c.c_acctbal < 0 THEN NULL ELSE CAST(c.c_custkey * 11 % 360 - 180 AS VARCHAR) END AS longitude,
+         {q(RUN_TS)} AS first_ingestion_time, '1' AS seen_count
+  FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey),
+old AS (SELECT ip_address AS ip, geo_status AS status, geo_country_name AS country_name, geo_city AS city,
+               CAST(geo_latitude AS VARCHAR) AS latitude, CAST(geo_longitude AS VARCHAR) AS longitude,
+               CAST(NULL AS VARCHAR) AS first_ingestion_time, CAST(NULL AS VARCHAR) AS seen_count FROM v_geo),
+newf AS (SELECT f.* FROM fresh f JOIN cand ON cand.ip = f.ip WHERE f.ip NOT IN (SELECT ip FROM old))
+"""
+    o["carry_forward"] = carry + "SELECT * FROM old UNION ALL SELECT * FROM newf"
+    o["carry_forward_counts"] = carry + (
+        "SELECT (SELECT count(*) FROM newf) AS new_count, CAST(0 AS BIGINT) AS updated_count, "
+        "(SELECT count(*) FROM cand WHERE ip IN (SELECT ip FROM old)) AS skipped_count, "
+        "(SELECT count(*) FROM old) + (SELECT count(*) FROM newf) AS total_unique")
+    o["merge_table"] = merge_table_sql()
+    o["merge_document"] = merge_document_sql()
+    o["geo_point"] = V + (
+        "SELECT ip_address, CASE WHEN geo_longitude IS NOT NULL THEN geo_latitude END AS lat, "
+        "CASE WHEN geo_latitude IS NOT NULL THEN geo_longitude END AS lon FROM v_geo")
+    lk = lookup_sql()
+    o["lookup_profile"] = lk
+    o["display_profile"] = (
+        "SELECT coalesce(ip_address, '') AS ip_address, "
+        "coalesce(geo_country_name, abuse_country_name, 'Unknown') AS country, "
+        "coalesce(geo_city, 'Unknown') AS city, coalesce(geo_asn_organization, 'Unknown') AS asn_organization, "
+        "coalesce(abuse_confidence_score, 0) AS abuse_confidence_score, "
+        "coalesce(otx_pulse_count, 0) AS otx_pulse_count, "
+        "coalesce(otx_passive_dns_count, 0) AS otx_passive_dns_count, "
+        "coalesce(risk_score, 0.0) AS risk_score, coalesce(status, 'Low Risk') AS status, "
+        "coalesce(attack_categories, 'None') AS attack_categories, "
+        "coalesce(attack_keywords_matched, 'None') AS attack_keywords_matched, "
+        "coalesce(profile_source, 'pipeline') AS profile_source FROM (" + lk + ") lp")
+    o["country_spikes"] = V.rstrip() + """,
+h AS (SELECT country_code AS country, date_trunc('hour', reported_ts) AS hour, count(*) AS reports
+      FROM v_abuse GROUP BY ALL),
+w AS (SELECT *, CAST(coalesce(sum(reports) OVER win, 0) AS DOUBLE) AS s,
+             CAST(coalesce(sum(reports * reports) OVER win, 0) AS DOUBLE) AS ss
+      FROM (SELECT *, CAST(epoch(hour) / 3600 AS BIGINT) AS eh FROM h) x
+      WINDOW win AS (PARTITION BY country ORDER BY eh RANGE BETWEEN 24 PRECEDING AND 1 PRECEDING))
+SELECT country, strftime(hour, '%Y-%m-%dT%H:%M:%S.%fZ') AS hour, reports,
+       round(s / 24.0, 4) AS baseline_mean,
+       round(sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0)), 4) AS baseline_std
+FROM w
+WHERE reports >= 3 AND reports > s / 24.0 + 3.0 * sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0))"""
     return o

@@ -168,3 +168,103 @@ def abuse_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         "last_reported_at",
         F.lit(None).cast("string").alias("ingestion_time"),
         F.lit(None).cast("string").alias("processed_at"))
+
+
+# ---------------------------------------------------------------- raw text
+# The feeds land as JSON text.  These builders only spell stand-in rows as JSON
+# values with the feeds' raw field names; parsing and typing is the jobs' work.
+
+def raw_abuse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pos, value): one blacklist entry per report as a JSON object."""
+    from pyspark.sql import functions as F
+    v = view(spark, sf_dir, "v_abuse")
+    return v.select("pos", F.to_json(F.struct(
+        F.col("ip_address").alias("ipAddress"), F.col("country_code").alias("countryCode"),
+        F.col("abuse_confidence_score").alias("abuseConfidenceScore"),
+        F.col("last_reported_at").alias("lastReportedAt"))).alias("value"))
+
+
+def raw_pulse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    v = view(spark, sf_dir, "v_pulse")
+    names = F.when(F.col("pulse_text").isNotNull(), F.split("pulse_text", r" \| "))
+    return v.select(F.to_json(F.struct(
+        F.col("ip_address").alias("ip"), "otx_reputation",
+        F.col("otx_pulse_count").alias("pulse_count"), names.alias("pulse_names"),
+        F.col("otx_passive_dns_count").alias("passive_dns_count"),
+        F.col("otx_general_status").alias("general_status"),
+        F.col("otx_passive_dns_status").alias("passive_dns_status"))).alias("value"))
+
+
+def raw_geo_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geo rows with coordinates spelled as text, as the geo API returns them."""
+    from pyspark.sql import functions as F
+    v = view(spark, sf_dir, "v_geo")
+    return v.select(F.to_json(F.struct(
+        F.col("ip_address").alias("ip"), F.col("geo_status").alias("status"),
+        F.col("geo_continent_name").alias("continent_name"),
+        F.col("geo_country_code2").alias("country_code2"),
+        F.col("geo_country_name").alias("country_name"),
+        F.col("geo_state_province").alias("state_prov"), F.col("geo_city").alias("city"),
+        F.col("geo_latitude").cast("string").alias("latitude"),
+        F.col("geo_longitude").cast("string").alias("longitude"),
+        F.col("geo_is_eu").alias("is_eu"), F.col("geo_asn_number").alias("asn_number"),
+        F.col("geo_asn_organization").alias("asn_organization"),
+        F.col("geo_asn_country").alias("asn_country"),
+        F.col("geo_timezone_name").alias("timezone_name"),
+        F.col("geo_timezone_offset").alias("timezone_offset"))).alias("value"))
+
+
+def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ip, kind, http_status, body): API answers for every customer IP.
+
+    Geo answers fail with 429 for negative balances; pulse answers carry the
+    customer's pulse names; abuse checks carry the account balance band.
+    """
+    from pyspark.sql import functions as F
+    register(spark, sf_dir)
+    c = spark.sql(f"""
+        SELECT {ip_of('c_custkey')} AS ip, c.c_custkey, c.c_acctbal, c.c_mktsegment,
+               n.n_name, r.r_name
+        FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+        JOIN region r ON r.r_regionkey = n.n_regionkey""")
+    p = spark.table("v_pulse").select(F.col("ip_address").alias("ip"), "pulse_text")
+    c = c.join(p, "ip", "left")
+    geo = c.select("ip", F.lit("geo").alias("kind"),
+                   F.when(F.col("c_acctbal") < 0, F.lit(429)).otherwise(F.lit(200)).alias("http_status"),
+                   F.to_json(F.struct(
+                       F.col("ip"),
+                       F.struct(F.col("r_name").alias("continent_name"),
+                                F.substring("n_name", 1, 2).alias("country_code2"),
+                                F.col("n_name").alias("country_name"),
+                                F.col("c_mktsegment").alias("state_prov"),
+                                F.concat(F.lit("City_"), (F.col("c_custkey") % 40).cast("string")).alias("city"),
+                                ((F.col("c_custkey") * 7) % 180 - 90).cast("string").alias("latitude"),
+                                ((F.col("c_custkey") * 11) % 360 - 180).cast("string").alias("longitude"),
+                                (F.col("r_name") == "EUROPE").alias("is_eu")).alias("location"),
+                       F.struct(F.concat(F.lit("AS"), (F.col("c_custkey") % 900 + 100).cast("string")).alias("as_number"),
+                                F.concat(F.lit("Org "), F.col("c_mktsegment")).alias("organization"),
+                                F.substring("n_name", 1, 2).alias("country")).alias("asn"),
+                       F.struct(F.col("r_name").alias("name"),
+                                ((F.col("c_custkey") % 24) - 12).cast("double").alias("offset")).alias("time_zone")
+                   )).alias("body"))
+    abuse = c.select("ip", F.lit("abuse_check").alias("kind"), F.lit(200).alias("http_status"),
+                     F.to_json(F.struct(F.struct(
+                         (F.abs(F.floor(F.col("c_acctbal"))) % 101).cast("string").alias("abuseConfidenceScore"),
+                         F.substring("n_name", 1, 2).alias("countryCode"),
+                         F.col("n_name").alias("countryName"),
+                         F.lit(None).cast("string").alias("lastReportedAt"),
+                         (F.col("c_custkey") % 13).cast("string").alias("totalReports")).alias("data"))).alias("body"))
+    pulse = c.select("ip", F.lit("pulse_general").alias("kind"), F.lit(200).alias("http_status"),
+                     F.to_json(F.struct(
+                         F.col("c_acctbal").alias("reputation"),
+                         F.struct(F.transform(F.coalesce(F.split("pulse_text", r" \| "), F.array().cast("array<string>")),
+                                              lambda x: F.struct(x.alias("name"))).alias("pulses")).alias("pulse_info")
+                     )).alias("body"))
+    dns = c.select("ip", F.lit("passive_dns").alias("kind"),
+                   F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(404)).otherwise(F.lit(200)).alias("http_status"),
+                   F.to_json(F.struct(F.transform(
+                       F.sequence(F.lit(1), (F.col("c_custkey") % 5).cast("int") + 1),
+                       lambda k: F.struct(F.concat(F.lit("h"), k.cast("string"), F.lit(".example")).alias("hostname"),
+                                          F.col("ip").alias("address"))).alias("passive_dns"))).alias("body"))
+    return geo.unionByName(abuse).unionByName(pulse).unionByName(dns)
