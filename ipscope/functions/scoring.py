@@ -102,14 +102,19 @@ def score_columns(df, names="otx_pulse_names", abuse="abuse_confidence_score",
     """Add attack_categories, attack_keywords_matched, risk_score and status.
 
     Missing numeric inputs count as 0 (``safe_int(..., 0)``), as in the batch step.
+    Three projections: keywords, then categories, then score and status.
     """
     from ipscope.functions.casts import safe_int  # local import keeps module graph flat
-    dt = dict(df.dtypes)
-    cats, kws = classify(names, word_boundary)
-    out = df.withColumn("attack_keywords_matched", kws)
-    out = out.withColumn("attack_categories", matched_categories("attack_keywords_matched"))
-    num = {k: safe_int(k, 0, df.schema[k].dataType) for k in (abuse, pulses, dns) if k in dt}
-    out = out.withColumn(
-        "risk_score",
-        risk_score(num[abuse], num[pulses], num[dns], "attack_categories", "attack_keywords_matched"))
-    return out.withColumn("status", risk_status("risk_score"))
+    dt = {f.name: f.dataType for f in df.schema.fields}
+    keep = [c for c in df.columns if c not in (*_COMPUTED, "_a", "_p", "_d")]
+    out = df.select(*keep,
+                    matched_keywords(pulse_text(names), word_boundary).alias("attack_keywords_matched"),
+                    *[safe_int(c, 0, dt[c]).alias(a) for c, a in ((abuse, "_a"), (pulses, "_p"), (dns, "_d"))])
+    out = out.select("*", matched_categories("attack_keywords_matched").alias("attack_categories"))
+    out = out.select(*keep, "attack_categories", "attack_keywords_matched",
+                     risk_score("_a", "_p", "_d", "attack_categories", "attack_keywords_matched")
+                     .alias("risk_score"))
+    return out.select("*", risk_status("risk_score").alias("status"))
+
+
+_COMPUTED = ("attack_categories", "attack_keywords_matched", "risk_score", "status")

@@ -32,6 +32,8 @@ def run_time(ts: str | None) -> Column:
 
 def conform(df: DataFrame, schema) -> DataFrame:
     """Select ``schema``'s columns in order, typed; missing ones become null."""
+    if [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]:
+        return df  # already conforming: no extra projection to analyse
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
@@ -61,12 +63,14 @@ def join_snapshots(reports: DataFrame, pulses: DataFrame, geo: DataFrame,
     if not preserve_missing:
         j = j.fillna({"otx_reputation": 0.0, "otx_pulse_count": 0,
                       "otx_passive_dns_count": 0, "abuse_confidence_score": 0})
-    j = (j.withColumn("abuse_country_code", F.col("country_code"))
-          .withColumn("abuse_country_name", F.col("geo_country_name"))
-          .withColumn("abuse_last_reported_at", F.col("last_reported_at"))
-          .withColumn("abuse_total_reports", F.lit(None).cast("int"))
-          .withColumn("enriched_at", run_time(run_ts)))
-    return j.select(*S.ENRICHED_COLUMNS)
+    derived = {
+        "abuse_country_code": F.col("country_code"),
+        "abuse_country_name": F.col("geo_country_name"),
+        "abuse_last_reported_at": F.col("last_reported_at"),
+        "abuse_total_reports": F.lit(None).cast("int"),
+        "enriched_at": run_time(run_ts),
+    }
+    return j.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in S.ENRICHED_COLUMNS])
 
 
 def geo_point(lat="geo_latitude", lon="geo_longitude") -> Column:
@@ -79,19 +83,22 @@ def score_profiles(df: DataFrame, source: str = S.PROFILE_SOURCE_BATCH,
                    run_ts: str | None = None, word_boundary: bool = False) -> DataFrame:
     """P14 + H7..H9 + P16: batch defaults, classification, score, status, geo point."""
     now = run_time(run_ts)
-    out = df
-    if "enriched_at" not in out.columns:
-        out = out.withColumn("enriched_at", F.lit(None).cast("timestamp"))
-    out = (out.withColumn("profile_source", F.lit(source))
-              .withColumn("enriched_at", F.coalesce(F.col("enriched_at").cast("timestamp"), now))
-              .withColumn("last_merged_at", F.col("enriched_at"))
-              .withColumn("first_seen_at", F.col("enriched_at"))
-              .withColumn("abuse_last_reported_at",
-                          F.try_to_timestamp(F.col("abuse_last_reported_at").cast("string")))
-              .withColumn("otx_pulse_names",
-                          normalize_string_array("otx_pulse_names", out.schema["otx_pulse_names"].dataType)))
-    out = score_columns(out, word_boundary=word_boundary)
-    out = out.withColumn("geo_location", geo_point())
+    enriched = (F.col("enriched_at").cast("timestamp") if "enriched_at" in df.columns
+                else F.lit(None).cast("timestamp"))
+    enriched = F.coalesce(enriched, now)
+    names_t = df.schema["otx_pulse_names"].dataType
+    repl = {
+        "profile_source": F.lit(source),
+        "enriched_at": enriched,
+        "last_merged_at": enriched,
+        "first_seen_at": enriched,
+        "abuse_last_reported_at": F.try_to_timestamp(F.col("abuse_last_reported_at").cast("string")),
+        "otx_pulse_names": normalize_string_array("otx_pulse_names", names_t),
+    }
+    base = df.select(*[c for c in df.columns if c not in repl],
+                     *[v.alias(k) for k, v in repl.items()])
+    out = score_columns(base, word_boundary=word_boundary)
+    out = out.select("*", geo_point().alias("geo_location"))
     return conform(out, S.PROFILE)
 
 

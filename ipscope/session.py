@@ -66,9 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        # Unset (a laptop test run): register a folder of our own once.
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "ipscope-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

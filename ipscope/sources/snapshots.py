@@ -44,7 +44,7 @@ def parse_envelope_text(text_df: DataFrame, record_schema: StructType,
 
 def read_envelope(spark: SparkSession, path: str, record_schema: StructType) -> DataFrame:
     """Read envelope file(s) under ``path``; adds ``source_file``."""
-    raw = (spark.read.option("wholetext", True).text(path)
+    raw = (spark.read.text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("source_file"), "value"))
     return parse_envelope_text(raw, record_schema)
 

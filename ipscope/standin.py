@@ -122,12 +122,19 @@ def with_clause(dialect: str, names: list[str] | None = None) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({vs[n]})" for n in vs if n in names) + "\n"
 
 
+_REGISTERED: dict[str, str] = {}
+
+
 def register(spark: SparkSession, sf_dir: str) -> None:
-    """Register the test tables and stand-in views as Spark temp views."""
+    """Register the test tables and stand-in views as Spark temp views (once per dir)."""
+    sid = spark.sparkContext.applicationId
+    if _REGISTERED.get(sid) == sf_dir and spark.catalog.tableExists("v_abuse"):
+        return
     for t in TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     for name, sql in views("spark").items():
         spark.sql(sql).createOrReplaceTempView(name)
+    _REGISTERED[sid] = sf_dir
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
