@@ -9,6 +9,7 @@ rule floors, then ``round(min(score, 100), 2)``.
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 from pyspark.sql import Column
@@ -33,14 +34,19 @@ def pulse_text(names) -> Column:
 
 
 def matched_keywords(text, word_boundary: bool = False) -> Column:
-    """Sorted distinct lexicon keywords contained in ``text`` ([] when text is null)."""
+    """Sorted distinct lexicon keywords contained in ``text`` ([] when text is null).
+
+    One ``CASE WHEN contains(text, kw)`` per keyword inside a single array, so the
+    32 tests are code-generated and ``text`` (computed once upstream when it is a
+    column) is scanned in place; nulls are then dropped.
+    """
     all_kw = sorted(set(chain.from_iterable(S.ATTACK_KEYWORDS.values())))
     t = F.coalesce(col_of(text), F.lit(""))
     if word_boundary:
-        test = lambda k: t.rlike(F.concat(F.lit(r"\b"), k, F.lit(r"\b")))
+        test = lambda k: t.rlike(r"\b" + re.escape(k) + r"\b")
     else:
-        test = lambda k: F.contains(t, k)
-    return F.filter(_str_array(all_kw), test)
+        test = lambda k: t.contains(k)
+    return F.array_compact(F.array(*[F.when(test(k), F.lit(k)) for k in all_kw]))
 
 
 def matched_categories(keywords) -> Column:
@@ -106,10 +112,12 @@ def score_columns(df, names="otx_pulse_names", abuse="abuse_confidence_score",
     """
     from ipscope.functions.casts import safe_int  # local import keeps module graph flat
     dt = {f.name: f.dataType for f in df.schema.fields}
-    keep = [c for c in df.columns if c not in (*_COMPUTED, "_a", "_p", "_d")]
-    out = df.select(*keep,
-                    matched_keywords(pulse_text(names), word_boundary).alias("attack_keywords_matched"),
+    keep = [c for c in df.columns if c not in (*_COMPUTED, "_a", "_p", "_d", "_pt")]
+    # The lower-cased text is its own column so the keyword tests read it once.
+    out = df.select(*keep, pulse_text(names).alias("_pt"),
                     *[safe_int(c, 0, dt[c]).alias(a) for c, a in ((abuse, "_a"), (pulses, "_p"), (dns, "_d"))])
+    out = out.select(*keep, "_a", "_p", "_d",
+                     matched_keywords("_pt", word_boundary).alias("attack_keywords_matched"))
     out = out.select("*", matched_categories("attack_keywords_matched").alias("attack_categories"))
     out = out.select(*keep, "attack_categories", "attack_keywords_matched",
                      risk_score("_a", "_p", "_d", "attack_categories", "attack_keywords_matched")

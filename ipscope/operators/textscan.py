@@ -17,8 +17,9 @@ from ipscope.functions.scoring import matched_categories, matched_keywords
 
 def classify_text(df: DataFrame, text: str = "text", word_boundary: bool = False) -> DataFrame:
     """J10/H7 over a text column: adds ``attack_keywords_matched``, ``attack_categories``."""
-    out = df.withColumn("attack_keywords_matched",
-                        matched_keywords(F.lower(F.col(text)), word_boundary))
+    # Lower-case once into its own column; the 32 keyword tests then read it.
+    low = df.select("*", F.lower(F.col(text)).alias("_lt"))
+    out = low.select(*df.columns, matched_keywords("_lt", word_boundary).alias("attack_keywords_matched"))
     return out.withColumn("attack_categories", matched_categories("attack_keywords_matched"))
 
 
