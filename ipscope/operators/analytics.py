@@ -85,3 +85,12 @@ def country_spikes(reports: DataFrame, ts: str = "reported_ts", country: str = "
         F.col("reports") > F.col("_s") / n + F.lit(k) * F.sqrt(var))
     return (out.filter(spike)
             .select("country", "hour", "reports", "baseline_mean", "baseline_std"))
+
+
+def recent_report_counts(reports: DataFrame, run_ts: str, max_age_days: int = 90,
+                         ts: str = "reported_ts", key: str = "ip_address") -> DataFrame:
+    """reports per IP within ``max_age_days`` before the run time."""
+    since = F.to_timestamp(F.lit(run_ts)) - F.make_interval(days=F.lit(max_age_days))
+    recent = reports.filter(F.col(ts).cast("timestamp") >= since)
+    return recent.groupBy(key).agg(F.count("*").alias("recent_reports"),
+                                   F.max(ts).cast("timestamp").alias("last_report_ts"))

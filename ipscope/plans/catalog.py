@@ -245,6 +245,44 @@ def q_country_spikes(spark, sf_dir):
     return render(analytics.country_spikes(rep))
 
 
+# ------------------------------------------------------------- IPs, lists, recency
+def _ip_candidates(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    toks = textscan.ip_tokens(docs).select(F.col("ip_token").alias("ip"))
+    reps = standin.abuse_reports(spark, sf_dir).select(F.col("ip_address").alias("ip"))
+    return toks.unionByName(reps).distinct()
+
+
+def q_ip_version(spark, sf_dir):
+    from ipscope.functions.ip import ip_version
+    return _ip_candidates(spark, sf_dir).select("ip", ip_version("ip").alias("ip_version"))
+
+
+def q_valid_ip_filter(spark, sf_dir):
+    from ipscope.functions.ip import is_valid_ip
+    return _ip_candidates(spark, sf_dir).filter(is_valid_ip("ip"))
+
+
+def q_first_n_distinct(spark, sf_dir):
+    return dedupe.first_n_distinct(_reports(spark, sf_dir), n=100)
+
+
+def q_point_lookup(spark, sf_dir):
+    e, _ = merge_inputs(spark, sf_dir)
+    return render(lookup.point_lookup(e, " 10.0.0.1 "))
+
+
+def q_pulse_responses(spark, sf_dir):
+    from ipscope.sources.responses import parse_pulses
+    raw = parse_pulses(standin.landed_responses(spark, sf_dir), RUN_TS)
+    return render(normalize.normalize_pulses(raw, RUN_TS, RUN_TS))
+
+
+def q_recent_report_counts(spark, sf_dir):
+    rep = standin.view(spark, sf_dir, "v_abuse")
+    return render(analytics.recent_report_counts(rep, RUN_TS, S.REPORT_MAX_AGE_DAYS))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "left_enrich": q_left_enrich,
@@ -279,4 +317,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lookup_profile": q_lookup_profile,
         "display_profile": q_display_profile,
         "country_spikes": q_country_spikes,
+        "ip_version": q_ip_version,
+        "valid_ip_filter": q_valid_ip_filter,
+        "first_n_distinct": q_first_n_distinct,
+        "point_lookup": q_point_lookup,
+        "pulse_responses": q_pulse_responses,
+        "recent_report_counts": q_recent_report_counts,
     }

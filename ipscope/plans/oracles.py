@@ -412,4 +412,38 @@ SELECT country, strftime(hour, '%Y-%m-%dT%H:%M:%S.%fZ') AS hour, reports,
        round(sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0)), 4) AS baseline_std
 FROM w
 WHERE reports >= 3 AND reports > s / 24.0 + 3.0 * sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0))"""
+    from ipscope.functions.ip import IPV6_RE
+    cand = V.rstrip() + f""",
+cand AS (SELECT DISTINCT ip FROM (
+  SELECT unnest(regexp_extract_all(text, {q(IPV4_TOKEN_RE)})) AS ip FROM documents
+  UNION ALL SELECT ip_address AS ip FROM v_abuse) t)
+"""
+    o["ip_version"] = cand + (
+        f"SELECT ip, CASE WHEN regexp_full_match(ip, {q(IPV4_RE)}) THEN 'IPv4' "
+        f"WHEN regexp_full_match(ip, {q(IPV6_RE)}) THEN 'IPv6' END AS ip_version FROM cand")
+    o["valid_ip_filter"] = cand + (
+        f"SELECT ip FROM cand WHERE regexp_full_match(ip, {q(IPV4_RE)}) "
+        f"OR regexp_full_match(ip, {q(IPV6_RE)})")
+    o["first_n_distinct"] = V + (
+        "SELECT trim(ip_address) AS ip_address, min(pos) AS first_pos FROM v_abuse "
+        "WHERE ip_address IS NOT NULL AND trim(ip_address) <> '' GROUP BY 1 ORDER BY first_pos LIMIT 100")
+    early = f"(SELECT * FROM v_abuse WHERE last_reported_at < {q(CUT)})"
+    o["point_lookup"] = (standin.with_clause("duckdb").rstrip()
+                         + profiles_ctes(early, "pe", run_ts=PREV_RUN_TS)
+                         + f"\nSELECT {PROFILE_OUT} FROM pe WHERE ip_address = '10.0.0.1'")
+    names = "CASE WHEN v.pulse_text IS NULL THEN CAST([] AS VARCHAR[]) ELSE string_split(v.pulse_text, ' | ') END"
+    o["pulse_responses"] = V + (
+        f"SELECT {standin.ip_of('c.c_custkey')} AS ip_address, c.c_acctbal AS otx_reputation, "
+        f"CAST(len({names}) AS INTEGER) AS otx_pulse_count, "
+        f"array_to_string(list_filter({names}, lambda x: x IS NOT NULL AND trim(x) <> ''), ', ') AS otx_pulse_names, "
+        "CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN 0 ELSE CAST(c.c_custkey % 5 + 1 AS INTEGER) END "
+        "AS otx_passive_dns_count, 'ok' AS otx_general_status, "
+        "CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN 'not_found' ELSE 'ok' END AS otx_passive_dns_status, "
+        f"{q(RUN_TS)} AS first_ingestion_time, {q(RUN_TS)} AS last_ingestion_time, 1 AS seen_count, "
+        f"{q(RUN_TS)} AS raw_ingestion_time, {q(RUN_TS)} AS processed_at "
+        f"FROM customer c LEFT JOIN v_pulse v ON v.ip_address = {standin.ip_of('c.c_custkey')}")
+    o["recent_report_counts"] = V + (
+        "SELECT ip_address, count(*) AS recent_reports, "
+        "strftime(max(reported_ts), '%Y-%m-%dT%H:%M:%S.%fZ') AS last_report_ts FROM v_abuse "
+        f"WHERE reported_ts >= TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 90 DAY GROUP BY ip_address")
     return o
