@@ -195,16 +195,28 @@ def q_carry_forward_counts(spark, sf_dir):
 PREV_RUN_TS = "2024-01-16T00:00:00.000000Z"
 
 
+def _cut():
+    return F.col("last_reported_at") < F.lit(standin.PREV_CUTOFF.replace(" ", "T"))
+
+
+def stored_profiles(spark, sf_dir):
+    """Profiles as stored after the run at the cutoff (reports before it)."""
+    rep = standin.abuse_reports(spark, sf_dir).filter(_cut())
+    return enrich_and_score(rep, standin.pulse_snapshot(spark, sf_dir),
+                            standin.geo_snapshot(spark, sf_dir), run_ts=PREV_RUN_TS)
+
+
+def incoming_profiles(spark, sf_dir):
+    """The next batch (reports after the cutoff), enriched without a geo snapshot."""
+    rep = standin.abuse_reports(spark, sf_dir).filter(~_cut())
+    no_geo = spark.createDataFrame([], S.GEO)  # S5: no geo snapshot for this run
+    return enrich_and_score(rep, standin.pulse_snapshot(spark, sf_dir), no_geo, run_ts=RUN_TS)
+
+
 def merge_inputs(spark, sf_dir):
     """Stored profiles from the reports before the cutoff; an incoming batch from
     the reports after it, enriched without a geo snapshot (so COALESCE matters)."""
-    rep = standin.abuse_reports(spark, sf_dir)
-    cut = F.col("last_reported_at") < F.lit(standin.PREV_CUTOFF.replace(" ", "T"))
-    pulses, geo = standin.pulse_snapshot(spark, sf_dir), standin.geo_snapshot(spark, sf_dir)
-    existing = enrich_and_score(rep.filter(cut), pulses, geo, run_ts=PREV_RUN_TS)
-    no_geo = spark.createDataFrame([], S.GEO)  # S5: no geo snapshot for this run
-    incoming = enrich_and_score(rep.filter(~cut), pulses, no_geo, run_ts=RUN_TS)
-    return existing, incoming
+    return stored_profiles(spark, sf_dir), incoming_profiles(spark, sf_dir)
 
 
 def q_merge_table(spark, sf_dir):
@@ -225,7 +237,7 @@ def q_geo_point(spark, sf_dir):
 
 # ------------------------------------------------------------- lookup
 def _lookup(spark, sf_dir):
-    e, _ = merge_inputs(spark, sf_dir)
+    e = stored_profiles(spark, sf_dir)
     reqs = standin.view(spark, sf_dir, "customer").select(
         F.expr(standin.ip_of("c_custkey")).alias("ip"))
     return lookup.lookup(reqs, e, standin.landed_responses(spark, sf_dir), run_ts=RUN_TS)
@@ -268,8 +280,7 @@ def q_first_n_distinct(spark, sf_dir):
 
 
 def q_point_lookup(spark, sf_dir):
-    e, _ = merge_inputs(spark, sf_dir)
-    return render(lookup.point_lookup(e, " 10.0.0.1 "))
+    return render(lookup.point_lookup(stored_profiles(spark, sf_dir), " 10.0.0.1 "))
 
 
 def q_pulse_responses(spark, sf_dir):
@@ -283,8 +294,21 @@ def q_recent_report_counts(spark, sf_dir):
     return render(analytics.recent_report_counts(rep, RUN_TS, S.REPORT_MAX_AGE_DAYS))
 
 
+def _utc(fn):
+    """Rendered timestamps are UTC text: pin the session zone before building."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return {k: _utc(v) for k, v in _QUERIES.items()}
+
+
+_QUERIES = {
         "left_enrich": q_left_enrich,
         "risk_score": q_risk_score,
         "status_counts": q_status_counts,
@@ -323,4 +347,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "point_lookup": q_point_lookup,
         "pulse_responses": q_pulse_responses,
         "recent_report_counts": q_recent_report_counts,
-    }
+}

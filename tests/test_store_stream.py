@@ -95,3 +95,28 @@ def test_parse_values_tolerates_float_score(spark):
     rows = parse_values(df).collect()
     assert rows[0].ip_address == "1.2.3.4" and rows[0].abuse_confidence_score == 100
     assert rows[1].ip_address is None
+
+
+def test_country_spike_stream_counts(spark, tmp_path):
+    from ipscope.streaming.enrich_stream import country_spike_stream
+    src = tmp_path / "spk"
+    src.mkdir()
+    rep = standin.abuse_reports(spark, SF_SMALL).orderBy("last_reported_at", "pos").collect()
+    half = len(rep) // 2
+    for n, chunk in enumerate((rep[:half], rep[half:])):
+        with open(src / f"p{n}.json", "w") as fh:
+            for r in chunk:
+                fh.write(json.dumps({"ip_address": r.ip_address, "country_code": r.country_code,
+                                     "last_reported_at": r.last_reported_at}) + "\n")
+    parsed = parse_values(read_source(spark, "text", str(src), {"maxFilesPerTrigger": "1"}))
+    q = (country_spike_stream(parsed).writeStream.outputMode("update").format("memory")
+         .queryName("spikes_t").option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = {(r.start, r.country_code): r.n for r in spark.sql(
+        "SELECT window.start AS start, country_code, max(reports) AS n FROM spikes_t GROUP BY 1, 2").collect()}
+    exp_df = (standin.view(spark, SF_SMALL, "v_abuse")
+              .groupBy(F.window(F.col("reported_ts").cast("timestamp"), "1 hour").start.alias("start"),
+                       "country_code").count())
+    exp = {(r.start, r.country_code): r["count"] for r in exp_df.collect()}
+    assert got == exp
