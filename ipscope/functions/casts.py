@@ -1,6 +1,6 @@
 """Tolerant value conversions as native column expressions.
 
-Each function takes a Column (or column name) and returns a Column.  They give
+Each function takes a column name (or a Column) and returns a Column.  They give
 the same answers as Python's ``int(float(v))`` / ``float(v)`` / truthy-word
 parsing on text input, without a UDF:
 
@@ -8,14 +8,19 @@ parsing on text input, without a UDF:
   the JVM) is rejected and ``1_000`` (accepted by Python) is accepted;
 * NaN and +-inf never become integers; NaN never becomes a float;
 * numbers that overflow int32 fall back to the default.
+
+Each rule is written once, as SQL text over an input expression (``*_sql``);
+the Column functions wrap it with one ``F.expr`` over a column name or a
+dotted field path.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, NumericType, StringType
+from pyspark.sql.types import BooleanType, DataType, NumericType, StringType
 
+from ipscope.functions.sqltext import ident, lit
 from ipscope.schemas import FALSE_WORDS, TRUE_WORDS
 
 _DIGITS = r"[0-9](?:_?[0-9])*"
@@ -30,64 +35,102 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _lit_or_null(default, dtype: str) -> Column:
-    return F.lit(None).cast(dtype) if default is None else F.lit(default).cast(dtype)
+def _typed(sql: str, dtype: str) -> str:
+    return f"CAST({sql} AS {dtype})"
 
 
-def text_to_double(c) -> Column:
+# ------------------------------------------------------------------ SQL text
+def text_to_double_sql(x: str) -> str:
     """Python-compatible text -> double; null when Python's float() would raise."""
-    s = F.trim(col_of(c).cast("string"))
-    ok = s.rlike(PY_FLOAT_RE)
-    cleaned = F.regexp_replace(s, "_", "")
-    lowered = F.lower(cleaned)
-    special = (
-        F.when(lowered.rlike(r"^[+]?(inf|infinity)$"), F.lit(float("inf")))
-        .when(lowered.rlike(r"^-(inf|infinity)$"), F.lit(float("-inf")))
-        .when(lowered.rlike(r"^[+-]?nan$"), F.lit(float("nan")))
-    )
-    return F.when(ok, F.coalesce(special, cleaned.try_cast("double")))
-
-
-def to_double(c, dtype=None) -> Column:
-    """Column of any primitive type -> double (NaN kept), text via Python grammar."""
-    c = col_of(c)
-    if dtype is not None and isinstance(dtype, (NumericType, BooleanType)):
-        return c.cast("double")
+    s = f"trim(CAST({x} AS STRING))"
+    low = f"lower(regexp_replace({s}, '_', ''))"
+    return (f"CASE WHEN NOT coalesce({s} RLIKE {lit(PY_FLOAT_RE)}, false) THEN CAST(NULL AS DOUBLE) "
+            f"WHEN {low} RLIKE '^[+]?(inf|infinity)$' THEN CAST('Infinity' AS DOUBLE) "
+            f"WHEN {low} RLIKE '^-(inf|infinity)$' THEN CAST('-Infinity' AS DOUBLE) "
+            f"WHEN {low} RLIKE '^[+-]?nan$' THEN CAST('NaN' AS DOUBLE) "
+            f"ELSE try_cast(regexp_replace({s}, '_', '') AS DOUBLE) END")
+
+
+def to_double_sql(x: str, dtype: DataType | None = None) -> str:
+    if isinstance(dtype, (NumericType, BooleanType)):
+        return f"CAST({x} AS DOUBLE)"
     if dtype is not None and not isinstance(dtype, StringType):
-        return F.lit(None).cast("double")
-    return text_to_double(c)
+        return "CAST(NULL AS DOUBLE)"
+    return text_to_double_sql(x)
 
 
-def safe_int(c, default=0, dtype=None) -> Column:
+def safe_int_sql(x: str, default=0, dtype: DataType | None = None) -> str:
     """``int(float(v))`` truncating toward zero; default on null/NaN/inf/garbage/overflow."""
-    d = to_double(c, dtype)
-    finite = ~F.isnan(d) & (F.abs(d) != F.lit(float("inf")))
-    as_int = F.when(finite, d.try_cast("int"))
-    return F.coalesce(as_int, _lit_or_null(default, "int"))
+    d = to_double_sql(x, dtype)
+    as_int = (f"CASE WHEN isnan({d}) OR abs({d}) = CAST('Infinity' AS DOUBLE) THEN CAST(NULL AS INT) "
+              f"ELSE try_cast({d} AS INT) END")
+    return f"coalesce({as_int}, {_typed(lit(default), 'INT')})"
 
 
-def safe_float(c, default=None, dtype=None) -> Column:
+def safe_float_sql(x: str, default=None, dtype: DataType | None = None) -> str:
     """``float(v)`` with NaN treated as missing; default otherwise."""
-    d = to_double(c, dtype)
-    return F.coalesce(F.when(~F.isnan(d), d), _lit_or_null(default, "double"))
+    d = to_double_sql(x, dtype)
+    return f"coalesce(CASE WHEN isnan({d}) THEN CAST(NULL AS DOUBLE) ELSE {d} END, {_typed(lit(default), 'DOUBLE')})"
 
 
-def safe_bool(c, default=None, dtype=None) -> Column:
+def safe_bool_sql(x: str, default=None, dtype: DataType | None = None) -> str:
     """Booleans pass; text true/1/yes/y and false/0/no/n (trimmed, any case); else default."""
-    c = col_of(c)
-    dflt = _lit_or_null(default, "boolean")
+    dflt = _typed(lit(default), "BOOLEAN")
     if isinstance(dtype, BooleanType):
-        return F.coalesce(c, dflt)
+        return f"coalesce({x}, {dflt})"
     if dtype is not None and not isinstance(dtype, StringType):
         return dflt
-    w = F.lower(F.trim(c.cast("string")))
-    return (F.when(w.isin(*TRUE_WORDS), F.lit(True))
-            .when(w.isin(*FALSE_WORDS), F.lit(False))
-            .otherwise(dflt))
+    w = f"lower(trim(CAST({x} AS STRING)))"
+    t = ", ".join(lit(v) for v in TRUE_WORDS)
+    f = ", ".join(lit(v) for v in FALSE_WORDS)
+    return f"CASE WHEN {w} IN ({t}) THEN true WHEN {w} IN ({f}) THEN false ELSE {dflt} END"
+
+
+def non_blank_sql(arr: str) -> str:
+    return f"filter({arr}, x -> x IS NOT NULL AND trim(x) <> '')"
+
+
+def normalize_string_array_sql(x: str, dtype: DataType | None = None) -> str:
+    """Array or text -> ``array<string>`` of non-blank elements; null -> [].
+
+    Text: blank -> []; a JSON list -> its non-blank elements; anything else -> [trimmed text].
+    """
+    empty = "CAST(array() AS ARRAY<STRING>)"
+    if dtype is not None and not isinstance(dtype, StringType):
+        return f"coalesce({non_blank_sql(f'CAST({x} AS ARRAY<STRING>)')}, {empty})"
+    s = f"trim({x})"
+    parsed = f"CASE WHEN startswith({s}, '[') THEN from_json({s}, 'array<string>') END"
+    return (f"CASE WHEN {x} IS NULL OR {s} = '' THEN {empty} "
+            f"WHEN ({parsed}) IS NOT NULL THEN {non_blank_sql(parsed)} "
+            f"ELSE array({s}) END")
+
+
+# ---------------------------------------------------------------- Columns
+def _rule(c, sql_fn, *args) -> Column:
+    """Column for a rule over a column name or dotted field path (e.g. ``r.score``)."""
+    if not isinstance(c, str):
+        raise TypeError("pass a column name or dotted path; project other expressions to a column first")
+    return F.expr(sql_fn(ident(c), *args))
+
+
+def safe_int(c, default=0, dtype=None) -> Column:
+    return _rule(c, safe_int_sql, default, dtype)
+
+
+def safe_float(c, default=None, dtype=None) -> Column:
+    return _rule(c, safe_float_sql, default, dtype)
+
+
+def safe_bool(c, default=None, dtype=None) -> Column:
+    return _rule(c, safe_bool_sql, default, dtype)
+
+
+def normalize_string_array(c, dtype=None) -> Column:
+    return _rule(c, normalize_string_array_sql, dtype)
 
 
 def safe_string(c, default=None) -> Column:
-    return F.coalesce(col_of(c).cast("string"), _lit_or_null(default, "string"))
+    return F.coalesce(col_of(c).cast("string"), F.lit(default).cast("string"))
 
 
 def has_value(c) -> Column:
@@ -99,19 +142,3 @@ def has_value(c) -> Column:
 def non_blank_elements(arr) -> Column:
     """Keep array elements that are not null and not blank after trimming."""
     return F.filter(col_of(arr), lambda x: x.isNotNull() & (F.trim(x) != F.lit("")))
-
-
-def normalize_string_array(c, dtype=None) -> Column:
-    """Array or text -> ``array<string>`` of non-blank elements; null -> [].
-
-    Text: blank -> []; a JSON list -> its non-blank elements; anything else -> [trimmed text].
-    """
-    c = col_of(c)
-    empty = F.array().cast("array<string>")
-    if dtype is not None and not isinstance(dtype, StringType):
-        return F.coalesce(non_blank_elements(c.cast("array<string>")), empty)
-    s = F.trim(c)
-    parsed = F.when(s.startswith("["), F.from_json(s, "array<string>"))
-    return (F.when(c.isNull() | (s == ""), empty)
-            .when(parsed.isNotNull(), non_blank_elements(parsed))
-            .otherwise(F.array(s)))

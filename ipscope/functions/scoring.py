@@ -5,6 +5,9 @@ tests every lexicon keyword with a plain substring match (so ``rce`` also
 matches inside ``force`` — kept for parity).  The score is the six-stage rule:
 abuse weight, pulse steps, passive-DNS weight, category and keyword bonuses,
 rule floors, then ``round(min(score, 100), 2)``.
+
+Expressions are generated as SQL text (one JVM call each, see ``sqltext``);
+arguments are column names.
 """
 
 from __future__ import annotations
@@ -12,117 +15,120 @@ from __future__ import annotations
 import re
 from itertools import chain
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ipscope import schemas as S
-from ipscope.functions.casts import col_of
-
-
-def _str_array(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
-
+from ipscope.functions.sqltext import ident, lit, str_array
 
-def _int_map(d: dict) -> Column:
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in d.items()))
+ALL_KEYWORDS = sorted(set(chain.from_iterable(S.ATTACK_KEYWORDS.values())))
+CATEGORIES = sorted(S.ATTACK_KEYWORDS)
 
 
-def pulse_text(names) -> Column:
+# ------------------------------------------------------------------ SQL text
+def pulse_text_sql(names: str) -> str:
     """Lower-cased names (non-null, non-empty) joined with `` | ``."""
-    kept = F.filter(col_of(names), lambda x: x.isNotNull() & (x != F.lit("")))
-    return F.lower(F.array_join(kept, " | "))
+    return f"lower(array_join(filter({names}, x -> x IS NOT NULL AND x <> ''), ' | '))"
 
 
-def matched_keywords(text, word_boundary: bool = False) -> Column:
-    """Sorted distinct lexicon keywords contained in ``text`` ([] when text is null).
-
-    One ``CASE WHEN contains(text, kw)`` per keyword inside a single array, so the
-    32 tests are code-generated and ``text`` (computed once upstream when it is a
-    column) is scanned in place; nulls are then dropped.
-    """
-    all_kw = sorted(set(chain.from_iterable(S.ATTACK_KEYWORDS.values())))
-    t = F.coalesce(col_of(text), F.lit(""))
+def matched_keywords_sql(text: str, word_boundary: bool = False) -> str:
+    """Sorted lexicon keywords contained in ``text``: one CASE per keyword, nulls dropped."""
+    t = f"coalesce({text}, '')"
     if word_boundary:
-        test = lambda k: t.rlike(r"\b" + re.escape(k) + r"\b")
+        test = lambda k: f"{t} RLIKE {lit(r'\b' + re.escape(k) + r'\b')}"
     else:
-        test = lambda k: t.contains(k)
-    return F.array_compact(F.array(*[F.when(test(k), F.lit(k)) for k in all_kw]))
+        test = lambda k: f"contains({t}, {lit(k)})"
+    cases = ", ".join(f"CASE WHEN {test(k)} THEN {lit(k)} END" for k in ALL_KEYWORDS)
+    return f"array_compact(array({cases}))"
 
 
-def matched_categories(keywords) -> Column:
+def matched_categories_sql(keywords: str) -> str:
     """Sorted categories with at least one matched keyword."""
-    kw = col_of(keywords)
-    cats = sorted(S.ATTACK_KEYWORDS)
-    lexicon = F.create_map(*chain.from_iterable(
-        (F.lit(c), _str_array(S.ATTACK_KEYWORDS[c])) for c in cats))
-    return F.filter(_str_array(cats),
-                    lambda c: F.arrays_overlap(F.element_at(lexicon, c), kw))
-
-
-def classify(names, word_boundary: bool = False) -> tuple[Column, Column]:
-    """(categories, keywords) for an ``array<string>`` of pulse names."""
-    kws = matched_keywords(pulse_text(names), word_boundary)
-    return matched_categories(kws), kws
-
-
-def _bonus_sum(arr, table: dict) -> Column:
-    m = _int_map(table)
-    return F.aggregate(col_of(arr), F.lit(0.0),
-                       lambda acc, x: acc + F.coalesce(F.try_element_at(m, x), F.lit(0)))
-
-
-def risk_score(abuse, pulses, dns, categories, keywords) -> Column:
-    """Six-stage risk score; inputs are non-null ints and sorted arrays."""
-    a, p, d = col_of(abuse), col_of(pulses), col_of(dns)
-    cats, kws = col_of(categories), col_of(keywords)
-    score = F.least(a, F.lit(S.ABUSE_CAP)) * F.lit(S.ABUSE_WEIGHT)
-    step = F.lit(0)
-    for threshold, bonus in reversed(S.PULSE_STEPS):
-        step = F.when(p >= threshold, F.lit(bonus)).otherwise(step)
-    score = score + step
-    score = score + F.least(d, F.lit(S.DNS_CAP)) * F.lit(S.DNS_WEIGHT)
-    score = score + _bonus_sum(cats, S.CATEGORY_BONUS) + _bonus_sum(kws, S.KEYWORD_BONUS)
-    has_cat = F.size(cats) > 0
-    floor = F.lit(0.0)
-    floor = F.when((p >= 20) & has_cat, F.greatest(floor, F.lit(55.0))).otherwise(floor)
-    exploit = (F.array_contains(cats, "Exploitation") | F.array_contains(kws, "rce")
-               | F.array_contains(kws, "remote code execution"))
-    floor = F.when(exploit, F.greatest(floor, F.lit(70.0))).otherwise(floor)
-    c2 = F.array_contains(cats, "Botnet / C2") | F.array_contains(cats, "Ransomware")
-    floor = F.when(c2, F.greatest(floor, F.lit(80.0))).otherwise(floor)
-    floor = F.when((a >= 40) & has_cat, F.greatest(floor, F.lit(65.0))).otherwise(floor)
-    score = F.greatest(score, floor)
-    return F.round(F.least(score, F.lit(100.0)), 2)
-
-
-def risk_status(score, high: float = S.HIGH_RISK_AT, medium: float = S.MEDIUM_RISK_AT) -> Column:
-    s = col_of(score)
-    return (F.when(s >= high, F.lit(S.STATUS_HIGH))
-            .when(s >= medium, F.lit(S.STATUS_MEDIUM))
-            .otherwise(F.lit(S.STATUS_LOW)))
-
-
-def score_columns(df, names="otx_pulse_names", abuse="abuse_confidence_score",
-                  pulses="otx_pulse_count", dns="otx_passive_dns_count",
-                  word_boundary: bool = False):
+    cases = ", ".join(
+        f"CASE WHEN arrays_overlap({keywords}, {str_array(S.ATTACK_KEYWORDS[c])}) THEN {lit(c)} END"
+        for c in CATEGORIES)
+    return f"array_compact(array({cases}))"
+
+
+def _bonus_sql(arr: str, table: dict) -> str:
+    # Elements are distinct, so the bonus sum is a sum over the table.
+    return "(" + " + ".join(f"CASE WHEN array_contains({arr}, {lit(k)}) THEN {v} ELSE 0 END"
+                            for k, v in table.items()) + ")"
+
+
+def risk_score_sql(a: str, p: str, d: str, cats: str, kws: str) -> str:
+    """Six-stage risk score over non-null int inputs and matched arrays."""
+    steps = " ".join(f"WHEN {p} >= {t} THEN {b}" for t, b in S.PULSE_STEPS)
+    base = (f"least({a}, {S.ABUSE_CAP}) * CAST({S.ABUSE_WEIGHT} AS DOUBLE)"
+            f" + CASE {steps} ELSE 0 END"
+            f" + least({d}, {S.DNS_CAP}) * CAST({S.DNS_WEIGHT} AS DOUBLE)"
+            f" + {_bonus_sql(cats, S.CATEGORY_BONUS)} + {_bonus_sql(kws, S.KEYWORD_BONUS)}")
+    has_cat = f"size({cats}) > 0"
+    floors = ", ".join([
+        f"CASE WHEN {p} >= 20 AND {has_cat} THEN 55.0D ELSE 0.0D END",
+        f"CASE WHEN array_contains({cats}, 'Exploitation') OR array_contains({kws}, 'rce') "
+        f"OR array_contains({kws}, 'remote code execution') THEN 70.0D ELSE 0.0D END",
+        f"CASE WHEN array_contains({cats}, 'Botnet / C2') OR array_contains({cats}, 'Ransomware') "
+        f"THEN 80.0D ELSE 0.0D END",
+        f"CASE WHEN {a} >= 40 AND {has_cat} THEN 65.0D ELSE 0.0D END",
+    ])
+    return f"round(least(greatest(CAST({base} AS DOUBLE), {floors}), 100.0D), 2)"
+
+
+def risk_status_sql(score: str, high: float = S.HIGH_RISK_AT, medium: float = S.MEDIUM_RISK_AT) -> str:
+    return (f"CASE WHEN {score} >= {high} THEN {lit(S.STATUS_HIGH)} "
+            f"WHEN {score} >= {medium} THEN {lit(S.STATUS_MEDIUM)} ELSE {lit(S.STATUS_LOW)} END")
+
+
+# ---------------------------------------------------------------- Columns
+def pulse_text(names: str) -> Column:
+    return F.expr(pulse_text_sql(ident(names)))
+
+
+def matched_keywords(text: str, word_boundary: bool = False) -> Column:
+    return F.expr(matched_keywords_sql(ident(text), word_boundary))
+
+
+def matched_categories(keywords: str) -> Column:
+    return F.expr(matched_categories_sql(ident(keywords)))
+
+
+def classify(names: str, word_boundary: bool = False) -> tuple[Column, Column]:
+    """(categories, keywords) for an ``array<string>`` column of pulse names."""
+    kws = matched_keywords_sql(pulse_text_sql(ident(names)), word_boundary)
+    return F.expr(matched_categories_sql(kws)), F.expr(kws)
+
+
+def risk_score(abuse: str, pulses: str, dns: str, categories: str, keywords: str) -> Column:
+    return F.expr(risk_score_sql(ident(abuse), ident(pulses), ident(dns),
+                                 ident(categories), ident(keywords)))
+
+
+def risk_status(score: str, high: float = S.HIGH_RISK_AT, medium: float = S.MEDIUM_RISK_AT) -> Column:
+    return F.expr(risk_status_sql(ident(score), high, medium))
+
+
+_COMPUTED = ("attack_categories", "attack_keywords_matched", "risk_score", "status")
+
+
+def score_columns(df: DataFrame, names: str = "otx_pulse_names", abuse: str = "abuse_confidence_score",
+                  pulses: str = "otx_pulse_count", dns: str = "otx_passive_dns_count",
+                  word_boundary: bool = False) -> DataFrame:
     """Add attack_categories, attack_keywords_matched, risk_score and status.
 
     Missing numeric inputs count as 0 (``safe_int(..., 0)``), as in the batch step.
-    Three projections: keywords, then categories, then score and status.
+    The lower-cased text is its own column so the keyword tests read it once.
     """
-    from ipscope.functions.casts import safe_int  # local import keeps module graph flat
+    from ipscope.functions.casts import safe_int_sql
     dt = {f.name: f.dataType for f in df.schema.fields}
-    keep = [c for c in df.columns if c not in (*_COMPUTED, "_a", "_p", "_d", "_pt")]
-    # The lower-cased text is its own column so the keyword tests read it once.
-    out = df.select(*keep, pulse_text(names).alias("_pt"),
-                    *[safe_int(c, 0, dt[c]).alias(a) for c, a in ((abuse, "_a"), (pulses, "_p"), (dns, "_d"))])
-    out = out.select(*keep, "_a", "_p", "_d",
-                     matched_keywords("_pt", word_boundary).alias("attack_keywords_matched"))
-    out = out.select("*", matched_categories("attack_keywords_matched").alias("attack_categories"))
-    out = out.select(*keep, "attack_categories", "attack_keywords_matched",
-                     risk_score("_a", "_p", "_d", "attack_categories", "attack_keywords_matched")
-                     .alias("risk_score"))
-    return out.select("*", risk_status("risk_score").alias("status"))
-
-
-_COMPUTED = ("attack_categories", "attack_keywords_matched", "risk_score", "status")
+    keep = [ident(c) for c in df.columns if c not in (*_COMPUTED, "_a", "_p", "_d", "_pt")]
+    nums = [f"{safe_int_sql(ident(c), 0, dt[c])} AS {a}"
+            for c, a in ((abuse, "_a"), (pulses, "_p"), (dns, "_d"))]
+    out = df.selectExpr(*keep, f"{pulse_text_sql(ident(names))} AS _pt", *nums)
+    out = out.selectExpr(*keep, "_a", "_p", "_d",
+                         f"{matched_keywords_sql('_pt', word_boundary)} AS attack_keywords_matched")
+    out = out.selectExpr(*keep, "_a", "_p", "_d", "attack_keywords_matched",
+                         f"{matched_categories_sql('attack_keywords_matched')} AS attack_categories")
+    score = risk_score_sql("_a", "_p", "_d", "attack_categories", "attack_keywords_matched")
+    out = out.selectExpr(*keep, "attack_categories", "attack_keywords_matched", f"{score} AS risk_score")
+    return out.selectExpr("*", f"{risk_status_sql('risk_score')} AS status")

@@ -54,8 +54,8 @@ def live_profiles(misses: DataFrame, responses: DataFrame, run_ts: str | None =
         F.col("g.location.country_name").alias("geo_country_name"),
         F.col("g.location.state_prov").alias("geo_state_province"),
         F.col("g.location.city").alias("geo_city"),
-        safe_float(F.col("g.location.latitude"), None).alias("geo_latitude"),
-        safe_float(F.col("g.location.longitude"), None).alias("geo_longitude"),
+        safe_float("g.location.latitude", None).alias("geo_latitude"),
+        safe_float("g.location.longitude", None).alias("geo_longitude"),
         F.col("g.location.is_eu").alias("geo_is_eu"),
         F.col("g.asn.as_number").alias("geo_asn_number"),
         F.col("g.asn.organization").alias("geo_asn_organization"),

@@ -82,15 +82,15 @@ def q_normalize_geo(spark, sf_dir):
 
 
 def q_safe_casts(spark, sf_dir):
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    v = F.col("value").cast("string")
-    k = F.get_json_object("props", "$.k")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", "props", F.col("value").cast("string").alias("v"),
+        F.get_json_object("props", "$.k").alias("k"))
     return ev.select(
         "event_id",
-        safe_int(v, 0).alias("int_value"), safe_float(v).alias("float_value"),
-        safe_int(k, 0).alias("k_int"), safe_bool(k).alias("k_bool"),
-        safe_int(F.col("props"), 0).alias("props_int"),
-        F.array_join(normalize_string_array(F.col("props")), ", ").alias("props_array"))
+        safe_int("v", 0).alias("int_value"), safe_float("v").alias("float_value"),
+        safe_int("k", 0).alias("k_int"), safe_bool("k").alias("k_bool"),
+        safe_int("props", 0).alias("props_int"),
+        F.array_join(normalize_string_array("props"), ", ").alias("props_array"))
 
 
 # ------------------------------------------------------------- text scans

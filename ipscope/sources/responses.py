@@ -69,15 +69,15 @@ def parse_geo(responses: DataFrame, ingestion_time: str | None) -> DataFrame:
 
 def parse_abuse_check(responses: DataFrame) -> DataFrame:
     """Abuse check -> score / reports with zero defaults, country, last report."""
-    r = _kind(responses, "abuse_check").filter(F.col("http_status") == 200)
-    d = F.from_json(F.col("body"), S.ABUSE_CHECK_BODY)["data"]
+    r = (_kind(responses, "abuse_check").filter(F.col("http_status") == 200)
+         .select("ip", F.from_json(F.col("body"), S.ABUSE_CHECK_BODY)["data"].alias("d")))
     return r.select(
         F.col("ip"),
-        safe_int(d["abuseConfidenceScore"], 0).alias("abuse_confidence_score"),
-        d["countryCode"].alias("abuse_country_code"),
-        d["countryName"].alias("abuse_country_name"),
-        d["lastReportedAt"].alias("abuse_last_reported_at"),
-        safe_int(d["totalReports"], 0).alias("abuse_total_reports"))
+        safe_int("d.abuseConfidenceScore", 0).alias("abuse_confidence_score"),
+        F.col("d.countryCode").alias("abuse_country_code"),
+        F.col("d.countryName").alias("abuse_country_name"),
+        F.col("d.lastReportedAt").alias("abuse_last_reported_at"),
+        safe_int("d.totalReports", 0).alias("abuse_total_reports"))
 
 
 def _pulse_parts(responses: DataFrame) -> DataFrame:
@@ -120,14 +120,19 @@ def parse_pulses_live(responses: DataFrame) -> DataFrame:
     """Live-lookup pulse fields: statuses ok / unavailable, counts 0 when absent."""
     p = _pulse_parts(responses)
     valid = is_valid_ip(F.col("ip"))
-    g = F.when(valid & (F.col("g.http_status") == 200), F.from_json(F.col("g.body"), S.PULSE_GENERAL_BODY))
-    d = F.when(valid & (F.col("d.http_status") == 200), F.from_json(F.col("d.body"), S.PASSIVE_DNS_BODY))
+    p = p.select(
+        "ip",
+        F.when(valid & (F.col("g.http_status") == 200),
+               F.from_json(F.col("g.body"), S.PULSE_GENERAL_BODY)).alias("gb"),
+        F.when(valid & (F.col("d.http_status") == 200),
+               F.from_json(F.col("d.body"), S.PASSIVE_DNS_BODY)).alias("db"))
+    g, d = F.col("gb"), F.col("db")
     pulses = F.coalesce(g["pulse_info"]["pulses"], F.array())
     names = F.filter(F.transform(pulses, lambda x: x["name"]),
                      lambda n: n.isNotNull() & (n != F.lit("")))
     return p.select(
         F.col("ip"),
-        safe_float(g["reputation"], None).alias("otx_reputation"),
+        safe_float("gb.reputation", None).alias("otx_reputation"),
         F.size(pulses).alias("otx_pulse_count"),
         names.alias("otx_pulse_names"),
         F.size(F.coalesce(d["passive_dns"], F.array())).alias("otx_passive_dns_count"),

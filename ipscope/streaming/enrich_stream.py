@@ -49,7 +49,7 @@ def parse_values(raw: DataFrame, value: str = "value") -> DataFrame:
         "raw_value",
         F.trim(F.col("r.ip_address")).alias("ip_address"),
         F.col("r.country_code").alias("country_code"),
-        safe_int(F.col("r.abuse_confidence_score"), None).alias("abuse_confidence_score"),
+        safe_int("r.abuse_confidence_score", None).alias("abuse_confidence_score"),
         F.col("r.last_reported_at").alias("last_reported_at"),
         F.col("r.ingestion_time").alias("ingestion_time"),
         F.col("r.processed_at").alias("processed_at"))
