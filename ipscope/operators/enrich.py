@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ipscope import schemas as S
 from ipscope.functions.casts import normalize_string_array
 from ipscope.functions.scoring import score_columns
+from ipscope.functions.sqltext import ident
 from ipscope.operators.dedupe import dedupe_latest, latest_snapshot_rows
 
 
@@ -34,13 +35,10 @@ def conform(df: DataFrame, schema) -> DataFrame:
     """Select ``schema``'s columns in order, typed; missing ones become null."""
     if [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]:
         return df  # already conforming: no extra projection to analyse
-    cols = []
-    for f in schema.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(cols)
+    have = set(df.columns)
+    return df.selectExpr(*[
+        f"CAST({ident(f.name) if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {ident(f.name)}"
+        for f in schema.fields])
 
 
 def join_snapshots(reports: DataFrame, pulses: DataFrame, geo: DataFrame,

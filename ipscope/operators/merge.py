@@ -15,6 +15,8 @@ four computed fields are recomputed from the merged values; last_merged_at is
 the run time; first_seen_at is the incoming one when present (Q5); the geo
 point is rebuilt when both coordinates exist.  Stored rows without an incoming
 row stay exactly as stored.
+
+Policies are written as SQL text per column (one projection each).
 """
 
 from __future__ import annotations
@@ -23,75 +25,76 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ipscope import schemas as S
-from ipscope.functions.casts import has_value
 from ipscope.functions.scoring import score_columns
-from ipscope.operators.enrich import conform, run_time
+from ipscope.functions.sqltext import ident, lit
+from ipscope.operators.enrich import conform
 
 FEED_COLUMNS = [c for c in S.PROFILE_COLUMNS if c not in (
     "ip_address", *S.COMPUTED_COLUMNS, "profile_source", "first_seen_at", "last_merged_at",
     "enriched_at", "geo_location")]
 
 
+def _now_sql(run_ts: str | None) -> str:
+    return f"to_timestamp({lit(run_ts)})" if run_ts else "current_timestamp()"
+
+
 def _sides(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     e = conform(existing, S.PROFILE)
     i = conform(incoming, S.PROFILE)
-    e = e.select(*[F.col(c).alias(f"e_{c}") for c in e.columns], F.lit(True).alias("e_present"))
-    i = i.select(*[F.col(c).alias(f"i_{c}") for c in i.columns], F.lit(True).alias("i_present"))
+    e = e.selectExpr(*[f"{ident(c)} AS e_{c}" for c in e.columns], "true AS e_present")
+    i = i.selectExpr(*[f"{ident(c)} AS i_{c}" for c in i.columns], "true AS i_present")
     return e.join(i, F.col("e_ip_address") == F.col("i_ip_address"), "full_outer")
 
 
+def _geo_point_sql(lat: str, lon: str) -> str:
+    return (f"CASE WHEN ({lat}) IS NOT NULL AND ({lon}) IS NOT NULL "
+            f"THEN named_struct('lat', {lat}, 'lon', {lon}) END")
+
+
 def merge_table_policy(existing: DataFrame, incoming: DataFrame,
                        keep_old_enriched_at: bool = False) -> DataFrame:
     """COALESCE upsert of ``incoming`` into ``existing`` (PROFILE schema out)."""
     j = _sides(existing, incoming)
-    hit = F.col("i_present").isNotNull()
-    e, i = (lambda c: F.col(f"e_{c}")), (lambda c: F.col(f"i_{c}"))
-    out = {"ip_address": F.coalesce(i("ip_address"), e("ip_address"))}
+    out = {"ip_address": "coalesce(i_ip_address, e_ip_address)"}
     for c in FEED_COLUMNS:
-        out[c] = F.coalesce(i(c), e(c))
+        out[c] = f"coalesce(i_{c}, e_{c})"
     for c in (*S.COMPUTED_COLUMNS, "last_merged_at"):
-        out[c] = i(c)
-    out["enriched_at"] = F.coalesce(i("enriched_at"), e("enriched_at")) if keep_old_enriched_at \
-        else i("enriched_at")
-    out["profile_source"] = F.coalesce(i("profile_source"), e("profile_source"))
-    out["first_seen_at"] = F.coalesce(e("first_seen_at"), i("first_seen_at"))
-    lat, lon = out["geo_latitude"], out["geo_longitude"]
-    out["geo_location"] = F.when(lat.isNotNull() & lon.isNotNull(),
-                                 F.struct(lat.alias("lat"), lon.alias("lon")))
-    cols = [F.when(hit, out[c]).otherwise(e(c)).alias(c) for c in S.PROFILE_COLUMNS]
-    return j.select(cols)
+        out[c] = f"i_{c}"
+    out["enriched_at"] = "coalesce(i_enriched_at, e_enriched_at)" if keep_old_enriched_at else "i_enriched_at"
+    out["profile_source"] = "coalesce(i_profile_source, e_profile_source)"
+    out["first_seen_at"] = "coalesce(e_first_seen_at, i_first_seen_at)"
+    out["geo_location"] = _geo_point_sql(out["geo_latitude"], out["geo_longitude"])
+    return j.selectExpr(*[f"CASE WHEN i_present THEN {out[c]} ELSE e_{c} END AS {ident(c)}"
+                          for c in S.PROFILE_COLUMNS])
 
 
 def merge_document_policy(existing: DataFrame, incoming: DataFrame,
                           run_ts: str | None = None) -> DataFrame:
     """Document merge with recomputed score (PROFILE schema out)."""
     j = _sides(existing, incoming)
-    hit = F.col("i_present").isNotNull()
-    e, i = (lambda c: F.col(f"e_{c}")), (lambda c: F.col(f"i_{c}"))
-    now = run_time(run_ts)
-    m = {"ip_address": F.coalesce(i("ip_address"), e("ip_address"))}
+    now = _now_sql(run_ts)
+    m = {"ip_address": "coalesce(i_ip_address, e_ip_address)"}
     for c in FEED_COLUMNS:
         if c in S.GEO_FIELDS:
-            m[c] = F.when(has_value(i(c)), i(c)).otherwise(e(c))
+            m[c] = (f"CASE WHEN i_{c} IS NOT NULL AND CAST(i_{c} AS STRING) <> '' "
+                    f"THEN i_{c} ELSE e_{c} END")
+        elif c == "otx_pulse_names":
+            m[c] = "coalesce(i_otx_pulse_names, e_otx_pulse_names, CAST(array() AS ARRAY<STRING>))"
         else:
-            m[c] = F.coalesce(i(c), e(c))
-    m["enriched_at"] = F.coalesce(i("enriched_at"), e("enriched_at"))
-    src = F.coalesce(i("profile_source"), e("profile_source"))
-    m["profile_source"] = F.when(has_value(src), src).otherwise(F.lit(S.PROFILE_SOURCE_BATCH))
-    m["first_seen_at"] = F.coalesce(i("first_seen_at"), e("first_seen_at"), i("enriched_at"), now)
+            m[c] = f"coalesce(i_{c}, e_{c})"
+    m["enriched_at"] = "coalesce(i_enriched_at, e_enriched_at)"
+    src = "coalesce(i_profile_source, e_profile_source)"
+    m["profile_source"] = f"CASE WHEN {src} IS NOT NULL AND {src} <> '' THEN {src} ELSE {lit(S.PROFILE_SOURCE_BATCH)} END"
+    m["first_seen_at"] = f"coalesce(i_first_seen_at, e_first_seen_at, i_enriched_at, {now})"
     m["last_merged_at"] = now
-    lat, lon = m["geo_latitude"], m["geo_longitude"]
-    m["geo_location"] = F.when(lat.isNotNull() & lon.isNotNull(),
-                               F.struct(lat.alias("lat"), lon.alias("lon"))).otherwise(e("geo_location"))
-    merged = j.select("i_present", *[F.col(f"e_{c}") for c in S.PROFILE_COLUMNS],
-                      *[v.alias(k) for k, v in m.items()])
-    merged = merged.withColumn("otx_pulse_names",
-                               F.coalesce("otx_pulse_names", F.array().cast("array<string>")))
+    m["geo_location"] = (f"coalesce({_geo_point_sql(m['geo_latitude'], m['geo_longitude'])}, "
+                         f"e_geo_location)")
+    merged = j.selectExpr("i_present", *[f"e_{c}" for c in S.PROFILE_COLUMNS],
+                          *[f"{v} AS {ident(k)}" for k, v in m.items()])
     scored = score_columns(merged)
     # Stored rows without an incoming row are kept exactly as stored.
-    cols = [F.when(F.col("i_present").isNotNull(), F.col(c)).otherwise(F.col(f"e_{c}")).alias(c)
-            for c in S.PROFILE_COLUMNS]
-    return scored.select(cols)
+    return scored.selectExpr(*[f"CASE WHEN i_present THEN {ident(c)} ELSE e_{c} END AS {ident(c)}"
+                               for c in S.PROFILE_COLUMNS])
 
 
 def merge_profiles(existing: DataFrame, incoming: DataFrame, policy: str = "table",

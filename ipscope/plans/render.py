@@ -7,22 +7,23 @@ hash identical primitive values.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType, TimestampNTZType, TimestampType
 
+from ipscope.functions.sqltext import ident
+
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def render(df: DataFrame, drop_structs: bool = True) -> DataFrame:
     cols = []
     for f in df.schema.fields:
-        c = F.col(f.name)
+        c = ident(f.name)
         if isinstance(f.dataType, ArrayType):
-            cols.append(F.array_join(c, ", ").alias(f.name))
+            cols.append(f"array_join({c}, ', ') AS {c}")
         elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
-            cols.append(F.date_format(c, ISO_FMT).alias(f.name))
+            cols.append(f"date_format({c}, \"{ISO_FMT}\") AS {c}")
         elif isinstance(f.dataType, StructType) and drop_structs:
             continue
         else:
             cols.append(c)
-    return df.select(cols)
+    return df.selectExpr(*cols)
