@@ -104,3 +104,80 @@ def merge_profiles(existing: DataFrame, incoming: DataFrame, policy: str = "tabl
     if policy == "document":
         return merge_document_policy(existing, incoming, run_ts)
     raise ValueError(f"unknown merge policy {policy!r}")
+
+
+def resolve_versions(rows: DataFrame, policy: str = "table", keep_old_enriched_at: bool = False) -> DataFrame:
+    """Fold a base table and appended batch rows per IP under a merge policy.
+
+    ``rows`` holds PROFILE columns plus ``_ord`` (−1 for the base row, then the
+    batch id) and ``_merge_ts`` (the run time of the row's batch).  The result
+    equals applying ``merge_profiles`` batch after batch, but it is a single
+    ``groupBy(ip)`` of ``max_by``/``min_by`` aggregates: map-side combinable,
+    and the rows per IP are bounded by the batches since the last compaction.
+    """
+    has = lambda c: f"CASE WHEN {c} IS NOT NULL THEN _ord END"
+    newest_nn = lambda c: f"max_by({c}, {has(c)})"
+    newest = lambda c: f"max_by({c}, _ord)"
+    any_delta = "max(_ord) >= 0"
+    agg = {}
+    if policy == "table":
+        for c in FEED_COLUMNS:
+            agg[c] = newest_nn(c)
+        for c in (*S.COMPUTED_COLUMNS, "last_merged_at"):
+            agg[c] = newest(c)
+        agg["enriched_at"] = newest_nn("enriched_at") if keep_old_enriched_at else newest("enriched_at")
+        agg["profile_source"] = newest_nn("profile_source")
+        agg["first_seen_at"] = f"min_by(first_seen_at, {has('first_seen_at')})"
+        agg["_base_geo"] = "max_by(geo_location, CASE WHEN _ord < 0 THEN 0 END)"
+        agg["_any"] = any_delta
+        out = rows.groupBy("ip_address").agg(*[F.expr(v).alias(k) for k, v in agg.items()])
+        point = _geo_point_sql("geo_latitude", "geo_longitude")
+        return out.selectExpr(*[
+            f"CASE WHEN _any THEN {point} ELSE _base_geo END AS geo_location" if c == "geo_location"
+            else ident(c) for c in S.PROFILE_COLUMNS])
+    if policy != "document":
+        raise ValueError(f"unknown merge policy {policy!r}")
+    for c in FEED_COLUMNS:
+        if c in S.GEO_FIELDS:
+            ok = f"CASE WHEN _ord < 0 OR ({c} IS NOT NULL AND CAST({c} AS STRING) <> '') THEN _ord END"
+            agg[c] = f"max_by({c}, {ok})"
+        else:
+            agg[c] = newest_nn(c)
+    agg["enriched_at"] = newest_nn("enriched_at")
+    agg["_src"] = newest_nn("profile_source")
+    agg["_first"] = newest_nn("first_seen_at")
+    agg["_oldest_enriched"] = "min_by(enriched_at, CASE WHEN _ord >= 0 AND enriched_at IS NOT NULL THEN _ord END)"
+    agg["_first_merge_ts"] = "min_by(_merge_ts, CASE WHEN _ord >= 0 THEN _ord END)"
+    agg["_merge_ts"] = "max_by(_merge_ts, _ord)"
+    agg["_base_geo"] = "max_by(geo_location, CASE WHEN _ord < 0 THEN 0 END)"
+    for c in (*S.COMPUTED_COLUMNS, "last_merged_at", "profile_source", "first_seen_at"):
+        agg[f"_b_{c}"] = f"max_by({c}, CASE WHEN _ord < 0 THEN 0 END)"
+    agg["_any"] = any_delta
+    out = rows.groupBy("ip_address").agg(*[F.expr(v).alias(k) for k, v in agg.items()])
+    out = out.selectExpr(
+        "*",
+        "CASE WHEN _any THEN coalesce(otx_pulse_names, CAST(array() AS ARRAY<STRING>)) "
+        "ELSE otx_pulse_names END AS _names",
+        f"CASE WHEN _any THEN (CASE WHEN _src IS NOT NULL AND _src <> '' THEN _src "
+        f"ELSE {lit(S.PROFILE_SOURCE_BATCH)} END) ELSE _b_profile_source END AS _source",
+        "CASE WHEN _any THEN coalesce(_first, _oldest_enriched, _first_merge_ts) ELSE _b_first_seen_at END AS _fs",
+        "CASE WHEN _any THEN _merge_ts ELSE _b_last_merged_at END AS _lm",
+        f"CASE WHEN _any THEN coalesce({_geo_point_sql('geo_latitude', 'geo_longitude')}, _base_geo) "
+        f"ELSE _base_geo END AS _geo")
+    out = out.drop("otx_pulse_names").withColumnRenamed("_names", "otx_pulse_names")
+    scored = score_columns(out)
+    cols = []
+    for c in S.PROFILE_COLUMNS:
+        if c in S.COMPUTED_COLUMNS:
+            cols.append(f"CASE WHEN _any THEN {ident(c)} ELSE _b_{c} END AS {ident(c)}")
+        elif c == "profile_source":
+            cols.append(f"_source AS {c}")
+        elif c == "first_seen_at":
+            cols.append(f"_fs AS {c}")
+        elif c == "last_merged_at":
+            cols.append(f"_lm AS {c}")
+        elif c == "geo_location":
+            cols.append(f"_geo AS {c}")
+        else:
+            cols.append(ident(c))
+    return scored.selectExpr(*cols)

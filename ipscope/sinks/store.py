@@ -27,10 +27,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ipscope import schemas as S
 from ipscope.operators.enrich import conform
-from ipscope.operators.merge import merge_profiles
+from ipscope.operators.merge import merge_profiles, resolve_versions
 from ipscope.session import checkpoint_root
 
 BATCH_LOG = StructType([StructField("batch_id", LongType(), False)])
+COMPACTION_LOG = StructType([StructField("version", LongType(), False),
+                             StructField("upto_batch", LongType(), False)])
 
 
 def bucket_of(key: str = "ip_address", buckets: int = 64):
@@ -48,22 +50,40 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 class ProfileStore:
-    """A Parquet profile table with one row per ``ip_address``."""
+    """A Parquet profile table with one row per ``ip_address``.
+
+    ``mode="copy_on_write"`` (default) rewrites the touched buckets on every
+    merge: reads are plain scans, writes cost the touched buckets.
+    ``mode="merge_on_read"`` appends each batch as its own ``deltas/batch_id=``
+    partition (write cost = the batch, the store is not read) and resolves
+    base + deltas per IP on read with ``resolve_versions``; ``compact()`` folds
+    the deltas into a new base version.  For a very large store fed by frequent
+    batches of random IPs — where nearly every bucket is touched each time —
+    merge-on-read is the scalable choice.
+    """
 
     def __init__(self, spark: SparkSession, path: str, policy: str = "table",
-                 buckets: int = 64, keep_old_enriched_at: bool = False):
+                 buckets: int = 64, keep_old_enriched_at: bool = False,
+                 mode: str = "copy_on_write"):
+        if mode not in ("copy_on_write", "merge_on_read"):
+            raise ValueError(f"unknown store mode {mode!r}")
         self.spark, self.path, self.policy = spark, path.rstrip("/"), policy
-        self.buckets, self.keep_old_enriched_at = buckets, keep_old_enriched_at
+        self.buckets, self.keep_old_enriched_at, self.mode = buckets, keep_old_enriched_at, mode
         self.schema = StructType(S.PROFILE.fields + [StructField("bucket", S.I, True)])
+        self.delta_schema = StructType(S.PROFILE.fields + [StructField("_merge_ts", S.TS, True),
+                                                           StructField("batch_id", LongType(), True)])
 
     # ------------------------------------------------------------------ read
     def read(self) -> DataFrame:
+        """Copy-on-write table with its bucket column."""
         if not _exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def profiles(self) -> DataFrame:
-        return self.read().drop("bucket")
+        if self.mode == "copy_on_write":
+            return self.read().drop("bucket")
+        return resolve_versions(self._versions(), self.policy, self.keep_old_enriched_at)
 
     def committed_batches(self) -> DataFrame:
         log = f"{self.path}/_batches"
@@ -74,6 +94,49 @@ class ProfileStore:
     def is_committed(self, batch_id: int) -> bool:
         return bool(self.committed_batches().filter(F.col("batch_id") == batch_id).limit(1).collect())
 
+    # ---------------------------------------------------- merge-on-read parts
+    def _compaction(self) -> tuple[int, int]:
+        """(base version, last batch id folded into it); (0, -1) before any compaction."""
+        log = f"{self.path}/_compactions"
+        if not _exists(self.spark, log):
+            return 0, -1
+        r = (self.spark.read.schema(COMPACTION_LOG).parquet(log)
+             .orderBy(F.col("version").desc()).limit(1).collect())
+        return (r[0].version, r[0].upto_batch) if r else (0, -1)
+
+    def _versions(self, upto: int | None = None) -> DataFrame:
+        """Base rows (``_ord`` = -1) plus delta rows after the last compaction."""
+        version, done = self._compaction()
+        base_path = f"{self.path}/base/v={version}"
+        if version > 0:
+            base = self.spark.read.schema(S.PROFILE).parquet(base_path)
+        else:
+            base = self.spark.createDataFrame([], S.PROFILE)
+        base = base.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS _merge_ts", "CAST(-1 AS BIGINT) AS _ord")
+        deltas_path = f"{self.path}/deltas"
+        if not _exists(self.spark, deltas_path):
+            return base
+        d = self.spark.read.schema(self.delta_schema).parquet(deltas_path)
+        d = d.filter(F.col("batch_id") > done)  # partition pruning on batch_id
+        if upto is not None:
+            d = d.filter(F.col("batch_id") <= upto)
+        d = d.join(self.committed_batches(), "batch_id", "left_semi")  # only committed batches
+        return base.unionByName(d.withColumnRenamed("batch_id", "_ord"))
+
+    def compact(self) -> int:
+        """Fold committed deltas into a new base version; returns the version."""
+        if self.mode != "merge_on_read":
+            return 0
+        version, done = self._compaction()
+        last = self.committed_batches().agg(F.max("batch_id")).collect()[0][0]
+        if last is None or last <= done:
+            return version
+        resolved = resolve_versions(self._versions(upto=last), self.policy, self.keep_old_enriched_at)
+        resolved.write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}")
+        (self.spark.createDataFrame([(version + 1, int(last))], COMPACTION_LOG)
+         .write.mode("append").parquet(f"{self.path}/_compactions"))
+        return version + 1
+
     # ----------------------------------------------------------------- write
     def _staging(self, batch_id) -> str:
         name = re.sub(r"[^A-Za-z0-9_]+", "_", self.path.strip("/"))[-80:]
@@ -83,6 +146,16 @@ class ProfileStore:
         """Upsert ``batch`` (PROFILE rows, key-unique). Returns False when skipped."""
         if self.is_committed(batch_id):
             return False
+        if self.mode == "merge_on_read":
+            now = F.to_timestamp(F.lit(run_ts)) if run_ts else F.current_timestamp()
+            rows = (conform(batch, S.PROFILE)
+                    .filter(F.col("ip_address").isNotNull() & (F.col("ip_address") != ""))
+                    .withColumn("_merge_ts", now).withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
+            # Re-running a batch rewrites only its own partition.
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(f"{self.path}/deltas"))
+            self._log(batch_id)
+            return True
         staging = self._staging(batch_id)
         if not _exists(self.spark, f"{staging}/_SUCCESS"):
             incoming = conform(batch, S.PROFILE).filter(

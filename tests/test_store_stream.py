@@ -120,3 +120,21 @@ def test_country_spike_stream_counts(spark, tmp_path):
                        "country_code").count())
     exp = {(r.start, r.country_code): r["count"] for r in exp_df.collect()}
     assert got == exp
+
+
+def test_merge_on_read_equals_copy_on_write(spark, tmp_path):
+    """Three batches merged both ways give the same profiles, before and after compaction."""
+    e, i = catalog.merge_inputs(spark, SF_SMALL)
+    third = i.filter(F.col("risk_score") >= 30).withColumn("geo_city", F.lit(""))
+    for policy in ("table", "document"):
+        cow = ProfileStore(spark, str(tmp_path / f"cow_{policy}"), policy=policy, buckets=4)
+        mor = ProfileStore(spark, str(tmp_path / f"mor_{policy}"), policy=policy, mode="merge_on_read")
+        for n, (b, ts) in enumerate([(e, catalog.PREV_RUN_TS), (i, RUN), (third, "2024-03-01T00:00:00Z")]):
+            cow.merge(b, n, ts)
+            mor.merge(b, n, ts)
+            if n == 1:
+                assert mor.compact() == 1
+        assert _sorted(mor.profiles()) == _sorted(cow.profiles()), policy
+        mor.compact()
+        assert _sorted(mor.profiles()) == _sorted(cow.profiles()), policy
+        assert not mor.merge(third, 2, RUN)  # replay is a no-op
