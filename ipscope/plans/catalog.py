@@ -294,6 +294,38 @@ def q_recent_report_counts(spark, sf_dir):
     return render(analytics.recent_report_counts(rep, RUN_TS, S.REPORT_MAX_AGE_DAYS))
 
 
+def _versions(spark, sf_dir):
+    """Stored profiles as the base (``_ord`` -1) and the next batch as a delta."""
+    e, i = merge_inputs(spark, sf_dir)
+    return (e.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS _merge_ts", "CAST(-1 AS BIGINT) AS _ord")
+            .unionByName(i.selectExpr("*", f"to_timestamp('{RUN_TS}') AS _merge_ts",
+                                      "CAST(0 AS BIGINT) AS _ord")))
+
+
+def q_merge_on_read_table(spark, sf_dir):
+    return render(merge.resolve_versions(_versions(spark, sf_dir), "table"))
+
+
+def q_merge_on_read_document(spark, sf_dir):
+    return render(merge.resolve_versions(_versions(spark, sf_dir), "document"))
+
+
+def q_snapshot_manifest(spark, sf_dir):
+    from ipscope.sinks.store import snapshot_manifest
+    ab = normalize.normalize_abuse(raw_abuse(spark, sf_dir), RUN_TS, RUN_TS)
+    return (snapshot_manifest(ab, "abuse_blacklist", RUN_TS)
+            .unionByName(snapshot_manifest(standin.pulse_snapshot(spark, sf_dir), "pulses", RUN_TS))
+            .unionByName(snapshot_manifest(standin.geo_snapshot(spark, sf_dir), "geo", RUN_TS)))
+
+
+def q_publish_roundtrip(spark, sf_dir):
+    """K4 + S7: processed rows published as JSON values, then parsed as the stream does."""
+    from ipscope.streaming.enrich_stream import parse_values
+    ab = normalize.normalize_abuse(raw_abuse(spark, sf_dir), RUN_TS, RUN_TS).drop("pos")
+    values = ab.select(F.to_json(F.struct(*ab.columns), {"ignoreNullFields": "false"}).alias("value"))
+    return parse_values(values).drop("raw_value")
+
+
 def _utc(fn):
     """Rendered timestamps are UTC text: pin the session zone before building."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,4 +379,8 @@ _QUERIES = {
         "point_lookup": q_point_lookup,
         "pulse_responses": q_pulse_responses,
         "recent_report_counts": q_recent_report_counts,
+        "merge_on_read_table": q_merge_on_read_table,
+        "merge_on_read_document": q_merge_on_read_document,
+        "snapshot_manifest": q_snapshot_manifest,
+        "publish_roundtrip": q_publish_roundtrip,
 }

@@ -412,6 +412,15 @@ SELECT country, strftime(hour, '%Y-%m-%dT%H:%M:%S.%fZ') AS hour, reports,
        round(sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0)), 4) AS baseline_std
 FROM w
 WHERE reports >= 3 AND reports > s / 24.0 + 3.0 * sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0))"""
+    o["merge_on_read_table"] = o["merge_table"]
+    o["merge_on_read_document"] = o["merge_document"]
+    o["snapshot_manifest"] = V + (
+        f"SELECT 'abuse_blacklist' AS source, {q(RUN_TS)} AS ingestion_time, count(*) AS record_count "
+        f"FROM v_abuse UNION ALL SELECT 'pulses', {q(RUN_TS)}, count(*) FROM v_pulse "
+        f"UNION ALL SELECT 'geo', {q(RUN_TS)}, count(*) FROM v_geo")
+    o["publish_roundtrip"] = V + (
+        f"SELECT ip_address, country_code, abuse_confidence_score, last_reported_at, "
+        f"{q(RUN_TS)} AS ingestion_time, {q(RUN_TS)} AS processed_at FROM v_abuse")
     from ipscope.functions.ip import IPV6_RE
     cand = V.rstrip() + f""",
 cand AS (SELECT DISTINCT ip FROM (
