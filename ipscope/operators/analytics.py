@@ -21,6 +21,11 @@ def country_counts(profiles: DataFrame, country: str = "abuse_country_code") ->
                  .alias("high_risk_count")))
 
 
+def high_risk(profiles: DataFrame, status: str = "High Risk") -> DataFrame:
+    """profiles with the given status (pushed down to the store scan)."""
+    return profiles.filter(F.col("status") == status)
+
+
 def status_counts(profiles: DataFrame) -> DataFrame:
     """IPs per risk status with the mean score."""
     return (profiles.groupBy("status")

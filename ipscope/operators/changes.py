@@ -99,7 +99,8 @@ def snapshots_differ(prev_fp: DataFrame, curr_fp: DataFrame) -> DataFrame:
 
 
 def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
-                  update_existing: bool = False, key: str = "ip") -> tuple[DataFrame, DataFrame]:
+                  update_existing: bool = False, key: str = "ip",
+                  retry_errors: bool = False, status: str = "status") -> tuple[DataFrame, DataFrame]:
     """Merge freshly fetched records into the previous snapshot.
 
     ``old`` — previous snapshot records (with ``pos`` when ordered; last wins).
@@ -107,12 +108,16 @@ def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
     (only those not skipped are used).  Returns ``(snapshot, counters)``.
     Updated rows keep the old ``first_ingestion_time`` and count
     ``seen_count = coalesce(old, 1) + 1``; untouched old rows stay intact.
+    ``retry_errors`` also refetches IPs whose stored row is an error row (Q12).
     """
     old_d = last_wins(old, key, "pos") if "pos" in old.columns else old
     old_d = old_d.drop("pos")
     cand = candidates.select(F.trim(F.col(key)).alias(key)).filter(
         F.col(key).isNotNull() & (F.col(key) != "")).distinct()
-    to_fetch = cand if update_existing else cand.join(old_d.select(key), key, "left_anti")
+    known = old_d
+    if retry_errors and status in old_d.columns:
+        known = old_d.filter(F.col(status) == "ok")  # error rows count as unknown
+    to_fetch = cand if update_existing else cand.join(known.select(key), key, "left_anti")
     f = fresh.join(to_fetch, key, "left_semi")
     f = (last_wins(f, key, "pos") if "pos" in f.columns
          else f.groupBy(key).agg(F.max(F.struct(*[c for c in f.columns if c != key])).alias("_w"))
@@ -141,7 +146,7 @@ def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
             .otherwise(F.lit("kept")))
     snap = j.select(*out, flag.alias("_run_change"))
     # All counters in one aggregate over the run's rows plus the skipped candidates.
-    skipped = (cand.join(old_d.select(key), key, "left_semi") if not update_existing
+    skipped = (cand.join(known.select(key), key, "left_semi") if not update_existing
                else cand.limit(0)).select(F.lit("skipped").alias("_run_change"))
     counters = (snap.select("_run_change").unionByName(skipped)
                 .agg(F.count_if(F.col("_run_change") == "new").alias("new_count"),

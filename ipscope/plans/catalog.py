@@ -48,6 +48,11 @@ def q_country_counts(spark, sf_dir):
     return analytics.country_counts(profiles(spark, sf_dir))
 
 
+def q_high_risk_ips(spark, sf_dir):
+    return analytics.high_risk(profiles(spark, sf_dir)).select(
+        "ip_address", "risk_score", "abuse_country_code")
+
+
 def q_score_histogram(spark, sf_dir):
     return analytics.score_histogram(profiles(spark, sf_dir))
 
@@ -379,6 +384,7 @@ _QUERIES = {
         "point_lookup": q_point_lookup,
         "pulse_responses": q_pulse_responses,
         "recent_report_counts": q_recent_report_counts,
+        "high_risk_ips": q_high_risk_ips,
         "merge_on_read_table": q_merge_on_read_table,
         "merge_on_read_document": q_merge_on_read_document,
         "snapshot_manifest": q_snapshot_manifest,

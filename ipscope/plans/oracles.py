@@ -412,6 +412,8 @@ SELECT country, strftime(hour, '%Y-%m-%dT%H:%M:%S.%fZ') AS hour, reports,
        round(sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0)), 4) AS baseline_std
 FROM w
 WHERE reports >= 3 AND reports > s / 24.0 + 3.0 * sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0))"""
+    o["high_risk_ips"] = W + ("SELECT ip_address, risk_score, abuse_country_code FROM prof "
+                              "WHERE status = 'High Risk'")
     o["merge_on_read_table"] = o["merge_table"]
     o["merge_on_read_document"] = o["merge_document"]
     o["snapshot_manifest"] = V + (

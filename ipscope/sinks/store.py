@@ -184,6 +184,17 @@ class ProfileStore:
          .write.mode("append").parquet(f"{self.path}/_batches"))
 
 
+def save_profiles(profiles: DataFrame, stores: list[ProfileStore], batch_id: int,
+                  run_ts: str | None = None) -> None:
+    """K9: save looked-up profiles to every store (each under its own policy)."""
+    profiles = profiles.persist()
+    try:
+        for store in stores:
+            store.merge(profiles, batch_id, run_ts)
+    finally:
+        profiles.unpersist()
+
+
 def write_snapshot(df: DataFrame, root: str, run_ts: str, fmt: str = "parquet",
                    run_id: str | None = None) -> str:
     """K1/K2: write a snapshot under ``year=/month=/day=`` of the run time.

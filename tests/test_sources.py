@@ -61,3 +61,53 @@ def test_json_lines_positions(spark, tmp_path):
     df = read_json_lines(spark, str(tmp_path / "r.jsonl"), S.RAW_ABUSE_RECORD)
     got = [r.ipAddress for r in df.orderBy("pos").collect()]
     assert got == [f"1.1.1.{i}" for i in range(50)]
+
+
+def test_snapshot_gate_first_run_commit_and_change(spark, tmp_path):
+    from ipscope import standin
+    from ipscope.sinks.state import SnapshotGate
+    from conftest import SF_SMALL
+    gate = SnapshotGate(spark, str(tmp_path / "state"))
+    prev = standin.view(spark, SF_SMALL, "v_prev").select("pos", "ip_address", "abuse_confidence_score",
+                                                           "last_reported_at", "country_code")
+    curr = standin.view(spark, SF_SMALL, "v_curr").select(*prev.columns)
+    first = gate.detect(prev).first()
+    assert first.changed and first.previous_fingerprint is None
+    assert gate.commit(prev, "raw/prev.json", "t1") == 1
+    same = gate.detect(prev).first()
+    assert not same.changed and same.new_ip_count == same.removed_ip_count == same.changed_ip_count == 0
+    moved = gate.detect(curr).first()
+    assert moved.changed
+    from ipscope.operators.changes import diff_snapshots, diff_summary
+    exp = diff_summary(diff_snapshots(prev, curr)).first()
+    assert (moved.new_ip_count, moved.changed_ip_count, moved.removed_ip_count) == tuple(exp)
+    assert gate.commit(curr, "raw/curr.json", "t2") == 2
+    assert not gate.should_run(curr)
+
+
+def test_normalize_typed_tolerant(spark):
+    from ipscope.operators.normalize import normalize_typed
+    df = spark.createDataFrame([("1.1.1.1", "12.5", "7.9", '["a", " "]', "yes")],
+                               "ip_address string, otx_reputation string, otx_pulse_count string, "
+                               "otx_pulse_names string, geo_is_eu string")
+    r = normalize_typed(df, S.PULSE).first()
+    assert r.otx_reputation == 12.5 and r.otx_pulse_count == 7 and list(r.otx_pulse_names) == ["a"]
+    g = normalize_typed(df, S.GEO).first()
+    assert g.geo_is_eu is True
+
+
+def test_carry_forward_retry_errors(spark):
+    from ipscope.operators.changes import carry_forward
+    old = spark.createDataFrame([("1.1.1.1", "ok", "t0", "1"), ("2.2.2.2", "ReadTimeout", "t0", "1")],
+                                "ip string, status string, first_ingestion_time string, seen_count string")
+    cands = spark.createDataFrame([("1.1.1.1",), ("2.2.2.2",), ("3.3.3.3",)], "ip string")
+    fresh = spark.createDataFrame([("2.2.2.2", "ok", "t1", "1"), ("3.3.3.3", "ok", "t1", "1")],
+                                  old.schema)
+    snap, cnt = carry_forward(old, cands, fresh)
+    assert {r.ip: r.status for r in snap.collect()}["2.2.2.2"] == "ReadTimeout"
+    assert tuple(cnt.first()) == (1, 0, 2, 3)
+    snap, cnt = carry_forward(old, cands, fresh, retry_errors=True)
+    rows = {r.ip: r for r in snap.collect()}
+    assert rows["2.2.2.2"].status == "ok" and rows["2.2.2.2"].seen_count == "2"
+    assert rows["2.2.2.2"].first_ingestion_time == "t0"
+    assert tuple(cnt.first()) == (1, 1, 1, 3)
