@@ -40,15 +40,20 @@ def _typed(sql: str, dtype: str) -> str:
 
 
 # ------------------------------------------------------------------ SQL text
+def _let(value: str, var: str, body: str) -> str:
+    """``body`` with ``var`` bound to ``value`` (input referenced once; see scoring.let_sql)."""
+    return f"element_at(transform(array({value}), {var} -> {body}), 1)"
+
+
 def text_to_double_sql(x: str) -> str:
     """Python-compatible text -> double; null when Python's float() would raise."""
-    s = f"trim(CAST({x} AS STRING))"
-    low = f"lower(regexp_replace({s}, '_', ''))"
-    return (f"CASE WHEN NOT coalesce({s} RLIKE {lit(PY_FLOAT_RE)}, false) THEN CAST(NULL AS DOUBLE) "
+    low = "lower(regexp_replace(s_, '_', ''))"
+    body = (f"CASE WHEN NOT coalesce(s_ RLIKE {lit(PY_FLOAT_RE)}, false) THEN CAST(NULL AS DOUBLE) "
             f"WHEN {low} RLIKE '^[+]?(inf|infinity)$' THEN CAST('Infinity' AS DOUBLE) "
             f"WHEN {low} RLIKE '^-(inf|infinity)$' THEN CAST('-Infinity' AS DOUBLE) "
             f"WHEN {low} RLIKE '^[+-]?nan$' THEN CAST('NaN' AS DOUBLE) "
-            f"ELSE try_cast(regexp_replace({s}, '_', '') AS DOUBLE) END")
+            f"ELSE try_cast(regexp_replace(s_, '_', '') AS DOUBLE) END")
+    return _let(f"trim(CAST({x} AS STRING))", "s_", body)
 
 
 def to_double_sql(x: str, dtype: DataType | None = None) -> str:
@@ -61,16 +66,16 @@ def to_double_sql(x: str, dtype: DataType | None = None) -> str:
 
 def safe_int_sql(x: str, default=0, dtype: DataType | None = None) -> str:
     """``int(float(v))`` truncating toward zero; default on null/NaN/inf/garbage/overflow."""
-    d = to_double_sql(x, dtype)
-    as_int = (f"CASE WHEN isnan({d}) OR abs({d}) = CAST('Infinity' AS DOUBLE) THEN CAST(NULL AS INT) "
-              f"ELSE try_cast({d} AS INT) END")
+    as_int = _let(to_double_sql(x, dtype), "d_",
+                  "CASE WHEN isnan(d_) OR abs(d_) = CAST('Infinity' AS DOUBLE) THEN CAST(NULL AS INT) "
+                  "ELSE try_cast(d_ AS INT) END")
     return f"coalesce({as_int}, {_typed(lit(default), 'INT')})"
 
 
 def safe_float_sql(x: str, default=None, dtype: DataType | None = None) -> str:
     """``float(v)`` with NaN treated as missing; default otherwise."""
-    d = to_double_sql(x, dtype)
-    return f"coalesce(CASE WHEN isnan({d}) THEN CAST(NULL AS DOUBLE) ELSE {d} END, {_typed(lit(default), 'DOUBLE')})"
+    as_f = _let(to_double_sql(x, dtype), "d_", "CASE WHEN isnan(d_) THEN CAST(NULL AS DOUBLE) ELSE d_ END")
+    return f"coalesce({as_f}, {_typed(lit(default), 'DOUBLE')})"
 
 
 def safe_bool_sql(x: str, default=None, dtype: DataType | None = None) -> str:
@@ -80,10 +85,10 @@ def safe_bool_sql(x: str, default=None, dtype: DataType | None = None) -> str:
         return f"coalesce({x}, {dflt})"
     if dtype is not None and not isinstance(dtype, StringType):
         return dflt
-    w = f"lower(trim(CAST({x} AS STRING)))"
     t = ", ".join(lit(v) for v in TRUE_WORDS)
     f = ", ".join(lit(v) for v in FALSE_WORDS)
-    return f"CASE WHEN {w} IN ({t}) THEN true WHEN {w} IN ({f}) THEN false ELSE {dflt} END"
+    return _let(f"lower(trim(CAST({x} AS STRING)))", "w_",
+                f"CASE WHEN w_ IN ({t}) THEN true WHEN w_ IN ({f}) THEN false ELSE {dflt} END")
 
 
 def non_blank_sql(arr: str) -> str:
@@ -98,11 +103,10 @@ def normalize_string_array_sql(x: str, dtype: DataType | None = None) -> str:
     empty = "CAST(array() AS ARRAY<STRING>)"
     if dtype is not None and not isinstance(dtype, StringType):
         return f"coalesce({non_blank_sql(f'CAST({x} AS ARRAY<STRING>)')}, {empty})"
-    s = f"trim({x})"
-    parsed = f"CASE WHEN startswith({s}, '[') THEN from_json({s}, 'array<string>') END"
-    return (f"CASE WHEN {x} IS NULL OR {s} = '' THEN {empty} "
-            f"WHEN ({parsed}) IS NOT NULL THEN {non_blank_sql(parsed)} "
-            f"ELSE array({s}) END")
+    parsed = "CASE WHEN startswith(s_, '[') THEN from_json(s_, 'array<string>') END"
+    body = _let(parsed, "j_", f"CASE WHEN s_ IS NULL OR s_ = '' THEN {empty} "
+                f"WHEN j_ IS NOT NULL THEN {non_blank_sql('j_')} ELSE array(s_) END")
+    return _let(f"trim({x})", "s_", body)
 
 
 # ---------------------------------------------------------------- Columns

@@ -26,6 +26,17 @@ CATEGORIES = sorted(S.ATTACK_KEYWORDS)
 
 
 # ------------------------------------------------------------------ SQL text
+def let_sql(value: str, var: str, body: str) -> str:
+    """Evaluate ``body`` with ``var`` bound to ``value``, referencing ``value`` once.
+
+    Catalyst inlines aliases when it pushes a filter through a projection; a rule
+    that mentions its input many times would then copy the whole upstream
+    expression that many times (and multiply along a chain of rules).  Binding
+    the input once keeps every rule linear in its input.
+    """
+    return f"element_at(transform(array({value}), {var} -> {body}), 1)"
+
+
 def pulse_text_sql(names: str) -> str:
     """Lower-cased names (non-null, non-empty) joined with `` | ``."""
     return f"lower(array_join(filter({names}, x -> x IS NOT NULL AND x <> ''), ' | '))"
@@ -33,21 +44,21 @@ def pulse_text_sql(names: str) -> str:
 
 def matched_keywords_sql(text: str, word_boundary: bool = False) -> str:
     """Sorted lexicon keywords contained in ``text``: one CASE per keyword, nulls dropped."""
-    t = f"coalesce({text}, '')"
+    t = "t_"
     if word_boundary:
         test = lambda k: f"{t} RLIKE {lit(r'\b' + re.escape(k) + r'\b')}"
     else:
         test = lambda k: f"contains({t}, {lit(k)})"
     cases = ", ".join(f"CASE WHEN {test(k)} THEN {lit(k)} END" for k in ALL_KEYWORDS)
-    return f"array_compact(array({cases}))"
+    return let_sql(f"coalesce({text}, '')", "t_", f"array_compact(array({cases}))")
 
 
 def matched_categories_sql(keywords: str) -> str:
     """Sorted categories with at least one matched keyword."""
     cases = ", ".join(
-        f"CASE WHEN arrays_overlap({keywords}, {str_array(S.ATTACK_KEYWORDS[c])}) THEN {lit(c)} END"
+        f"CASE WHEN arrays_overlap(w_, {str_array(S.ATTACK_KEYWORDS[c])}) THEN {lit(c)} END"
         for c in CATEGORIES)
-    return f"array_compact(array({cases}))"
+    return let_sql(keywords, "w_", f"array_compact(array({cases}))")
 
 
 def _bonus_sql(arr: str, table: dict) -> str:
@@ -58,6 +69,11 @@ def _bonus_sql(arr: str, table: dict) -> str:
 
 def risk_score_sql(a: str, p: str, d: str, cats: str, kws: str) -> str:
     """Six-stage risk score over non-null int inputs and matched arrays."""
+    bound = f"named_struct('a', {a}, 'p', {p}, 'd', {d}, 'c', {cats}, 'w', {kws})"
+    return let_sql(bound, "v_", _risk_score_body("v_.a", "v_.p", "v_.d", "v_.c", "v_.w"))
+
+
+def _risk_score_body(a: str, p: str, d: str, cats: str, kws: str) -> str:
     steps = " ".join(f"WHEN {p} >= {t} THEN {b}" for t, b in S.PULSE_STEPS)
     base = (f"least({a}, {S.ABUSE_CAP}) * CAST({S.ABUSE_WEIGHT} AS DOUBLE)"
             f" + CASE {steps} ELSE 0 END"
@@ -76,8 +92,8 @@ def risk_score_sql(a: str, p: str, d: str, cats: str, kws: str) -> str:
 
 
 def risk_status_sql(score: str, high: float = S.HIGH_RISK_AT, medium: float = S.MEDIUM_RISK_AT) -> str:
-    return (f"CASE WHEN {score} >= {high} THEN {lit(S.STATUS_HIGH)} "
-            f"WHEN {score} >= {medium} THEN {lit(S.STATUS_MEDIUM)} ELSE {lit(S.STATUS_LOW)} END")
+    return let_sql(score, "s_", f"CASE WHEN s_ >= {high} THEN {lit(S.STATUS_HIGH)} "
+                   f"WHEN s_ >= {medium} THEN {lit(S.STATUS_MEDIUM)} ELSE {lit(S.STATUS_LOW)} END")
 
 
 # ---------------------------------------------------------------- Columns
