@@ -9,40 +9,42 @@ would instead sort every row of the hot key inside one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ipscope.functions.sqltext import ident, lit
 
-def _winner(df: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
+
+def _winner(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per ``key``: the row with the largest ``order`` tuple.
 
-    Ties on ``order`` are broken by every remaining column, so the survivor is
-    the same on every run and every partitioning.
+    ``order`` holds column names.  Ties on ``order`` are broken by every
+    remaining column, so the survivor is the same on every run and every
+    partitioning.  Built as SQL text (one JVM call for the whole struct).
     """
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     rest = [c for c in df.columns if c != key]
-    ordered = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order_cols)],
-                       *[F.col(c) for c in rest])
-    return (df.groupBy(key).agg(F.max(ordered).alias("_w"))
-            .select(key, *[F.col(f"_w.{c}").alias(c) for c in rest]))
+    fields = [f"'_o{i}', {ident(o)}" for i, o in enumerate(order)] + \
+             [f"{lit(c)}, {ident(c)}" for c in rest]
+    return (df.groupBy(key).agg(F.expr(f"max(named_struct({', '.join(fields)}))").alias("_w"))
+            .selectExpr(ident(key), *[f"_w.{ident(c)} AS {ident(c)}" for c in rest]))
 
 
 def dedupe_latest(df: DataFrame, key: str = "ip_address",
                   ts: str = "last_reported_at", score: str | None = "abuse_confidence_score") -> DataFrame:
     """A1: one report per key — latest ``ts`` (nulls lose), then highest score."""
-    order = [F.col(ts)] + ([F.col(score)] if score and score in df.columns else [])
+    order = [ts] + ([score] if score and score in df.columns else [])
     return _winner(df, key, order)
 
 
 def last_wins(df: DataFrame, key: str = "ip_address", pos: str = "pos") -> DataFrame:
     """A2: keyed last-wins over an ordered list (largest ``pos`` survives)."""
-    return _winner(df, key, [F.col(pos)])
+    return _winner(df, key, [pos])
 
 
 def latest_snapshot_rows(df: DataFrame, key: str = "ip_address",
                          order=("last_ingestion_time", "processed_at")) -> DataFrame:
     """Key-unique dimension rows: newest ingestion wins (Q10: no join fan-out)."""
-    return _winner(df, key, [F.col(c) for c in order if c in df.columns])
+    return _winner(df, key, [c for c in order if c in df.columns])
 
 
 def distinct_ips(df: DataFrame, col: str = "ip_address", pos: str | None = "pos") -> DataFrame:

@@ -146,24 +146,23 @@ def pulse_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed pulse rows with the names as ``array<string>``."""
     from ipscope.schemas import PULSE
     from pyspark.sql import functions as F
-    df = view(spark, sf_dir, "v_pulse").withColumn(
-        "otx_pulse_names",
-        F.when(F.col("pulse_text").isNull(), F.array().cast("array<string>"))
-        .otherwise(F.split("pulse_text", r" \| ")))
+    df = view(spark, sf_dir, "v_pulse")
+    have = set(df.columns)
+    names = "CASE WHEN pulse_text IS NULL THEN CAST(array() AS ARRAY<STRING>) ELSE split(pulse_text, ' \\\\| ') END"
+    cols = []
     for f in PULSE.fields:
-        if f.name not in df.columns:
-            df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return df.select([F.col(f.name).cast(f.dataType) for f in PULSE.fields])
+        src = names if f.name == "otx_pulse_names" else (f.name if f.name in have else "NULL")
+        cols.append(f"CAST({src} AS {f.dataType.simpleString()}) AS {f.name}")
+    return df.selectExpr(*cols)
 
 
 def geo_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ipscope.schemas import GEO
     from pyspark.sql import functions as F
     df = view(spark, sf_dir, "v_geo")
-    for f in GEO.fields:
-        if f.name not in df.columns:
-            df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return df.select([F.col(f.name).cast(f.dataType) for f in GEO.fields])
+    have = set(df.columns)
+    return df.selectExpr(*[f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) "
+                           f"AS {f.name}" for f in GEO.fields])
 
 
 def abuse_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
