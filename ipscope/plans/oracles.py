@@ -206,7 +206,7 @@ live_j AS (
          CAST(NULL AS VARCHAR) AS abuse_last_reported_at,
          CAST(c.c_custkey % 13 AS INTEGER) AS abuse_total_reports,
          c.c_acctbal AS otx_reputation,
-         len({names}) AS otx_pulse_count,
+         CAST(len({names}) AS INTEGER) AS otx_pulse_count,
          list_filter({names}, lambda x: x IS NOT NULL AND x <> '') AS names,
          CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN 0 ELSE CAST(c.c_custkey % 5 + 1 AS INTEGER) END
            AS otx_passive_dns_count,
