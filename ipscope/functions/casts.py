@@ -142,7 +142,3 @@ def has_value(c) -> Column:
     c = col_of(c)
     return c.isNotNull() & (c.cast("string") != F.lit(""))
 
-
-def non_blank_elements(arr) -> Column:
-    """Keep array elements that are not null and not blank after trimming."""
-    return F.filter(col_of(arr), lambda x: x.isNotNull() & (F.trim(x) != F.lit("")))

@@ -24,6 +24,14 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Shuffle partitions sized by bytes, not by count: AQE coalesces small ones
+    # and splits skewed ones around this target; scans split at the same size.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.files.maxPartitionBytes": "128MB",
+    # The only broadcast path is Spark's size check: a side is broadcast when its
+    # estimated (static) or measured (AQE) size is under these bounds.
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",

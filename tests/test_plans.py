@@ -42,3 +42,40 @@ def test_diff_classes_disjoint_and_complete(spark):
     d = changes.diff_snapshots(prev, curr)
     keys = prev.select("ip_address").union(curr.select("ip_address")).distinct().count()
     assert d.count() == keys == d.select("ip_address").distinct().count()
+
+
+def _exchanges(df):
+    return _plan(df).count("Exchange hashpartitioning")
+
+
+def test_merge_adds_no_shuffle_to_its_inputs(spark):
+    """The full outer merge reuses the ip partitioning both inputs already have."""
+    from ipscope.operators.merge import merge_profiles
+    from ipscope.plans import catalog
+    e, i = catalog.merge_inputs(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for policy in ("table", "document"):
+            m = merge_profiles(e, i, policy, run_ts=standin.RUN_TS)
+            assert _exchanges(m) == _exchanges(e) + _exchanges(i), policy
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+
+
+def test_enrichment_shuffles_reports_once(spark):
+    """Without broadcasts: reports, pulses and geo are each shuffled once by ip."""
+    from ipscope.plans import catalog
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = _plan(catalog.profiles(spark, SF_SMALL))
+        assert p.count("Exchange hashpartitioning(ip_address") == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+
+
+def test_word_boundary_option(spark):
+    from ipscope.functions.scoring import classify
+    df = spark.createDataFrame([(["SSH Brute Force"],)], "n array<string>")
+    c, w = classify("n", word_boundary=True)
+    r = df.select(c.alias("c"), w.alias("w")).first()
+    assert list(r.w) == ["brute force", "ssh"] and list(r.c) == ["Brute Force"]
