@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from ipscope.functions.ip import IPV4_TOKEN_RE, ip_version
 from ipscope.functions.scoring import matched_categories, matched_keywords
+from ipscope.operators.parallel import spread
 
 
 def classify_text(df: DataFrame, text: str = "text", word_boundary: bool = False) -> DataFrame:
     """J10/H7 over a text column: adds ``attack_keywords_matched``, ``attack_categories``."""
     # Lower-case once into its own column; the 32 keyword tests then read it.
-    low = df.select("*", F.lower(F.col(text)).alias("_lt"))
+    low = spread(df).select("*", F.lower(F.col(text)).alias("_lt"))
     out = low.select(*df.columns, matched_keywords("_lt", word_boundary).alias("attack_keywords_matched"))
     return out.withColumn("attack_categories", matched_categories("attack_keywords_matched"))
 
@@ -26,7 +27,7 @@ def classify_text(df: DataFrame, text: str = "text", word_boundary: bool = False
 def ip_tokens(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per dotted-quad token found in ``text`` (duplicates kept)."""
     toks = F.regexp_extract_all(F.col(text), F.lit(IPV4_TOKEN_RE), 0)
-    return df.select(*keep, F.explode(toks).alias("ip_token"))
+    return spread(df).select(*keep, F.explode(toks).alias("ip_token"))
 
 
 def ip_token_counts(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
