@@ -30,7 +30,9 @@ from ipscope.operators.enrich import conform
 from ipscope.operators.merge import merge_profiles, resolve_versions
 from ipscope.session import checkpoint_root
 
-BATCH_LOG = StructType([StructField("batch_id", LongType(), False)])
+# Batch log: one ``_batches/batch_id=<id>`` partition per committed batch, so a
+# single id is checked by listing one small folder.
+BATCH_LOG = StructType([StructField("committed", S.B, True), StructField("batch_id", LongType(), True)])
 COMPACTION_LOG = StructType([StructField("version", LongType(), False),
                              StructField("upto_batch", LongType(), False)])
 
@@ -74,9 +76,15 @@ class ProfileStore:
                                                            StructField("batch_id", LongType(), True)])
 
     # ------------------------------------------------------------------ read
+    def _created(self) -> bool:
+        """Existence is a marker written by the first commit (no listing of the data)."""
+        return _exists(self.spark, f"{self.path}/_created")
+
     def read(self) -> DataFrame:
         """Copy-on-write table with its bucket column."""
-        if not _exists(self.spark, self.path):
+        if self.mode != "copy_on_write":
+            raise ValueError("read() is the copy-on-write table; use profiles()")
+        if not self._created():
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
@@ -86,13 +94,12 @@ class ProfileStore:
         return resolve_versions(self._versions(), self.policy, self.keep_old_enriched_at)
 
     def committed_batches(self) -> DataFrame:
-        log = f"{self.path}/_batches"
-        if not _exists(self.spark, log):
-            return self.spark.createDataFrame([], BATCH_LOG)
-        return self.spark.read.schema(BATCH_LOG).parquet(log)
+        if not self._created():
+            return self.spark.createDataFrame([], BATCH_LOG).select("batch_id")
+        return self.spark.read.schema(BATCH_LOG).parquet(f"{self.path}/_batches").select("batch_id")
 
     def is_committed(self, batch_id: int) -> bool:
-        return bool(self.committed_batches().filter(F.col("batch_id") == batch_id).limit(1).collect())
+        return _exists(self.spark, f"{self.path}/_batches/batch_id={int(batch_id)}")
 
     # ---------------------------------------------------- merge-on-read parts
     def _compaction(self) -> tuple[int, int]:
@@ -114,7 +121,7 @@ class ProfileStore:
             base = self.spark.createDataFrame([], S.PROFILE)
         base = base.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS _merge_ts", "CAST(-1 AS BIGINT) AS _ord")
         deltas_path = f"{self.path}/deltas"
-        if not _exists(self.spark, deltas_path):
+        if not self._created():
             return base
         d = self.spark.read.schema(self.delta_schema).parquet(deltas_path)
         d = d.filter(F.col("batch_id") > done)  # partition pruning on batch_id
@@ -180,8 +187,11 @@ class ProfileStore:
         return True
 
     def _log(self, batch_id: int) -> None:
-        (self.spark.createDataFrame([(int(batch_id),)], BATCH_LOG)
-         .write.mode("append").parquet(f"{self.path}/_batches"))
+        (self.spark.createDataFrame([(True,)], "committed boolean")
+         .write.mode("overwrite").parquet(f"{self.path}/_batches/batch_id={int(batch_id)}"))
+        if not self._created():
+            self.spark.createDataFrame([(True,)], "created boolean").write.mode("overwrite") \
+                .parquet(f"{self.path}/_created")
 
 
 def save_profiles(profiles: DataFrame, stores: list[ProfileStore], batch_id: int,
