@@ -68,8 +68,9 @@ def test_stream_equals_batch_and_dead_letters(spark, tmp_path):
     pulses = standin.pulse_snapshot(spark, SF_SMALL)
     geo = standin.geo_snapshot(spark, SF_SMALL)
     store = ProfileStore(spark, str(tmp_path / "store"), policy="table", buckets=4)
+    docs = ProfileStore(spark, str(tmp_path / "docs"), policy="document", mode="merge_on_read")
     q = start_enrichment(
-        spark, read_source(spark, "text", str(src), {"maxFilesPerTrigger": "1"}), [store],
+        spark, read_source(spark, "text", str(src), {"maxFilesPerTrigger": "1"}), [store, docs],
         lambda: pulses, lambda: geo, str(tmp_path / "ckpt"), str(tmp_path / "dead"),
         trigger={"availableNow": True}, run_ts=RUN)
     q.awaitTermination(300)
@@ -78,6 +79,17 @@ def test_stream_equals_batch_and_dead_letters(spark, tmp_path):
     got = store.profiles().select("ip_address", "risk_score", "abuse_confidence_score", "last_merged_at")
     exp = batch.select("ip_address", "risk_score", "abuse_confidence_score", "last_merged_at")
     assert _sorted(got) == _sorted(exp)
+    # the document store saw the two micro-batches as two sequential merges
+    from ipscope.operators.merge import merge_profiles
+    cols = ["ip_address", "country_code", "abuse_confidence_score", "last_reported_at"]
+    b0 = spark.createDataFrame([tuple(r[c] for c in cols) for r in rep[:half]], "ip_address string, "
+                               "country_code string, abuse_confidence_score int, last_reported_at string")
+    b1 = spark.createDataFrame([tuple(r[c] for c in cols) for r in rep[half:]], b0.schema)
+    p0 = enrich_and_score(b0, pulses, geo, run_ts=RUN)
+    p1 = enrich_and_score(b1, pulses, geo, run_ts=RUN)
+    seq = merge_profiles(merge_profiles(spark.createDataFrame([], p0.schema), p0, "document", RUN),
+                         p1, "document", RUN)
+    assert _sorted(docs.profiles()) == _sorted(seq)
     dead = spark.read.json(str(tmp_path / "dead"))
     assert dead.count() == 4  # one bad line and one key-less record per file
     # restart on the same checkpoint: nothing new, store unchanged
