@@ -80,13 +80,15 @@ def _risk_score_body(a: str, p: str, d: str, cats: str, kws: str) -> str:
             f" + least({d}, {S.DNS_CAP}) * CAST({S.DNS_WEIGHT} AS DOUBLE)"
             f" + {_bonus_sql(cats, S.CATEGORY_BONUS)} + {_bonus_sql(kws, S.KEYWORD_BONUS)}")
     has_cat = f"size({cats}) > 0"
+    # A floor that does not apply is NULL, which greatest() ignores: scores below
+    # zero (negative abuse input) stay as computed, as in the rule.
     floors = ", ".join([
-        f"CASE WHEN {p} >= 20 AND {has_cat} THEN 55.0D ELSE 0.0D END",
+        f"CASE WHEN {p} >= 20 AND {has_cat} THEN 55.0D END",
         f"CASE WHEN array_contains({cats}, 'Exploitation') OR array_contains({kws}, 'rce') "
-        f"OR array_contains({kws}, 'remote code execution') THEN 70.0D ELSE 0.0D END",
+        f"OR array_contains({kws}, 'remote code execution') THEN 70.0D END",
         f"CASE WHEN array_contains({cats}, 'Botnet / C2') OR array_contains({cats}, 'Ransomware') "
-        f"THEN 80.0D ELSE 0.0D END",
-        f"CASE WHEN {a} >= 40 AND {has_cat} THEN 65.0D ELSE 0.0D END",
+        f"THEN 80.0D END",
+        f"CASE WHEN {a} >= 40 AND {has_cat} THEN 65.0D END",
     ])
     return f"round(least(greatest(CAST({base} AS DOUBLE), {floors}), 100.0D), 2)"
 

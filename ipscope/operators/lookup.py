@@ -80,6 +80,13 @@ def live_profiles(misses: DataFrame, responses: DataFrame, run_ts: str | None =
     return recompute(j, run_ts)
 
 
+def split_hits(requests: DataFrame, store: DataFrame, col: str = "ip") -> tuple[DataFrame, DataFrame]:
+    """Valid requested IPs found in the store (hits) and not found (misses)."""
+    valid, _ = split_requests(requests, col)
+    keys = store.select("ip_address")
+    return valid.join(keys, "ip_address", "left_semi"), valid.join(keys, "ip_address", "left_anti")
+
+
 def lookup(requests: DataFrame, store: DataFrame, responses: DataFrame,
            run_ts: str | None = None, col: str = "ip") -> tuple[DataFrame, DataFrame]:
     """Answer a table of requested IPs; returns ``(profiles, invalid_requests)``."""

@@ -248,6 +248,19 @@ def _lookup(spark, sf_dir):
     return lookup.lookup(reqs, e, standin.landed_responses(spark, sf_dir), run_ts=RUN_TS)
 
 
+def _hit_split(spark, sf_dir):
+    reqs = standin.view(spark, sf_dir, "customer").select(F.expr(standin.ip_of("c_custkey")).alias("ip"))
+    return lookup.split_hits(reqs, stored_profiles(spark, sf_dir))
+
+
+def q_lookup_hits(spark, sf_dir):
+    return _hit_split(spark, sf_dir)[0]
+
+
+def q_lookup_misses(spark, sf_dir):
+    return _hit_split(spark, sf_dir)[1]
+
+
 def q_lookup_profile(spark, sf_dir):
     return render(_lookup(spark, sf_dir)[0])
 
@@ -385,6 +398,8 @@ _QUERIES = {
         "pulse_responses": q_pulse_responses,
         "recent_report_counts": q_recent_report_counts,
         "high_risk_ips": q_high_risk_ips,
+        "lookup_hits": q_lookup_hits,
+        "lookup_misses": q_lookup_misses,
         "merge_on_read_table": q_merge_on_read_table,
         "merge_on_read_document": q_merge_on_read_document,
         "snapshot_manifest": q_snapshot_manifest,

@@ -43,12 +43,12 @@ def score_sql(a: str, p: str, d: str, C: str, W: str) -> str:
     base = (f"CAST(least({a}, 100) AS DOUBLE) * 0.6 + CASE WHEN {p} >= 50 THEN 35 WHEN {p} >= 20 THEN 25 "
             f"WHEN {p} >= 10 THEN 18 WHEN {p} >= 5 THEN 10 WHEN {p} > 0 THEN 5 ELSE 0 END "
             f"+ CAST(least({d}, 20) AS DOUBLE) * 0.5 + ({cat_bonus}) + ({kw_bonus})")
-    floors = (f"CASE WHEN {p} >= 20 AND len({C}) > 0 THEN 55 ELSE 0 END, "
+    floors = (f"CASE WHEN {p} >= 20 AND len({C}) > 0 THEN 55 END, "
               f"CASE WHEN list_contains({C}, 'Exploitation') OR list_contains({W}, 'rce') "
-              f"OR list_contains({W}, 'remote code execution') THEN 70 ELSE 0 END, "
+              f"OR list_contains({W}, 'remote code execution') THEN 70 END, "
               f"CASE WHEN list_contains({C}, 'Botnet / C2') OR list_contains({C}, 'Ransomware') "
-              f"THEN 80 ELSE 0 END, "
-              f"CASE WHEN {a} >= 40 AND len({C}) > 0 THEN 65 ELSE 0 END")
+              f"THEN 80 END, "
+              f"CASE WHEN {a} >= 40 AND len({C}) > 0 THEN 65 END")
     return f"CAST(round(least(greatest({base}, {floors}), 100), 2) AS DOUBLE)"
 
 
@@ -414,6 +414,10 @@ FROM w
 WHERE reports >= 3 AND reports > s / 24.0 + 3.0 * sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0))"""
     o["high_risk_ips"] = W + ("SELECT ip_address, risk_score, abuse_country_code FROM prof "
                               "WHERE status = 'High Risk'")
+    req = (f"(SELECT DISTINCT {standin.ip_of('c_custkey')} AS ip_address FROM customer)")
+    early_ips = f"(SELECT DISTINCT ip_address FROM v_abuse WHERE last_reported_at < {q(CUT)})"
+    o["lookup_hits"] = V + f"SELECT ip_address FROM {req} r WHERE ip_address IN {early_ips}"
+    o["lookup_misses"] = V + f"SELECT ip_address FROM {req} r WHERE ip_address NOT IN {early_ips}"
     o["merge_on_read_table"] = o["merge_table"]
     o["merge_on_read_document"] = o["merge_document"]
     o["snapshot_manifest"] = V + (
