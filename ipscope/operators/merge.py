@@ -78,8 +78,6 @@ def merge_document_policy(existing: DataFrame, incoming: DataFrame,
         if c in S.GEO_FIELDS:
             m[c] = (f"CASE WHEN i_{c} IS NOT NULL AND CAST(i_{c} AS STRING) <> '' "
                     f"THEN i_{c} ELSE e_{c} END")
-        elif c == "otx_pulse_names":
-            m[c] = "coalesce(i_otx_pulse_names, e_otx_pulse_names, CAST(array() AS ARRAY<STRING>))"
         else:
             m[c] = f"coalesce(i_{c}, e_{c})"
     m["enriched_at"] = "coalesce(i_enriched_at, e_enriched_at)"
@@ -156,15 +154,12 @@ def resolve_versions(rows: DataFrame, policy: str = "table", keep_old_enriched_a
     out = rows.groupBy("ip_address").agg(*[F.expr(v).alias(k) for k, v in agg.items()])
     out = out.selectExpr(
         "*",
-        "CASE WHEN _any THEN coalesce(otx_pulse_names, CAST(array() AS ARRAY<STRING>)) "
-        "ELSE otx_pulse_names END AS _names",
         f"CASE WHEN _any THEN (CASE WHEN _src IS NOT NULL AND _src <> '' THEN _src "
         f"ELSE {lit(S.PROFILE_SOURCE_BATCH)} END) ELSE _b_profile_source END AS _source",
         "CASE WHEN _any THEN coalesce(_first, _oldest_enriched, _first_merge_ts) ELSE _b_first_seen_at END AS _fs",
         "CASE WHEN _any THEN _merge_ts ELSE _b_last_merged_at END AS _lm",
         f"CASE WHEN _any THEN coalesce({_geo_point_sql('geo_latitude', 'geo_longitude')}, _base_geo) "
         f"ELSE _base_geo END AS _geo")
-    out = out.drop("otx_pulse_names").withColumnRenamed("_names", "otx_pulse_names")
     scored = score_columns(out)
     cols = []
     for c in S.PROFILE_COLUMNS:
