@@ -144,8 +144,9 @@ def resolve_versions(rows: DataFrame, policy: str = "table", keep_old_enriched_a
     agg["enriched_at"] = newest_nn("enriched_at")
     agg["_src"] = newest_nn("profile_source")
     agg["_first"] = newest_nn("first_seen_at")
-    agg["_oldest_enriched"] = "min_by(enriched_at, CASE WHEN _ord >= 0 AND enriched_at IS NOT NULL THEN _ord END)"
-    agg["_first_merge_ts"] = "min_by(_merge_ts, CASE WHEN _ord >= 0 THEN _ord END)"
+    # When no row carries first_seen_at, the first batch fixes it (its enriched_at, else its run time).
+    agg["_first_delta"] = ("min_by(named_struct('e', enriched_at, 'm', _merge_ts), "
+                           "CASE WHEN _ord >= 0 THEN _ord END)")
     agg["_merge_ts"] = "max_by(_merge_ts, _ord)"
     agg["_base_geo"] = "max_by(geo_location, CASE WHEN _ord < 0 THEN 0 END)"
     for c in (*S.COMPUTED_COLUMNS, "last_merged_at", "profile_source", "first_seen_at"):
@@ -156,7 +157,7 @@ def resolve_versions(rows: DataFrame, policy: str = "table", keep_old_enriched_a
         "*",
         f"CASE WHEN _any THEN (CASE WHEN _src IS NOT NULL AND _src <> '' THEN _src "
         f"ELSE {lit(S.PROFILE_SOURCE_BATCH)} END) ELSE _b_profile_source END AS _source",
-        "CASE WHEN _any THEN coalesce(_first, _oldest_enriched, _first_merge_ts) ELSE _b_first_seen_at END AS _fs",
+        "CASE WHEN _any THEN coalesce(_first, _first_delta.e, _first_delta.m) ELSE _b_first_seen_at END AS _fs",
         "CASE WHEN _any THEN _merge_ts ELSE _b_last_merged_at END AS _lm",
         f"CASE WHEN _any THEN coalesce({_geo_point_sql('geo_latitude', 'geo_longitude')}, _base_geo) "
         f"ELSE _base_geo END AS _geo")
