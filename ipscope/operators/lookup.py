@@ -18,7 +18,8 @@ from ipscope import schemas as S
 from ipscope.functions.casts import safe_float
 from ipscope.functions.ip import is_valid_ip
 from ipscope.functions.scoring import score_columns
-from ipscope.operators.enrich import conform, geo_point, run_time
+from ipscope.functions.sqltext import ident, lit
+from ipscope.operators.enrich import conform
 from ipscope.sources.responses import parse_abuse_check, parse_pulses_live
 
 
@@ -34,13 +35,12 @@ def split_requests(requests: DataFrame, col: str = "ip") -> tuple[DataFrame, Dat
 
 def recompute(profiles: DataFrame, run_ts: str | None = None) -> DataFrame:
     """Recompute classification, score and status; stamp merge times."""
-    now = run_time(run_ts)
-    p = conform(profiles, S.PROFILE).withColumn(
-        "otx_pulse_names", F.coalesce("otx_pulse_names", F.array().cast("array<string>")))
-    p = score_columns(p)
-    p = (p.withColumn("first_seen_at", F.coalesce("first_seen_at", now))
-          .withColumn("last_merged_at", now))
-    return conform(p, S.PROFILE)
+    now = f"to_timestamp({lit(run_ts)})" if run_ts else "current_timestamp()"
+    p = score_columns(conform(profiles, S.PROFILE))
+    return p.selectExpr(*[
+        f"coalesce(first_seen_at, {now}) AS first_seen_at" if c == "first_seen_at"
+        else f"{now} AS last_merged_at" if c == "last_merged_at"
+        else ident(c) for c in S.PROFILE_COLUMNS])
 
 
 def live_profiles(misses: DataFrame, responses: DataFrame, run_ts: str | None = None) -> DataFrame:
@@ -66,17 +66,23 @@ def live_profiles(misses: DataFrame, responses: DataFrame, run_ts: str | None =
     pulses = parse_pulses_live(responses)
     m = misses.select(F.col("ip_address").alias("ip"))
     j = m.join(geo, "ip", "left").join(abuse, "ip", "left").join(pulses, "ip", "left")
-    now = run_time(run_ts)
-    j = (j.withColumnRenamed("ip", "ip_address")
-          .withColumn("abuse_confidence_score", F.coalesce("abuse_confidence_score", F.lit(0)))
-          .withColumn("abuse_total_reports", F.coalesce("abuse_total_reports", F.lit(0)))
-          .withColumn("abuse_last_reported_at", F.try_to_timestamp(F.col("abuse_last_reported_at")))
-          .withColumn("otx_pulse_count", F.coalesce("otx_pulse_count", F.lit(0)))
-          .withColumn("otx_passive_dns_count", F.coalesce("otx_passive_dns_count", F.lit(0)))
-          .withColumn("otx_pulse_names", F.coalesce("otx_pulse_names", F.array().cast("array<string>")))
-          .withColumn("enriched_at", now)
-          .withColumn("profile_source", F.lit(S.PROFILE_SOURCE_LIVE))
-          .withColumn("geo_location", geo_point()))
+    now = f"to_timestamp({lit(run_ts)})" if run_ts else "current_timestamp()"
+    live = {
+        "ip_address": "ip",
+        "abuse_confidence_score": "coalesce(abuse_confidence_score, 0)",
+        "abuse_total_reports": "coalesce(abuse_total_reports, 0)",
+        "abuse_last_reported_at": "try_to_timestamp(abuse_last_reported_at)",
+        "otx_pulse_count": "coalesce(otx_pulse_count, 0)",
+        "otx_passive_dns_count": "coalesce(otx_passive_dns_count, 0)",
+        "otx_pulse_names": "coalesce(otx_pulse_names, CAST(array() AS ARRAY<STRING>))",
+        "enriched_at": now,
+        "profile_source": lit(S.PROFILE_SOURCE_LIVE),
+        "geo_location": ("CASE WHEN geo_latitude IS NOT NULL AND geo_longitude IS NOT NULL "
+                         "THEN named_struct('lat', geo_latitude, 'lon', geo_longitude) END"),
+    }
+    have = set(j.columns)
+    j = j.selectExpr(*[f"{live[c]} AS {ident(c)}" if c in live else ident(c)
+                       for c in S.PROFILE_COLUMNS if c in live or c in have])
     return recompute(j, run_ts)
 
 

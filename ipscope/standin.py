@@ -227,50 +227,41 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     Geo answers fail with 429 for negative balances; pulse answers carry the
     customer's pulse names; abuse checks carry the account balance band.
     """
-    from pyspark.sql import functions as F
     register(spark, sf_dir)
-    c = spark.sql(f"""
-        SELECT {ip_of('c_custkey')} AS ip, c.c_custkey, c.c_acctbal, c.c_mktsegment,
-               n.n_name, r.r_name
+    base = f"""
+        SELECT {ip_of('c.c_custkey')} AS ip, c.c_custkey AS k, c.c_acctbal AS bal, c.c_mktsegment AS seg,
+               n.n_name AS nation, r.r_name AS region, p.pulse_text
         FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-        JOIN region r ON r.r_regionkey = n.n_regionkey""")
-    p = spark.table("v_pulse").select(F.col("ip_address").alias("ip"), "pulse_text")
-    c = c.join(p, "ip", "left")
-    geo = c.select("ip", F.lit("geo").alias("kind"),
-                   F.when(F.col("c_acctbal") < 0, F.lit(429)).otherwise(F.lit(200)).alias("http_status"),
-                   F.to_json(F.struct(
-                       F.col("ip"),
-                       F.struct(F.col("r_name").alias("continent_name"),
-                                F.substring("n_name", 1, 2).alias("country_code2"),
-                                F.col("n_name").alias("country_name"),
-                                F.col("c_mktsegment").alias("state_prov"),
-                                F.concat(F.lit("City_"), (F.col("c_custkey") % 40).cast("string")).alias("city"),
-                                ((F.col("c_custkey") * 7) % 180 - 90).cast("string").alias("latitude"),
-                                ((F.col("c_custkey") * 11) % 360 - 180).cast("string").alias("longitude"),
-                                (F.col("r_name") == "EUROPE").alias("is_eu")).alias("location"),
-                       F.struct(F.concat(F.lit("AS"), (F.col("c_custkey") % 900 + 100).cast("string")).alias("as_number"),
-                                F.concat(F.lit("Org "), F.col("c_mktsegment")).alias("organization"),
-                                F.substring("n_name", 1, 2).alias("country")).alias("asn"),
-                       F.struct(F.col("r_name").alias("name"),
-                                ((F.col("c_custkey") % 24) - 12).cast("double").alias("offset")).alias("time_zone")
-                   )).alias("body"))
-    abuse = c.select("ip", F.lit("abuse_check").alias("kind"), F.lit(200).alias("http_status"),
-                     F.to_json(F.struct(F.struct(
-                         (F.abs(F.floor(F.col("c_acctbal"))) % 101).cast("string").alias("abuseConfidenceScore"),
-                         F.substring("n_name", 1, 2).alias("countryCode"),
-                         F.col("n_name").alias("countryName"),
-                         F.lit(None).cast("string").alias("lastReportedAt"),
-                         (F.col("c_custkey") % 13).cast("string").alias("totalReports")).alias("data"))).alias("body"))
-    pulse = c.select("ip", F.lit("pulse_general").alias("kind"), F.lit(200).alias("http_status"),
-                     F.to_json(F.struct(
-                         F.col("c_acctbal").alias("reputation"),
-                         F.struct(F.transform(F.coalesce(F.split("pulse_text", r" \| "), F.array().cast("array<string>")),
-                                              lambda x: F.struct(x.alias("name"))).alias("pulses")).alias("pulse_info")
-                     )).alias("body"))
-    dns = c.select("ip", F.lit("passive_dns").alias("kind"),
-                   F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(404)).otherwise(F.lit(200)).alias("http_status"),
-                   F.to_json(F.struct(F.transform(
-                       F.sequence(F.lit(1), (F.col("c_custkey") % 5).cast("int") + 1),
-                       lambda k: F.struct(F.concat(F.lit("h"), k.cast("string"), F.lit(".example")).alias("hostname"),
-                                          F.col("ip").alias("address"))).alias("passive_dns"))).alias("body"))
-    return geo.unionByName(abuse).unionByName(pulse).unionByName(dns)
+        JOIN region r ON r.r_regionkey = n.n_regionkey
+        LEFT JOIN v_pulse p ON p.ip_address = {ip_of('c.c_custkey')}"""
+    return spark.sql(f"""
+    WITH c AS ({base})
+    SELECT ip, 'geo' AS kind, CASE WHEN bal < 0 THEN 429 ELSE 200 END AS http_status,
+           to_json(named_struct(
+             'ip', ip,
+             'location', named_struct('continent_name', region, 'country_code2', substr(nation, 1, 2),
+                'country_name', nation, 'state_prov', seg, 'city', 'City_' || CAST(k % 40 AS STRING),
+                'latitude', CAST(k * 7 % 180 - 90 AS STRING), 'longitude', CAST(k * 11 % 360 - 180 AS STRING),
+                'is_eu', region = 'EUROPE'),
+             'asn', named_struct('as_number', 'AS' || CAST(k % 900 + 100 AS STRING),
+                'organization', 'Org ' || seg, 'country', substr(nation, 1, 2)),
+             'time_zone', named_struct('name', region, 'offset', CAST(k % 24 - 12 AS DOUBLE)))) AS body
+    FROM c
+    UNION ALL
+    SELECT ip, 'abuse_check', 200,
+           to_json(named_struct('data', named_struct(
+             'abuseConfidenceScore', CAST(abs(floor(bal)) % 101 AS STRING),
+             'countryCode', substr(nation, 1, 2), 'countryName', nation,
+             'lastReportedAt', CAST(NULL AS STRING), 'totalReports', CAST(k % 13 AS STRING))))
+    FROM c
+    UNION ALL
+    SELECT ip, 'pulse_general', 200,
+           to_json(named_struct('reputation', bal, 'pulse_info', named_struct('pulses',
+             transform(coalesce(split(pulse_text, ' \\\\| '), CAST(array() AS ARRAY<STRING>)),
+                       x -> named_struct('name', x)))))
+    FROM c
+    UNION ALL
+    SELECT ip, 'passive_dns', CASE WHEN seg = 'HOUSEHOLD' THEN 404 ELSE 200 END,
+           to_json(named_struct('passive_dns', transform(sequence(1, CAST(k % 5 AS INT) + 1),
+             i -> named_struct('hostname', 'h' || CAST(i AS STRING) || '.example', 'address', ip))))
+    FROM c""")
