@@ -127,7 +127,10 @@ _REGISTERED: dict[str, str] = {}
 
 def register(spark: SparkSession, sf_dir: str) -> None:
     """Register the test tables and stand-in views as Spark temp views (once per dir)."""
-    sid = spark.sparkContext.applicationId
+    try:
+        sid = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
+        sid = str(id(spark))
     if _REGISTERED.get(sid) == sf_dir and spark.catalog.tableExists("v_abuse"):
         return
     for t in TABLES:
