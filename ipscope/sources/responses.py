@@ -81,35 +81,41 @@ def parse_abuse_check(responses: DataFrame) -> DataFrame:
 
 
 def _pulse_parts(responses: DataFrame) -> DataFrame:
-    """One row per ip with the general and passive-DNS responses side by side.
+    """One row per ip with the parsed general and passive-DNS answers side by side.
 
-    Conditional aggregation keyed by ip (partial aggregation, no pivot collect).
+    Bodies are parsed before the shuffle, so only small typed values (reputation,
+    pulse names, a record count) move — never a passive-DNS body, which can be
+    large.  Conditional aggregation keyed by ip, partial-aggregated map-side.
     """
     sel = responses.filter(F.col("kind").isin("pulse_general", "passive_dns"))
-    pair = F.struct(F.col("http_status"), F.col("body"))
-    return sel.groupBy("ip").agg(
-        F.max(F.when(F.col("kind") == "pulse_general", pair)).alias("g"),
-        F.max(F.when(F.col("kind") == "passive_dns", pair)).alias("d"))
+    valid = is_valid_ip(F.col("ip"))
+    ok = valid & (F.col("http_status") == 200)
+    gen = F.from_json(F.col("body"), S.PULSE_GENERAL_BODY)
+    dns = F.from_json(F.col("body"), S.PASSIVE_DNS_BODY)
+    is_g, is_d = F.col("kind") == "pulse_general", F.col("kind") == "passive_dns"
+    parsed = sel.select(
+        "ip", "http_status", is_g.alias("is_g"), is_d.alias("is_d"),
+        F.when(is_g & ok, F.struct(gen["reputation"].alias("reputation"),
+                                  F.transform(F.coalesce(gen["pulse_info"]["pulses"], F.array()),
+                                              lambda x: x["name"]).alias("names"))).alias("gp"),
+        F.when(is_d & ok, F.size(F.coalesce(dns["passive_dns"], F.array()))).alias("dn"))
+    return parsed.groupBy("ip").agg(
+        F.max(F.when(F.col("is_g"), F.struct(F.col("http_status"), F.col("gp").alias("p")))).alias("g"),
+        F.max(F.when(F.col("is_d"), F.struct(F.col("http_status"), F.col("dn").alias("n")))).alias("d"))
 
 
 def parse_pulses(responses: DataFrame, ingestion_time: str | None) -> DataFrame:
     """Pulse general + passive DNS -> raw pulse records (batch feed vocabulary)."""
     p = _pulse_parts(responses)
     valid = is_valid_ip(F.col("ip"))
-    g_ok = F.col("g.http_status") == 200
-    d_ok = F.col("d.http_status") == 200
-    g = F.when(valid & g_ok, F.from_json(F.col("g.body"), S.PULSE_GENERAL_BODY))
-    d = F.when(valid & d_ok, F.from_json(F.col("d.body"), S.PASSIVE_DNS_BODY))
-    pulses = F.coalesce(g["pulse_info"]["pulses"], F.array())
-    names = F.filter(F.transform(pulses, lambda x: x["name"]),
-                     lambda n: n.isNotNull() & (n != F.lit("")))
+    names = F.coalesce(F.col("g.p.names"), F.array().cast("array<string>"))
     t = F.lit(ingestion_time).cast("string")
     return p.select(
         F.col("ip"),
-        g["reputation"].cast("string").alias("otx_reputation"),
-        F.size(pulses).cast("string").alias("pulse_count"),
-        names.alias("pulse_names"),
-        F.size(F.coalesce(d["passive_dns"], F.array())).cast("string").alias("passive_dns_count"),
+        F.col("g.p.reputation").cast("string").alias("otx_reputation"),
+        F.size(names).cast("string").alias("pulse_count"),
+        F.filter(names, lambda n: n.isNotNull() & (n != F.lit(""))).alias("pulse_names"),
+        F.coalesce(F.col("d.n"), F.lit(0)).cast("string").alias("passive_dns_count"),
         fetch_status(F.col("g.http_status"), valid).alias("general_status"),
         fetch_status(F.col("d.http_status"), valid).alias("passive_dns_status"),
         t.alias("first_ingestion_time"), t.alias("last_ingestion_time"),
@@ -119,22 +125,13 @@ def parse_pulses(responses: DataFrame, ingestion_time: str | None) -> DataFrame:
 def parse_pulses_live(responses: DataFrame) -> DataFrame:
     """Live-lookup pulse fields: statuses ok / unavailable, counts 0 when absent."""
     p = _pulse_parts(responses)
-    valid = is_valid_ip(F.col("ip"))
-    p = p.select(
-        "ip",
-        F.when(valid & (F.col("g.http_status") == 200),
-               F.from_json(F.col("g.body"), S.PULSE_GENERAL_BODY)).alias("gb"),
-        F.when(valid & (F.col("d.http_status") == 200),
-               F.from_json(F.col("d.body"), S.PASSIVE_DNS_BODY)).alias("db"))
-    g, d = F.col("gb"), F.col("db")
-    pulses = F.coalesce(g["pulse_info"]["pulses"], F.array())
-    names = F.filter(F.transform(pulses, lambda x: x["name"]),
-                     lambda n: n.isNotNull() & (n != F.lit("")))
+    names = F.coalesce(F.col("g.p.names"), F.array().cast("array<string>"))
+    p = p.select("ip", F.col("g.p").alias("gp"), F.col("d.n").alias("dn"), names.alias("names"))
     return p.select(
         F.col("ip"),
-        safe_float("gb.reputation", None).alias("otx_reputation"),
-        F.size(pulses).alias("otx_pulse_count"),
-        names.alias("otx_pulse_names"),
-        F.size(F.coalesce(d["passive_dns"], F.array())).alias("otx_passive_dns_count"),
-        F.when(g.isNotNull(), F.lit("ok")).otherwise(F.lit("unavailable")).alias("otx_general_status"),
-        F.when(d.isNotNull(), F.lit("ok")).otherwise(F.lit("unavailable")).alias("otx_passive_dns_status"))
+        safe_float("gp.reputation", None).alias("otx_reputation"),
+        F.size("names").alias("otx_pulse_count"),
+        F.filter("names", lambda n: n.isNotNull() & (n != F.lit(""))).alias("otx_pulse_names"),
+        F.coalesce(F.col("dn"), F.lit(0)).alias("otx_passive_dns_count"),
+        F.when(F.col("gp").isNotNull(), F.lit("ok")).otherwise(F.lit("unavailable")).alias("otx_general_status"),
+        F.when(F.col("dn").isNotNull(), F.lit("ok")).otherwise(F.lit("unavailable")).alias("otx_passive_dns_status"))
