@@ -41,6 +41,11 @@ def bucket_of(key: str = "ip_address", buckets: int = 64):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
+def bucket_of_literal(ip: str, buckets: int = 64):
+    """The bucket expression over a literal (same hash as ``bucket_of``)."""
+    return F.pmod(F.xxhash64(F.lit(ip)), F.lit(buckets)).cast("int")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
@@ -93,6 +98,15 @@ class ProfileStore:
             return self.read().drop("bucket")
         return resolve_versions(self._versions(), self.policy, self.keep_old_enriched_at)
 
+    def point(self, ip: str) -> DataFrame:
+        """F5 on the store: prune to the IP's bucket, push the equality to the scan."""
+        ip = ip.strip()
+        if self.mode != "copy_on_write":
+            return self.profiles().filter(F.col("ip_address") == ip).limit(1)
+        b = self.spark.range(1).select(bucket_of_literal(ip, self.buckets)).first()[0]
+        return (self.read().filter((F.col("bucket") == b) & (F.col("ip_address") == ip))
+                .drop("bucket").limit(1))
+
     def committed_batches(self) -> DataFrame:
         if not self._created():
             return self.spark.createDataFrame([], BATCH_LOG).select("batch_id")
@@ -139,7 +153,10 @@ class ProfileStore:
         if last is None or last <= done:
             return version
         resolved = resolve_versions(self._versions(upto=last), self.policy, self.keep_old_enriched_at)
-        resolved.write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}")
+        # Base files sorted by ip (row-group skipping for key lookups); a filter on
+        # ip_address also passes through the resolving aggregation to both scans.
+        (resolved.sortWithinPartitions("ip_address")
+         .write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}"))
         (self.spark.createDataFrame([(version + 1, int(last))], COMPACTION_LOG)
          .write.mode("append").parquet(f"{self.path}/_compactions"))
         return version + 1
@@ -178,7 +195,10 @@ class ProfileStore:
                                     self.keep_old_enriched_at)
             # The merge output is already hash-partitioned by ip; each task writes
             # its rows into the bucket folders (no extra shuffle, no hot task).
+            # Rows sorted by ip inside each file: Parquet min/max statistics then
+            # let point lookups and key joins skip row groups.
             (merged.withColumn("bucket", bucket_of("ip_address", self.buckets))
+             .sortWithinPartitions("bucket", "ip_address")
              .write.mode("overwrite").partitionBy("bucket").parquet(staging))
         staged = self.spark.read.schema(self.schema).parquet(staging)
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

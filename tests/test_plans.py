@@ -79,3 +79,17 @@ def test_word_boundary_option(spark):
     c, w = classify("n", word_boundary=True)
     r = df.select(c.alias("c"), w.alias("w")).first()
     assert list(r.w) == ["brute force", "ssh"] and list(r.c) == ["Brute Force"]
+
+
+def test_store_point_lookup_prunes_and_pushes(spark, tmp_path):
+    from ipscope.plans import catalog
+    from ipscope.sinks.store import ProfileStore
+    e = catalog.stored_profiles(spark, SF_SMALL)
+    store = ProfileStore(spark, str(tmp_path / "s"), buckets=8)
+    store.merge(e, 0, catalog.PREV_RUN_TS)
+    ip = e.select("ip_address").orderBy("ip_address").first()[0]
+    q = store.point(ip)
+    p = _plan(q)
+    assert "PartitionFilters: [isnotnull(bucket" in p and "EqualTo(ip_address," in p
+    got = q.collect()
+    assert len(got) == 1 and got[0].ip_address == ip
