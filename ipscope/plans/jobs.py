@@ -21,6 +21,7 @@ from ipscope.operators.lookup import lookup
 from ipscope.operators.normalize import normalize_abuse, normalize_state
 from ipscope.sinks.state import SnapshotGate
 from ipscope.sinks.store import ProfileStore, publish_json, save_profiles, snapshot_manifest, write_snapshot
+from ipscope.session import checkpoint_root
 from ipscope.sources.snapshots import newest_file, read_envelope
 
 
@@ -55,8 +56,14 @@ def run_daily(spark: SparkSession, raw_root: str, processed_root: str, state_pat
 def run_lookup(spark: SparkSession, requests: DataFrame, stores: list[ProfileStore],
                responses: DataFrame, batch_id: int, run_ts: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Answer requests from the first store + landed responses, then save to all stores."""
-    profiles, invalid = lookup(requests, stores[0].profiles(), responses, run_ts)
-    profiles = profiles.persist()
+    from ipscope.operators.lookup import split_requests
+    valid, _ = split_requests(requests)
+    known = stores[0].rows_for(valid)  # only the buckets the requests hash to
+    profiles, invalid = lookup(requests, known, responses, run_ts)
+    # Fix the answer before the save changes the store it was computed from:
+    # a reliable checkpoint in the shared folder (survives executor loss).
+    checkpoint_root(spark)
+    profiles = profiles.checkpoint(eager=True)
     save_profiles(profiles, stores, batch_id, run_ts)
     return profiles, invalid
 

@@ -107,6 +107,18 @@ class ProfileStore:
         return (self.read().filter((F.col("bucket") == b) & (F.col("ip_address") == ip))
                 .drop("bucket").limit(1))
 
+    def rows_for(self, keys: DataFrame, key: str = "ip_address") -> DataFrame:
+        """Stored rows for a set of keys, scanning only the buckets they hash to.
+
+        The join on (bucket, ip) lets dynamic partition pruning skip untouched
+        bucket folders; the keys are never collected.
+        """
+        k = keys.select(F.col(key).alias("ip_address")).distinct()
+        if self.mode != "copy_on_write":
+            return self.profiles().join(k, "ip_address", "left_semi")
+        k = k.withColumn("bucket", bucket_of("ip_address", self.buckets))
+        return self.read().join(k, ["bucket", "ip_address"], "left_semi").drop("bucket")
+
     def committed_batches(self) -> DataFrame:
         if not self._created():
             return self.spark.createDataFrame([], BATCH_LOG).select("batch_id")

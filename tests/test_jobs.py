@@ -61,3 +61,6 @@ def test_lookup_saves_to_both_stores(spark, tmp_path):
         assert got.count() == 2
         live = got.filter(F.col("ip_address") == "10.0.0.200").first()
         assert live.profile_source == "live_lookup"
+    # the returned answer is the one computed before the save (10.0.0.200 was a miss)
+    assert {r.ip_address: r.profile_source for r in prof.collect()}["10.0.0.200"] == "live_lookup"
+    assert {r.ip_address: r.last_merged_at for r in prof.collect()}["10.0.0.1"] is not None

@@ -93,3 +93,15 @@ def test_store_point_lookup_prunes_and_pushes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(bucket" in p and "EqualTo(ip_address," in p
     got = q.collect()
     assert len(got) == 1 and got[0].ip_address == ip
+
+
+def test_store_rows_for_uses_partition_pruning(spark, tmp_path):
+    from ipscope.plans import catalog
+    from ipscope.sinks.store import ProfileStore
+    e = catalog.stored_profiles(spark, SF_SMALL)
+    store = ProfileStore(spark, str(tmp_path / "s"), buckets=8)
+    store.merge(e, 0, catalog.PREV_RUN_TS)
+    keys = e.select("ip_address").limit(2)
+    rows = store.rows_for(keys)
+    assert "dynamicpruningexpression" in _plan(rows).lower()
+    assert rows.count() == 2
