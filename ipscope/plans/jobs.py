@@ -7,7 +7,8 @@
 * ``run_lookup`` — entry point C: a table of requested IPs answered from the
   profile stores and landed responses, then saved to every store (K9).
 
-Entry point B (streaming enrichment) is ``streaming.enrich_stream.start_enrichment``.
+* ``run_enrichment_batch`` — entry point B as a batch over landed reports; the
+  streaming form is ``streaming.enrich_stream.start_enrichment``.
 Every step takes explicit paths; nothing is read "latest" twice within a run.
 """
 
@@ -68,6 +69,26 @@ def run_lookup(spark: SparkSession, requests: DataFrame, stores: list[ProfileSto
     return profiles, invalid
 
 
+def run_enrichment_batch(spark: SparkSession, reports: DataFrame, pulses: DataFrame, geo: DataFrame,
+                         stores: list[ProfileStore], batch_id: int, run_ts: str | None = None,
+                         dead_letter_path: str | None = None) -> DataFrame:
+    """Entry point B as a batch: enrich one landed report set and merge it into every store.
+
+    Same steps as one streaming micro-batch (dead letters, enrich, score, merge);
+    returns the scored profiles of this batch, fixed by a reliable checkpoint.
+    """
+    from ipscope.operators.enrich import enrich_and_score, split_dead_letters
+    ok, bad = split_dead_letters(reports)
+    if dead_letter_path:
+        (bad.withColumn("batch_id", F.lit(int(batch_id)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").json(dead_letter_path))
+    checkpoint_root(spark)
+    profiles = enrich_and_score(ok, pulses, geo, run_ts=run_ts).checkpoint(eager=True)
+    save_profiles(profiles, stores, batch_id, run_ts)
+    return profiles
+
+
 def latest_processed(spark: SparkSession, processed_root: str) -> DataFrame:
     """The newest processed run by partition values (partition pruning, no listing by mtime)."""
     df = spark.read.parquet(processed_root)

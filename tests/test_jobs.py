@@ -64,3 +64,19 @@ def test_lookup_saves_to_both_stores(spark, tmp_path):
     # the returned answer is the one computed before the save (10.0.0.200 was a miss)
     assert {r.ip_address: r.profile_source for r in prof.collect()}["10.0.0.200"] == "live_lookup"
     assert {r.ip_address: r.last_merged_at for r in prof.collect()}["10.0.0.1"] is not None
+
+
+def test_enrichment_batch_equals_stream_step(spark, tmp_path):
+    from ipscope.operators.enrich import enrich_and_score
+    from ipscope.plans.jobs import run_enrichment_batch
+    reps = standin.abuse_reports(spark, SF_SMALL).drop("pos")
+    bad = spark.createDataFrame([(None, "X", 1, "2024-01-01T00:00:00Z", None, None)], reps.schema)
+    pulses, geo = standin.pulse_snapshot(spark, SF_SMALL), standin.geo_snapshot(spark, SF_SMALL)
+    store = ProfileStore(spark, str(tmp_path / "s"), buckets=4)
+    out = run_enrichment_batch(spark, reps.unionByName(bad), pulses, geo, [store], 7, standin.RUN_TS,
+                               str(tmp_path / "dead"))
+    exp = enrich_and_score(reps, pulses, geo, run_ts=standin.RUN_TS)
+    key = ["ip_address", "risk_score", "status"]
+    assert sorted(out.select(key).collect()) == sorted(exp.select(key).collect())
+    assert sorted(store.profiles().select(key).collect()) == sorted(exp.select(key).collect())
+    assert spark.read.json(str(tmp_path / "dead")).count() == 1
