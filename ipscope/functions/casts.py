@@ -20,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, NumericType, StringType
 
-from ipscope.functions.sqltext import ident, lit
+from ipscope.functions.sqltext import ident, let_sql, lit
 from ipscope.schemas import FALSE_WORDS, TRUE_WORDS
 
 _DIGITS = r"[0-9](?:_?[0-9])*"
@@ -40,11 +40,6 @@ def _typed(sql: str, dtype: str) -> str:
 
 
 # ------------------------------------------------------------------ SQL text
-def _let(value: str, var: str, body: str) -> str:
-    """``body`` with ``var`` bound to ``value`` (input referenced once; see scoring.let_sql)."""
-    return f"element_at(transform(array({value}), {var} -> {body}), 1)"
-
-
 def text_to_double_sql(x: str) -> str:
     """Python-compatible text -> double; null when Python's float() would raise."""
     low = "lower(regexp_replace(s_, '_', ''))"
@@ -53,7 +48,7 @@ def text_to_double_sql(x: str) -> str:
             f"WHEN {low} RLIKE '^-(inf|infinity)$' THEN CAST('-Infinity' AS DOUBLE) "
             f"WHEN {low} RLIKE '^[+-]?nan$' THEN CAST('NaN' AS DOUBLE) "
             f"ELSE try_cast(regexp_replace(s_, '_', '') AS DOUBLE) END")
-    return _let(f"trim(CAST({x} AS STRING))", "s_", body)
+    return let_sql(f"trim(CAST({x} AS STRING))", "s_", body)
 
 
 def to_double_sql(x: str, dtype: DataType | None = None) -> str:
@@ -66,7 +61,7 @@ def to_double_sql(x: str, dtype: DataType | None = None) -> str:
 
 def safe_int_sql(x: str, default=0, dtype: DataType | None = None) -> str:
     """``int(float(v))`` truncating toward zero; default on null/NaN/inf/garbage/overflow."""
-    as_int = _let(to_double_sql(x, dtype), "d_",
+    as_int = let_sql(to_double_sql(x, dtype), "d_",
                   "CASE WHEN isnan(d_) OR abs(d_) = CAST('Infinity' AS DOUBLE) THEN CAST(NULL AS INT) "
                   "ELSE try_cast(d_ AS INT) END")
     return f"coalesce({as_int}, {_typed(lit(default), 'INT')})"
@@ -74,7 +69,7 @@ def safe_int_sql(x: str, default=0, dtype: DataType | None = None) -> str:
 
 def safe_float_sql(x: str, default=None, dtype: DataType | None = None) -> str:
     """``float(v)`` with NaN treated as missing; default otherwise."""
-    as_f = _let(to_double_sql(x, dtype), "d_", "CASE WHEN isnan(d_) THEN CAST(NULL AS DOUBLE) ELSE d_ END")
+    as_f = let_sql(to_double_sql(x, dtype), "d_", "CASE WHEN isnan(d_) THEN CAST(NULL AS DOUBLE) ELSE d_ END")
     return f"coalesce({as_f}, {_typed(lit(default), 'DOUBLE')})"
 
 
@@ -87,7 +82,7 @@ def safe_bool_sql(x: str, default=None, dtype: DataType | None = None) -> str:
         return dflt
     t = ", ".join(lit(v) for v in TRUE_WORDS)
     f = ", ".join(lit(v) for v in FALSE_WORDS)
-    return _let(f"lower(trim(CAST({x} AS STRING)))", "w_",
+    return let_sql(f"lower(trim(CAST({x} AS STRING)))", "w_",
                 f"CASE WHEN w_ IN ({t}) THEN true WHEN w_ IN ({f}) THEN false ELSE {dflt} END")
 
 
@@ -104,9 +99,9 @@ def normalize_string_array_sql(x: str, dtype: DataType | None = None) -> str:
     if dtype is not None and not isinstance(dtype, StringType):
         return f"coalesce({non_blank_sql(f'CAST({x} AS ARRAY<STRING>)')}, {empty})"
     parsed = "CASE WHEN startswith(s_, '[') THEN from_json(s_, 'array<string>') END"
-    body = _let(parsed, "j_", f"CASE WHEN s_ IS NULL OR s_ = '' THEN {empty} "
+    body = let_sql(parsed, "j_", f"CASE WHEN s_ IS NULL OR s_ = '' THEN {empty} "
                 f"WHEN j_ IS NOT NULL THEN {non_blank_sql('j_')} ELSE array(s_) END")
-    return _let(f"trim({x})", "s_", body)
+    return let_sql(f"trim({x})", "s_", body)
 
 
 # ---------------------------------------------------------------- Columns

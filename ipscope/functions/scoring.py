@@ -19,24 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ipscope import schemas as S
-from ipscope.functions.sqltext import ident, lit, str_array
+from ipscope.functions.sqltext import ident, let_sql, lit, str_array
 
 ALL_KEYWORDS = sorted(set(chain.from_iterable(S.ATTACK_KEYWORDS.values())))
 CATEGORIES = sorted(S.ATTACK_KEYWORDS)
 
 
 # ------------------------------------------------------------------ SQL text
-def let_sql(value: str, var: str, body: str) -> str:
-    """Evaluate ``body`` with ``var`` bound to ``value``, referencing ``value`` once.
-
-    Catalyst inlines aliases when it pushes a filter through a projection; a rule
-    that mentions its input many times would then copy the whole upstream
-    expression that many times (and multiply along a chain of rules).  Binding
-    the input once keeps every rule linear in its input.
-    """
-    return f"element_at(transform(array({value}), {var} -> {body}), 1)"
-
-
 def pulse_text_sql(names: str) -> str:
     """Lower-cased names (non-null, non-empty) joined with `` | ``."""
     return f"lower(array_join(filter({names}, x -> x IS NOT NULL AND x <> ''), ' | '))"
