@@ -104,12 +104,18 @@ JOIN region r ON r.r_regionkey = n.n_regionkey"""
     # Blacklist snapshots as the feed publishes them: one row per listed IP
     # (latest report as of the cutoff, listed when its score is high enough).
     ts = _f(dialect, "ts", PREV_CUTOFF)
-    latest = """
+    # Newest report per IP by (time, position): one aggregation with max_by on a
+    # fixed-width order key — combinable map-side, no window over a hot IP.
+    order = "last_reported_at || '#' || lpad(CAST(pos AS string), 20, '0')"
+    latest = f"""
 SELECT ip_address, country_code, abuse_confidence_score, last_reported_at, pos FROM (
-  SELECT *, row_number() OVER (PARTITION BY ip_address
-                               ORDER BY last_reported_at DESC, pos DESC) AS rn
-  FROM v_abuse {where}) t
-WHERE rn = 1 AND abuse_confidence_score >= {min_score}"""
+  SELECT ip_address,
+         max_by(country_code, {order}) AS country_code,
+         max_by(abuse_confidence_score, {order}) AS abuse_confidence_score,
+         max_by(last_reported_at, {order}) AS last_reported_at,
+         max_by(pos, {order}) AS pos
+  FROM v_abuse {{where}} GROUP BY ip_address) t
+WHERE abuse_confidence_score >= {{min_score}}"""
     v["v_prev"] = latest.format(where=f"WHERE reported_ts < {ts}", min_score=LISTING_MIN_SCORE)
     v["v_curr"] = latest.format(where="", min_score=LISTING_MIN_SCORE)
     return v
