@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ipscope.functions.sqltext import ident
 from ipscope.operators.dedupe import last_wins
 
 STATE_COLUMNS = ["ip_address", "abuse_confidence_score", "last_reported_at", "country_code"]
@@ -123,28 +124,27 @@ def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
          else f.groupBy(key).agg(F.max(F.struct(*[c for c in f.columns if c != key])).alias("_w"))
          .select(key, "_w.*")).drop("pos")
     cols = old_d.columns
-    o = old_d.select(*[F.col(c).alias(f"o_{c}") for c in cols], F.lit(True).alias("o_present"))
-    n = f.select(*[F.col(c).alias(f"n_{c}") if c in f.columns else F.lit(None).alias(f"n_{c}")
-                   for c in cols], F.lit(True).alias("n_present"))
+    o = old_d.selectExpr(*[f"{ident(c)} AS {ident('o_' + c)}" for c in cols], "true AS o_present")
+    n = f.selectExpr(*[f"{ident(c) if c in f.columns else 'NULL'} AS {ident('n_' + c)}" for c in cols],
+                     "true AS n_present")
     j = o.join(n, F.col(f"o_{key}") == F.col(f"n_{key}"), "full_outer")
-    upd = F.col("o_present").isNotNull() & F.col("n_present").isNotNull()
+    upd = "(o_present AND n_present)"
     out = []
     for c in cols:
+        oc, nc = ident("o_" + c), ident("n_" + c)
         if c == key:
-            v = F.coalesce(F.col(f"n_{c}"), F.col(f"o_{c}"))
+            v = f"coalesce({nc}, {oc})"
         elif c == "first_ingestion_time":
-            v = F.when(upd, F.coalesce(F.col(f"o_{c}"), F.col(f"n_{c}"))) \
-                 .when(F.col("n_present").isNotNull(), F.col(f"n_{c}")).otherwise(F.col(f"o_{c}"))
+            v = f"CASE WHEN {upd} THEN coalesce({oc}, {nc}) WHEN n_present THEN {nc} ELSE {oc} END"
         elif c == "seen_count":
-            seen = (F.coalesce(F.col(f"o_{c}").cast("int"), F.lit(1)) + 1).cast(old_d.schema[c].dataType)
-            v = F.when(upd, seen) \
-                 .when(F.col("n_present").isNotNull(), F.col(f"n_{c}")).otherwise(F.col(f"o_{c}"))
+            t = old_d.schema[c].dataType.simpleString()
+            v = (f"CASE WHEN {upd} THEN CAST(coalesce(CAST({oc} AS INT), 1) + 1 AS {t}) "
+                 f"WHEN n_present THEN {nc} ELSE {oc} END")
         else:
-            v = F.when(F.col("n_present").isNotNull(), F.col(f"n_{c}")).otherwise(F.col(f"o_{c}"))
-        out.append(v.alias(c))
-    flag = (F.when(upd, F.lit("updated")).when(F.col("n_present").isNotNull(), F.lit("new"))
-            .otherwise(F.lit("kept")))
-    snap = j.select(*out, flag.alias("_run_change"))
+            v = f"CASE WHEN n_present THEN {nc} ELSE {oc} END"
+        out.append(f"{v} AS {ident(c)}")
+    flag = f"CASE WHEN {upd} THEN 'updated' WHEN n_present THEN 'new' ELSE 'kept' END AS _run_change"
+    snap = j.selectExpr(*out, flag)
     # All counters in one aggregate over the run's rows plus the skipped candidates.
     skipped = (cand.join(known.select(key), key, "left_semi") if not update_existing
                else cand.limit(0)).select(F.lit("skipped").alias("_run_change"))
