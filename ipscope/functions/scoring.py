@@ -128,14 +128,15 @@ def score_columns(df: DataFrame, names: str = "otx_pulse_names", abuse: str = "a
     """
     from ipscope.functions.casts import safe_int_sql
     dt = {f.name: f.dataType for f in df.schema.fields}
-    keep = [ident(c) for c in df.columns if c not in (*_COMPUTED, "_a", "_p", "_d", "_pt")]
+    drop = [c for c in (*_COMPUTED, "_a", "_p", "_d", "_pt") if c in df.columns]
+    base = df.drop(*drop) if drop else df
     nums = [f"{safe_int_sql(ident(c), 0, dt[c])} AS {a}"
             for c, a in ((abuse, "_a"), (pulses, "_p"), (dns, "_d"))]
-    out = df.selectExpr(*keep, f"{pulse_text_sql(ident(names))} AS _pt", *nums)
-    out = out.selectExpr(*keep, "_a", "_p", "_d",
-                         f"{matched_keywords_sql('_pt', word_boundary)} AS attack_keywords_matched")
-    out = out.selectExpr(*keep, "_a", "_p", "_d", "attack_keywords_matched",
-                         f"{matched_categories_sql('attack_keywords_matched')} AS attack_categories")
+    # Append-only projections ("*" plus the new column): no re-listing of every column.
+    out = base.selectExpr("*", f"{pulse_text_sql(ident(names))} AS _pt", *nums)
+    out = out.selectExpr("*", f"{matched_keywords_sql('_pt', word_boundary)} AS attack_keywords_matched")
+    out = out.selectExpr("*", f"{matched_categories_sql('attack_keywords_matched')} AS attack_categories")
     score = risk_score_sql("_a", "_p", "_d", "attack_categories", "attack_keywords_matched")
-    out = out.selectExpr(*keep, "attack_categories", "attack_keywords_matched", f"{score} AS risk_score")
-    return out.selectExpr("*", f"{risk_status_sql('risk_score')} AS status")
+    out = out.selectExpr("*", f"{score} AS risk_score")
+    out = out.selectExpr("*", f"{risk_status_sql('risk_score')} AS status")
+    return out.drop("_pt", "_a", "_p", "_d")
