@@ -105,3 +105,17 @@ def test_store_rows_for_uses_partition_pruning(spark, tmp_path):
     rows = store.rows_for(keys)
     assert "dynamicpruningexpression" in _plan(rows).lower()
     assert rows.count() == 2
+
+
+def test_merge_on_read_key_filter_reaches_both_scans(spark, tmp_path):
+    from ipscope.plans import catalog
+    from ipscope.sinks.store import ProfileStore
+    e, i = catalog.merge_inputs(spark, SF_SMALL)
+    store = ProfileStore(spark, str(tmp_path / "m"), policy="document", mode="merge_on_read")
+    store.merge(e, 0, catalog.PREV_RUN_TS)
+    store.compact()
+    store.merge(i, 1, standin.RUN_TS)
+    q = store.profiles().filter(F.col("ip_address") == "10.0.0.1")
+    p = _plan(q)
+    assert p.count("EqualTo(ip_address,10.0.0.1)") >= 2  # base and delta scans
+    assert q.count() == 1
