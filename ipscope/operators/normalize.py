@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ipscope import schemas as S
 from ipscope.functions.casts import (
     normalize_string_array, safe_bool, safe_float, safe_int, safe_string,
 )

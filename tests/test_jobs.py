@@ -4,7 +4,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from ipscope import schemas as S
 from ipscope import standin
 from ipscope.plans import catalog
 from ipscope.plans.jobs import latest_processed, run_daily, run_lookup

@@ -1,7 +1,6 @@
 """Snapshot sources and sinks on small hand-made files."""
 import json
 import os
-import time
 
 from pyspark.sql import functions as F
 

@@ -1,6 +1,5 @@
 """Profile store merge laws and the streaming job end to end (file source)."""
 import json
-import os
 
 from pyspark.sql import functions as F
 
