@@ -58,7 +58,7 @@ def get_session(master: str | None = None, app_name: str = "ipscope",
     spark = builder.getOrCreate()
     # Static confs only take effect on a fresh session; runtime ones we re-assert.
     for k, v in conf.items():
-        if not k.startswith("spark.ui") and k.startswith("spark.sql."):
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("WARN")
     return spark
@@ -67,14 +67,18 @@ def get_session(master: str | None = None, app_name: str = "ipscope",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared durable folder for staging tables and lineage cuts.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when the cluster does
-    not name one (local tests) a folder is chosen and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  A folder of our own is
+    chosen only on a local master, where the driver is the only executor; on a
+    cluster an unset folder is an error, since each executor would write its own
+    disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Unset (a laptop test run): register a folder of our own once.
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "ipscope-checkpoints")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -2,11 +2,12 @@
 import pytest
 
 import __spark_entry__ as E
+from ipscope.plans import catalog
 from oracle_compare import compare
 
 from conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
