@@ -4,15 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ipscope.llm import oracles
+from ipscope.llm import bpe_lexicon, oracles, token_files
 from ipscope.llm.common import table
 from ipscope.llm.exact_dedup import DigestIndex
 from ipscope.llm.mixing import plan_mix
 from ipscope.session import scratch_path
 
 
+#: Vocabulary of the two encoding queries.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "llm", "token_files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, BYTE_BPE)
+    return token_files.read_token_files(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -23,9 +37,25 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.add(table(spark, sf_dir, "documents"))
 
 
+def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = bpe_lexicon.build_lexicon(docs, BYTE_BPE)
+    return bpe_digests(bpe_lexicon.decode(bpe_lexicon.encode(docs, BYTE_BPE, lexicon), BYTE_BPE))
+
+
+def bpe_digests(decoded: DataFrame) -> DataFrame:
+    """Counts and digests of ``ids`` and ``decoded``."""
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 _QUERIES = {
+    "op4_token_files": op4_token_files,
     "op5_source_mix": op5_source_mix,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_bpe_lexicon": op10_bpe_lexicon,
 }
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) ->
         column = batch.column(batch.schema.get_field_index(text))
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
         for i, n in enumerate(sizes):
             if total and total + n > most:
