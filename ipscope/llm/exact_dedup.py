@@ -55,8 +55,10 @@ class DigestIndex:
             F.char_length(F.coalesce(F.col(text), F.lit(""))).alias("n_chars"),
             digest_of(F.col(text)).alias("digest")), "digests")
         best = F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), F.col("doc_id")))
-        firsts = rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("n_rows")).select(
-            "digest", F.col("best.doc_id").alias("keep_id"), "n_rows")
+        # Written out, so that the anti-join stays behind the aggregation: below it, all
+        # rows of a hot digest would meet in one task.
+        firsts = staged(rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("n_rows")).select(
+            "digest", F.col("best.doc_id").alias("keep_id"), "n_rows"), "digest_firsts")
         known = self.spark.table(self.name).select("digest")
         fresh = firsts.join(known.hint("merge"), "digest", "left_anti")
         fresh.repartition(self.buckets, "digest").write.insertInto(self.name)
