@@ -8,15 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ipscope.llm import bpe_lexicon, oracles, token_files
-from ipscope.llm.common import table
+from ipscope.llm import bpe_lexicon, language, licenses, oracles, quality, token_files
+from ipscope.llm.common import staged, table
 from ipscope.llm.exact_dedup import DigestIndex
 from ipscope.llm.mixing import plan_mix
 from ipscope.session import scratch_path
 
 
-#: Vocabulary of the two encoding queries.
+#: Vocabularies of the encoding queries and of language ID.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(docs)).select(
+        "doc_id", "n_paragraphs", F.size("found").cast("long").alias("n_found"),
+        F.array_join(F.array_sort(F.array_distinct("found.family")), ",").alias("families"),
+        F.array_max("found.probability").alias("probability"))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +41,27 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))), PIECES)
+    return language.predict(docs, model).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark, scratch_path(spark, "llm", "digest_index"))
     return index.add(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keeps as large a share of the documents as the labels call good."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ratio = quality.fit(docs, labels.filter("quality = 1"))
+    share = labels.agg(F.coalesce(F.avg(F.col("quality").cast("double")), F.lit(1.0))).first()[0]
+    weighed = staged(quality.weigh(docs, ratio), "quality_weights")
+    return quality.resample(weighed, round(share * weighed.count()))
+
+
 def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lexicon = bpe_lexicon.build_lexicon(docs, BYTE_BPE)
@@ -52,9 +77,12 @@ def bpe_digests(decoded: DataFrame) -> DataFrame:
 
 
 _QUERIES = {
+    "op2_license_scan": op2_license_scan,
     "op4_token_files": op4_token_files,
     "op5_source_mix": op5_source_mix,
+    "op6_language_id": op6_language_id,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_quality_resample": op9_quality_resample,
     "op10_bpe_lexicon": op10_bpe_lexicon,
 }
 

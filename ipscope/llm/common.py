@@ -8,9 +8,12 @@ lost executors and are visible to every one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,3 +77,31 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) ->
                 start, total = i, 0
             total += int(n)
         yield batch.slice(start)
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; a worker keeps those of up to ``most`` words, then starts anew."""
+
+    def __init__(self, most: int = 400_000):
+        super().__init__()
+        self.most = most
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+    def of(self, parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words of all texts one after another, and each text's number of words."""
+        size = np.array([len(p) for p in parts], np.int64)
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(parts)), np.uint64, int(size.sum())), size
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijective scrambling of 64-bit numbers."""
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
