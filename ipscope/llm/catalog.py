@@ -12,6 +12,7 @@ from ipscope.llm import bpe_lexicon, language, licenses, oracles, quality, token
 from ipscope.llm.common import staged, table
 from ipscope.llm.exact_dedup import DigestIndex
 from ipscope.llm.mixing import plan_mix
+from ipscope.llm.near_dup import near_duplicates
 from ipscope.session import scratch_path
 
 
@@ -20,6 +21,10 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return licenses.scan(docs, licenses.fit(docs)).select(
@@ -77,6 +82,7 @@ def bpe_digests(decoded: DataFrame) -> DataFrame:
 
 
 _QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_license_scan": op2_license_scan,
     "op4_token_files": op4_token_files,
     "op5_source_mix": op5_source_mix,
