@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ipscope.llm import bpe_lexicon, language, licenses, oracles, quality, token_files
 from ipscope.llm.common import staged, table
+from ipscope.llm.embedding_dedup import near_vectors
 from ipscope.llm.exact_dedup import DigestIndex
 from ipscope.llm.mixing import plan_mix
 from ipscope.llm.near_dup import near_duplicates
@@ -33,6 +34,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max("found.probability").alias("probability"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "llm", "token_files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, BYTE_BPE)
@@ -84,6 +89,7 @@ def bpe_digests(decoded: DataFrame) -> DataFrame:
 _QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_license_scan": op2_license_scan,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_token_files": op4_token_files,
     "op5_source_mix": op5_source_mix,
     "op6_language_id": op6_language_id,
