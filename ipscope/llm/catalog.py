@@ -14,6 +14,7 @@ from ipscope.llm.embedding_dedup import near_vectors
 from ipscope.llm.exact_dedup import DigestIndex
 from ipscope.llm.mixing import plan_mix
 from ipscope.llm.near_dup import near_duplicates
+from ipscope.llm.repeats import remove_repeats
 from ipscope.session import scratch_path
 
 
@@ -63,6 +64,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.add(table(spark, sf_dir, "documents"))
 
 
+def op8_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keeps as large a share of the documents as the labels call good."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -94,6 +102,7 @@ _QUERIES = {
     "op5_source_mix": op5_source_mix,
     "op6_language_id": op6_language_id,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_repeat_removal": op8_repeat_removal,
     "op9_quality_resample": op9_quality_resample,
     "op10_bpe_lexicon": op10_bpe_lexicon,
 }
