@@ -20,14 +20,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, NumericType, StringType
 
-from ipscope.functions.sqltext import ident, let_sql, lit
+from ipscope.functions.sqltext import ident, let_sql, lit, strip_sql
 from ipscope.schemas import FALSE_WORDS, TRUE_WORDS
 
 _DIGITS = r"[0-9](?:_?[0-9])*"
 # Python float() grammar (ASCII subset): decimal with optional exponent, or nan/inf.
 PY_FLOAT_RE = (
-    rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
-    r"|(?i:nan|inf|infinity))$"
+    rf"\A[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+    r"|(?i:nan|inf|infinity))\z"
 )
 
 
@@ -48,7 +48,7 @@ def text_to_double_sql(x: str) -> str:
             f"WHEN {low} RLIKE '^-(inf|infinity)$' THEN CAST('-Infinity' AS DOUBLE) "
             f"WHEN {low} RLIKE '^[+-]?nan$' THEN CAST('NaN' AS DOUBLE) "
             f"ELSE try_cast(regexp_replace(s_, '_', '') AS DOUBLE) END")
-    return let_sql(f"trim(CAST({x} AS STRING))", "s_", body)
+    return let_sql(strip_sql(f"CAST({x} AS STRING)"), "s_", body)
 
 
 def to_double_sql(x: str, dtype: DataType | None = None) -> str:
@@ -82,12 +82,12 @@ def safe_bool_sql(x: str, default=None, dtype: DataType | None = None) -> str:
         return dflt
     t = ", ".join(lit(v) for v in TRUE_WORDS)
     f = ", ".join(lit(v) for v in FALSE_WORDS)
-    return let_sql(f"lower(trim(CAST({x} AS STRING)))", "w_",
+    return let_sql(f"lower({strip_sql(f'CAST({x} AS STRING)')})", "w_",
                 f"CASE WHEN w_ IN ({t}) THEN true WHEN w_ IN ({f}) THEN false ELSE {dflt} END")
 
 
 def non_blank_sql(arr: str) -> str:
-    return f"filter({arr}, x -> x IS NOT NULL AND trim(x) <> '')"
+    return f"filter({arr}, x -> x IS NOT NULL AND {strip_sql('x')} <> '')"
 
 
 def normalize_string_array_sql(x: str, dtype: DataType | None = None) -> str:
@@ -101,7 +101,7 @@ def normalize_string_array_sql(x: str, dtype: DataType | None = None) -> str:
     parsed = "CASE WHEN startswith(s_, '[') THEN from_json(s_, 'array<string>') END"
     body = let_sql(parsed, "j_", f"CASE WHEN s_ IS NULL OR s_ = '' THEN {empty} "
                 f"WHEN j_ IS NOT NULL THEN {non_blank_sql('j_')} ELSE array(s_) END")
-    return let_sql(f"trim({x})", "s_", body)
+    return let_sql(strip_sql(x), "s_", body)
 
 
 # ---------------------------------------------------------------- Columns

@@ -47,8 +47,8 @@ def _ipv6_alternatives() -> list[str]:
 
 
 IPV6_BODY = "(?:" + "|".join(_ipv6_alternatives()) + ")"
-IPV4_RE = rf"^{IPV4_BODY}$"
-IPV6_RE = rf"^{IPV6_BODY}(?:%[^%]+)?$"
+IPV4_RE = rf"\A{IPV4_BODY}\z"
+IPV6_RE = rf"\A{IPV6_BODY}(?:%[^%]+)?\z"
 
 
 def is_ipv4(c) -> Column:

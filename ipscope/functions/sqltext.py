@@ -8,6 +8,9 @@ construction cheap; the resulting expression tree is identical.
 
 from __future__ import annotations
 
+# White space that Python's str.strip() removes, as a regular-expression class.
+SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
 
 def ident(name: str) -> str:
     """Back-quoted column identifier; a dotted name is a field path (``a.b`` -> `a`.`b`)."""
@@ -38,3 +41,14 @@ def let_sql(value: str, var: str, body: str) -> str:
 
 def str_array(values) -> str:
     return "CAST(array(" + ", ".join(lit(v) for v in values) + ") AS ARRAY<STRING>)"
+
+
+def strip_sql(x: str) -> str:
+    """``str.strip()``: the text without white space of any kind at either end."""
+    return f"regexp_replace({x}, {lit(rf'\A{SPACE}+|{SPACE}+\z')}, '')"
+
+
+def strip(c):
+    """``strip_sql`` over a Column."""
+    from pyspark.sql import functions as F
+    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")

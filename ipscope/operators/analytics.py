@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 
 def country_counts(profiles: DataFrame, country: str = "abuse_country_code") -> DataFrame:
-    """IPs per country, most first."""
-    return (profiles.groupBy(F.col(country).alias("country"))
-            .agg(F.count("*").alias("ip_count"),
-                 F.sum(F.when(F.col("status") == "High Risk", 1).otherwise(0)).cast("long")
-                 .alias("high_risk_count")))
+    """IPs per country with the country's rank, most IPs first (ties by name)."""
+    counts = (profiles.groupBy(F.col(country).alias("country"))
+              .agg(F.count("*").alias("ip_count"),
+                   F.sum(F.when(F.col("status") == "High Risk", 1).otherwise(0)).cast("long")
+                   .alias("high_risk_count")))
+    # One row per country: the ranking window is bounded whatever the input.
+    order = Window.orderBy(F.col("ip_count").desc(), F.col("country").asc_nulls_last())
+    return counts.withColumn("country_rank", F.row_number().over(order)).orderBy("country_rank")
 
 
 def high_risk(profiles: DataFrame, status: str = "High Risk") -> DataFrame:
@@ -70,6 +73,7 @@ def country_spikes(reports: DataFrame, ts: str = "reported_ts", country: str = "
 
     The baseline covers the previous ``lookback_hours`` whole hours, counting hours
     without reports as zero (so it uses sums over a time range, not a row count).
+    Hours without a full lookback behind the country's first report are no spikes.
     A spike also needs at least ``min_reports`` reports.  Thresholds are ours; the
     README asks for spikes without giving numbers.
     """
@@ -86,7 +90,9 @@ def country_spikes(reports: DataFrame, ts: str = "reported_ts", country: str = "
     var = F.greatest(F.col("_ss") / n - mean * mean, F.lit(0.0))
     out = (out.withColumn("baseline_mean", F.round(mean, 4))
               .withColumn("baseline_std", F.round(F.sqrt(var), 4)))
-    spike = (F.col("reports") >= min_reports) & (
+    first = F.min("_eh").over(Window.partitionBy("country"))
+    out = out.withColumn("_age", F.col("_eh") - first)
+    spike = (F.col("_age") >= lookback_hours) & (F.col("reports") >= min_reports) & (
         F.col("reports") > F.col("_s") / n + F.lit(k) * F.sqrt(var))
     return (out.filter(spike)
             .select("country", "hour", "reports", "baseline_mean", "baseline_std"))

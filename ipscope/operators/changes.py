@@ -15,10 +15,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ipscope.functions.sqltext import ident
+from ipscope.functions.sqltext import ident, strip
 from ipscope.operators.dedupe import last_wins
 
 STATE_COLUMNS = ["ip_address", "abuse_confidence_score", "last_reported_at", "country_code"]
@@ -76,15 +76,12 @@ def diff_summary(diff: DataFrame) -> DataFrame:
 def diff_samples(diff: DataFrame, n: int = 10, key: str = "ip_address") -> DataFrame:
     """T4: the first ``n`` keys (ascending) of each change class.
 
-    One bounded top-n per class (TakeOrdered keeps ``n`` rows per task), never a
-    window over a whole class.
+    One pass over the diff: the rank limit is pushed below the window's shuffle
+    (WindowGroupLimit), so a task sends at most ``n`` keys of each class.
     """
-    out = None
-    for cls in ("new", "changed", "removed"):
-        part = (diff.filter(F.col("change") == cls).select(key).orderBy(key).limit(n)
-                .withColumn("change", F.lit(cls)))
-        out = part if out is None else out.unionByName(part)
-    return out
+    place = F.row_number().over(Window.partitionBy("change").orderBy(key))
+    return (diff.filter(F.col("change").isin("new", "changed", "removed"))
+            .withColumn("_place", place).filter(F.col("_place") <= n).select(key, "change"))
 
 
 def snapshots_differ(prev_fp: DataFrame, curr_fp: DataFrame) -> DataFrame:
@@ -99,6 +96,12 @@ def snapshots_differ(prev_fp: DataFrame, curr_fp: DataFrame) -> DataFrame:
                           | (F.col("previous_fingerprint") != F.col("current_fingerprint")))
 
 
+def _newest_first(df: DataFrame, key: str) -> list[str]:
+    """Columns that order records of one key: the newest ingestion, then the rest."""
+    rest = [c for c in df.columns if c != key]
+    return sorted(rest, key=lambda c: c != "last_ingestion_time")
+
+
 def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
                   update_existing: bool = False, key: str = "ip",
                   retry_errors: bool = False, status: str = "status") -> tuple[DataFrame, DataFrame]:
@@ -113,7 +116,7 @@ def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
     """
     old_d = last_wins(old, key, "pos") if "pos" in old.columns else old
     old_d = old_d.drop("pos")
-    cand = candidates.select(F.trim(F.col(key)).alias(key)).filter(
+    cand = candidates.select(strip(F.col(key)).alias(key)).filter(
         F.col(key).isNotNull() & (F.col(key) != "")).distinct()
     known = old_d
     if retry_errors and status in old_d.columns:
@@ -121,8 +124,8 @@ def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
     to_fetch = cand if update_existing else cand.join(known.select(key), key, "left_anti")
     f = fresh.join(to_fetch, key, "left_semi")
     f = (last_wins(f, key, "pos") if "pos" in f.columns
-         else f.groupBy(key).agg(F.max(F.struct(*[c for c in f.columns if c != key])).alias("_w"))
-         .select(key, "_w.*")).drop("pos")
+         else f.groupBy(key).agg(F.max(F.struct(*_newest_first(f, key))).alias("_w"))
+         .select(key, *[f"_w.{c}" for c in f.columns if c != key])).drop("pos")
     cols = old_d.columns
     o = old_d.selectExpr(*[f"{ident(c)} AS {ident('o_' + c)}" for c in cols], "true AS o_present")
     n = f.selectExpr(*[f"{ident(c) if c in f.columns else 'NULL'} AS {ident('n_' + c)}" for c in cols],

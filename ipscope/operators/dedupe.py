@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ipscope.functions.sqltext import ident, lit
+from ipscope.functions.sqltext import ident, lit, strip
 
 
 def _winner(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -49,7 +49,7 @@ def latest_snapshot_rows(df: DataFrame, key: str = "ip_address",
 
 def distinct_ips(df: DataFrame, col: str = "ip_address", pos: str | None = "pos") -> DataFrame:
     """trimmed, non-blank, distinct IPs; keeps the first position of each."""
-    ip = F.trim(F.col(col).cast("string"))
+    ip = strip(F.col(col).cast("string"))
     base = df.select(ip.alias("ip_address"), *([F.col(pos)] if pos else []))
     base = base.filter(F.col("ip_address").isNotNull() & (F.col("ip_address") != ""))
     if not pos:

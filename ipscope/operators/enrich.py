@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ipscope import schemas as S
 from ipscope.functions.casts import normalize_string_array
 from ipscope.functions.scoring import score_columns
-from ipscope.functions.sqltext import ident
+from ipscope.functions.sqltext import ident, strip
 from ipscope.operators.dedupe import dedupe_latest, latest_snapshot_rows
 
 
@@ -109,5 +109,5 @@ def enrich_and_score(reports: DataFrame, pulses: DataFrame, geo: DataFrame,
 
 def split_dead_letters(df: DataFrame, key: str = "ip_address") -> tuple[DataFrame, DataFrame]:
     """Rows without a usable key go to a dead-letter output, not the stores."""
-    ok = F.col(key).isNotNull() & (F.trim(F.col(key)) != "")
+    ok = F.col(key).isNotNull() & (strip(F.col(key)) != "")
     return df.filter(ok), df.filter(~ok | F.col(key).isNull())

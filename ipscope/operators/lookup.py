@@ -2,9 +2,9 @@
 live responses (J8, J9, H10, P17, P18).
 
     requests -> trim -> valid / invalid (F3)
-    valid ⋉ store  -> hits   -> recompute computed fields (H10)
-    valid ▷ store  -> misses -> requests ⟕ geo ⟕ abuse check ⟕ pulses -> live profile
-    hits ∪ misses  -> one profile per requested IP (ready for the dual save, K9)
+    valid ⟕ store ⟕ answers -> stored columns (hits) or live ones (misses)
+             -> recompute computed fields (H10)
+             -> one profile per requested IP (ready for the dual save, K9)
 
 Every step is a join keyed by ip; the store side is never collected.
 """
@@ -15,17 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ipscope import schemas as S
-from ipscope.functions.casts import safe_float
 from ipscope.functions.ip import is_valid_ip
 from ipscope.functions.scoring import score_columns
-from ipscope.functions.sqltext import ident, lit
+from ipscope.functions.sqltext import ident, lit, strip
 from ipscope.operators.enrich import conform
-from ipscope.sources.responses import parse_abuse_check, parse_pulses_live
+from ipscope.sources.responses import live_answers
 
 
 def split_requests(requests: DataFrame, col: str = "ip") -> tuple[DataFrame, DataFrame]:
     """(valid distinct IPs, invalid rows with an error message)."""
-    ip = F.trim(F.col(col).cast("string"))
+    ip = strip(F.col(col).cast("string"))
     r = requests.select(ip.alias("ip_address"))
     valid = r.filter(is_valid_ip(F.col("ip_address"))).distinct()
     invalid = (r.filter(~is_valid_ip(F.col("ip_address")) | F.col("ip_address").isNull())
@@ -43,32 +42,10 @@ def recompute(profiles: DataFrame, run_ts: str | None = None) -> DataFrame:
         else ident(c) for c in S.PROFILE_COLUMNS])
 
 
-def live_profiles(misses: DataFrame, responses: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """J8 + P18: assemble profiles for IPs not in the store from landed responses."""
-    geo = responses.filter((F.col("kind") == "geo") & (F.col("http_status") == 200)).select(
-        F.col("ip"), F.from_json("body", S.GEO_BODY).alias("g"))
-    geo = geo.select(
-        "ip",
-        F.col("g.location.continent_name").alias("geo_continent_name"),
-        F.col("g.location.country_code2").alias("geo_country_code2"),
-        F.col("g.location.country_name").alias("geo_country_name"),
-        F.col("g.location.state_prov").alias("geo_state_province"),
-        F.col("g.location.city").alias("geo_city"),
-        safe_float("g.location.latitude", None).alias("geo_latitude"),
-        safe_float("g.location.longitude", None).alias("geo_longitude"),
-        F.col("g.location.is_eu").alias("geo_is_eu"),
-        F.col("g.asn.as_number").alias("geo_asn_number"),
-        F.col("g.asn.organization").alias("geo_asn_organization"),
-        F.col("g.asn.country").alias("geo_asn_country"),
-        F.col("g.time_zone.name").alias("geo_timezone_name"),
-        F.col("g.time_zone.offset").alias("geo_timezone_offset"))
-    abuse = parse_abuse_check(responses)
-    pulses = parse_pulses_live(responses)
-    m = misses.select(F.col("ip_address").alias("ip"))
-    j = m.join(geo, "ip", "left").join(abuse, "ip", "left").join(pulses, "ip", "left")
+def _live_columns(run_ts: str | None) -> dict[str, str]:
+    """The profile columns of an IP known from its answers only."""
     now = f"to_timestamp({lit(run_ts)})" if run_ts else "current_timestamp()"
-    live = {
-        "ip_address": "ip",
+    return {
         "abuse_confidence_score": "coalesce(abuse_confidence_score, 0)",
         "abuse_total_reports": "coalesce(abuse_total_reports, 0)",
         "abuse_last_reported_at": "try_to_timestamp(abuse_last_reported_at)",
@@ -80,10 +57,6 @@ def live_profiles(misses: DataFrame, responses: DataFrame, run_ts: str | None =
         "geo_location": ("CASE WHEN geo_latitude IS NOT NULL AND geo_longitude IS NOT NULL "
                          "THEN named_struct('lat', geo_latitude, 'lon', geo_longitude) END"),
     }
-    have = set(j.columns)
-    j = j.selectExpr(*[f"{live[c]} AS {ident(c)}" if c in live else ident(c)
-                       for c in S.PROFILE_COLUMNS if c in live or c in have])
-    return recompute(j, run_ts)
 
 
 def split_hits(requests: DataFrame, store: DataFrame, col: str = "ip") -> tuple[DataFrame, DataFrame]:
@@ -95,12 +68,24 @@ def split_hits(requests: DataFrame, store: DataFrame, col: str = "ip") -> tuple[
 
 def lookup(requests: DataFrame, store: DataFrame, responses: DataFrame,
            run_ts: str | None = None, col: str = "ip") -> tuple[DataFrame, DataFrame]:
-    """Answer a table of requested IPs; returns ``(profiles, invalid_requests)``."""
+    """Answer a table of requested IPs; returns ``(profiles, invalid_requests)``.
+
+    J8 + J9 in one pass: requests ⟕ store ⟕ answers, each read once and unique per
+    IP, so there is one profile per requested IP.  Rows found in the store take its
+    columns, the others the live ones.
+    """
     valid, invalid = split_requests(requests, col)
-    hits = store.join(valid, "ip_address", "left_semi")
-    misses = valid.join(store.select("ip_address"), "ip_address", "left_anti")
-    out = recompute(hits, run_ts).unionByName(live_profiles(misses, responses, run_ts))
-    return out, invalid
+    kept = conform(store, S.PROFILE).selectExpr(
+        "ip_address", "true AS _hit", *[f"{ident(c)} AS _s_{c}" for c in S.PROFILE_COLUMNS if c != "ip_address"])
+    live = live_answers(responses).withColumnRenamed("ip", "ip_address")
+    j = valid.join(kept, "ip_address", "left").join(live, "ip_address", "left")
+    rule, have = _live_columns(run_ts), set(live.columns)
+    cols = ["ip_address"]
+    for f in S.PROFILE.fields:
+        if f.name != "ip_address":
+            now = rule.get(f.name, ident(f.name) if f.name in have else f"CAST(NULL AS {f.dataType.simpleString()})")
+            cols.append(f"CASE WHEN _hit THEN _s_{f.name} ELSE {now} END AS {ident(f.name)}")
+    return recompute(j.selectExpr(*cols), run_ts), invalid
 
 
 def display_profile(profiles: DataFrame) -> DataFrame:

@@ -104,11 +104,12 @@ def merge_profiles(existing: DataFrame, incoming: DataFrame, policy: str = "tabl
     raise ValueError(f"unknown merge policy {policy!r}")
 
 
-def resolve_versions(rows: DataFrame, policy: str = "table", keep_old_enriched_at: bool = False) -> DataFrame:
+def resolve_versions(rows: DataFrame, policy: str = "table") -> DataFrame:
     """Fold a base table and appended batch rows per IP under a merge policy.
 
     ``rows`` holds PROFILE columns plus ``_ord`` (−1 for the base row, then the
-    batch id) and ``_merge_ts`` (the run time of the row's batch).  The result
+    place of the batch), ``_merge_ts`` (the run time of the row's batch) and ``_keep``
+    (whether that write keeps the stored ``enriched_at`` where it brings none).  The result
     equals applying ``merge_profiles`` batch after batch, but it is a single
     ``groupBy(ip)`` of ``max_by``/``min_by`` aggregates: map-side combinable,
     and the rows per IP are bounded by the batches since the last compaction.
@@ -123,7 +124,7 @@ def resolve_versions(rows: DataFrame, policy: str = "table", keep_old_enriched_a
             agg[c] = newest_nn(c)
         for c in (*S.COMPUTED_COLUMNS, "last_merged_at"):
             agg[c] = newest(c)
-        agg["enriched_at"] = newest_nn("enriched_at") if keep_old_enriched_at else newest("enriched_at")
+        agg["enriched_at"] = "max_by(enriched_at, CASE WHEN NOT coalesce(_keep, false) OR enriched_at IS NOT NULL THEN _ord END)"
         agg["profile_source"] = newest_nn("profile_source")
         agg["first_seen_at"] = f"min_by(first_seen_at, {has('first_seen_at')})"
         agg["_base_geo"] = "max_by(geo_location, CASE WHEN _ord < 0 THEN 0 END)"

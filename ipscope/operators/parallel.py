@@ -1,10 +1,9 @@
-"""Parallelism guard for CPU-heavy per-row work on few input splits.
+"""Parallelism for CPU-heavy per-row work on few input splits.
 
 A scan yields one task per file split; a large unsplittable input (one Parquet
-row group, one gzip file) would run all per-row work in one task.  ``spread``
-round-robins such an input over the cluster's default parallelism.  When the
-input already has at least that many partitions — the normal case for a large
-table — it is returned unchanged, so no shuffle is added at scale.
+row group, one gzip file) would run all per-row work in one task.  Whoever knows
+the input to be like that passes a number of partitions; by default the plan is
+left alone, and nothing is looked at while it is built.
 """
 
 from __future__ import annotations
@@ -12,12 +11,5 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - remote sessions expose no RDD view; leave the plan as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    return df if partitions is None else df.repartition(partitions)

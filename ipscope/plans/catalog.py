@@ -177,6 +177,20 @@ def q_fingerprint(spark, sf_dir):
     return changes.snapshots_differ(prev, curr)
 
 
+# Every text a feed may carry for a number, a flag or a list, spread over the customers.
+ODD_VALUES = ["12.7", " 12 ", "\t12\n", "1e3", "nan", "-inf", "12d", "1_000", "", "  ", None, "yes", "\tyes", "N ", "maybe",
+              '["a", "", " b", null]', "[bad", "[]", " x ", "99999999999"]
+
+
+def q_odd_values(spark, sf_dir):
+    """H1-H6: every odd spelling through the tolerant conversions, one row per customer."""
+    values = F.array(*[F.lit(v).cast("string") for v in ODD_VALUES])
+    v = standin.view(spark, sf_dir, "customer").select(
+        "c_custkey", F.element_at(values, (F.col("c_custkey") % len(ODD_VALUES) + 1).cast("int")).alias("v"))
+    return v.select("c_custkey", safe_int("v", 0).alias("as_int"), safe_float("v").cast("string").alias("as_float"),
+                    safe_bool("v").alias("as_bool"), F.array_join(normalize_string_array("v"), "|").alias("as_list"))
+
+
 CARRY_COLUMNS = ["ip", "status", "country_name", "city", "latitude", "longitude",
                  "first_ingestion_time", "seen_count"]
 
@@ -188,6 +202,22 @@ def _carry(spark, sf_dir):
     return changes.carry_forward(old, cands, fresh)
 
 
+def _carry_update(spark, sf_dir):
+    """A run that fetches every candidate again: rows it knows are updated."""
+    old = _parse(standin.raw_geo_json(spark, sf_dir), S.RAW_GEO_RECORD)
+    cands = standin.abuse_reports(spark, sf_dir).select(F.col("ip_address").alias("ip"))
+    fresh = parse_geo(standin.landed_responses(spark, sf_dir), RUN_TS)
+    return changes.carry_forward(old, cands, fresh, update_existing=True)
+
+
+def q_carry_update(spark, sf_dir):
+    return _carry_update(spark, sf_dir)[0].select(*CARRY_COLUMNS)
+
+
+def q_carry_update_counts(spark, sf_dir):
+    return _carry_update(spark, sf_dir)[1]
+
+
 def q_carry_forward(spark, sf_dir):
     return _carry(spark, sf_dir)[0].select(*CARRY_COLUMNS)
 
@@ -234,6 +264,66 @@ def q_merge_document(spark, sf_dir):
     return render(merge.merge_profiles(e, i, "document", run_ts=RUN_TS))
 
 
+def _saved(spark, sf_dir, policy, mode):
+    """Two batches merged into a new store under the shared folder, read back."""
+    from ipscope.session import scratch_path
+    from ipscope.sinks.store import ProfileStore
+    store = ProfileStore(spark, scratch_path(spark, "store"), policy=policy, mode=mode)
+    e, i = merge_inputs(spark, sf_dir)
+    store.merge(e, 0, PREV_RUN_TS)
+    store.merge(i, 1, RUN_TS)
+    return render(store.profiles())
+
+
+def q_store_merge_table(spark, sf_dir):
+    return _saved(spark, sf_dir, "table", "copy_on_write")
+
+
+def q_store_merge_document(spark, sf_dir):
+    return _saved(spark, sf_dir, "document", "merge_on_read")
+
+
+def q_dual_save(spark, sf_dir):
+    """K9: both batches saved to a table store and a document store; both read back."""
+    from ipscope.session import scratch_path
+    from ipscope.sinks.store import ProfileStore, save_profiles
+    stores = [ProfileStore(spark, scratch_path(spark, "store"), policy=p, mode=m)
+              for p, m in (("table", "merge_on_read"), ("document", "copy_on_write"))]
+    e, i = merge_inputs(spark, sf_dir)
+    save_profiles(e, stores, 0, PREV_RUN_TS)
+    save_profiles(i, stores, 1, RUN_TS)
+    table, document = (render(s.profiles()) for s in stores)
+    return table.withColumn("store", F.lit("table")).unionByName(document.withColumn("store", F.lit("document")))
+
+
+def q_snapshot_write_read(spark, sf_dir):
+    """The processed reports written as a run's partition, twice, and the newest run read back."""
+    from ipscope.plans.jobs import latest_processed
+    from ipscope.session import scratch_path
+    from ipscope.sinks.store import write_snapshot
+    root = scratch_path(spark, "processed")
+    ab = normalize.normalize_abuse(raw_abuse(spark, sf_dir), RUN_TS, RUN_TS).drop("pos")
+    write_snapshot(ab.limit(0), root, PREV_RUN_TS)
+    for _ in range(2):  # a run that is run again replaces its rows
+        write_snapshot(ab, root, RUN_TS)
+    return latest_processed(spark, root).drop("run_id")
+
+
+def q_state_gate(spark, sf_dir):
+    """The gate before and after a commit, and the committed state in order of IP."""
+    from ipscope.session import scratch_path
+    from ipscope.sinks.state import SnapshotGate
+    gate = SnapshotGate(spark, scratch_path(spark, "state"))
+    prev, curr = _state(spark, sf_dir, "v_prev").drop("pos"), _state(spark, sf_dir, "v_curr").drop("pos")
+    gate.commit(prev, "first", PREV_RUN_TS)
+    rows = [("same", gate.detect(prev)), ("next", gate.detect(curr))]
+    out = None
+    for name, d in rows:
+        part = d.select(F.lit(name).alias("step"), "changed", "new_ip_count", "changed_ip_count", "removed_ip_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_geo_point(spark, sf_dir):
     g = standin.geo_snapshot(spark, sf_dir).withColumn("geo_location", geo_point())
     return g.select("ip_address", F.col("geo_location.lat").alias("lat"),
@@ -241,8 +331,14 @@ def q_geo_point(spark, sf_dir):
 
 
 # ------------------------------------------------------------- lookup
+def lookup_store(spark, sf_dir):
+    """The store the lookups read: profiles of all reports, as of an earlier run."""
+    return enrich_and_score(standin.abuse_reports(spark, sf_dir), standin.pulse_snapshot(spark, sf_dir),
+                            standin.geo_snapshot(spark, sf_dir), run_ts=PREV_RUN_TS)
+
+
 def _lookup(spark, sf_dir):
-    e = stored_profiles(spark, sf_dir)
+    e = lookup_store(spark, sf_dir)
     reqs = standin.view(spark, sf_dir, "customer").select(
         F.expr(standin.ip_of("c_custkey")).alias("ip"))
     return lookup.lookup(reqs, e, standin.landed_responses(spark, sf_dir), run_ts=RUN_TS)
@@ -250,7 +346,7 @@ def _lookup(spark, sf_dir):
 
 def _hit_split(spark, sf_dir):
     reqs = standin.view(spark, sf_dir, "customer").select(F.expr(standin.ip_of("c_custkey")).alias("ip"))
-    return lookup.split_hits(reqs, stored_profiles(spark, sf_dir))
+    return lookup.split_hits(reqs, lookup_store(spark, sf_dir))
 
 
 def q_lookup_hits(spark, sf_dir):
@@ -280,7 +376,7 @@ def _ip_candidates(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     toks = textscan.ip_tokens(docs).select(F.col("ip_token").alias("ip"))
     reps = standin.abuse_reports(spark, sf_dir).select(F.col("ip_address").alias("ip"))
-    return toks.unionByName(reps).distinct()
+    return toks.unionByName(reps).unionByName(standin.view(spark, sf_dir, "v_typed_ip")).distinct()
 
 
 def q_ip_version(spark, sf_dir):
@@ -298,7 +394,7 @@ def q_first_n_distinct(spark, sf_dir):
 
 
 def q_point_lookup(spark, sf_dir):
-    return render(lookup.point_lookup(stored_profiles(spark, sf_dir), " 10.0.0.1 "))
+    return render(lookup.point_lookup(lookup_store(spark, sf_dir), " 10.0.0.1 "))
 
 
 def q_pulse_responses(spark, sf_dir):
@@ -307,16 +403,19 @@ def q_pulse_responses(spark, sf_dir):
     return render(normalize.normalize_pulses(raw, RUN_TS, RUN_TS))
 
 
+RECENT_DAYS = 10  # shorter than the feed's rule, so that the reports of the test month are on both sides
+
+
 def q_recent_report_counts(spark, sf_dir):
     rep = standin.view(spark, sf_dir, "v_abuse")
-    return render(analytics.recent_report_counts(rep, RUN_TS, S.REPORT_MAX_AGE_DAYS))
+    return render(analytics.recent_report_counts(rep, RUN_TS, RECENT_DAYS))
 
 
 def _versions(spark, sf_dir):
     """Stored profiles as the base (``_ord`` -1) and the next batch as a delta."""
     e, i = merge_inputs(spark, sf_dir)
-    return (e.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS _merge_ts", "CAST(-1 AS BIGINT) AS _ord")
-            .unionByName(i.selectExpr("*", f"to_timestamp('{RUN_TS}') AS _merge_ts",
+    return (e.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS _merge_ts", "false AS _keep", "CAST(-1 AS BIGINT) AS _ord")
+            .unionByName(i.selectExpr("*", f"to_timestamp('{RUN_TS}') AS _merge_ts", "false AS _keep",
                                       "CAST(0 AS BIGINT) AS _ord")))
 
 
@@ -404,4 +503,12 @@ _QUERIES = {
         "merge_on_read_document": q_merge_on_read_document,
         "snapshot_manifest": q_snapshot_manifest,
         "publish_roundtrip": q_publish_roundtrip,
+        "odd_values": q_odd_values,
+        "carry_update": q_carry_update,
+        "carry_update_counts": q_carry_update_counts,
+        "store_merge_table": q_store_merge_table,
+        "store_merge_document": q_store_merge_document,
+        "dual_save": q_dual_save,
+        "snapshot_write_read": q_snapshot_write_read,
+        "state_gate": q_state_gate,
 }

@@ -14,6 +14,8 @@ Every step takes explicit paths; nothing is read "latest" twice within a run.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,8 @@ def run_daily(spark: SparkSession, raw_root: str, processed_root: str, state_pat
         processed = normalize_abuse(raw, None, run_ts).drop("pos")
         write_snapshot(processed, processed_root, run_ts, fmt="parquet")              # K2
         if publish_path is not None or publish_format == "kafka":
-            publish_json(processed, publish_format, publish_path, publish_options)    # K4
+            publish_json(processed, publish_format, publish_path, publish_options,
+                         run_id=re.sub(r"[^0-9]", "", run_ts)[:14])                   # K4
         summary["record_count"] = snapshot_manifest(processed, "abuse_blacklist", run_ts).first().record_count
         gate.commit(normalize_state(raw), raw_path, run_ts)                           # K8, last
         return summary
@@ -65,7 +68,7 @@ def run_lookup(spark: SparkSession, requests: DataFrame, stores: list[ProfileSto
     # a reliable checkpoint in the shared folder (survives executor loss).
     checkpoint_root(spark)
     profiles = profiles.checkpoint(eager=True)
-    save_profiles(profiles, stores, batch_id, run_ts)
+    save_profiles(profiles, stores, batch_id, run_ts, writer="lookup", keep_old_enriched_at=True)
     return profiles, invalid
 
 
@@ -85,7 +88,7 @@ def run_enrichment_batch(spark: SparkSession, reports: DataFrame, pulses: DataFr
          .partitionBy("batch_id").json(dead_letter_path))
     checkpoint_root(spark)
     profiles = enrich_and_score(ok, pulses, geo, run_ts=run_ts).checkpoint(eager=True)
-    save_profiles(profiles, stores, batch_id, run_ts)
+    save_profiles(profiles, stores, batch_id, run_ts, writer="batch")
     return profiles
 
 

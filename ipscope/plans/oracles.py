@@ -121,7 +121,7 @@ def classify_cte_cols(names: str) -> str:
 
 
 NO_GEO = "(SELECT * FROM v_geo WHERE false)"
-PREV_RUN_TS = "2024-01-16T00:00:00.000000Z"
+from ipscope.plans.catalog import ODD_VALUES, PREV_RUN_TS  # noqa: E402
 CUT = standin.PREV_CUTOFF.replace(" ", "T")
 
 
@@ -195,7 +195,7 @@ SELECT {', '.join(out)} FROM ms""")
 
 
 def lookup_sql() -> str:
-    """Store = early profiles; requests = every customer IP; misses from responses."""
+    """Store = profiles of all reports; requests = every customer IP; misses from responses."""
     names = ("CASE WHEN p.pulse_text IS NULL THEN CAST([] AS VARCHAR[]) "
              "ELSE string_split(p.pulse_text, ' | ') END")
     live = f"""
@@ -233,9 +233,8 @@ live_c AS (SELECT *, {kw_list('lt')} AS W, {cat_list('lt')} AS C
            FROM (SELECT *, {classify_cte_cols('names')} AS lt FROM live_j) x),
 live_s AS (SELECT *, {score_sql('abuse_confidence_score', 'otx_pulse_count', 'otx_passive_dns_count', 'C', 'W')}
            AS risk_score FROM live_c)"""
-    early = f"(SELECT * FROM v_abuse WHERE last_reported_at < {q(CUT)})"
     ctes = (standin.with_clause("duckdb").rstrip()
-            + profiles_ctes(early, "pe", run_ts=PREV_RUN_TS) + ",\n" + live + "\n")
+            + profiles_ctes("v_abuse", "pe", run_ts=PREV_RUN_TS) + ",\n" + live + "\n")
     cols = [c for c in S.PROFILE_COLUMNS if c != "geo_location"]
     hit_sel = []
     live_sel = []
@@ -269,9 +268,10 @@ def oracle_sql() -> dict[str, str]:
     o["status_counts"] = W + ("SELECT status, count(*) AS ip_count, round(avg(risk_score), 2) AS avg_risk_score "
                               "FROM prof GROUP BY status")
     o["country_counts"] = W + (
+        "SELECT *, CAST(row_number() OVER (ORDER BY ip_count DESC, country NULLS LAST) AS INTEGER) AS country_rank FROM ("
         "SELECT abuse_country_code AS country, count(*) AS ip_count, "
         "CAST(sum(CASE WHEN status = 'High Risk' THEN 1 ELSE 0 END) AS BIGINT) AS high_risk_count "
-        "FROM prof GROUP BY abuse_country_code")
+        "FROM prof GROUP BY abuse_country_code) c")
     o["score_histogram"] = W + ("SELECT CAST(floor(risk_score / 10) * 10 AS INTEGER) AS score_bucket, "
                                 "count(*) AS ip_count FROM prof GROUP BY 1")
     o["abuse_by_status"] = W + (
@@ -404,18 +404,19 @@ newf AS (SELECT f.* FROM fresh f JOIN cand ON cand.ip = f.ip WHERE f.ip NOT IN (
 h AS (SELECT country_code AS country, date_trunc('hour', reported_ts) AS hour, count(*) AS reports
       FROM v_abuse GROUP BY ALL),
 w AS (SELECT *, CAST(coalesce(sum(reports) OVER win, 0) AS DOUBLE) AS s,
-             CAST(coalesce(sum(reports * reports) OVER win, 0) AS DOUBLE) AS ss
+             CAST(coalesce(sum(reports * reports) OVER win, 0) AS DOUBLE) AS ss,
+             eh - min(eh) OVER (PARTITION BY country) AS age
       FROM (SELECT *, CAST(epoch(hour) / 3600 AS BIGINT) AS eh FROM h) x
       WINDOW win AS (PARTITION BY country ORDER BY eh RANGE BETWEEN 24 PRECEDING AND 1 PRECEDING))
 SELECT country, strftime(hour, '%Y-%m-%dT%H:%M:%S.%fZ') AS hour, reports,
        round(s / 24.0, 4) AS baseline_mean,
        round(sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0)), 4) AS baseline_std
 FROM w
-WHERE reports >= 3 AND reports > s / 24.0 + 3.0 * sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0))"""
+WHERE age >= 24 AND reports >= 3 AND reports > s / 24.0 + 3.0 * sqrt(greatest(ss / 24.0 - (s / 24.0) * (s / 24.0), 0.0))"""
     o["high_risk_ips"] = W + ("SELECT ip_address, risk_score, abuse_country_code FROM prof "
                               "WHERE status = 'High Risk'")
     req = (f"(SELECT DISTINCT {standin.ip_of('c_custkey')} AS ip_address FROM customer)")
-    early_ips = f"(SELECT DISTINCT ip_address FROM v_abuse WHERE last_reported_at < {q(CUT)})"
+    early_ips = "(SELECT DISTINCT ip_address FROM v_abuse)"
     o["lookup_hits"] = V + f"SELECT ip_address FROM {req} r WHERE ip_address IN {early_ips}"
     o["lookup_misses"] = V + f"SELECT ip_address FROM {req} r WHERE ip_address NOT IN {early_ips}"
     o["merge_on_read_table"] = o["merge_table"]
@@ -427,24 +428,35 @@ WHERE reports >= 3 AND reports > s / 24.0 + 3.0 * sqrt(greatest(ss / 24.0 - (s /
     o["publish_roundtrip"] = V + (
         f"SELECT ip_address, country_code, abuse_confidence_score, last_reported_at, "
         f"{q(RUN_TS)} AS ingestion_time, {q(RUN_TS)} AS processed_at FROM v_abuse")
-    from ipscope.functions.ip import IPV6_RE
+    # IP rules spelled out part by part, apart from the library's patterns.
     cand = V.rstrip() + f""",
 cand AS (SELECT DISTINCT ip FROM (
   SELECT unnest(regexp_extract_all(text, {q(IPV4_TOKEN_RE)})) AS ip FROM documents
-  UNION ALL SELECT ip_address AS ip FROM v_abuse) t)
+  UNION ALL SELECT ip_address AS ip FROM v_abuse
+  UNION ALL SELECT ip FROM v_typed_ip) t),
+bare AS (SELECT ip, CASE WHEN contains(ip, '%') THEN substr(ip, 1, strpos(ip, '%') - 1) ELSE ip END AS b,
+                contains(ip, '%') AS scoped, CASE WHEN contains(ip, '%') THEN substr(ip, strpos(ip, '%') + 1) END AS scope FROM cand),
+part AS (SELECT *, string_split(b, ':') AS g, string_split(b, '::') AS halves, string_split(list_last(string_split(b, ':')), '.') AS o FROM bare),
+flag AS (SELECT *,
+  len(o) = 4 AND len(list_filter(o, lambda x: regexp_full_match(x, '0|[1-9][0-9]{{0,2}}') AND try_cast(x AS INTEGER) <= 255)) = 4 AS quad,
+  list_filter(g, lambda x: x <> '') AS grp FROM part),
+six AS (SELECT *, quad AND len(g) > 1 AS tail4, len(grp) + CASE WHEN quad AND len(g) > 1 THEN 1 ELSE 0 END AS n,
+  len(list_filter(grp, lambda x: regexp_full_match(x, '[0-9A-Fa-f]{{1,4}}'))) + CASE WHEN quad AND len(g) > 1 THEN 1 ELSE 0 END = len(grp) AS hexed
+  FROM flag),
+v AS (SELECT ip, CASE WHEN NOT scoped AND len(g) = 1 AND quad THEN 'IPv4'
+  WHEN len(g) > 2 AND hexed AND (NOT scoped OR (scope <> '' AND NOT contains(scope, '%')))
+   AND ((len(halves) = 1 AND len(grp) = len(g) AND n = 8)
+     OR (len(halves) = 2 AND n <= 7 AND len(grp) = len(g) - CASE WHEN halves[1] = '' AND halves[2] = '' THEN 3
+                                                              WHEN halves[1] = '' OR halves[2] = '' THEN 2 ELSE 1 END))
+  THEN 'IPv6' END AS ip_version FROM six)
 """
-    o["ip_version"] = cand + (
-        f"SELECT ip, CASE WHEN regexp_full_match(ip, {q(IPV4_RE)}) THEN 'IPv4' "
-        f"WHEN regexp_full_match(ip, {q(IPV6_RE)}) THEN 'IPv6' END AS ip_version FROM cand")
-    o["valid_ip_filter"] = cand + (
-        f"SELECT ip FROM cand WHERE regexp_full_match(ip, {q(IPV4_RE)}) "
-        f"OR regexp_full_match(ip, {q(IPV6_RE)})")
+    o["ip_version"] = cand + "SELECT ip, ip_version FROM v"
+    o["valid_ip_filter"] = cand + "SELECT ip FROM v WHERE ip_version IS NOT NULL"
     o["first_n_distinct"] = V + (
         "SELECT trim(ip_address) AS ip_address, min(pos) AS first_pos FROM v_abuse "
         "WHERE ip_address IS NOT NULL AND trim(ip_address) <> '' GROUP BY 1 ORDER BY first_pos LIMIT 100")
-    early = f"(SELECT * FROM v_abuse WHERE last_reported_at < {q(CUT)})"
     o["point_lookup"] = (standin.with_clause("duckdb").rstrip()
-                         + profiles_ctes(early, "pe", run_ts=PREV_RUN_TS)
+                         + profiles_ctes("v_abuse", "pe", run_ts=PREV_RUN_TS)
                          + f"\nSELECT {PROFILE_OUT} FROM pe WHERE ip_address = '10.0.0.1'")
     names = "CASE WHEN v.pulse_text IS NULL THEN CAST([] AS VARCHAR[]) ELSE string_split(v.pulse_text, ' | ') END"
     o["pulse_responses"] = V + (
@@ -460,5 +472,45 @@ cand AS (SELECT DISTINCT ip FROM (
     o["recent_report_counts"] = V + (
         "SELECT ip_address, count(*) AS recent_reports, "
         "strftime(max(reported_ts), '%Y-%m-%dT%H:%M:%S.%fZ') AS last_report_ts FROM v_abuse "
-        f"WHERE reported_ts >= TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 90 DAY GROUP BY ip_address")
+        f"WHERE reported_ts >= TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 10 DAY GROUP BY ip_address")
+    strip = lambda x: f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"  # noqa: E731  the inputs have ASCII white space only
+    odd = ", ".join("NULL" if v is None else q(v) for v in ODD_VALUES)
+    num = "regexp_full_match(s, '[+-]?[0-9]+(_[0-9]+)*([.][0-9]*)?([eE][+-]?[0-9]+)?')"
+    o["odd_values"] = f"""
+WITH v AS (SELECT c_custkey, list_value({odd})[CAST(c_custkey % {len(ODD_VALUES)} + 1 AS INT)] AS v FROM customer),
+t AS (SELECT *, {strip('v')} AS s FROM v),
+n AS (SELECT *, CASE WHEN {num} THEN try_cast(replace(s, '_', '') AS DOUBLE) END AS d,
+             CASE WHEN starts_with(s, '[') AND json_valid(s) THEN from_json(s, '["VARCHAR"]') END AS j FROM t)
+SELECT c_custkey,
+       coalesce(CASE WHEN abs(d) < 2147483648 THEN CAST(trunc(d) AS INTEGER) END, 0) AS as_int,
+       CASE WHEN s = '-inf' THEN '-Infinity' WHEN d IS NULL THEN NULL WHEN d = 99999999999 THEN '9.9999999999E10'
+            ELSE CAST(d AS VARCHAR) END AS as_float,
+       CASE WHEN lower(s) = 'yes' THEN true WHEN lower(s) = 'n' THEN false END AS as_bool,
+       CASE WHEN s IS NULL OR s = '' THEN '' WHEN j IS NOT NULL
+            THEN coalesce(array_to_string(list_filter(j, lambda x: x IS NOT NULL AND trim(x) <> ''), '|'), '') ELSE s END AS as_list
+FROM n"""
+    update = carry.replace("WHERE f.ip NOT IN (SELECT ip FROM old)", "") + (
+        ", up AS (SELECT coalesce(n.ip, o.ip) AS ip, CASE WHEN n.ip IS NULL THEN o.status ELSE n.status END AS status, "
+        + ", ".join(f"CASE WHEN n.ip IS NULL THEN o.{c} ELSE n.{c} END AS {c}" for c in ("country_name", "city", "latitude", "longitude"))
+        + ", CASE WHEN n.ip IS NULL THEN o.first_ingestion_time ELSE coalesce(o.first_ingestion_time, n.first_ingestion_time) END "
+        "AS first_ingestion_time, CASE WHEN n.ip IS NULL THEN o.seen_count WHEN o.ip IS NULL THEN n.seen_count "
+        "ELSE CAST(coalesce(CAST(o.seen_count AS INT), 1) + 1 AS VARCHAR) END AS seen_count, "
+        "o.ip IS NOT NULL AS was, n.ip IS NOT NULL AS now FROM old o FULL OUTER JOIN newf n ON o.ip = n.ip)\n")
+    o["carry_update"] = update + "SELECT * EXCLUDE (was, now) FROM up"
+    o["carry_update_counts"] = update + (
+        "SELECT count(*) FILTER (WHERE now AND NOT was) AS new_count, count(*) FILTER (WHERE now AND was) AS updated_count, "
+        "CAST(0 AS BIGINT) AS skipped_count, count(*) AS total_unique FROM up")
+    o["store_merge_table"] = o["merge_table"]
+    # The first batch goes through the document rule too: an empty city is not written.
+    o["store_merge_document"] = o["merge_document"].replace(
+        "FROM pe e FULL", "FROM (SELECT * REPLACE (nullif(geo_city, '') AS geo_city) FROM pe) e FULL")
+    o["dual_save"] = (f"SELECT *, 'table' AS store FROM ({o['merge_table']}) a UNION ALL BY NAME "
+                      f"SELECT *, 'document' AS store FROM ({o['store_merge_document']}) b")
+    o["snapshot_write_read"] = V + (
+        f"SELECT ip_address, country_code, abuse_confidence_score, last_reported_at, {q(RUN_TS)} AS ingestion_time, "
+        f"{q(RUN_TS)} AS processed_at, '2024' AS year, '02' AS month, '01' AS day FROM v_abuse")
+    o["state_gate"] = diff + (
+        "SELECT 'same' AS step, false AS changed, 0 AS new_ip_count, 0 AS changed_ip_count, 0 AS removed_ip_count "
+        "UNION ALL SELECT 'next', true, count(*) FILTER (WHERE change = 'new'), count(*) FILTER (WHERE change = 'changed'), "
+        "count(*) FILTER (WHERE change = 'removed') FROM d")
     return o

@@ -1,40 +1,41 @@
 """Keyed profile store on Parquet.
 
-Layout: ``<path>/bucket=<b>/part-*.parquet`` with ``b = pmod(xxhash64(ip), N)``.
-An upsert rewrites only the buckets the batch touches:
-
-1. the touched bucket ids (at most ``N`` small ints) select the old rows by
-   partition pruning;
-2. old rows ⟗ batch under the chosen merge policy is written to a staging
-   folder under the cluster's shared ``spark.checkpoint.dir`` (durable, so a
-   lost executor or driver retry resumes from it);
-3. the staging data replaces exactly those bucket partitions
-   (dynamic partition overwrite), and the batch id is appended to
-   ``<path>/_batches``.
-
-A batch id already in ``_batches`` is skipped (at-least-once sources become
-effectively-once).  A retry after step 2 reuses the staged result instead of
-recomputing it, so a replayed batch writes byte-identical data.
+Layout under ``<path>``:
+
+* ``data/v=<id>/`` — folders written once, each under a fresh id (in copy-on-write
+  mode with ``bucket=<b>`` below);
+* ``commits/<seq>.json`` — one small file per commit: which folders make up the
+  store, and which batches of which writers are in it.
+
+Data is written first, in full; then the commit file is renamed into place, which
+fails if another writer took that number.  The newest commit file is the pointer:
+readers see a whole commit or the one before, a crash before the rename leaves the
+store as it was, and a loser of the race starts again from the winner's commit.
+Folders are never shared between stores, writers or tries, so nothing is mixed.
+
+A batch is known by ``(writer, batch_id)``; one that is in the store already is
+skipped (at-least-once sources become effectively-once).  Streams, batch jobs and
+lookups that write to one store are different writers.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from ipscope import schemas as S
+from ipscope.functions.sqltext import lit
 from ipscope.operators.enrich import conform
 from ipscope.operators.merge import merge_profiles, resolve_versions
-from ipscope.session import checkpoint_root
 
-# Batch log: one ``_batches/batch_id=<id>`` partition per committed batch, so a
-# single id is checked by listing one small folder.
-BATCH_LOG = StructType([StructField("committed", S.B, True), StructField("batch_id", LongType(), True)])
-COMPACTION_LOG = StructType([StructField("version", LongType(), False),
-                             StructField("upto_batch", LongType(), False)])
+EMPTY = {"seq": 0, "base": None, "deltas": [], "buckets": {}, "applied": {}}
+KEPT_COMMITS = 32  # commit files that readers of an older snapshot may still use
 
 
 def bucket_of(key: str = "ip_address", buckets: int = 64):
@@ -56,47 +57,123 @@ def _exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+class CommitLog:
+    """Numbered JSON files on any Hadoop file system; the highest number is current."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        jvm = spark._jvm
+        self.jvm, self.gateway = jvm, spark.sparkContext._gateway
+        self.folder = jvm.org.apache.hadoop.fs.Path(folder)
+        self.conf = spark._jsc.hadoopConfiguration()
+        self.fs = self.folder.getFileSystem(self.conf)
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(self.folder, name)
+
+    def numbers(self) -> list[int]:
+        if not self.fs.exists(self.folder):
+            return []
+        names = [f.getPath().getName() for f in self.fs.listStatus(self.folder)]
+        return sorted(int(n[:-5]) for n in names if re.fullmatch(r"\d{20}\.json", n))
+
+    def read(self, seq: int) -> dict:
+        stream = self.fs.open(self._path(f"{seq:020d}.json"))
+        try:
+            return json.loads(self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def current(self) -> dict:
+        found = self.numbers()
+        return self.read(found[-1]) if found else dict(EMPTY)
+
+    def write(self, state: dict) -> bool:
+        """Commit ``state`` under its number; False if that number is taken."""
+        fresh = self._path(f".{uuid.uuid4().hex}")
+        out = self.fs.create(fresh, False)
+        try:
+            out.write(json.dumps(state).encode())
+        finally:
+            out.close()
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf)
+        rename = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+        try:
+            context.rename(fresh, self._path(f"{state['seq']:020d}.json"), self.gateway.new_array(rename, 0))
+            return True
+        except Py4JJavaError as e:
+            self.fs.delete(fresh, False)
+            if "FileAlreadyExists" in str(e.java_exception):
+                return False
+            raise
+
+    def delete(self, seq: int) -> None:
+        self.fs.delete(self._path(f"{seq:020d}.json"), False)
+
+    def delete_folder(self, path: str) -> None:
+        self.fs.delete(self.jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def _add_batch(ranges: list, batch: int) -> list:
+    """Batch ids as ranges [first, last], so that a stream's ids stay one pair."""
+    points = sorted([*ranges, [batch, batch]])
+    out = [points[0][:]]
+    for a, b in points[1:]:
+        if a <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
 class ProfileStore:
     """A Parquet profile table with one row per ``ip_address``.
 
     ``mode="copy_on_write"`` (default) rewrites the touched buckets on every
-    merge: reads are plain scans, writes cost the touched buckets.
-    ``mode="merge_on_read"`` appends each batch as its own ``deltas/batch_id=``
-    partition (write cost = the batch, the store is not read) and resolves
-    base + deltas per IP on read with ``resolve_versions``; ``compact()`` folds
-    the deltas into a new base version.  For a very large store fed by frequent
-    batches of random IPs — where nearly every bucket is touched each time —
+    merge: reads are plain scans, writes cost the touched buckets; ``buckets``
+    should follow the size of the store.  ``mode="merge_on_read"`` writes each batch
+    as a delta (write cost = the batch, the store is not read) and resolves base and
+    deltas per IP on read with ``resolve_versions``; after ``max_deltas`` deltas a
+    merge compacts them into a new base.  For a very large store fed by frequent
+    batches of random IPs, where nearly every bucket is touched each time,
     merge-on-read is the scalable choice.
     """
 
     def __init__(self, spark: SparkSession, path: str, policy: str = "table",
                  buckets: int = 64, keep_old_enriched_at: bool = False,
-                 mode: str = "copy_on_write"):
+                 mode: str = "copy_on_write", max_deltas: int = 64):
         if mode not in ("copy_on_write", "merge_on_read"):
             raise ValueError(f"unknown store mode {mode!r}")
         self.spark, self.path, self.policy = spark, path.rstrip("/"), policy
         self.buckets, self.keep_old_enriched_at, self.mode = buckets, keep_old_enriched_at, mode
+        self.max_deltas = max_deltas
+        self.log = CommitLog(spark, f"{self.path}/commits")
         self.schema = StructType(S.PROFILE.fields + [StructField("bucket", S.I, True)])
-        self.delta_schema = StructType(S.PROFILE.fields + [StructField("_merge_ts", S.TS, True),
-                                                           StructField("batch_id", LongType(), True)])
+        self.delta_schema = StructType(S.PROFILE.fields + [
+            StructField("_merge_ts", S.TS, True), StructField("_keep", BooleanType(), True),
+            StructField("v", StringType(), True)])
 
     # ------------------------------------------------------------------ read
-    def _created(self) -> bool:
-        """Existence is a marker written by the first commit (no listing of the data)."""
-        return _exists(self.spark, f"{self.path}/_created")
+    def _folder(self, version: str) -> str:
+        return f"{self.path}/data/v={version}"
+
+    def _buckets(self, state: dict) -> DataFrame:
+        """Copy-on-write rows of a commit, with their bucket column."""
+        paths = [f"{self._folder(v)}/bucket={b}" for b, v in state["buckets"].items()]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        schema = StructType(S.PROFILE.fields + [StructField("v", StringType(), True), StructField("bucket", S.I, True)])
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).drop("v")
 
     def read(self) -> DataFrame:
         """Copy-on-write table with its bucket column."""
         if self.mode != "copy_on_write":
             raise ValueError("read() is the copy-on-write table; use profiles()")
-        if not self._created():
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self._buckets(self.log.current())
 
     def profiles(self) -> DataFrame:
         if self.mode == "copy_on_write":
             return self.read().drop("bucket")
-        return resolve_versions(self._versions(), self.policy, self.keep_old_enriched_at)
+        return resolve_versions(self._versions(self.log.current()), self.policy)
 
     def point(self, ip: str) -> DataFrame:
         """F5 on the store: prune to the IP's bucket, push the equality to the scan."""
@@ -119,120 +196,117 @@ class ProfileStore:
         k = k.withColumn("bucket", bucket_of("ip_address", self.buckets))
         return self.read().join(k, ["bucket", "ip_address"], "left_semi").drop("bucket")
 
-    def committed_batches(self) -> DataFrame:
-        if not self._created():
-            return self.spark.createDataFrame([], BATCH_LOG).select("batch_id")
-        return self.spark.read.schema(BATCH_LOG).parquet(f"{self.path}/_batches").select("batch_id")
-
-    def is_committed(self, batch_id: int) -> bool:
-        return _exists(self.spark, f"{self.path}/_batches/batch_id={int(batch_id)}")
+    def is_committed(self, batch_id: int, writer: str = "default") -> bool:
+        return any(a <= batch_id <= b for a, b in self.log.current()["applied"].get(writer, []))
 
     # ---------------------------------------------------- merge-on-read parts
-    def _compaction(self) -> tuple[int, int]:
-        """(base version, last batch id folded into it); (0, -1) before any compaction."""
-        log = f"{self.path}/_compactions"
-        if not _exists(self.spark, log):
-            return 0, -1
-        r = (self.spark.read.schema(COMPACTION_LOG).parquet(log)
-             .orderBy(F.col("version").desc()).limit(1).collect())
-        return (r[0].version, r[0].upto_batch) if r else (0, -1)
-
-    def _versions(self, upto: int | None = None) -> DataFrame:
-        """Base rows (``_ord`` = -1) plus delta rows after the last compaction."""
-        version, done = self._compaction()
-        base_path = f"{self.path}/base/v={version}"
-        if version > 0:
-            base = self.spark.read.schema(S.PROFILE).parquet(base_path)
-        else:
-            base = self.spark.createDataFrame([], S.PROFILE)
-        base = base.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS _merge_ts", "CAST(-1 AS BIGINT) AS _ord")
-        deltas_path = f"{self.path}/deltas"
-        if not self._created():
+    def _versions(self, state: dict) -> DataFrame:
+        """Base rows (``_ord`` = -1) plus the delta rows in the order of their commits."""
+        base = (self.spark.read.schema(S.PROFILE).parquet(self._folder(state["base"]))
+                if state["base"] else self.spark.createDataFrame([], S.PROFILE))
+        base = base.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS _merge_ts", "false AS _keep", "CAST(-1 AS BIGINT) AS _ord")
+        if not state["deltas"]:
             return base
-        d = self.spark.read.schema(self.delta_schema).parquet(deltas_path)
-        d = d.filter(F.col("batch_id") > done)  # partition pruning on batch_id
-        if upto is not None:
-            d = d.filter(F.col("batch_id") <= upto)
-        d = d.join(self.committed_batches(), "batch_id", "left_semi")  # only committed batches
-        return base.unionByName(d.withColumnRenamed("batch_id", "_ord"))
-
-    def compact(self) -> int:
-        """Fold committed deltas into a new base version; returns the version."""
-        if self.mode != "merge_on_read":
-            return 0
-        version, done = self._compaction()
-        last = self.committed_batches().agg(F.max("batch_id")).collect()[0][0]
-        if last is None or last <= done:
-            return version
-        resolved = resolve_versions(self._versions(upto=last), self.policy, self.keep_old_enriched_at)
+        d = (self.spark.read.schema(self.delta_schema).option("basePath", f"{self.path}/data")
+             .parquet(*[self._folder(v) for _, v in state["deltas"]]))
+        order = "map(" + ", ".join(f"{lit(v)}, CAST({seq} AS BIGINT)" for seq, v in state["deltas"]) + ")"
+        return base.unionByName(d.withColumn("_ord", F.expr(f"element_at({order}, v)")).drop("v"))
+
+    def compact(self) -> bool:
+        """Fold the deltas into a new base and drop what no kept commit needs; False if there are none."""
+        state = self.log.current()
+        if self.mode != "merge_on_read" or not state["deltas"]:
+            return False
+        version = uuid.uuid4().hex
         # Base files sorted by ip (row-group skipping for key lookups); a filter on
         # ip_address also passes through the resolving aggregation to both scans.
-        (resolved.sortWithinPartitions("ip_address")
-         .write.mode("overwrite").parquet(f"{self.path}/base/v={version + 1}"))
-        (self.spark.createDataFrame([(version + 1, int(last))], COMPACTION_LOG)
-         .write.mode("append").parquet(f"{self.path}/_compactions"))
-        return version + 1
+        (resolve_versions(self._versions(state), self.policy).sortWithinPartitions("ip_address")
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._folder(version)))
+        done = state["seq"]
+        while True:  # deltas committed meanwhile stay on top of the new base
+            now = self.log.current()
+            if now["base"] != state["base"]:
+                return False  # another compaction was first
+            later = [d for d in now["deltas"] if d[0] > done]
+            if self.log.write(now | {"seq": now["seq"] + 1, "base": version, "deltas": later}):
+                self._prune()
+                return True
+
+    def _prune(self) -> None:
+        """Delete commit files past the kept ones, and folders that only they name."""
+        numbers = self.log.numbers()
+        old, kept = numbers[:-KEPT_COMMITS], numbers[-KEPT_COMMITS:]
+        folders = lambda s: {s["base"], *(v for _, v in s["deltas"]), *s["buckets"].values()} - {None}
+        live = set().union(*(folders(self.log.read(n)) for n in kept)) if old else set()
+        for n in old:
+            for v in folders(self.log.read(n)) - live:
+                self.log.delete_folder(self._folder(v))
+            self.log.delete(n)
 
     # ----------------------------------------------------------------- write
-    def _staging(self, batch_id) -> str:
-        name = re.sub(r"[^A-Za-z0-9_]+", "_", self.path.strip("/"))[-80:]
-        return f"{checkpoint_root(self.spark)}/ipscope/staging/{name}/batch={batch_id}"
+    def merge(self, batch: DataFrame, batch_id: int, run_ts: str | None = None, writer: str = "default",
+              keep_old_enriched_at: bool | None = None) -> bool:
+        """Upsert ``batch`` (PROFILE rows, key-unique). Returns False when it is in the store already.
 
-    def merge(self, batch: DataFrame, batch_id: int, run_ts: str | None = None) -> bool:
-        """Upsert ``batch`` (PROFILE rows, key-unique). Returns False when skipped."""
-        if self.is_committed(batch_id):
-            return False
-        if self.mode == "merge_on_read":
-            now = F.to_timestamp(F.lit(run_ts)) if run_ts else F.current_timestamp()
-            rows = (conform(batch, S.PROFILE)
-                    .filter(F.col("ip_address").isNotNull() & (F.col("ip_address") != ""))
-                    .withColumn("_merge_ts", now).withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
-            # Re-running a batch rewrites only its own partition.
-            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(f"{self.path}/deltas"))
-            self._log(batch_id)
-            return True
-        staging = self._staging(batch_id)
-        if not _exists(self.spark, f"{staging}/_SUCCESS"):
-            incoming = conform(batch, S.PROFILE).filter(
-                F.col("ip_address").isNotNull() & (F.col("ip_address") != ""))
-            incoming = incoming.withColumn("bucket", bucket_of("ip_address", self.buckets))
-            # Touched bucket ids: bounded by the bucket count, so safe to bring back.
-            touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
-            if not touched:
-                self._log(batch_id)
-                return True
-            old = self.read().filter(F.col("bucket").isin(touched)).drop("bucket")
-            merged = merge_profiles(old, incoming.drop("bucket"), self.policy, run_ts,
-                                    self.keep_old_enriched_at)
-            # The merge output is already hash-partitioned by ip; each task writes
-            # its rows into the bucket folders (no extra shuffle, no hot task).
-            # Rows sorted by ip inside each file: Parquet min/max statistics then
-            # let point lookups and key joins skip row groups.
-            (merged.withColumn("bucket", bucket_of("ip_address", self.buckets))
-             .sortWithinPartitions("bucket", "ip_address")
-             .write.mode("overwrite").partitionBy("bucket").parquet(staging))
-        staged = self.spark.read.schema(self.schema).parquet(staging)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bucket").parquet(self.path))
-        self._log(batch_id)
+        ``keep_old_enriched_at`` holds for this write (Q15: lookup writes keep the stored
+        time where they bring none, pipeline writes do not); by default the store's.
+        """
+        keep = self.keep_old_enriched_at if keep_old_enriched_at is None else keep_old_enriched_at
+        rows = conform(batch, S.PROFILE).filter(F.col("ip_address").isNotNull() & (F.col("ip_address") != ""))
+        delta = None
+        while True:
+            state = self.log.current()
+            applied = state["applied"].get(writer, [])
+            if any(a <= batch_id <= b for a, b in applied):
+                return False
+            new = state | {"seq": state["seq"] + 1, "applied": state["applied"] | {writer: _add_batch(applied, int(batch_id))}}
+            if self.mode == "merge_on_read":
+                delta = delta or self._write_delta(rows, run_ts, keep)
+                new["deltas"] = [*state["deltas"], [new["seq"], delta]]
+            else:
+                new["buckets"] = state["buckets"] | self._write_buckets(state, rows, run_ts, keep)
+            if self.log.write(new):
+                break
+        if len(new["deltas"]) >= self.max_deltas:
+            self.compact()
+        elif new["seq"] % KEPT_COMMITS == 0:
+            self._prune()
         return True
 
-    def _log(self, batch_id: int) -> None:
-        (self.spark.createDataFrame([(True,)], "committed boolean")
-         .write.mode("overwrite").parquet(f"{self.path}/_batches/batch_id={int(batch_id)}"))
-        if not self._created():
-            self.spark.createDataFrame([(True,)], "created boolean").write.mode("overwrite") \
-                .parquet(f"{self.path}/_created")
+    def _write_delta(self, rows: DataFrame, run_ts: str | None, keep: bool) -> str:
+        version = uuid.uuid4().hex
+        now = F.to_timestamp(F.lit(run_ts)) if run_ts else F.current_timestamp()
+        (rows.withColumn("_merge_ts", now).withColumn("_keep", F.lit(keep))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._folder(version)))
+        return version
+
+    def _write_buckets(self, state: dict, rows: DataFrame, run_ts: str | None, keep: bool) -> dict:
+        """The touched buckets, merged into a fresh folder: bucket -> folder."""
+        incoming = rows.withColumn("bucket", bucket_of("ip_address", self.buckets))
+        # Touched bucket ids: bounded by the bucket count, so safe to bring back.
+        touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
+        if not touched:
+            return {}
+        version = uuid.uuid4().hex
+        old = self._buckets({"buckets": {b: v for b, v in state["buckets"].items() if int(b) in touched}}).drop("bucket")
+        merged = merge_profiles(old, rows, self.policy, run_ts, keep)
+        # Rows sorted by ip inside each file: Parquet min/max statistics then let
+        # point lookups and key joins skip row groups.
+        (merged.withColumn("bucket", bucket_of("ip_address", self.buckets))
+         .sortWithinPartitions("bucket", "ip_address")
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket")
+         .parquet(self._folder(version)))
+        return {str(b): version for b in touched}
 
 
 def save_profiles(profiles: DataFrame, stores: list[ProfileStore], batch_id: int,
-                  run_ts: str | None = None) -> None:
-    """K9: save looked-up profiles to every store (each under its own policy)."""
+                  run_ts: str | None = None, writer: str = "default",
+                  keep_old_enriched_at: bool | None = None) -> None:
+    """K9: save profiles to every store (each under its own policy)."""
     profiles = profiles.persist()
     try:
         for store in stores:
-            store.merge(profiles, batch_id, run_ts)
+            store.merge(profiles, batch_id, run_ts, writer, keep_old_enriched_at)
     finally:
         profiles.unpersist()
 
@@ -243,13 +317,15 @@ def write_snapshot(df: DataFrame, root: str, run_ts: str, fmt: str = "parquet",
 
     The run id column takes the place of the timestamped file name, so several
     runs on one day stay apart and the newest is selectable by partition filter.
+    Writing a run again replaces that run's partition.
     """
     ts = F.to_timestamp(F.lit(run_ts))
     out = (df.withColumn("year", F.date_format(ts, "yyyy"))
              .withColumn("month", F.date_format(ts, "MM"))
              .withColumn("day", F.date_format(ts, "dd"))
              .withColumn("run_id", F.lit(run_id or re.sub(r"[^0-9]", "", run_ts)[:14])))
-    out.write.mode("append").partitionBy("year", "month", "day", "run_id").format(fmt).save(root)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year", "month", "day", "run_id").format(fmt).save(root))
     return root
 
 
@@ -260,11 +336,18 @@ def snapshot_manifest(df: DataFrame, source: str, ingestion_time: str) -> DataFr
 
 
 def publish_json(df: DataFrame, fmt: str = "kafka", path: str | None = None,
-                 options: dict | None = None) -> None:
-    """K4: every row as a JSON value (explicit nulls kept), no key."""
+                 options: dict | None = None, run_id: str | None = None) -> None:
+    """K4: every row as a JSON value (explicit nulls kept), no key.
+
+    To files, a run publishes under ``run_id=<id>`` and publishing it again replaces
+    that folder; a message queue gets the rows again (at least once).
+    """
     out = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
     w = out.write.format(fmt).options(**(options or {}))
     if fmt in ("text", "json", "parquet"):
-        w.mode("append").save(path)
+        if run_id is None:
+            w.mode("append").save(path)
+        else:
+            w.mode("overwrite").option("partitionOverwriteMode", "static").save(f"{path}/run_id={run_id}")
     else:
         w.save()

@@ -19,9 +19,6 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Fixed run time used wherever a job stamps "now", so results are reproducible.
 RUN_TS = "2024-02-01T00:00:00.000000Z"
-# Blacklist snapshots: an IP is listed when the score of its latest report is at
-# least this value (the feed's own listing rule), as of each snapshot's cutoff.
-LISTING_MIN_SCORE = 50
 PREV_CUTOFF = "2024-01-16 00:00:00"
 
 _DIALECT = {
@@ -39,9 +36,10 @@ _DIALECT = {
 
 
 def ip_of(key: str) -> str:
-    """A private IPv4 address spelled from an integer key (same text both engines)."""
-    return (f"'10.0.' || CAST(CAST(floor({key} / 256) AS bigint) % 256 AS string) || '.' "
-            f"|| CAST({key} % 256 AS string)")
+    """An IPv4 address spelled from an integer key: one for each key up to 2**32 (same text both engines)."""
+    octet = lambda n: f"CAST(CAST(floor({key} / {1 << n}) AS bigint) % 256 AS string)"
+    first = f"CAST((CAST(floor({key} / {1 << 24}) AS bigint) + 10) % 256 AS string)"
+    return " || '.' || ".join([first, octet(16), octet(8), octet(0)])
 
 
 def _f(dialect: str, name: str, x: str) -> str:
@@ -59,7 +57,7 @@ SELECT e.event_id AS pos,
        n.n_name AS country_code,
        CAST(floor(e.value) AS int) % 101 AS abuse_confidence_score,
        {iso('e.ts')} AS last_reported_at,
-       e.ts AS reported_ts
+       e.ts AS reported_ts, e.user_id
 FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25"""
     # Pulse snapshot: one row per customer, names spelled from the market segment
     # and account balance band; null names for negative balances.
@@ -101,8 +99,26 @@ SELECT {ip_of('s.s_suppkey')} AS ip_address,
        'ok' AS geo_status
 FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey"""
-    # Blacklist snapshots as the feed publishes them: one row per listed IP
-    # (latest report as of the cutoff, listed when its score is high enough).
+    # Requested IPs as users type them: both versions, scopes, and spellings that are none.
+    k = "c_custkey"
+    group = f"lower(hex(CAST({k} % 65536 AS bigint)))"
+    v["v_typed_ip"] = f"""
+SELECT CASE CAST({k} % 12 AS int)
+         WHEN 0 THEN {ip_of(k)}
+         WHEN 1 THEN 'fe80::' || {group}
+         WHEN 2 THEN '2001:DB8:0:0:0:0:0:' || {group}
+         WHEN 3 THEN '::ffff:' || {ip_of(k)}
+         WHEN 4 THEN 'fe80::1%eth' || CAST({k} AS string)
+         WHEN 5 THEN '1.2.3.' || CAST({k} % 400 AS string)
+         WHEN 6 THEN '01.2.3.' || CAST({k} % 200 AS string)
+         WHEN 7 THEN '1::2::' || {group}
+         WHEN 8 THEN '12345::' || {group}
+         WHEN 9 THEN {ip_of(k)} || chr(10)
+         WHEN 10 THEN '1:2:3:4:5:6:7:8:' || {group}
+         ELSE 'host' || CAST({k} AS string) END AS ip
+FROM customer"""
+    # Blacklist snapshots as the feed publishes them: one row per listed IP, its latest
+    # report as of the cutoff.  Each snapshot lists some users the other does not.
     ts = _f(dialect, "ts", PREV_CUTOFF)
     # Newest report per IP by (time, position): one aggregation with max_by on a
     # fixed-width order key — combinable map-side, no window over a hot IP.
@@ -114,10 +130,9 @@ SELECT ip_address, country_code, abuse_confidence_score, last_reported_at, pos F
          max_by(abuse_confidence_score, {order}) AS abuse_confidence_score,
          max_by(last_reported_at, {order}) AS last_reported_at,
          max_by(pos, {order}) AS pos
-  FROM v_abuse {{where}} GROUP BY ip_address) t
-WHERE abuse_confidence_score >= {{min_score}}"""
-    v["v_prev"] = latest.format(where=f"WHERE reported_ts < {ts}", min_score=LISTING_MIN_SCORE)
-    v["v_curr"] = latest.format(where="", min_score=LISTING_MIN_SCORE)
+  FROM v_abuse WHERE {{where}} GROUP BY ip_address) t"""
+    v["v_prev"] = latest.format(where=f"reported_ts < {ts} AND user_id % 10 <> 7")
+    v["v_curr"] = latest.format(where="user_id % 10 <> 3")
     return v
 
 
@@ -231,11 +246,13 @@ def raw_geo_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ip, kind, http_status, body): API answers for every customer IP.
+    """(ip, kind, http_status, body, landed_at): API answers for every customer IP.
 
-    Geo answers fail with 429 for negative balances; pulse answers carry the
+    Every call was tried before and answered 429; pulse calls once more after the
+    good answer.  Geo answers fail with 429 for negative balances; pulse answers carry the
     customer's pulse names; abuse checks carry the account balance band.
     """
+    from pyspark.sql import functions as F
     register(spark, sf_dir)
     base = f"""
         SELECT {ip_of('c.c_custkey')} AS ip, c.c_custkey AS k, c.c_acctbal AS bal, c.c_mktsegment AS seg,
@@ -243,7 +260,7 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
         JOIN region r ON r.r_regionkey = n.n_regionkey
         LEFT JOIN v_pulse p ON p.ip_address = {ip_of('c.c_custkey')}"""
-    return spark.sql(f"""
+    answers = spark.sql(f"""
     WITH c AS ({base})
     SELECT ip, 'geo' AS kind, CASE WHEN bal < 0 THEN 429 ELSE 200 END AS http_status,
            to_json(named_struct(
@@ -273,4 +290,7 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT ip, 'passive_dns', CASE WHEN seg = 'HOUSEHOLD' THEN 404 ELSE 200 END,
            to_json(named_struct('passive_dns', transform(sequence(1, CAST(k % 5 AS INT) + 1),
              i -> named_struct('hostname', 'h' || CAST(i AS STRING) || '.example', 'address', ip))))
-    FROM c""")
+    FROM c""").withColumn("landed_at", F.lit("2024-01-31T00:00:01Z"))
+    tries = answers.withColumn("http_status", F.lit(429)).withColumn("body", F.lit(None).cast("string"))
+    return (answers.unionByName(tries.withColumn("landed_at", F.lit("2024-01-31T00:00:00Z")))
+            .unionByName(tries.filter("kind = 'pulse_general'").withColumn("landed_at", F.lit("2024-01-31T00:00:02Z"))))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ipscope.functions.casts import safe_int
+from ipscope.functions.sqltext import strip
 from ipscope.operators.enrich import enrich_and_score, split_dead_letters
 from ipscope.sinks.store import ProfileStore
 
@@ -34,11 +35,13 @@ STREAM_VALUE = StructType([StructField(n, StringType(), True) for n in (
 
 def read_source(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
                 options: dict | None = None) -> DataFrame:
-    """A streaming source with a ``value`` column (Kafka, or text files for tests)."""
-    r = spark.readStream.format(fmt).options(**(options or {}))
+    """A streaming source with a ``value`` column (Kafka, or text files for tests).
+
+    A first run on Kafka starts with the backlog unless ``options`` says otherwise.
+    """
     if fmt == "kafka":
-        return r.load()
-    return r.load(path)
+        return spark.readStream.format(fmt).options(**{"startingOffsets": "earliest", **(options or {})}).load()
+    return spark.readStream.format(fmt).options(**(options or {})).load(path)
 
 
 def parse_values(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -47,7 +50,7 @@ def parse_values(raw: DataFrame, value: str = "value") -> DataFrame:
     rec = F.from_json(text, STREAM_VALUE, {"mode": "PERMISSIVE"})
     return raw.select(text.alias("raw_value"), rec.alias("r")).select(
         "raw_value",
-        F.trim(F.col("r.ip_address")).alias("ip_address"),
+        strip(F.col("r.ip_address")).alias("ip_address"),
         F.col("r.country_code").alias("country_code"),
         safe_int("r.abuse_confidence_score", None).alias("abuse_confidence_score"),
         F.col("r.last_reported_at").alias("last_reported_at"),
@@ -57,8 +60,11 @@ def parse_values(raw: DataFrame, value: str = "value") -> DataFrame:
 
 def make_batch_fn(stores: list[ProfileStore], pulses: Callable[[], DataFrame],
                   geo: Callable[[], DataFrame], dead_letter_path: str | None = None,
-                  run_ts: str | None = None):
-    """The ``foreachBatch`` callback; snapshot loaders are called once per batch."""
+                  run_ts: str | None = None, writer: str = "stream"):
+    """The ``foreachBatch`` callback; snapshot loaders are called once per batch.
+
+    ``writer`` names the query to the stores: its batch numbers are its own.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -74,7 +80,7 @@ def make_batch_fn(stores: list[ProfileStore], pulses: Callable[[], DataFrame],
             profiles = profiles.persist()
             try:
                 for store in stores:
-                    store.merge(profiles, batch_id, run_ts)
+                    store.merge(profiles, batch_id, run_ts, writer)
             finally:
                 profiles.unpersist()
         finally:
@@ -87,9 +93,13 @@ def start_enrichment(spark: SparkSession, source: DataFrame, stores: list[Profil
                      pulses: Callable[[], DataFrame], geo: Callable[[], DataFrame],
                      checkpoint: str, dead_letter_path: str | None = None,
                      trigger: dict | None = None, run_ts: str | None = None):
-    """Start the append-mode micro-batch query; returns the StreamingQuery."""
+    """Start the append-mode micro-batch query; returns the StreamingQuery.
+
+    The writer's name is the checkpoint's path: a query with a new checkpoint numbers
+    its batches anew and is a new writer.
+    """
     parsed = parse_values(source)
-    w = (parsed.writeStream.foreachBatch(make_batch_fn(stores, pulses, geo, dead_letter_path, run_ts))
+    w = (parsed.writeStream.foreachBatch(make_batch_fn(stores, pulses, geo, dead_letter_path, run_ts, f"stream:{checkpoint}"))
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if trigger:
         w = w.trigger(**trigger)

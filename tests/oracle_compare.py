@@ -86,7 +86,7 @@ def main(argv):
     names = [a for a in argv[1:] if not a.startswith("/")]
     import __spark_entry__ as E
     from ipscope.session import get_session
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session(f"local[{os.environ.get('CPUS', '8')}]", shuffle_partitions=8)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = 0
     for name, fn in qs.items():
