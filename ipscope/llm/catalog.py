@@ -83,15 +83,7 @@ def op9_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lexicon = bpe_lexicon.build_lexicon(docs, BYTE_BPE)
-    return bpe_digests(bpe_lexicon.decode(bpe_lexicon.encode(docs, BYTE_BPE, lexicon), BYTE_BPE))
-
-
-def bpe_digests(decoded: DataFrame) -> DataFrame:
-    """Counts and digests of ``ids`` and ``decoded``."""
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe_lexicon.digests(bpe_lexicon.decode(bpe_lexicon.encode(docs, BYTE_BPE, lexicon), BYTE_BPE))
 
 
 _QUERIES = {

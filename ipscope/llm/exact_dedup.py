@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ipscope.llm.common import ASCII_SPACE, shuffle_partitions, staged
@@ -71,3 +71,16 @@ class DigestIndex:
             "doc_id", "keep_id", F.col("n_rows").alias("group_size"),
             F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"))
+
+    def keep(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+        """The rows of ``docs`` that stay, columns unchanged: one for each text that is new to the index.
+
+        Of rows that repeat both doc_id and normalised text one stays, of those with
+        the most code points.
+        """
+        stays = self.add(docs, doc_id, text).filter("kept").select(
+            F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")).distinct()
+        rows = docs.withColumn("__digest", digest_of(F.col(text))).join(
+            stays, (F.col("__digest") == F.col("__sha")) & F.col(doc_id).eqNullSafe(F.col("__id")))
+        turn = Window.partitionBy("__sha", "__id").orderBy(F.char_length(text).desc_nulls_last(), F.xxhash64(*docs.columns))
+        return rows.withColumn("__turn", F.row_number().over(turn)).filter("__turn = 1").select(*docs.columns)

@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ipscope.llm.common import slices, staged
 
@@ -240,40 +241,44 @@ class TextScorer:
         return out
 
 
-def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Language of every whole text: doc_id, lang_pred, score.
+def label(docs: DataFrame, model: LanguageModel, text: str = "text", lang: str = "lang_pred",
+          score: str = "score") -> DataFrame:
+    """The rows of ``docs`` with the language of their whole text and its score added.
 
     score is the posterior of the predicted language with all languages alike
     beforehand.  A text that is null or has no letter, and any text where the model
     knows no language, gives ``und`` with score 0; of equal scores the first
-    language by name is taken.  One row per input row; repeated rows repeat, null
-    doc_ids stay null; nothing but the text is used.
+    language by name is taken.  Repeated rows repeat; nothing but the text is used.
+    ``lang`` and ``score`` must be no columns of ``docs``.
     """
-    id_type = docs.schema[doc_id].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast((model.pieces, model.prob))  # vocabulary times languages
-    languages = model.languages
-    key = uuid.uuid4().hex
+    languages, key = model.languages, uuid.uuid4().hex
+    schema = StructType([*docs.schema.fields, StructField(lang, StringType()), StructField(score, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if languages and key not in TextScorer._open:
             TextScorer._open.clear()
             TextScorer._open[key] = TextScorer(Segmenter(*shared.value))
-        for b in slices(batches, "text"):
+        for b in slices(batches, text):
             names, best = ["und"] * b.num_rows, np.zeros(b.num_rows)
             if languages:
-                found = TextScorer._open[key].score([x or "" for x in b.column("text").to_pylist()])
+                column = b.column(b.schema.get_field_index(text))
+                found = TextScorer._open[key].score([x or "" for x in column.to_pylist()])
                 log = found[:, :-1]
                 top = log.argmax(axis=1)
-                with np.errstate(over="ignore"):
-                    odds = np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)
+                odds = np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)
                 known = found[:, -1] > 0
                 names = [languages[t] if k else "und" for t, k in zip(top, known)]
                 best = np.where(known, 1.0 / odds, 0.0)
-            yield _with_schema({"doc_id": b.column("doc_id"), "lang_pred": pa.array(names, pa.string()),
-                                "score": pa.array(best, pa.float64())})
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(best, pa.float64())],
+                                             names=[*b.schema.names, lang, score])
 
-    return (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-            .mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double"))
+    return docs.mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Language of every whole text: doc_id, lang_pred, score; as ``label`` gives them."""
+    return label(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), model).drop("text")
 
 
 def held_out(doc_id: Column) -> Column:
