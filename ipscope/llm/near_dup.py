@@ -260,7 +260,7 @@ def _wanted(blocks: DataFrame, trees: int, spark) -> DataFrame:
             if keep.any():
                 yield from table.filter(pa.array(keep)).select(["key", "tree", "side", "rep", "copies", "labels"]).to_batches()
 
-    n = 2 * shuffle_partitions(spark)
+    n = shuffle_partitions(spark)
     return staged(blocks.repartition(n, "key").sortWithinPartitions("key", "rep").select(
         "key", "tree", "side", "rep", "copies", "labels").mapInArrow(
         run, "key long, tree int, side int, rep long, copies long, labels binary"), "wanted_members")
@@ -318,6 +318,6 @@ def _verify(ids: DataFrame, wanted: DataFrame, words: int, threshold: tuple[int,
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)],
                                                  names=["rep", "links", "root"])
 
-    n = 2 * shuffle_partitions(spark)
+    n = shuffle_partitions(spark)
     return staged(dealt.repartition(n, "key").sortWithinPartitions("key", "rep").mapInArrow(
         run, "rep long, links long, root long"), "verified_links")
