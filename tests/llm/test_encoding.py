@@ -31,8 +31,7 @@ def lexicon_encoder(tmp_path_factory):
     path.write_bytes(bpe_lexicon.compile_lexicon(dict(zip(words, merges.merge(words)))))
     encoder = bpe_lexicon.LexiconEncoder.__new__(bpe_lexicon.LexiconEncoder)
     encoder.merges, encoder.lexicon = merges, bpe_lexicon.Lexicon(str(path))
-    encoder.special = {x: np.int32(i).tobytes() for x, i in merges.special.items()}
-    encoder.column = pieces.ColumnEncoder(encoder._pieces, "<i4", 1000)
+    encoder.column = pieces.ColumnEncoder(encoder.words, "<i4", list(merges.special), 1000)
     return encoder
 
 
