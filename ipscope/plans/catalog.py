@@ -309,6 +309,32 @@ def q_snapshot_write_read(spark, sf_dir):
     return latest_processed(spark, root).drop("run_id")
 
 
+def q_envelope_records(spark, sf_dir):
+    """One small document per report, as an envelope, a bare list, without data, or no JSON."""
+    from ipscope.sources.snapshots import parse_envelope_text
+    raw = standin.raw_abuse_json(spark, sf_dir)
+    text = (F.when(F.col("pos") % 4 == 0, F.concat(F.lit('{"source":"feed","ingestion_time":"t","record_count":1,"data":['), "value", F.lit("]}")))
+            .when(F.col("pos") % 4 == 1, F.concat(F.lit(" ["), "value", F.lit(","), "value", F.lit("]")))
+            .when(F.col("pos") % 4 == 2, F.lit('{"source":"feed"}')).otherwise(F.lit("no json")))
+    docs = raw.select(F.col("pos").alias("doc"), text.alias("value"))
+    return parse_envelope_text(docs, S.RAW_ABUSE_RECORD).select(
+        "doc", "pos", F.col("envelope_source").alias("source"), F.col("ipAddress").alias("ip_address"))
+
+
+def q_raw_snapshot(spark, sf_dir):
+    """K1/S3: two raw snapshots with their envelopes written, the newer one twice, and read back."""
+    from ipscope.session import scratch_path
+    from ipscope.sinks.store import read_raw_snapshot, write_raw_snapshot
+    root = scratch_path(spark, "raw")
+    raw = raw_abuse(spark, sf_dir).drop("pos")
+    write_raw_snapshot(raw.limit(1), root, PREV_RUN_TS, "feed")
+    for _ in range(2):
+        write_raw_snapshot(raw, root, RUN_TS, "feed")
+    return read_raw_snapshot(spark, root, raw.schema).select(
+        "source", "ingestion_time", "record_count", F.col("ipAddress").alias("ip_address"),
+        F.col("lastReportedAt").alias("last_reported_at"))
+
+
 def q_state_gate(spark, sf_dir):
     """The gate before and after a commit, and the committed state in order of IP."""
     from ipscope.session import scratch_path
@@ -511,4 +537,6 @@ _QUERIES = {
         "dual_save": q_dual_save,
         "snapshot_write_read": q_snapshot_write_read,
         "state_gate": q_state_gate,
+        "envelope_records": q_envelope_records,
+        "raw_snapshot": q_raw_snapshot,
 }

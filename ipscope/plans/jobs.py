@@ -25,20 +25,24 @@ from ipscope.operators.normalize import normalize_abuse, normalize_state
 from ipscope.sinks.state import SnapshotGate
 from ipscope.sinks.store import ProfileStore, publish_json, save_profiles, snapshot_manifest, write_snapshot
 from ipscope.session import checkpoint_root
-from ipscope.sources.snapshots import newest_file, read_envelope
+from ipscope.sources.snapshots import newest_file, read_envelope, read_json_lines
 
 
 def run_daily(spark: SparkSession, raw_root: str, processed_root: str, state_path: str,
               publish_path: str | None, run_ts: str, publish_format: str = "text",
-              publish_options: dict | None = None) -> dict:
+              publish_options: dict | None = None, raw_format: str = "envelope") -> dict:
     """Gate, transform and publish the newest raw blacklist snapshot.
 
+    ``raw_format`` is ``envelope`` (one JSON document, one task) or ``lines`` (JSON
+    lines, read by as many tasks as the file has splits).
+
     Returns a small summary dict (one bounded row of counters).
     """
     raw_path = newest_file(spark, raw_root, ".json")
     if raw_path is None:
         raise FileNotFoundError(f"no raw blacklist snapshot under {raw_root}")  # S11
-    raw = read_envelope(spark, raw_path, S.RAW_ABUSE_RECORD).persist()
+    read = {"envelope": read_envelope, "lines": read_json_lines}[raw_format]
+    raw = read(spark, raw_path, S.RAW_ABUSE_RECORD).persist()
     try:
         gate = SnapshotGate(spark, state_path)
         decision = gate.detect(normalize_state(raw)).first().asDict()

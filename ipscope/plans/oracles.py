@@ -509,6 +509,12 @@ FROM n"""
     o["snapshot_write_read"] = V + (
         f"SELECT ip_address, country_code, abuse_confidence_score, last_reported_at, {q(RUN_TS)} AS ingestion_time, "
         f"{q(RUN_TS)} AS processed_at, '2024' AS year, '02' AS month, '01' AS day FROM v_abuse")
+    o["envelope_records"] = V + (
+        "SELECT pos AS doc, 0 AS pos, 'feed' AS source, ip_address FROM v_abuse WHERE pos % 4 = 0 UNION ALL "
+        "SELECT a.pos, p.pos, NULL, ip_address FROM v_abuse a, (VALUES (0), (1)) p(pos) WHERE a.pos % 4 = 1")
+    o["raw_snapshot"] = V + (
+        f"SELECT 'feed' AS source, {q(RUN_TS)} AS ingestion_time, (SELECT count(*) FROM v_abuse) AS record_count, "
+        "ip_address, last_reported_at FROM v_abuse")
     o["state_gate"] = diff + (
         "SELECT 'same' AS step, false AS changed, 0 AS new_ip_count, 0 AS changed_ip_count, 0 AS removed_ip_count "
         "UNION ALL SELECT 'next', true, count(*) FILTER (WHERE change = 'new'), count(*) FILTER (WHERE change = 'changed'), "

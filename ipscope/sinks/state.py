@@ -80,7 +80,7 @@ class SnapshotGate:
         if "pos" in cur.columns:
             cur = last_wins(cur.select("pos", *STATE_COLUMNS)).drop("pos")
         cur = cur.select(*STATE_COLUMNS)
-        cur.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        cur.sort("ip_address").write.mode("overwrite").parquet(f"{self.path}/v={version}")  # T3
         fp = fingerprint(current.select(*STATE_COLUMNS)).first()
         (self.spark.createDataFrame([(version, generated_at, source_object_name,
                                       int(fp.record_count), fp.fingerprint)], MANIFEST)

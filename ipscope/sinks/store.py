@@ -329,6 +329,30 @@ def write_snapshot(df: DataFrame, root: str, run_ts: str, fmt: str = "parquet",
     return root
 
 
+def write_raw_snapshot(df: DataFrame, root: str, run_ts: str, source: str) -> str:
+    """K1: a raw snapshot as JSON lines, and its envelope (source, ingestion time, record count) beside it.
+
+    The envelope is one row under ``_envelopes/run_id=<id>``, so records are written and
+    read by many tasks; it is written last and names a complete snapshot.  Writing a
+    run again replaces both.
+    """
+    run_id = re.sub(r"[^0-9]", "", run_ts)[:14]
+    write_snapshot(df, f"{root}/records", run_ts, "json", run_id)
+    written = df.sparkSession.read.schema(df.schema).json(f"{root}/records/*/*/*/run_id={run_id}")
+    (snapshot_manifest(written, source, run_ts).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").json(f"{root}/_envelopes/run_id={run_id}"))
+    return root
+
+
+def read_raw_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """The records of the newest complete raw snapshot, with its envelope's fields."""
+    envelope = spark.read.schema("source string, ingestion_time string, record_count long, run_id string").json(f"{root}/_envelopes")
+    newest = envelope.orderBy(F.col("run_id").desc()).limit(1)
+    fields = StructType([*schema.fields, StructField("run_id", StringType(), True)])
+    records = spark.read.schema(fields).json(f"{root}/records")
+    return records.join(F.broadcast(newest), "run_id").drop("run_id")  # one row
+
+
 def snapshot_manifest(df: DataFrame, source: str, ingestion_time: str) -> DataFrame:
     """K3/A3: one-row ``(source, ingestion_time, record_count)``."""
     return df.agg(F.count("*").alias("record_count")).select(
