@@ -1,13 +1,17 @@
 """Exact dedup, mixing, language ID, licences, quality and the pipeline."""
 
 import hashlib
+import math
 import re
 import zlib
 
 import numpy as np
 import pytest
+import regex
 from helpers import documents, empty, rows, words
 from oracle_compare import compare
+from test_pairs import brute_near
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ipscope.llm import catalog, language, licenses, mixing, quality
@@ -205,6 +209,52 @@ def test_pipeline_stages(spark):
     assert set(docs.columns) >= {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"}
 
 
+def brute_mix(docs):
+    """Copies of each (doc_id, source, size), drawn in plain Python."""
+    by = {}
+    for i, text, source in docs:
+        by.setdefault((source is None, source or ""), []).append((len(re.findall(r"[^\x20\x09-\x0d]+", text)), i))
+    weights = {k: (5.0, 2.0, 1.0)[n % 3] for n, k in enumerate(sorted(by, key=lambda k: (k[0], k[1].encode())))}
+    sizes = {k: sum(n for n, _ in v) for k, v in by.items()}
+    target, left, free = {}, 1.5 * sum(sizes.values()), set(by)
+    while free:
+        level = left / sum(weights[k] for k in free)
+        over = {k for k in free if weights[k] * level > 2 * sizes[k]}
+        for k in over or free:
+            target[k] = 2.0 * sizes[k] if over else weights[k] * level
+            left -= target[k] if over else 0
+        free = free - over if over else set()
+    out = {}
+    for k, v in by.items():
+        rate = target[k] / sizes[k] if sizes[k] else 0.0
+        u = int(hashlib.md5(f"mix{int(k[0])}{k[1]}".encode()).hexdigest()[:6], 16) / 2 ** 24
+        v.sort(key=lambda x: (x[0], hashlib.md5(str(x[1]).encode()).hexdigest(), x[1]))
+        for rank, (_, i) in enumerate(v):
+            out[i] = math.floor((rank + 1) * rate + u) - math.floor(rank * rate + u)
+    return out
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs = [(r.doc_id, r.text, r.source) for r in table(spark, SF, "documents").collect()]
+    docs = [d for d in docs if d[1] and regex.search(r"\p{L}", d[1])]
+    best = {}
+    for d in docs:
+        k = squeezed(d[1])
+        best[k] = min(best.get(k, d), d, key=lambda x: (-len(x[1]), x[0]))
+    docs = list(best.values())
+    near = brute_near([d[:2] for d in docs])
+    docs = [d for d in docs if near[d[0]][0] == d[0]]
+    copies = brute_mix(docs)
+    tokenizer = Tokenizer.from_file(catalog.BYTE_BPE)
+    want = []
+    for i, text, _ in docs:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        row = (i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+        want += [row] * copies[i]
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == sorted(want)
+
+
 def test_pipeline_stages_take_odd_and_empty_tables(spark):
     for make in (documents, empty):
         docs = make(spark)
