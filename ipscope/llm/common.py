@@ -82,7 +82,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) ->
 class WordHashes(dict):
     """64-bit hashes of words; a worker keeps those of up to ``most`` words, then starts anew."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 
@@ -105,3 +105,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+_HELD: dict = {}
+
+
+def held(owner: str, key, make):
+    """What an operator keeps in a worker between tasks; one operator at a time keeps anything.
+
+    Workers serve one job after another, and what two operators hold must not add up.
+    """
+    if _HELD.get("owner") != owner:
+        _HELD.clear()
+        _HELD["owner"] = owner
+        pa.default_memory_pool().release_unused()
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ipscope.llm.common import slices, staged
+from ipscope.llm.common import held, slices, staged
 
 LETTERS = regex.compile(r"\p{L}+")
 START = "▁"  # the vocabulary's mark before a word
@@ -204,9 +204,7 @@ def fit(docs: DataFrame, vocabulary_path: str, text: str = "text", lang: str = "
 class TextScorer:
     """Scores texts; a worker keeps the scores of up to ``most`` distinct tokens, then starts anew."""
 
-    _open: dict[str, "TextScorer"] = {}
-
-    def __init__(self, segmenter: Segmenter, most: int = 300_000):
+    def __init__(self, segmenter: Segmenter, most: int = 150_000):
         self.segmenter, self.most, self.wide = segmenter, most, segmenter.prob.shape[1] + 1
         self.place: dict[str, int] = {}
         self.scores = np.zeros((0, self.wide))
@@ -256,14 +254,12 @@ def label(docs: DataFrame, model: LanguageModel, text: str = "text", lang: str =
     schema = StructType([*docs.schema.fields, StructField(lang, StringType()), StructField(score, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if languages and key not in TextScorer._open:
-            TextScorer._open.clear()
-            TextScorer._open[key] = TextScorer(Segmenter(*shared.value))
+        scorer = held("language", key, lambda: TextScorer(Segmenter(*shared.value))) if languages else None
         for b in slices(batches, text):
             names, best = ["und"] * b.num_rows, np.zeros(b.num_rows)
             if languages:
                 column = b.column(b.schema.get_field_index(text))
-                found = TextScorer._open[key].score([x or "" for x in column.to_pylist()])
+                found = scorer.score([x or "" for x in column.to_pylist()])
                 log = found[:, :-1]
                 top = log.argmax(axis=1)
                 odds = np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ipscope.llm.common import WordHashes, mix64, shuffle_partitions, slices, staged
+from ipscope.llm.common import WordHashes, held, mix64, shuffle_partitions, slices, staged
 from ipscope.llm.links import components
 
 ASCII_WHITE = "\x20\t\n\x0b\x0c\r"
@@ -179,7 +179,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ids = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer, hashes = Signer(trees, length), WordHashes()
+        signer, hashes = Signer(trees, length), held("shingles", "words", WordHashes)
         for b in slices(batches, "text"):
             sets = shingles([x or "" for x in b.column("text").to_pylist()], words, hashes)
             full = [i for i, s in enumerate(sets) if len(s)]
@@ -274,7 +274,7 @@ def _verify(ids: DataFrame, wanted: DataFrame, words: int, threshold: tuple[int,
         "rep", "copies", "labels", "blocks", "text")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = held("shingles", "words", WordHashes)
         for b in slices(batches, "text"):
             sets = [s.tobytes() for s in shingles([x or "" for x in b.column("text").to_pylist()], words, hashes)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rep", "copies", "labels", "blocks")),
