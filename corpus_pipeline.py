@@ -49,8 +49,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes every text and decodes it again: doc_id, n_tokens, ids, ids_sha256, decoded_sha256."""
     lexicon = bpe_lexicon.build_lexicon(docs, BYTE_BPE)
-    decoded = bpe_lexicon.decode(bpe_lexicon.encode(docs, BYTE_BPE, lexicon), BYTE_BPE)
-    return bpe_lexicon.digests(decoded, "ids")
+    return bpe_lexicon.digests(bpe_lexicon.round_trip(docs, BYTE_BPE, lexicon), "ids")
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),

@@ -8,33 +8,26 @@ memory-map it.  Words it does not accept are merged exactly by rank.
 
 from __future__ import annotations
 
-import heapq
 import json
 import mmap
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
+import tiktoken
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ipscope.llm.common import slices, staged
-from ipscope.llm.pieces import Memo, cut
+from ipscope.llm.common import _HELD, held, slices, staged
+from ipscope.llm.pieces import ColumnEncoder, cut_column, words_column
 from ipscope.session import scratch_path
 
-#: Longest word, in bytes, of the automaton and of merging many words at once.
-WORD_BYTES = 32
-NONE = np.iinfo(np.int32).max
-
-# The pattern of byte-level BPE (fixed value), with its white space spelled out.
-_S = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WORDS = regex.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+WORD_BYTES = 32  # longest word of the automaton
 
 
 def byte_letters() -> dict[str, int]:
@@ -47,14 +40,11 @@ def byte_letters() -> dict[str, int]:
 class Merges:
     """Vocabulary and merge ranks of a byte-level BPE file; exact merging of words."""
 
-    _open: dict[str, "Merges"] = {}
-
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters, vocab = byte_letters(), spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.special_cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         size = max([*vocab.values(), *self.special.values()]) + 1
         spelled = [b""] * size
         for token, i in vocab.items():
@@ -64,89 +54,20 @@ class Merges:
         self.lengths = np.array([len(x) for x in spelled], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
-        self.byte_ids = np.zeros(256, np.int32)
-        for c, b in letters.items():
-            self.byte_ids[b] = vocab[c]
+        ranks = {x: i for i, x in enumerate(spelled) if x and i not in self.special.values()}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-        self.pairs = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in reversed(list(enumerate(pairs)))}
-        keys = np.array([a << 32 | b for a, b in self.pairs], np.int64)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        found = np.array(list(self.pairs.values()), np.int32).reshape(-1, 2)[order]
-        self.ranks, self.merged = found[:, 0], found[:, 1]
+        made = [vocab[a + b] for a, b in pairs]
+        if any(x >= y for x, y in zip(made, made[1:])):
+            raise ValueError(f"{path}: ids do not follow the order of the merges")
+        self.merger = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
     def at(cls, path: str) -> Merges:
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
-
-    def _find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and result of each pair; NONE where it is no merge."""
-        key = left.astype(np.int64) << 32 | right.astype(np.int64)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.ranks[at], NONE), self.merged[at]
-
-    def merge_long(self, word: bytes) -> list[int]:
-        """Ids of one word of any length: lowest rank first, then leftmost, on a heap."""
-        ids = self.byte_ids[np.frombuffer(word, np.uint8)].tolist()
-        after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-        heap = [(self.pairs[p][0], i, p) for i in range(len(ids) - 1) if (p := (ids[i], ids[i + 1])) in self.pairs]
-        heapq.heapify(heap)
-        while heap:
-            _, i, pair = heapq.heappop(heap)
-            j = after[i]
-            if j < 0 or (ids[i], ids[j]) != pair:
-                continue
-            ids[i], ids[j], after[i] = self.pairs[pair][1], -1, after[j]
-            if after[i] >= 0:
-                before[after[i]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (p := (ids[a], ids[b])) in self.pairs:
-                    heapq.heappush(heap, (self.pairs[p][0], a, p))
-        return [x for x in ids if x >= 0]
-
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of many words: each round merges the lowest-ranked, leftmost pair of every word."""
-        out: list = [None] * len(words)
-        short = []
-        for i, w in enumerate(words):
-            if len(w) <= WORD_BYTES:
-                short.append(i)
-            else:
-                out[i] = self.merge_long(w)
-        short.sort(key=lambda i: len(words[i]))
-        for begin in range(0, len(short), 4096):
-            rows = short[begin:begin + 4096]
-            size = np.array([len(words[i]) for i in rows])
-            wide = int(size[-1])
-            ids = np.full((len(rows), wide + 1), -1, np.int32)
-            ids[:, :wide][np.arange(wide) < size[:, None]] = self.byte_ids[
-                np.frombuffer(b"".join(words[i] for i in rows), np.uint8)]
-            rank, _ = self._find(ids[:, :-1], ids[:, 1:])
-            who, columns = np.arange(len(rows)), np.arange(wide)
-            while len(who):
-                at = rank.argmin(axis=1) if wide else np.zeros(len(who), np.int64)
-                go = rank[np.arange(len(who)), at] < NONE if wide else np.zeros(len(who), bool)
-                for k in np.flatnonzero(~go):
-                    out[rows[who[k]]] = ids[k, :size[who[k]]].tolist()
-                who, at, ids, rank = who[go], at[go], ids[go], rank[go]
-                if not len(who):
-                    break
-                n = np.arange(len(who))
-                _, joined = self._find(ids[n, at], ids[n, at + 1])
-                shift = columns + (columns > at[:, None])
-                ids[:, :-1] = np.take_along_axis(ids, shift, axis=1)
-                ids[:, -1] = -1
-                ids[n, at] = joined
-                rank = np.take_along_axis(np.pad(rank, ((0, 0), (0, 1)), constant_values=NONE), shift, axis=1)
-                size[who] -= 1
-                rank[n, at], _ = self._find(joined, ids[n, at + 1])
-                left = np.maximum(at - 1, 0)
-                found, _ = self._find(ids[n, left], joined)
-                rank[n, left] = np.where(at > 0, found, rank[n, left])
-        return out
+        return held("lexicon", path, lambda: cls(path))
+
+    def merge(self, words: list[str]) -> list[list[int]]:
+        """Ids of words: the pair of lowest rank, then leftmost, is merged until none is left."""
+        return [self.merger.encode_ordinary(w) for w in words]
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """Texts of consecutive runs of ids; bytes that are no UTF-8 become U+FFFD."""
@@ -220,8 +141,6 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
 class Lexicon:
     """A compiled automaton, memory-mapped."""
 
-    _open: dict[str, "Lexicon"] = {}
-
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
@@ -232,12 +151,6 @@ class Lexicon:
             at += 8 * int(n)
         self.keys, self.next, self.add, self.final, self.offsets, self.ids = parts
 
-    @classmethod
-    def at(cls, name: str) -> Lexicon:
-        if name not in cls._open:
-            cls._open.clear()  # one automaton at a time stays mapped
-            cls._open[name] = cls(SparkFiles.get(name))
-        return cls._open[name]
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Place of each word, -1 where the automaton does not accept it; all words advance together."""
@@ -267,71 +180,50 @@ class Lexicon:
 class LexiconEncoder:
     """Ids of texts: automaton first, exact merging for the words it does not accept."""
 
-    _open: dict[tuple, "LexiconEncoder"] = {}
-
-    def __init__(self, tokenizer: str, lexicon: str):
-        self.merges, self.lexicon = Merges.at(tokenizer), Lexicon.at(lexicon)
-        self.first, self.later = Memo(self._pieces, ""), Memo(self._pieces, " ")
+    def __init__(self, tokenizer: str, lexicon: str, most: int = 100_000):
+        self.name, self.merges, self.lexicon = lexicon, Merges.at(tokenizer), Lexicon(SparkFiles.get(lexicon))
+        self.column = ColumnEncoder(self.words, "<i4", list(self.merges.special), most)
 
     @classmethod
     def at(cls, tokenizer: str, lexicon: str) -> LexiconEncoder:
-        if (tokenizer, lexicon) not in cls._open:
-            cls._open.clear()
-            cls._open[tokenizer, lexicon] = cls(tokenizer, lexicon)
-        return cls._open[tokenizer, lexicon]
+        old = held("lexicon", "encoder", lambda: cls(tokenizer, lexicon))
+        if old.name != lexicon:  # one automaton at a time stays mapped
+            del _HELD["encoder"]
+        return held("lexicon", "encoder", lambda: cls(tokenizer, lexicon))
 
     def words(self, words: list[str]) -> list[bytes]:
-        raw = [w.encode() for w in words]
-        place = self.lexicon.places(raw)
-        unseen = np.flatnonzero(place < 0)
-        merged = iter(self.merges.merge([raw[i] for i in unseen]))
-        offsets, ids = self.lexicon.offsets, self.lexicon.ids.astype(np.int32)
-        return [ids[offsets[p]:offsets[p + 1]].tobytes() if p >= 0 else np.array(next(merged), np.int32).tobytes()
-                for p in place.tolist()]
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        found = [WORDS.findall(p) for p in pieces]
-        distinct = list(set().union(*found))
-        ids = dict(zip(distinct, self.words(distinct)))
-        return [b"".join(map(ids.__getitem__, ws)) for ws in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        special, breaks = self.merges.special, self.merges.special_cut
-        runs = [breaks.split(x) if breaks and breaks.search(x) else [x] for x in texts]
-        parts = [[None if breaks and k % 2 else cut(x) for k, x in enumerate(run)] for run in runs]
-        plain = [p for run in parts for p in run if p is not None]
-        first = self.first.covering({p[0] for p in plain})
-        later = self.later.covering(set().union(*(p[1:] for p in plain))).__getitem__
-        return [b"".join(np.int32(special[x]).tobytes() if p is None else first[p[0]] + b"".join(map(later, p[1:]))
-                         for x, p in zip(run, found)) for run, found in zip(runs, parts)]
-
-
-def word_counts(docs: DataFrame, text: str = "text", held: int = 200_000) -> DataFrame:
+        raw, special = [w.encode() for w in words], self.merges.special
+        place = self.lexicon.places(raw).tolist()
+        unseen = [i for i, p in enumerate(place) if p < 0]
+        merged = iter(self.merges.merge([words[i] for i in unseen]))
+        offsets, ids = self.lexicon.offsets.tolist(), self.lexicon.ids.astype("<i4").tobytes()
+        out = [ids[4 * offsets[p]:4 * offsets[p + 1]] if p >= 0 else array("i", next(merged)).tobytes() for p in place]
+        for i in [i for i in unseen if words[i] in special]:
+            out[i] = array("i", [special[words[i]]]).tobytes()
+        return out
+
+
+def word_counts(docs: DataFrame, text: str = "text", most: int = 150_000) -> DataFrame:
     """Words of all whole texts with their counts (word, n); a task adds up before it sends."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: Counter = Counter()
-        later: Counter = Counter()
+        counted: Counter = Counter()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words: Counter = Counter()
-            for pieces, lead in ((first, ""), (later, " ")):
-                for piece, n in pieces.items():
-                    for w in WORDS.findall(lead + piece):
-                        words[w] += n
-                pieces.clear()
-            for part in range(0, len(words), 1 << 16):
-                keys = list(words)[part:part + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.string()), pa.array([words[k] for k in keys], pa.int64())], names=["word", "n"])
-
-        for b in slices(batches, "text"):
-            for x in b.column("text").to_pylist():
-                parts = cut(x or "")
-                first[parts[0]] += 1
-                later.update(parts[1:])
-            if len(first) + len(later) > held:
+            table = pa.table({"word": pa.array(list(counted), pa.string()), "n": pa.array(list(counted.values()), pa.int64())})
+            counted.clear()
+            yield from table.to_batches(1 << 16)
+
+        for b in slices(batches, "text", 1 << 22):
+            pieces, codes, size = cut_column(b.column("text"))
+            first = np.cumsum(size) - size
+            begin = np.bincount(codes[first], minlength=len(pieces))
+            later = np.bincount(codes, minlength=len(pieces)) - begin
+            whole = pa.concat_arrays([pieces, pc.binary_join_element_wise("", pieces, " ")])
+            names, words, count = words_column(whole, [])
+            times = np.bincount(words, np.repeat(np.concatenate([begin, later]), count), len(names)).astype(np.int64).tolist()
+            counted.update({w: n for w, n in zip(names, times) if n})
+            if len(counted) > most:
                 yield from flush()
         yield from flush()
 
@@ -350,8 +242,9 @@ def build_lexicon(docs: DataFrame, tokenizer: str, text: str = "text", share: fl
     counts = staged(word_counts(docs, text), "word_counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent = counts.filter((F.col("n") >= max(2, total * share)) & (F.octet_length("word") <= WORD_BYTES))
-    words = [r.word.encode() for r in frequent.select("word").collect()]
-    return publish(spark, compile_lexicon(dict(zip(words, Merges.at(tokenizer).merge(words)))))
+    words = [r.word for r in frequent.select("word").collect()]
+    ids = Merges.at(tokenizer).merge(words)
+    return publish(spark, compile_lexicon({w.encode(): i for w, i in zip(words, ids)}))
 
 
 def publish(spark: SparkSession, content: bytes) -> str:
@@ -368,6 +261,32 @@ def publish(spark: SparkSession, content: bytes) -> str:
     return path.rsplit("/", 1)[1]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, lexicon: str) -> Iterator[pa.RecordBatch]:
+    encoder = LexiconEncoder.at(tokenizer, lexicon)
+    for b in slices(batches, "text", 1 << 22):
+        found, counts = encoder.column(b.column("text"))
+        stops = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(stops), pa.array(found))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids], names=["doc_id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
+    merges = Merges.at(tokenizer)
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            b = batch.slice(start, 256)
+            ids = b.column(b.schema.get_field_index("ids"))
+            counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            texts = merges.decode(ids.flatten().to_numpy(zero_copy_only=False), counts.astype(np.int64))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
+                                             names=[*b.schema.names, "decoded"])
+
+
+def _named(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str]:
+    kind = docs.schema[doc_id].dataType.simpleString()
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), f"doc_id {kind}, ids array<int>"
+
+
 def encode(docs: DataFrame, tokenizer: str, lexicon: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Ids of every whole text: doc_id, ids (array of int).
 
@@ -376,33 +295,25 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str, doc_id: str = "doc_id"
     text has no ids.  One row per input row, in any order; repeated rows give
     repeated results, null doc_ids stay null; other columns are not read.
     """
-    id_type = docs.schema[doc_id].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = LexiconEncoder.at(tokenizer, lexicon)
-        for b in slices(batches, "text"):
-            raw = encoder.encode([x or "" for x in b.column("text").to_pylist()])
-            stops = np.concatenate([[0], np.cumsum([len(x) // 4 for x in raw])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(stops), pa.array(np.frombuffer(b"".join(raw), np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids], names=["doc_id", "ids"])
-
-    return (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-            .mapInArrow(run, f"doc_id {id_type}, ids array<int>"))
+    rows, schema = _named(docs, doc_id, text)
+    return rows.mapInArrow(lambda batches: _encoded(batches, tokenizer, lexicon), schema)
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """Texts of id lists: adds column ``decoded``; null ids give an empty text."""
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
+    return encoded.mapInArrow(lambda batches: _decoded(batches, tokenizer), schema)
+
+
+def round_trip(docs: DataFrame, tokenizer: str, lexicon: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one worker per task: doc_id, ids, decoded."""
+    rows, schema = _named(docs, doc_id, text)
+    return rows.mapInArrow(lambda batches: _decoded(_encoded(batches, tokenizer, lexicon), tokenizer), schema + ", decoded string")
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = Merges.at(tokenizer)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                b = batch.slice(start, 256)
-                ids = b.column(b.schema.get_field_index("ids"))
-                counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-                texts = merges.decode(ids.flatten().to_numpy(zero_copy_only=False), counts.astype(np.int64))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
-                                                 names=[*b.schema.names, "decoded"])
-
-    return encoded.mapInArrow(run, schema)
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """Counts and digests of ``ids`` and ``decoded``: doc_id, n_tokens, ids_sha256, decoded_sha256, and ``more`` columns."""
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more)

@@ -83,7 +83,7 @@ def op9_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lexicon = bpe_lexicon.build_lexicon(docs, BYTE_BPE)
-    return bpe_lexicon.digests(bpe_lexicon.decode(bpe_lexicon.encode(docs, BYTE_BPE, lexicon), BYTE_BPE))
+    return bpe_lexicon.digests(bpe_lexicon.round_trip(docs, BYTE_BPE, lexicon))
 
 
 _QUERIES = {

@@ -26,9 +26,9 @@ def tokenizer():
 @pytest.fixture(scope="module")
 def lexicon_encoder(tmp_path_factory):
     merges = bpe_lexicon.Merges.at(catalog.BYTE_BPE)
-    words = [b" the", b" then", b" thence", b"a", b" a", b"\n", b"!!", b" hello", " é".encode()]
+    words = [" the", " then", " thence", "a", " a", "\n", "!!", " hello", " é"]
     path = tmp_path_factory.mktemp("lex") / "words.bin"
-    path.write_bytes(bpe_lexicon.compile_lexicon(dict(zip(words, merges.merge(words)))))
+    path.write_bytes(bpe_lexicon.compile_lexicon({w.encode(): i for w, i in zip(words, merges.merge(words))}))
     encoder = bpe_lexicon.LexiconEncoder.__new__(bpe_lexicon.LexiconEncoder)
     encoder.merges, encoder.lexicon = merges, bpe_lexicon.Lexicon(str(path))
     encoder.column = pieces.ColumnEncoder(encoder.words, "<i4", list(merges.special), 1000)
