@@ -10,6 +10,8 @@ file, on any file system Spark can write.
 
 from __future__ import annotations
 
+import json
+import os
 from array import array
 from collections.abc import Iterator
 
@@ -19,8 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ipscope.llm.common import shuffle_partitions, slices, staged
-from ipscope.llm.pieces import Memo, cut
+from ipscope.llm.common import held, shuffle_partitions, slices, staged
+from ipscope.llm.bpe_lexicon import byte_letters
+from ipscope.llm.pieces import ColumnEncoder
 
 #: Lengths in bytes of the four numbers of each control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
@@ -48,35 +51,49 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 
 class PieceEncoder:
-    """The tokenizers library over the distinct pieces of texts; ids of known pieces are kept."""
+    """The tokenizers library over the distinct words of texts; a worker keeps the ids of words it met again.
 
-    _open: dict[str, "PieceEncoder"] = {}
+    The library splits a text at special tokens and by its pattern, spells each word's
+    bytes as letters and merges them.  Splitting and spelling are done here for many
+    texts at once, and the library's model merges each distinct word.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = 150_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.first, self.later = Memo(self._pieces, ""), Memo(self._pieces, " ")
+        from tokenizers.models import BPE
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, before = spec["model"], spec["pre_tokenizer"]
+        if spec["normalizer"] or before["type"] != "ByteLevel" or before["add_prefix_space"] or model["type"] != "BPE":
+            raise ValueError(f"{path} is no byte-level BPE file")
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.tokenizer = Tokenizer(BPE(model["vocab"], merges, cache_capacity=0))  # known words are kept here
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.letter = {b: c for c, b in byte_letters().items()}
+        self.code = "H" if max([*model["vocab"].values(), *self.special.values()]) < 1 << 16 else "I"
+        self.column = ColumnEncoder(self._encode, "<u2" if self.code == "H" else "<u4", list(self.special), most)
 
     @classmethod
     def at(cls, path: str) -> PieceEncoder:
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        return held("token files", path, lambda: cls(path))
+
+    def _spell(self, word: str) -> str:
+        if word.isascii() and word[1:].isalpha():
+            return (self.letter[ord(word[0])]) + word[1:]
+        return "".join([self.letter[b] for b in word.encode()])
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [array(self.code, e.ids).tobytes() for e in found]
+    def _encode(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([self._spell(w) for w in words], add_special_tokens=False)
+        return [array(self.code, [self.special[w]] if w in self.special else e.ids).tobytes() for w, e in zip(words, found)]
 
-    def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
-        """Ids of each text as little-endian numbers, with ``end`` behind."""
-        parts = [cut(x) for x in texts]
-        first = self.first.covering({p[0] for p in parts})
-        later = self.later.covering(set().union(*(p[1:] for p in parts))).__getitem__
-        return [first[p[0]] + b"".join(map(later, p[1:])) + end for p in parts]
+    def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
+        """Ids of each text as little-endian numbers, with ``end_id`` behind."""
+        ids, counts = self.column(texts)
+        end, wide = array(self.code, [end_id]).tobytes(), self.column.kind.itemsize
+        raw, stops = ids.tobytes(), (np.cumsum(counts) * wide).tolist()
+        return [raw[a:b] + end for a, b in zip([0, *stops], stops)]
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
@@ -94,9 +111,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, doc_id: str =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder.at(tokenizer)
-        end = array(encoder.code, [end_id]).tobytes()
-        for b in slices(batches, "text"):
-            ids = encoder.encode([x or "" for x in b.column("text").to_pylist()], end)
+        for b in slices(batches, "text", 1 << 22):
+            ids = encoder.encode(b.column("text"), end_id)
             wide = 2 if encoder.code == "H" else 4
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(ids, pa.binary()), pa.array([wide] * len(ids), pa.int32())],
