@@ -49,7 +49,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str | None = "label",
-                 threshold: float = 0.93, per_cell: int = 1000, most_sample: int = 20_000, block: int = 512) -> DataFrame:
+                 threshold: float = 0.93, per_cell: int = 1000, most_sample: int = 20_000, block: int = 1024) -> DataFrame:
     """Links and classes of vectors: vec_id, n_links, component_id, kept.
 
     Two vectors with equal, non-null labels (any two where ``label`` is None) are
@@ -61,7 +61,8 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     not linked.  Equal vectors are compared once and counted as often as they occur.
     One row per input row with a vec_id, which should be unique; rows without one give
     none.  The centroids are fitted on about ``most_sample`` vectors picked by a digest of
-    vec_id; ``per_cell`` sets how many cells there are, and ``block`` how many vectors of a
+    vec_id; ``per_cell``, of the most frequent label, sets how many cells there are (a
+    twentieth of the sample at most), and ``block`` how many vectors of a
     cell are compared at once, not how many it holds.  All vectors are compared.
     """
     spark = vectors.sparkSession
@@ -94,8 +95,9 @@ def _links(classes: DataFrame, threshold: float, per_cell: int, most_sample: int
     """Links of the distinct vectors found in each block: rep, links, root."""
     spark = classes.sparkSession
     total = classes.count()
+    largest = classes.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
     place = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
-    cells = max(1, -(-min(total, most_sample) // per_cell), min(most_sample // 20, -(-total // per_cell)))
+    cells = max(1, min(most_sample // 20, -(-largest // per_cell)))
     picked = classes.filter(place < int(min(1.0, most_sample / max(1, total)) * (1 << 30))).select("v").collect()
     centroids = {}  # by length of the vectors; almost always one
     for size in {len(r.v) for r in picked}:
@@ -191,6 +193,6 @@ def _links(classes: DataFrame, threshold: float, per_cell: int, most_sample: int
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)],
                                                  names=["rep", "links", "root"])
 
-    n = 2 * shuffle_partitions(spark)
+    n = shuffle_partitions(spark)
     return staged(with_homes.unionAll(hosts).unionAll(guests).repartition(n, "key").sortWithinPartitions("key", "rep")
                   .mapInArrow(compare, "rep long, links long, root long"), "vector_links")
