@@ -121,16 +121,20 @@ def _examples(plain: list[list[str]], rng: np.random.Generator) -> tuple[list[li
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_paragraphs: int = 4000,
         rounds: int = 150, seed: int = 7) -> LicenseModel:
-    """Train on the templates and at most ``most_paragraphs`` paragraphs of the corpus as unknown.
+    """Train on the templates and about ``most_paragraphs`` paragraphs of the corpus as unknown.
 
-    The paragraphs are the first lines of the documents whose digest of doc_id is
-    smallest; lines that hold a whole template are left out.  A fifth of the examples
+    The paragraphs are the first lines of documents picked by a digest of doc_id, so that
+    about as many reach the driver for any corpus; lines that hold a whole template are
+    left out.  A fifth of the examples
     is held out to calibrate the temperature.  An empty corpus trains on the
     templates alone.
     """
-    first = docs.select(F.md5(F.col(doc_id).cast("string")).alias("h"),
-                        F.substring_index(F.trim(F.col(text)), "\n", 1).alias("line"))
-    sample = first.filter("length(line) > 0").orderBy("h", "line").limit(most_paragraphs).collect()
+    share = min(1.0, most_paragraphs / max(1, docs.count()))
+    place = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(1 << 30))
+    sample = (docs.filter(F.col(doc_id).isNotNull() & (place < F.lit(int(share * (1 << 30)))))
+              .select(F.col(doc_id).alias("id"), F.substring_index(F.trim(F.col(text)), "\n", 1).alias("line"))
+              .filter("length(line) > 0").collect())
+    sample.sort(key=lambda r: (r.id, r.line))
     known = [" ".join(tokens(t)) for ts in TEMPLATES.values() for t in ts]
     plain = [tokens(r.line)[:200] for r in sample]
     plain = [p for p in plain if p and not any(t in " ".join(p) for t in known)]
