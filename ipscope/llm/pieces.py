@@ -8,6 +8,7 @@ is cut and its distinct words found without a Python object per place.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable
 
@@ -125,6 +126,13 @@ class ColumnEncoder:
         """All ids one after another, and the number of ids of each text."""
         if not len(texts):
             return np.zeros(0, self.kind), np.zeros(0, np.int64)
+        gc.disable()  # the many small lists made here hold no cycles to look for
+        try:
+            return self._ids(texts)
+        finally:
+            gc.enable()
+
+    def _ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces, codes, size = cut_column(texts)
         begins = np.cumsum(size) - size
         first = np.zeros(len(codes), bool)

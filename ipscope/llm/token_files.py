@@ -58,7 +58,7 @@ class PieceEncoder:
     texts at once, and the library's model merges each distinct word.
     """
 
-    def __init__(self, path: str, most: int = 150_000):
+    def __init__(self, path: str, most: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
