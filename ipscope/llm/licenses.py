@@ -1,14 +1,16 @@
 """Licence scan by a trained paragraph classifier.
 
-Every line of every text is a paragraph.  A sparse logistic regression over hashed
-word n-grams (one and two words) names the licence family; its probability is
-calibrated on held-out paragraphs with ``unknown`` as a class of its own, and a
-comparison with the family's templates must confirm a named family.
+Consecutive lines with a word are a paragraph, so a notice may be wrapped over lines.
+Every window of lines of a paragraph that a notice could fill, and the whole paragraph,
+is judged: a sparse logistic regression over hashed word n-grams (one and two words)
+names the licence family; its probability is calibrated on held-out lines with
+``unknown`` as a class of its own, and a comparison with the family's templates must
+confirm a named family.  Of windows that hold the same notice the best one is reported.
 """
 
 from __future__ import annotations
 
-import uuid
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,13 +67,22 @@ def pairs(line: str) -> set[tuple[str, ...]]:
     return set(zip(words, words[1:])) or {tuple(words)}
 
 
+#: Words a window may have between its first and last line; a template has at most half as many.
+REACH = 2 * max(len(tokens(t)) for ts in TEMPLATES.values() for t in ts)
+
+
+def two_grams(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Bins of the two-word grams of words with these hashes."""
+    return (mix64(first * np.uint64(5) + mix64(second)) % np.uint64(BINS)).astype(np.int64)
+
+
 def grams(lines: list[list[str]], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bins of the one- and two-word grams of all lines, the line of each, and the lines' numbers of grams."""
     words, size = hashes.of(lines)
     owner = np.repeat(np.arange(len(lines)), size)
     same = owner[1:] == owner[:-1] if len(owner) else np.zeros(0, bool)
     one = (mix64(words) % np.uint64(BINS)).astype(np.int64)
-    two = (mix64(words[:-1] * np.uint64(5) + mix64(words[1:])) % np.uint64(BINS)).astype(np.int64)[same]
+    two = two_grams(words[:-1], words[1:])[same]
     return np.concatenate([one, two]), np.concatenate([owner, owner[:-1][same]]), np.maximum(1, 2 * size - 1)
 
 
@@ -83,6 +94,11 @@ class LicenseModel:
 
     def scores(self, lines: list[list[str]], hashes: WordHashes) -> np.ndarray:
         """Logits of each line: summed gram weights over the root of the number of grams."""
+        out, n = self.sums(lines, hashes)
+        return out / np.sqrt(n)[:, None] + self.bias
+
+    def sums(self, lines: list[list[str]], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+        """Summed gram weights of each line, and the lines' numbers of grams."""
         bins, owner, n = grams(lines, hashes)
         order = np.argsort(owner, kind="stable")
         out = np.zeros((len(lines), len(self.families)))
@@ -90,7 +106,40 @@ class LicenseModel:
         full = np.flatnonzero(counts)
         if len(full):
             out[full] = np.add.reduceat(self.weights[bins[order]], (np.cumsum(counts) - counts)[full], axis=0)
-        return out / np.sqrt(n)[:, None] + self.bias
+        return out, n
+
+    def windows(self, lines: list[list[str]], follows: np.ndarray, hashes: WordHashes
+                ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """First lines, last lines and logits of the windows of all paragraphs, then of the whole paragraphs.
+
+        ``follows`` says of each line that the next one is in its paragraph.  A window has up to
+        ``REACH`` words between its first and last line, however many lines that are.  Grams
+        across line ends count like others.
+        """
+        sums, _ = self.sums(lines, hashes)
+        count = np.array([len(w) for w in lines], np.int64)
+        joints = np.flatnonzero(follows)
+        across = np.zeros_like(sums)
+        if len(joints):
+            ends = np.array([(hashes[lines[i][-1]], hashes[lines[i + 1][0]]) for i in joints], np.uint64)
+            across[joints] = self.weights[two_grams(ends[:, 0], ends[:, 1])]
+        first = last = np.flatnonzero(count)
+        total, size = sums[first], count[first]
+        while len(first):
+            yield first, last, self._logits(total, size)
+            more = follows[last] & (size - count[first] <= REACH)
+            first, last, total, size = first[more], last[more], total[more], size[more]
+            total = total + across[last] + sums[last + 1]
+            last = last + 1
+            size = size + count[last]
+        some = np.flatnonzero(count)
+        if len(some):
+            begins = np.flatnonzero(np.r_[True, ~follows[some[:-1]]])
+            total = np.add.reduceat((sums + across)[some], begins, axis=0)
+            yield some[begins], some[np.r_[begins[1:] - 1, len(some) - 1]], self._logits(total, np.add.reduceat(count[some], begins))
+
+    def _logits(self, total: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return total / np.sqrt(np.maximum(1, 2 * size - 1))[:, None] + self.bias
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         e = np.exp((logits - logits.max(axis=1, keepdims=True)) / self.temperature)
@@ -124,20 +173,28 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_paragr
     """Train on the templates and about ``most_paragraphs`` paragraphs of the corpus as unknown.
 
     The paragraphs are the first lines of documents picked by a digest of doc_id, so that
-    about as many reach the driver for any corpus; lines that hold a whole template are
-    left out.  A fifth of the examples
-    is held out to calibrate the temperature.  An empty corpus trains on the
+    about as many reach the driver for any corpus; lines that hold a whole template, or
+    the beginning of one that is wrapped over the next lines, are left out.  A fifth of
+    the examples is held out to calibrate the temperature.  An empty corpus trains on the
     templates alone.
     """
     share = min(1.0, most_paragraphs / max(1, docs.count()))
     place = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(1 << 30))
     sample = (docs.filter(F.col(doc_id).isNotNull() & (place < F.lit(int(share * (1 << 30)))))
-              .select(F.col(doc_id).alias("id"), F.substring_index(F.trim(F.col(text)), "\n", 1).alias("line"))
+              .select(F.col(doc_id).alias("id"), F.trim(F.col(text)).alias("text"))
+              .select("id", F.substring_index("text", "\n", 1).alias("line"),
+                      F.expr("substring(text, length(substring_index(text, '\n', 1)) + 1, 1000)").alias("rest"))
               .filter("length(line) > 0").collect())
     sample.sort(key=lambda r: (r.id, r.line))
     known = [" ".join(tokens(t)) for ts in TEMPLATES.values() for t in ts]
-    plain = [tokens(r.line)[:200] for r in sample]
-    plain = [p for p in plain if p and not any(t in " ".join(p) for t in known)]
+
+    def holds(line: list[str], rest: list[str]) -> bool:
+        """Whether a template starts in the line."""
+        joined = " ".join(line + rest)
+        return any(0 <= joined.find(t) < len(" ".join(line)) for t in known)
+
+    plain = [(tokens(r.line)[:200], [] if len(tokens(r.line)) > 200 else tokens(r.rest)) for r in sample]
+    plain = [p for p, rest in plain if p and not holds(p, rest)]
     rng = np.random.default_rng(seed)
     lines, labels, families = _examples(plain, rng)
     bins, owner, n = grams(lines, WordHashes())
@@ -175,20 +232,70 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_paragr
     return model
 
 
+def notices(hits: list[tuple[int, int, int, float]], words: list[str], stops: list[int],
+            templates: dict[int, list[set[tuple[str, ...]]]], overlap: float) -> list[tuple[int, int, int, float, float]]:
+    """The notices among the windows of a text: first line, last line, family, probability, overlap; in order.
+
+    ``hits`` are first line, last line, family and probability; ``words`` are those of the whole
+    text and ``stops`` the number of words up to each line's end.  Best first (overlap, then
+    fewer words), every word pair confirms one notice: a window is taken if pairs that no
+    better notice used suffice for ``overlap``.
+    """
+    used: set[int] = set()
+
+    def alike(first: int, last: int, family: int) -> tuple[float, set[int]]:
+        a, z = stops[first - 1] if first else 0, stops[last]
+        places: dict[tuple[str, ...], list[int]] = {}
+        for i in range(a, z - 1):
+            if i not in used:
+                places.setdefault((words[i], words[i + 1]), []).append(i)
+        best = max(templates[family], key=lambda t: len(t & places.keys()) / len(t))
+        both = best & places.keys()
+        return len(both) / len(best), {i for p in both for i in places[p]}
+
+    def entry(first: int, last: int, family: int, p: float) -> tuple | None:
+        share, places = alike(first, last, family)
+        if share < overlap:
+            return None
+        return (-share, stops[last] - (stops[first - 1] if first else 0), first, last, family, p), places
+
+    queue, evidence = [], {}
+    for h in hits:
+        if (e := entry(*h)) is not None:
+            evidence[h] = e[1]
+            queue.append(e[0])
+    heapq.heapify(queue)
+    out = []
+    while queue:
+        top = heapq.heappop(queue)
+        h = top[2:6]
+        if evidence[h] & used:  # less is left for it than when it was queued
+            if (e := entry(*h)) is not None:
+                evidence[h] = e[1]
+                heapq.heappush(queue, e[0])
+            continue
+        used |= evidence[h]
+        out.append((*h, -top[0]))
+    return sorted(out)
+
+
 def scan(docs: DataFrame, model: LicenseModel, doc_id: str = "doc_id", text: str = "text",
          least: float = 0.5, overlap: float = 0.6) -> DataFrame:
-    """Licence paragraphs of every whole text.
+    """Licence notices of every whole text.
 
-    Returns one row per input row: doc_id, n_paragraphs (lines with a word) and found,
-    an array of (start, stop, family, probability, overlap), with character offsets in the
-    text, in order.  A paragraph is found if its most probable class is a family with
+    Returns one row per input row: doc_id, n_paragraphs (runs of consecutive lines with
+    a word) and found, an array of (start, stop, family, probability, overlap), with
+    character offsets in the text, in order; start and stop are those of the notice's
+    lines.  A window of lines is found if its most probable class is a family with
     ``least`` or more, and ``overlap`` or more of the word pairs of one of that
-    family's templates occur in it.  Null and empty texts have no paragraphs.
+    family's templates occur in it; of windows that share these pairs the one with most
+    of them and fewest words counts, and a whole paragraph counts where none of its
+    windows does.  Null and empty texts have no paragraphs.
     Repeated rows repeat; null doc_ids stay null; other columns are not read.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
-    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-    templates = {f: [pairs(t) for t in ts] for f, ts in TEMPLATES.items()}
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    templates = {model.families.index(f): [pairs(t) for t in ts] for f, ts in TEMPLATES.items()}
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("family", pa.string()),
                                ("probability", pa.float64()), ("overlap", pa.float64())]))
 
@@ -199,23 +306,37 @@ def scan(docs: DataFrame, model: LicenseModel, doc_id: str = "doc_id", text: str
             texts = [x or "" for x in b.column("text").to_pylist()]
             parts = [x.split("\n") for x in texts]
             owner = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
-            lines = [x for p in parts for x in p]
-            words = [tokens(x) for x in lines]
+            begins = np.searchsorted(owner, np.arange(len(texts)))
+            words = [tokens(x) for p in parts for x in p]
             some = np.array([len(w) > 0 for w in words])
-            p = model.probabilities(model.scores(words, hashes))
-            best = p.argmax(axis=1)
-            found: list[list[dict]] = [[] for _ in texts]
-            hits = np.flatnonzero(some & (best != unknown) & (p[np.arange(len(lines)), best] >= least))
-            begins = np.cumsum([len(x) + 1 for x in lines])
-            for i in hits:
-                family, mine = model.families[best[i]], pairs(lines[i])
-                alike = max(len(t & mine) / len(t) for t in templates[family])
-                if alike >= overlap:
-                    first = int(begins[i]) - len(lines[i]) - 1
-                    zero = int(begins[np.searchsorted(owner, owner[i]) - 1]) if owner[i] else 0
-                    found[owner[i]].append({"start": first - zero, "stop": first - zero + len(lines[i]), "family": family,
-                                            "probability": float(p[i, best[i]]), "overlap": alike})
-            n = np.bincount(owner[some], minlength=len(texts))
+            follows = np.r_[some[:-1] & some[1:] & (owner[:-1] == owner[1:]), False]
+            paragraph = np.cumsum(some & ~np.r_[False, follows[:-1]])
+            hits: dict[int, list[list[tuple[int, int, int, float]]]] = {}  # of each text: windows, whole paragraphs
+            *windows, whole = [*model.windows(words, follows, hashes)] or [None]
+            for k, found in enumerate((windows, [whole] if whole else [])):
+                for first, last, logits in found:
+                    p = model.probabilities(logits)
+                    best = p.argmax(axis=1)
+                    top = p[np.arange(len(p)), best]
+                    for i in np.flatnonzero((best != unknown) & (top >= least)):
+                        row = int(owner[first[i]])
+                        zero = int(begins[row])
+                        hits.setdefault(row, [[], []])[k].append(
+                            (int(first[i]) - zero, int(last[i]) - zero, int(best[i]), float(top[i])))
+            found = [[] for _ in texts]
+            for row, (narrow, wide) in hits.items():
+                zero, lines = int(begins[row]), parts[row]
+                mine = words[zero:zero + len(lines)]
+                flat = [w for x in mine for w in x]
+                stops = np.cumsum([len(x) for x in mine]).tolist()
+                out = notices(narrow, flat, stops, templates, overlap)
+                known = {paragraph[zero + first] for first, *_ in out}
+                out += notices([h for h in wide if paragraph[zero + h[0]] not in known], flat, stops, templates, overlap)
+                ends = (np.cumsum([len(x) + 1 for x in lines]) - 1).tolist()
+                for first, last, family, p, share in sorted(out):
+                    found[row].append({"start": ends[first] - len(lines[first]), "stop": ends[last],
+                                       "family": model.families[family], "probability": p, "overlap": share})
+            n = np.bincount(owner[some & ~np.r_[False, follows[:-1]]], minlength=len(texts))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(found, kind)],
                                              names=["doc_id", "n_paragraphs", "found"])
 

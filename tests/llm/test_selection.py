@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -162,6 +163,39 @@ def test_licences(spark):
     assert licenses.scan(empty(spark), licenses.fit(empty(spark))).collect() == []
 
 
+def test_licences_wrapped_over_lines(spark):
+    gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+           "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+    headers = {
+        "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+               "following conditions are met:",
+        "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+               "provided that the above copyright notice and this permission notice appear in all copies.",
+        "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+               "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use,",
+        "GPL": gpl, "AGPL": gpl.replace("GNU General", "GNU Affero General")}
+    docs, want = [], {}
+    for k, (family, header) in enumerate(headers.items()):
+        for j, (wide, mark) in enumerate([(72, ""), (72, " * "), (30, "# "), (9, ""), (72, "")]):
+            # alone in a paragraph, between lines of one, and at the beginning of the text
+            before, after = [("x y\n\n", "\n\n"), (words(12, k) + "\n", "\n"), ("", "\n")][j % 3]
+            notice = "\n".join(textwrap.wrap(header, wide, initial_indent=mark, subsequent_indent=mark, break_long_words=False))
+            docs.append((10 * k + j, before + notice + after + words(15, 50 + k)))
+            want[10 * k + j] = (family, len(before), len(before + notice))
+    docs += [(100 + i, "\n".join(words(9, 300 + 7 * i + j) for j in range(9))) for i in range(20)]
+    docs.append((200, "Released under the\nMIT License.\nLicensed under the Apache\nLicense, Version 2.0\n\r\n" + words(9, 1)))
+    docs.append((201, "Released under the MIT License.\n\n\nall rights\n\nreserved"))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(frame, licenses.fit(frame)).collect()}
+    for i, (family, start, stop) in want.items():
+        assert [x.family for x in got[i].found] == [family], (i, got[i])
+        assert start <= got[i].found[0].start < got[i].found[0].stop <= stop and got[i].found[0].overlap == 1.0
+    assert all(not got[100 + i].found for i in range(20))
+    assert [(x.family, x.start, x.stop) for x in got[200].found] == [("MIT", 0, 31), ("Apache-2.0", 32, 78)]
+    assert [x.family for x in got[201].found] == ["MIT"]  # a notice does not go over an empty line
+    assert (got[100].n_paragraphs, got[200].n_paragraphs, got[201].n_paragraphs) == (1, 2, 3)
+
+
 def test_licence_query_finds_the_lines_of_the_corpus(spark):
     docs = {r.doc_id: r.text or "" for r in table(spark, SF, "documents").collect()}
     lines = {"Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
