@@ -25,9 +25,10 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose text is null or has no letter (language ``und``)."""
     model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))), PIECES)
+    if not model.languages:  # no labelled document to learn from: all texts with a letter stay
+        return language.lettered(docs)
     labelled = language.label(docs, model, lang="__lang", score="__score")
-    # Without any labelled document nothing is known of languages, and nothing is dropped.
-    return (labelled.filter("__lang <> 'und'") if model.languages else labelled).select(*docs.columns)
+    return labelled.filter("__lang <> 'und'").select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

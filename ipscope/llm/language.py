@@ -272,6 +272,17 @@ def label(docs: DataFrame, model: LanguageModel, text: str = "text", lang: str =
     return docs.mapInArrow(run, schema)
 
 
+def lettered(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a letter; all others are ``und`` whatever a model knows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text):
+            column = b.column(b.schema.get_field_index(text))
+            yield b.filter(pa.array([LETTERS.search((x or "").lower()) is not None for x in column.to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Language of every whole text: doc_id, lang_pred, score; as ``label`` gives them."""
     return label(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), model).drop("text")

@@ -228,6 +228,14 @@ def test_quality_odd_rows(spark):
     assert quality.resample(quality.weigh(empty(spark), ratio), 4).collect() == []
 
 
+def test_pipeline_drops_texts_without_a_letter_where_no_document_is_labelled(spark):
+    for docs in (documents(spark), documents(spark).withColumn("lang", F.lit(None).cast("string"))):
+        got = corpus_pipeline.language_id(spark, docs, SF)
+        assert got.columns == docs.columns
+        want = [tuple(r) for r in docs.collect() if regex.search(r"\p{L}", r.text or "")]
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want)) and 0 < len(want) < len(rows())
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, SF, "documents")
     names, sizes = docs.columns, []
