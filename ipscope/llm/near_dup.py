@@ -1,9 +1,11 @@
-"""N-gram Jaccard join by an LSH forest of MinHash signatures.
-
-Each text is the set of its five-word shingles.  Every tree of the forest holds the
-signatures' prefixes in sorted order; the prefixes to match are shortened from the
-trees' depth until a pair at the threshold is found with the wanted recall.  Texts
-that share a prefix are candidates, and their similarity is verified on the sets.
+"""N-gram Jaccard join by fixed bands of MinHash signatures.
+
+Each text is the set of its five-word shingles.  This is fixed banding in place of an
+LSH forest: one prefix length for all trees is computed from the trees' depth, the
+threshold and the wanted recall, only the values of that prefix are hashed, into one
+label a tree, and nothing is sorted or shortened per query.  With a fixed threshold a
+forest would match at that same length.  Texts that share a label are candidates, and
+their similarity is verified on the sets.
 
 Texts with equal sets form a class and one member stands for it.  A bucket of any
 size is cut into blocks, and pairs of blocks are verified side by side; only the
