@@ -1,11 +1,12 @@
-"""Removal of long repeated passages by longest-previous-factor arrays.
+"""Removal of long repeated passages by equal windows of ``span`` bytes.
 
 Texts are bytes.  Every string of ``span`` bytes that also starts in a document with
 a smaller id is covered and removed.  Suffixes are dealt to buckets by a minimizer,
 the smallest hash among the k-grams of their first ``span`` bytes, so equal strings
 meet; a run of neighbouring suffixes with one minimizer travels as one segment.  In a
-bucket the suffixes are sorted; the previous and the next one with a smaller document
-give the longest earlier match, of which only "``span`` bytes or more" matters here.
+bucket the windows of ``span`` bytes are sorted and grouped, and a window is covered if
+its group has a smaller document.  This replaces longest-previous-factor arrays: only
+whether the longest earlier match has ``span`` bytes matters, not its length.
 
 Minimizers that occur in one document only cannot belong to a repeat.  They are found
 first, and a filter of fixed size keeps their segments from travelling.
