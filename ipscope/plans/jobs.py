@@ -18,6 +18,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ipscope import schemas as S
 from ipscope.operators.lookup import lookup
@@ -25,7 +26,7 @@ from ipscope.operators.normalize import normalize_abuse, normalize_state
 from ipscope.sinks.state import SnapshotGate
 from ipscope.sinks.store import ProfileStore, publish_json, save_profiles, snapshot_manifest, write_snapshot
 from ipscope.session import checkpoint_root
-from ipscope.sources.snapshots import newest_file, read_envelope, read_json_lines
+from ipscope.sources.snapshots import newest_file, newest_run, read_envelope, read_json_lines, read_run
 
 
 def run_daily(spark: SparkSession, raw_root: str, processed_root: str, state_path: str,
@@ -96,14 +97,11 @@ def run_enrichment_batch(spark: SparkSession, reports: DataFrame, pulses: DataFr
     return profiles
 
 
-def latest_processed(spark: SparkSession, processed_root: str) -> DataFrame:
-    """The newest processed run by partition values (partition pruning, no listing by mtime)."""
-    df = spark.read.parquet(processed_root)
-    newest = df.select("year", "month", "day", "run_id").distinct() \
-        .orderBy(F.col("year").desc(), F.col("month").desc(), F.col("day").desc(), F.col("run_id").desc()) \
-        .limit(1).collect()
-    if not newest:
-        return df.limit(0)
-    r = newest[0]
-    return df.filter((F.col("year") == r.year) & (F.col("month") == r.month) & (F.col("day") == r.day)
-                     & (F.col("run_id") == r.run_id))
+def latest_processed(spark: SparkSession, processed_root: str, schema: StructType = S.ABUSE) -> DataFrame:
+    """The newest processed run, with its ``year``, ``month``, ``day`` and ``run_id`` as written ('02', not 2).
+
+    The newest run is found among the folder names (``newest_run``), so only its files
+    are opened, and the schema is given, so that no session setting can infer another
+    type for a partition column.  No run at all gives an empty table.
+    """
+    return read_run(spark, processed_root, newest_run(spark, processed_root), schema)

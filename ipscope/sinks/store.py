@@ -346,11 +346,13 @@ def write_raw_snapshot(df: DataFrame, root: str, run_ts: str, source: str) -> st
 
 def read_raw_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     """The records of the newest complete raw snapshot, with its envelope's fields."""
-    envelope = spark.read.schema("source string, ingestion_time string, record_count long, run_id string").json(f"{root}/_envelopes")
-    newest = envelope.orderBy(F.col("run_id").desc()).limit(1)
-    fields = StructType([*schema.fields, StructField("run_id", StringType(), True)])
-    records = spark.read.schema(fields).json(f"{root}/records")
-    return records.join(F.broadcast(newest), "run_id").drop("run_id")  # one row
+    envelopes = spark.read.schema("source string, ingestion_time string, record_count long, run_id string").json(f"{root}/_envelopes")
+    newest = envelopes.orderBy(F.col("run_id").desc()).first()  # one row
+    fields = ["source", "ingestion_time", "record_count"]
+    if newest is None:
+        return spark.createDataFrame([], StructType([*(envelopes.schema[f] for f in fields), *schema.fields]))
+    records = spark.read.schema(schema).json(f"{root}/records/*/*/*/run_id={newest.run_id}")  # no other run is listed
+    return records.select(*[F.lit(newest[f]).alias(f) for f in fields], *schema.names)
 
 
 def snapshot_manifest(df: DataFrame, source: str, ingestion_time: str) -> DataFrame:

@@ -13,9 +13,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ipscope.schemas import envelope_schema
 
@@ -81,6 +82,31 @@ def newest_file(spark: SparkSession, root: str, suffix: str | None = None) -> st
     return row[0]["path"] if row else None
 
 
+RUN_FOLDERS = ("year", "month", "day", "run_id")
+
+
+def newest_run(spark: SparkSession, root: str) -> str | None:
+    """The newest ``year=/month=/day=/run_id=`` folder with a file, by name; ``None`` without one.
+
+    One aggregate over file paths: no file is opened, and one value comes back.
+    """
+    folder = F.regexp_extract("path", "(" + "/".join(f"{c}=[^/]+" for c in RUN_FOLDERS) + ")/[^/]+$", 1)
+    try:
+        return list_files(spark, root).select(folder.alias("run")).filter("run <> ''").agg(F.max("run")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def read_run(spark: SparkSession, root: str, run: str | None, schema: StructType) -> DataFrame:
+    """One run of a partitioned snapshot; only its folder is listed, its folder names are strings."""
+    fields = StructType([*schema.fields, *(StructField(c, StringType(), True) for c in RUN_FOLDERS)])
+    if run is None:
+        return spark.createDataFrame([], fields)
+    return spark.read.schema(fields).option("basePath", root).parquet(f"{root}/{run}")
+
+
 def read_parquet_snapshot(spark: SparkSession, path: str | None, schema: StructType) -> DataFrame:
     """Typed Parquet read; a missing path gives an empty table of ``schema``."""
     if not path:

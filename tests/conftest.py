@@ -16,7 +16,3 @@ def spark(tmp_path_factory):
     if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(ckpt)
     yield s
-
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"

@@ -9,7 +9,7 @@ from ipscope.plans import catalog
 from ipscope.plans.jobs import latest_processed, run_daily, run_lookup
 from ipscope.sinks.store import ProfileStore
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def _land(path, name, rows, mtime):

@@ -5,7 +5,7 @@ import __spark_entry__ as E
 from ipscope.plans import catalog
 from oracle_compare import compare
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 NAMES = sorted(catalog.queries())
 

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from ipscope import standin
 from ipscope.operators import changes
+from ipscope.plans import catalog
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def _plan(df):
@@ -13,7 +14,7 @@ def _plan(df):
 
 
 def test_no_python_udfs_in_any_plan(spark):
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         p = _plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
@@ -51,7 +52,6 @@ def _exchanges(df):
 def test_merge_adds_no_shuffle_to_its_inputs(spark):
     """The full outer merge reuses the ip partitioning both inputs already have."""
     from ipscope.operators.merge import merge_profiles
-    from ipscope.plans import catalog
     e, i = catalog.merge_inputs(spark, SF_SMALL)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -64,7 +64,6 @@ def test_merge_adds_no_shuffle_to_its_inputs(spark):
 
 def test_enrichment_shuffles_reports_once(spark):
     """Without broadcasts: reports, pulses and geo are each shuffled once by ip."""
-    from ipscope.plans import catalog
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         p = _plan(catalog.profiles(spark, SF_SMALL))
@@ -82,7 +81,6 @@ def test_word_boundary_option(spark):
 
 
 def test_store_point_lookup_prunes_and_pushes(spark, tmp_path):
-    from ipscope.plans import catalog
     from ipscope.sinks.store import ProfileStore
     e = catalog.stored_profiles(spark, SF_SMALL)
     store = ProfileStore(spark, str(tmp_path / "s"), buckets=8)
@@ -96,7 +94,6 @@ def test_store_point_lookup_prunes_and_pushes(spark, tmp_path):
 
 
 def test_store_rows_for_uses_partition_pruning(spark, tmp_path):
-    from ipscope.plans import catalog
     from ipscope.sinks.store import ProfileStore
     e = catalog.stored_profiles(spark, SF_SMALL)
     store = ProfileStore(spark, str(tmp_path / "s"), buckets=8)
@@ -108,7 +105,6 @@ def test_store_rows_for_uses_partition_pruning(spark, tmp_path):
 
 
 def test_merge_on_read_key_filter_reaches_both_scans(spark, tmp_path):
-    from ipscope.plans import catalog
     from ipscope.sinks.store import ProfileStore
     e, i = catalog.merge_inputs(spark, SF_SMALL)
     store = ProfileStore(spark, str(tmp_path / "m"), policy="document", mode="merge_on_read")

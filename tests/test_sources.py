@@ -65,7 +65,7 @@ def test_json_lines_positions(spark, tmp_path):
 def test_snapshot_gate_first_run_commit_and_change(spark, tmp_path):
     from ipscope import standin
     from ipscope.sinks.state import SnapshotGate
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     gate = SnapshotGate(spark, str(tmp_path / "state"))
     prev = standin.view(spark, SF_SMALL, "v_prev").select("pos", "ip_address", "abuse_confidence_score",
                                                            "last_reported_at", "country_code")
@@ -110,3 +110,32 @@ def test_carry_forward_retry_errors(spark):
     assert rows["2.2.2.2"].status == "ok" and rows["2.2.2.2"].seen_count == "2"
     assert rows["2.2.2.2"].first_ingestion_time == "t0"
     assert tuple(cnt.first()) == (1, 1, 1, 3)
+
+
+def test_newest_run_is_read_alone_and_typed_in_any_session(spark, tmp_path):
+    from ipscope.plans.jobs import latest_processed
+    root = str(tmp_path / "processed")
+    assert latest_processed(spark, root).count() == 0
+    rows = spark.createDataFrame([("1.1.1.1", "DE", 5, "t", "i", "p")], S.ABUSE)
+    for run, n in (("2024-01-09T00:00:00Z", 3), ("2024-02-01T00:00:00Z", 1), ("2024-02-01T00:00:00Z", 2)):
+        write_snapshot(rows.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(n)))).drop("n"), root, run)
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    try:
+        for infer in ("true", "false"):
+            spark.conf.set(key, infer)
+            got = latest_processed(spark, root)
+            assert [tuple(r)[-4:] for r in got.collect()] == [("2024", "02", "01", "20240201000000")] * 2
+            assert all("/month=02/" in f for f in got.inputFiles())
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_raw_snapshot_reads_the_newest_run_only(spark, tmp_path):
+    from ipscope.sinks.store import read_raw_snapshot, write_raw_snapshot
+    df = spark.createDataFrame([("1.1.1.1",), ("2.2.2.2",)], "ipAddress string")
+    for run in ("2024-01-09T00:00:00Z", "2024-02-01T00:00:00Z"):
+        write_raw_snapshot(df, str(tmp_path), run, "feed")
+    got = read_raw_snapshot(spark, str(tmp_path), df.schema)
+    assert {tuple(r) for r in got.collect()} == {("feed", "2024-02-01T00:00:00Z", 2, ip) for ip in ("1.1.1.1", "2.2.2.2")}
+    assert all("run_id=20240201000000" in f for f in got.inputFiles())

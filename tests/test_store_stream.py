@@ -10,7 +10,7 @@ from ipscope.plans.render import render
 from ipscope.sinks.store import ProfileStore
 from ipscope.streaming.enrich_stream import parse_values, read_source, start_enrichment
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 RUN = standin.RUN_TS
 
