@@ -1,14 +1,16 @@
 """Exact dedup over a persistent digest index (DataFrame functions only).
 
 The index is a Parquet table bucketed and sorted by digest.  A batch is reduced
-to one row per digest (combined before the shuffle), anti-joined with the index
-by sort-merge on the buckets, and the digests that are new are appended.
+to one row per digest (combined before the shuffle) and joined with the index once,
+by sort-merge on the buckets: what finds no partner there (the anti-join) is new and
+is appended, what finds one keeps the index's document.
 """
 
 from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,19 +26,32 @@ class DigestIndex:
     """Digests seen so far, with the document that stays for each.
 
     ``path`` is a folder all executors share; opening the same path again, also in
-    another session, continues the same index.  ``buckets`` is fixed when the
-    index is made and should follow the size it is meant to reach.
+    another session, continues the same index.  The bucket count is fixed when the
+    index is made (it should follow the size the index is meant to reach) and is kept
+    beside it: whoever opens the index later gets that count, whatever they ask for.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, id_type: str = "bigint"):
         self.spark, self.path = spark, path.rstrip("/")
-        self.buckets = buckets or shuffle_partitions(spark)
         self.name = "digest_index_" + hashlib.sha256(self.path.encode()).hexdigest()[:16]
+        self.buckets = self._made_with() or self._make(buckets or shuffle_partitions(spark))
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type}, n_rows BIGINT) "
             f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
             f"LOCATION '{self.path}'")
 
+    def _made_with(self) -> int | None:
+        try:
+            return self.spark.read.schema("buckets int").parquet(f"{self.path}/_made_with").first().buckets
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _make(self, buckets: int) -> int:
+        self.spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(f"{self.path}/_made_with")
+        return buckets
+
     def add(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """Dedup a batch against itself and the index; append what is new.
 
@@ -55,23 +70,31 @@ class DigestIndex:
             F.char_length(F.coalesce(F.col(text), F.lit(""))).alias("n_chars"),
             digest_of(F.col(text)).alias("digest")), "digests")
         best = F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), F.col("doc_id")))
-        # Written out, so that the anti-join stays behind the aggregation: below it, all
+        # Written out, so that the join stays behind the aggregation: below it, all
         # rows of a hot digest would meet in one task.
         firsts = staged(rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("n_rows")).select(
             "digest", F.col("best.doc_id").alias("keep_id"), "n_rows"), "digest_firsts")
-        known = self.spark.table(self.name).select("digest")
-        fresh = firsts.join(known.hint("merge"), "digest", "left_anti")
-        fresh.repartition(self.buckets, "digest").write.insertInto(self.name)
-        # Read by path: both sides of the next join are then plain exchanges, whose
-        # hot digests the runtime can split; a bucketed scan would pin one to a task.
-        index = self.spark.read.schema(self.spark.table(self.name).schema).parquet(self.path)
-        groups = staged(firsts.select("digest", "n_rows").join(index.select("digest", "keep_id"), "digest"),
-                        "digest_groups")
+        groups = staged(self.known(firsts).select(
+            "digest", "n_rows", F.col("known_id").isNull().alias("fresh"), F.coalesce("known_id", F.struct("keep_id")).alias("keep")),
+            "digest_groups")
+        (groups.filter("fresh").select("digest", "keep.keep_id", "n_rows").repartition(self.buckets, "digest")
+         .write.insertInto(self.name))
+        # Written out, both sides are plain exchanges, whose hot digests the runtime can split.
+        groups = groups.select("digest", "n_rows", "keep.keep_id")
         return rows.join(groups, "digest").select(
             "doc_id", "keep_id", F.col("n_rows").alias("group_size"),
             F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"))
 
+    def known(self, firsts: DataFrame) -> DataFrame:
+        """``firsts`` (one row per digest) with ``known_id``: the index's document in a struct, or null.
+
+        Sort-merge join on the buckets: the batch is dealt to them, the index stays where it is.
+        """
+        index = self.spark.table(self.name).select(F.col("digest").alias("known"), F.struct("keep_id").alias("known_id"))
+        batch = firsts.repartition(self.buckets, "digest")
+        return batch.join(index.hint("merge"), batch["digest"] == index["known"], "left").drop("known")
+
     def keep(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """The rows of ``docs`` that stay, columns unchanged: one for each text that is new to the index.
 

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ipscope.llm import catalog, language, licenses, mixing, quality
-from ipscope.llm.common import ranked, table
+from ipscope.llm.common import ranked, staged, table
 from ipscope.llm.exact_dedup import DigestIndex
 from ipscope.session import scratch_path
 from pyspark.sql import functions as F
@@ -62,6 +62,29 @@ def test_digest_index_persists_and_appends_only_what_is_new(spark):
     assert spark.read.parquet(path).count() == 3
 
 
+@pytest.mark.parametrize("later", [2, 16])
+def test_digest_index_opened_with_another_bucket_count(spark, later):
+    path = scratch_path(spark, "test")
+    frame = spark.createDataFrame([(i, f"text number {i}") for i in range(40)], "doc_id long, text string")
+    DigestIndex(spark, path, buckets=4).add(frame).collect()
+    spark.sql(f"DROP TABLE {DigestIndex(spark, path).name}")  # as in another session
+    index = DigestIndex(spark, path, buckets=later)
+    assert index.buckets == 4
+    again = index.add(frame.withColumn("doc_id", F.col("doc_id") + 100)).collect()
+    assert len(again) == 40 and {(r.doc_id, r.keep_id, r.kept) for r in again} == {(100 + i, i, False) for i in range(40)}
+    assert spark.read.parquet(path).count() == 40
+
+
+def test_digest_index_is_not_moved_for_a_batch(spark):
+    index = DigestIndex(spark, scratch_path(spark, "test"), buckets=4)
+    frame = spark.createDataFrame([(i, f"text number {i}") for i in range(40)], "doc_id long, text string")
+    index.add(frame).collect()
+    firsts = staged(spark.range(30).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"),
+                                           F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("n_rows")), "firsts")
+    plan = index.known(firsts)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1 and "SelectedBucketsCount: 4 out of 4" in plan
+
+
 def test_digest_index_keeps_one_row_of_each_text(spark):
     kept = DigestIndex(spark, scratch_path(spark, "test"), buckets=4).keep(documents(spark))
     assert kept.columns == documents(spark).columns
