@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ipscope.llm import bpe_lexicon, language, licenses, oracles, quality, token_files
+from ipscope.llm import bpe_lexicon, fill_middle, language, licenses, oracles, quality, token_files
 from ipscope.llm.common import staged, table
 from ipscope.llm.embedding_dedup import near_vectors
 from ipscope.llm.exact_dedup import DigestIndex
@@ -86,6 +86,10 @@ def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.digests(bpe_lexicon.round_trip(docs, BYTE_BPE, lexicon))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.transform(table(spark, sf_dir, "documents")))
+
+
 _QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_license_scan": op2_license_scan,
@@ -97,6 +101,7 @@ _QUERIES = {
     "op8_repeat_removal": op8_repeat_removal,
     "op9_quality_resample": op9_quality_resample,
     "op10_bpe_lexicon": op10_bpe_lexicon,
+    "op12_fill_middle": op12_fill_middle,
 }
 
 
@@ -105,4 +110,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_source_mix": oracles.SOURCE_MIX, "op7_exact_dedup": oracles.EXACT_DEDUP}
+    return {"op5_source_mix": oracles.SOURCE_MIX, "op7_exact_dedup": oracles.EXACT_DEDUP,
+            "op12_fill_middle": oracles.FILL_MIDDLE}

@@ -43,3 +43,26 @@ SELECT doc_id, size, source_size, target,
        CAST(floor((i + 1) * r + u) - floor(i * r + u) AS BIGINT) * size AS taken
 FROM k
 """
+
+FILL_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x
+  FROM documents),
+h AS (
+  SELECT doc_id, t, n, ('0x' || substr(x, 1, 8))::BIGINT % (n + 1) AS p, ('0x' || substr(x, 9, 8))::BIGINT % (n + 1) AS q,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR ('0x' || substr(x, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(x, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (
+  SELECT doc_id, t, n, form, substr(t, 1, least(p, q)) AS a, substr(t, least(p, q) + 1, abs(p - q)) AS m,
+         substr(t, greatest(p, q) + 1) AS z, CASE WHEN form <> 'plain' THEN least(p, q) END AS prefix_chars,
+         CASE WHEN form <> 'plain' THEN abs(p - q) END AS middle_chars
+  FROM h)
+SELECT doc_id, n, form, prefix_chars, middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m
+              ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
+"""
