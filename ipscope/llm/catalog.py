@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ipscope.llm import bpe_lexicon, fill_middle, language, licenses, oracles, quality, token_files
+from ipscope.llm import bpe_lexicon, fill_middle, language, licenses, oracles, quality, token_files, url_filter
 from ipscope.llm.common import staged, table
 from ipscope.llm.embedding_dedup import near_vectors
 from ipscope.llm.exact_dedup import DigestIndex
@@ -90,6 +90,11 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(fill_middle.transform(table(spark, sf_dir, "documents")))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), model)
+
+
 _QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_license_scan": op2_license_scan,
@@ -102,6 +107,7 @@ _QUERIES = {
     "op9_quality_resample": op9_quality_resample,
     "op10_bpe_lexicon": op10_bpe_lexicon,
     "op12_fill_middle": op12_fill_middle,
+    "op13_url_filter": op13_url_filter,
 }
 
 
