@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ipscope.llm import bpe_lexicon, fill_middle, language, licenses, oracles, quality, token_files, url_filter
+from ipscope.llm import bpe_lexicon, fill_middle, language, licenses, oracles, quality, token_files, url_filter, whitening
 from ipscope.llm.common import staged, table
 from ipscope.llm.embedding_dedup import near_vectors
 from ipscope.llm.exact_dedup import DigestIndex
@@ -86,6 +86,12 @@ def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.digests(bpe_lexicon.round_trip(docs, BYTE_BPE, lexicon))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    return whitening.components(whitening.whiten(vectors, model), model)
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(fill_middle.transform(table(spark, sf_dir, "documents")))
 
@@ -106,6 +112,7 @@ _QUERIES = {
     "op8_repeat_removal": op8_repeat_removal,
     "op9_quality_resample": op9_quality_resample,
     "op10_bpe_lexicon": op10_bpe_lexicon,
+    "op11_whitening": op11_whitening,
     "op12_fill_middle": op12_fill_middle,
     "op13_url_filter": op13_url_filter,
 }
