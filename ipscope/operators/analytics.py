@@ -77,7 +77,12 @@ def country_spikes(reports: DataFrame, ts: str = "reported_ts", country: str = "
     A spike also needs at least ``min_reports`` reports.  Thresholds are ours; the
     README asks for spikes without giving numbers.
     """
-    h = hourly_country_counts(reports, ts, country)
+    return spikes_of_counts(hourly_country_counts(reports, ts, country), lookback_hours, k, min_reports)
+
+
+def spikes_of_counts(hourly: DataFrame, lookback_hours: int = 24, k: float = 3.0, min_reports: int = 3) -> DataFrame:
+    """The spike rule over (country, hour, reports) rows, counted here or by a stream."""
+    h = hourly
     epoch_h = (F.unix_timestamp("hour") / 3600).cast("long")
     w = (Window.partitionBy("country").orderBy(F.col("_eh"))
          .rangeBetween(-lookback_hours, -1))

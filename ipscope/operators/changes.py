@@ -9,7 +9,10 @@
   and the digest is SHA-256 over ``count:sum1:sum2:sum3:sum4``.  Equal
   multisets of rows give equal digests; the aggregation is fully map-side
   combinable, so no group or row list is ever collected.
-* ``carry_forward`` — old snapshot ∪ fresh records by key (J11) with
+* ``digest_tree`` — the same digest in two levels: one for each hash bucket of the
+  key, and a root over them.  Snapshots are compared bucket by bucket, and a diff
+  reads only the buckets whose digests differ.
+* ``carry_changes`` / ``carry_forward`` — old snapshot ∪ fresh records by key (J11) with
   first-ingestion kept and a seen counter (A5 counters alongside).
 """
 
@@ -34,17 +37,47 @@ def row_digest(cols: list[str]) -> Column:
     return F.sha2(canonical_json(cols), 256)
 
 
-def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """One row ``(record_count, fingerprint)`` for the multiset of rows."""
-    cols = cols or [c for c in df.columns if c != "pos"]
-    h = df.select(row_digest(cols).alias("h"))
+def _multiset(rows: DataFrame, by: list[str]) -> DataFrame:
+    """(by…, record_count, fingerprint) of rows with their digest in ``h``: combined map-side, no row list."""
     parts = [F.conv(F.substring("h", 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)") for i in range(4)]
-    agg = h.agg(F.count("*").alias("record_count"),
-                *[F.coalesce(F.sum(p), F.lit(0).cast("decimal(38,0)")).alias(f"s{i}")
-                  for i, p in enumerate(parts)])
+    agg = rows.groupBy(*by).agg(F.count("*").alias("record_count"),
+                                *[F.coalesce(F.sum(p), F.lit(0).cast("decimal(38,0)")).alias(f"s{i}")
+                                  for i, p in enumerate(parts)])
     text = F.concat_ws(":", F.col("record_count").cast("string"),
                        *[F.col(f"s{i}").cast("string") for i in range(4)])
-    return agg.select("record_count", F.sha2(text, 256).alias("fingerprint"))
+    return agg.select(*by, "record_count", F.sha2(text, 256).alias("fingerprint"))
+
+
+def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """One row ``(record_count, fingerprint)`` for the multiset of rows."""
+    cols = cols or [c for c in df.columns if c != "pos"]
+    return _multiset(df.select(row_digest(cols).alias("h")), [])
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """Hash bucket of a key; all rows of a key share it."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def digest_tree(df: DataFrame, buckets: int, key: str = "ip_address", cols: list[str] | None = None) -> DataFrame:
+    """``(bucket, record_count, fingerprint)`` for each bucket that has rows."""
+    cols = cols or [c for c in df.columns if c != "pos"]
+    return _multiset(df.select(bucket_of(key, buckets).alias("bucket"), row_digest(cols).alias("h")), ["bucket"])
+
+
+def tree_root(tree: DataFrame) -> DataFrame:
+    """One row ``(record_count, fingerprint)`` over a digest tree, which has at most as many rows as buckets."""
+    leaves = F.transform(F.array_sort(F.collect_list(F.struct("bucket", "fingerprint"))),
+                         lambda x: F.concat_ws(":", x["bucket"].cast("string"), x["fingerprint"]))
+    return tree.agg(F.coalesce(F.sum("record_count"), F.lit(0)).cast("long").alias("record_count"),
+                    F.sha2(F.array_join(leaves, ","), 256).alias("fingerprint"))
+
+
+def changed_buckets(prev_tree: DataFrame, curr_tree: DataFrame) -> list[int]:
+    """The buckets whose digests differ, or that one tree lacks: at most as many numbers as there are buckets."""
+    leaf = lambda t, n: t.select("bucket", F.col("fingerprint").alias(n))
+    both = leaf(prev_tree, "p").join(leaf(curr_tree, "c"), "bucket", "full_outer")
+    return sorted(r.bucket for r in both.filter(~F.col("p").eqNullSafe(F.col("c"))).collect())
 
 
 def diff_snapshots(prev: DataFrame, curr: DataFrame, key: str = "ip_address",
@@ -102,14 +135,15 @@ def _newest_first(df: DataFrame, key: str) -> list[str]:
     return sorted(rest, key=lambda c: c != "last_ingestion_time")
 
 
-def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
+def carry_changes(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
                   update_existing: bool = False, key: str = "ip",
-                  retry_errors: bool = False, status: str = "status") -> tuple[DataFrame, DataFrame]:
+                  retry_errors: bool = False, status: str = "status") -> DataFrame:
     """Merge freshly fetched records into the previous snapshot.
 
     ``old`` — previous snapshot records (with ``pos`` when ordered; last wins).
     ``candidates`` — IPs wanted this run.  ``fresh`` — fetched records for IPs
-    (only those not skipped are used).  Returns ``(snapshot, counters)``.
+    (only those not skipped are used).  Returns the snapshot's rows with what happened to
+    each in ``_run_change``: new, updated, skipped (wanted, but known) or kept.
     Updated rows keep the old ``first_ingestion_time`` and count
     ``seen_count = coalesce(old, 1) + 1``; untouched old rows stay intact.
     ``retry_errors`` also refetches IPs whose stored row is an error row (Q12).
@@ -148,12 +182,26 @@ def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame,
         out.append(f"{v} AS {ident(c)}")
     flag = f"CASE WHEN {upd} THEN 'updated' WHEN n_present THEN 'new' ELSE 'kept' END AS _run_change"
     snap = j.selectExpr(*out, flag)
-    # All counters in one aggregate over the run's rows plus the skipped candidates.
-    skipped = (cand.join(known.select(key), key, "left_semi") if not update_existing
-               else cand.limit(0)).select(F.lit("skipped").alias("_run_change"))
-    counters = (snap.select("_run_change").unionByName(skipped)
-                .agg(F.count_if(F.col("_run_change") == "new").alias("new_count"),
-                     F.count_if(F.col("_run_change") == "updated").alias("updated_count"),
-                     F.count_if(F.col("_run_change") == "skipped").alias("skipped_count"),
-                     F.count_if(F.col("_run_change") != "skipped").alias("total_unique")))
-    return snap.drop("_run_change"), counters
+    # Skipped: wanted, known, not fetched again. Such a row is in the snapshot as it was.
+    skipped = cand.select(F.col(key).alias("_wanted"))
+    if update_existing:
+        skipped = skipped.limit(0)
+    elif known is not old_d:
+        skipped = skipped.join(known.select(F.col(key).alias("_wanted")), "_wanted", "left_semi")
+    return snap.join(skipped, F.col(key) == F.col("_wanted"), "left").select(
+        *cols, F.when((F.col("_run_change") == "kept") & F.col("_wanted").isNotNull(), "skipped").otherwise(F.col("_run_change"))
+        .alias("_run_change"))
+
+
+def carry_counters() -> dict[str, Column]:
+    """A5: the run's counters as aggregates over ``carry_changes`` rows."""
+    count = lambda change: F.count_if(F.col("_run_change") == change)
+    return {"new_count": count("new"), "updated_count": count("updated"), "skipped_count": count("skipped"),
+            "total_unique": F.count(F.lit(1))}
+
+
+def carry_forward(old: DataFrame, candidates: DataFrame, fresh: DataFrame, update_existing: bool = False,
+                  key: str = "ip", retry_errors: bool = False, status: str = "status") -> tuple[DataFrame, DataFrame]:
+    """``carry_changes`` as ``(snapshot, counters)``; a job that writes the snapshot counts in the same pass instead."""
+    rows = carry_changes(old, candidates, fresh, update_existing, key, retry_errors, status)
+    return rows.drop("_run_change"), rows.agg(*[c.alias(n) for n, c in carry_counters().items()])

@@ -104,41 +104,47 @@ def merge_profiles(existing: DataFrame, incoming: DataFrame, policy: str = "tabl
     raise ValueError(f"unknown merge policy {policy!r}")
 
 
+def version_order(delta: int, at: str, writer: str, batch: str) -> str:
+    """SQL of a row's place: base rows (``delta`` 0) first, then batches by run time, writer and number."""
+    return f"named_struct('delta', {delta}, 'at', {at}, 'writer', {writer}, 'batch', CAST({batch} AS BIGINT))"
+
+
 def resolve_versions(rows: DataFrame, policy: str = "table") -> DataFrame:
     """Fold a base table and appended batch rows per IP under a merge policy.
 
-    ``rows`` holds PROFILE columns plus ``_ord`` (−1 for the base row, then the
-    place of the batch), ``_merge_ts`` (the run time of the row's batch) and ``_keep``
-    (whether that write keeps the stored ``enriched_at`` where it brings none).  The result
-    equals applying ``merge_profiles`` batch after batch, but it is a single
-    ``groupBy(ip)`` of ``max_by``/``min_by`` aggregates: map-side combinable,
-    and the rows per IP are bounded by the batches since the last compaction.
+    ``rows`` holds PROFILE columns plus ``_ord`` (see ``version_order``), ``_merge_ts`` (the run
+    time of the row's batch) and ``_keep`` (whether that write keeps the stored
+    ``enriched_at`` where it brings none).  The result equals applying
+    ``merge_profiles`` batch after batch, but it is a single ``groupBy(ip)`` of
+    ``max_by``/``min_by`` aggregates: map-side combinable, and the rows per IP are
+    bounded by the batches since the last compaction.  Columns under one rule share
+    one aggregate where the rule does not look at the column's own nulls.
     """
+    delta = "_ord.delta = 1"
     has = lambda c: f"CASE WHEN {c} IS NOT NULL THEN _ord END"
     newest_nn = lambda c: f"max_by({c}, {has(c)})"
-    newest = lambda c: f"max_by({c}, _ord)"
-    any_delta = "max(_ord) >= 0"
-    agg = {}
+    pack = lambda cols: "named_struct(" + ", ".join(f"'{c}', {ident(c)}" for c in cols) + ")"
+    newest = lambda cols: f"max_by({pack(cols)}, _ord)"
+    of_base = lambda cols: f"max_by({pack(cols)}, CASE WHEN NOT ({delta}) THEN _ord END)"
+    agg = {"_any": f"max({delta})"}
     if policy == "table":
-        for c in FEED_COLUMNS:
+        for c in (*FEED_COLUMNS, "profile_source"):
             agg[c] = newest_nn(c)
-        for c in (*S.COMPUTED_COLUMNS, "last_merged_at"):
-            agg[c] = newest(c)
+        last = [*S.COMPUTED_COLUMNS, "last_merged_at"]
+        agg["_last"] = newest(last)
         agg["enriched_at"] = "max_by(enriched_at, CASE WHEN NOT coalesce(_keep, false) OR enriched_at IS NOT NULL THEN _ord END)"
-        agg["profile_source"] = newest_nn("profile_source")
         agg["first_seen_at"] = f"min_by(first_seen_at, {has('first_seen_at')})"
-        agg["_base_geo"] = "max_by(geo_location, CASE WHEN _ord < 0 THEN 0 END)"
-        agg["_any"] = any_delta
+        agg["_base"] = of_base(["geo_location"])
         out = rows.groupBy("ip_address").agg(*[F.expr(v).alias(k) for k, v in agg.items()])
         point = _geo_point_sql("geo_latitude", "geo_longitude")
         return out.selectExpr(*[
-            f"CASE WHEN _any THEN {point} ELSE _base_geo END AS geo_location" if c == "geo_location"
-            else ident(c) for c in S.PROFILE_COLUMNS])
+            f"CASE WHEN _any THEN {point} ELSE _base.geo_location END AS geo_location" if c == "geo_location"
+            else f"_last.{ident(c)} AS {ident(c)}" if c in last else ident(c) for c in S.PROFILE_COLUMNS])
     if policy != "document":
         raise ValueError(f"unknown merge policy {policy!r}")
     for c in FEED_COLUMNS:
         if c in S.GEO_FIELDS:
-            ok = f"CASE WHEN _ord < 0 OR ({c} IS NOT NULL AND CAST({c} AS STRING) <> '') THEN _ord END"
+            ok = f"CASE WHEN NOT ({delta}) OR ({c} IS NOT NULL AND CAST({c} AS STRING) <> '') THEN _ord END"
             agg[c] = f"max_by({c}, {ok})"
         else:
             agg[c] = newest_nn(c)
@@ -146,35 +152,25 @@ def resolve_versions(rows: DataFrame, policy: str = "table") -> DataFrame:
     agg["_src"] = newest_nn("profile_source")
     agg["_first"] = newest_nn("first_seen_at")
     # When no row carries first_seen_at, the first batch fixes it (its enriched_at, else its run time).
-    agg["_first_delta"] = ("min_by(named_struct('e', enriched_at, 'm', _merge_ts), "
-                           "CASE WHEN _ord >= 0 THEN _ord END)")
+    agg["_first_delta"] = f"min_by(named_struct('e', enriched_at, 'm', _merge_ts), CASE WHEN {delta} THEN _ord END)"
     agg["_merge_ts"] = "max_by(_merge_ts, _ord)"
-    agg["_base_geo"] = "max_by(geo_location, CASE WHEN _ord < 0 THEN 0 END)"
-    for c in (*S.COMPUTED_COLUMNS, "last_merged_at", "profile_source", "first_seen_at"):
-        agg[f"_b_{c}"] = f"max_by({c}, CASE WHEN _ord < 0 THEN 0 END)"
-    agg["_any"] = any_delta
+    stored = [*S.COMPUTED_COLUMNS, "last_merged_at", "profile_source", "first_seen_at", "geo_location"]
+    agg["_base"] = of_base(stored)
     out = rows.groupBy("ip_address").agg(*[F.expr(v).alias(k) for k, v in agg.items()])
     out = out.selectExpr(
         "*",
         f"CASE WHEN _any THEN (CASE WHEN _src IS NOT NULL AND _src <> '' THEN _src "
-        f"ELSE {lit(S.PROFILE_SOURCE_BATCH)} END) ELSE _b_profile_source END AS _source",
-        "CASE WHEN _any THEN coalesce(_first, _first_delta.e, _first_delta.m) ELSE _b_first_seen_at END AS _fs",
-        "CASE WHEN _any THEN _merge_ts ELSE _b_last_merged_at END AS _lm",
-        f"CASE WHEN _any THEN coalesce({_geo_point_sql('geo_latitude', 'geo_longitude')}, _base_geo) "
-        f"ELSE _base_geo END AS _geo")
+        f"ELSE {lit(S.PROFILE_SOURCE_BATCH)} END) ELSE _base.profile_source END AS _source",
+        "CASE WHEN _any THEN coalesce(_first, _first_delta.e, _first_delta.m) ELSE _base.first_seen_at END AS _fs",
+        "CASE WHEN _any THEN _merge_ts ELSE _base.last_merged_at END AS _lm",
+        f"CASE WHEN _any THEN coalesce({_geo_point_sql('geo_latitude', 'geo_longitude')}, _base.geo_location) "
+        f"ELSE _base.geo_location END AS _geo")
     scored = score_columns(out)
+    named = {"profile_source": "_source", "first_seen_at": "_fs", "last_merged_at": "_lm", "geo_location": "_geo"}
     cols = []
     for c in S.PROFILE_COLUMNS:
         if c in S.COMPUTED_COLUMNS:
-            cols.append(f"CASE WHEN _any THEN {ident(c)} ELSE _b_{c} END AS {ident(c)}")
-        elif c == "profile_source":
-            cols.append(f"_source AS {c}")
-        elif c == "first_seen_at":
-            cols.append(f"_fs AS {c}")
-        elif c == "last_merged_at":
-            cols.append(f"_lm AS {c}")
-        elif c == "geo_location":
-            cols.append(f"_geo AS {c}")
+            cols.append(f"CASE WHEN _any THEN {ident(c)} ELSE _base.{ident(c)} END AS {ident(c)}")
         else:
-            cols.append(ident(c))
+            cols.append(f"{named.get(c, ident(c))} AS {ident(c)}")
     return scored.selectExpr(*cols)

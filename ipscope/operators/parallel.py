@@ -13,3 +13,9 @@ from pyspark.sql import DataFrame
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df if partitions is None else df.repartition(partitions)
+
+
+def for_few_files(df: DataFrame) -> int | None:
+    """Partitions for a scan of fewer files than there are cores; ``None`` (leave it alone) for any other."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cores if len(df.inputFiles()) < cores else None

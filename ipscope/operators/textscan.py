@@ -16,23 +16,27 @@ from ipscope.functions.scoring import matched_categories, matched_keywords
 from ipscope.operators.parallel import spread
 
 
-def classify_text(df: DataFrame, text: str = "text", word_boundary: bool = False) -> DataFrame:
-    """J10/H7 over a text column: adds ``attack_keywords_matched``, ``attack_categories``."""
+def classify_text(df: DataFrame, text: str = "text", word_boundary: bool = False,
+                  partitions: int | None = None) -> DataFrame:
+    """J10/H7 over a text column: adds ``attack_keywords_matched``, ``attack_categories``.
+
+    ``partitions`` spreads texts that come in too few splits.
+    """
     # Lower-case once into its own column; the 32 keyword tests then read it.
-    low = spread(df).select("*", F.lower(F.col(text)).alias("_lt"))
+    low = spread(df, partitions).select("*", F.lower(F.col(text)).alias("_lt"))
     out = low.select(*df.columns, matched_keywords("_lt", word_boundary).alias("attack_keywords_matched"))
     return out.withColumn("attack_categories", matched_categories("attack_keywords_matched"))
 
 
-def ip_tokens(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def ip_tokens(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), partitions: int | None = None) -> DataFrame:
     """One row per dotted-quad token found in ``text`` (duplicates kept)."""
     toks = F.regexp_extract_all(F.col(text), F.lit(IPV4_TOKEN_RE), 0)
-    return spread(df).select(*keep, F.explode(toks).alias("ip_token"))
+    return spread(df, partitions).select(*keep, F.explode(toks).alias("ip_token"))
 
 
-def ip_token_counts(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def ip_token_counts(df: DataFrame, text: str = "text", key: str = "doc_id", partitions: int | None = None) -> DataFrame:
     """Per token: validity/version, documents containing it, total occurrences."""
-    t = ip_tokens(df, text, (key,))
+    t = ip_tokens(df, text, (key,), partitions)
     return (t.groupBy("ip_token")
             .agg(F.count("*").alias("n_occurrences"), F.count_distinct(key).alias("n_docs"))
             .withColumn("ip_version", ip_version(F.col("ip_token"))))

@@ -19,6 +19,7 @@ from ipscope.functions.casts import normalize_string_array, safe_bool, safe_floa
 from ipscope.functions.scoring import classify
 from ipscope.operators import analytics, changes, dedupe, lookup, merge, normalize, textscan
 from ipscope.operators.enrich import enrich_and_score, geo_point
+from ipscope.operators.parallel import for_few_files
 from ipscope.plans.render import render
 from ipscope.sources.responses import parse_geo
 
@@ -101,12 +102,12 @@ def q_safe_casts(spark, sf_dir):
 # ------------------------------------------------------------- text scans
 def q_document_keywords(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return render(textscan.classify_text(docs).drop("text"))
+    return render(textscan.classify_text(docs, partitions=for_few_files(docs)).drop("text"))
 
 
 def q_document_ips(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return textscan.ip_token_counts(docs)
+    return textscan.ip_token_counts(docs, partitions=for_few_files(docs))
 
 
 def q_attack_classify(spark, sf_dir):
@@ -195,19 +196,20 @@ CARRY_COLUMNS = ["ip", "status", "country_name", "city", "latitude", "longitude"
                  "first_ingestion_time", "seen_count"]
 
 
-def _carry(spark, sf_dir):
+def carry_inputs(spark, sf_dir):
+    """Old geo snapshot, wanted IPs, fetched records."""
     old = _parse(standin.raw_geo_json(spark, sf_dir), S.RAW_GEO_RECORD)
     cands = standin.abuse_reports(spark, sf_dir).select(F.col("ip_address").alias("ip"))
-    fresh = parse_geo(standin.landed_responses(spark, sf_dir), RUN_TS)
-    return changes.carry_forward(old, cands, fresh)
+    return old, cands, parse_geo(standin.landed_responses(spark, sf_dir), RUN_TS)
+
+
+def _carry(spark, sf_dir):
+    return changes.carry_forward(*carry_inputs(spark, sf_dir))
 
 
 def _carry_update(spark, sf_dir):
     """A run that fetches every candidate again: rows it knows are updated."""
-    old = _parse(standin.raw_geo_json(spark, sf_dir), S.RAW_GEO_RECORD)
-    cands = standin.abuse_reports(spark, sf_dir).select(F.col("ip_address").alias("ip"))
-    fresh = parse_geo(standin.landed_responses(spark, sf_dir), RUN_TS)
-    return changes.carry_forward(old, cands, fresh, update_existing=True)
+    return changes.carry_forward(*carry_inputs(spark, sf_dir), update_existing=True)
 
 
 def q_carry_update(spark, sf_dir):
@@ -264,11 +266,11 @@ def q_merge_document(spark, sf_dir):
     return render(merge.merge_profiles(e, i, "document", run_ts=RUN_TS))
 
 
-def _saved(spark, sf_dir, policy, mode):
+def _saved(spark, sf_dir, policy):
     """Two batches merged into a new store under the shared folder, read back."""
     from ipscope.session import scratch_path
     from ipscope.sinks.store import ProfileStore
-    store = ProfileStore(spark, scratch_path(spark, "store"), policy=policy, mode=mode)
+    store = ProfileStore(spark, scratch_path(spark, "store"), policy)
     e, i = merge_inputs(spark, sf_dir)
     store.merge(e, 0, PREV_RUN_TS)
     store.merge(i, 1, RUN_TS)
@@ -276,19 +278,18 @@ def _saved(spark, sf_dir, policy, mode):
 
 
 def q_store_merge_table(spark, sf_dir):
-    return _saved(spark, sf_dir, "table", "copy_on_write")
+    return _saved(spark, sf_dir, "table")
 
 
 def q_store_merge_document(spark, sf_dir):
-    return _saved(spark, sf_dir, "document", "merge_on_read")
+    return _saved(spark, sf_dir, "document")
 
 
 def q_dual_save(spark, sf_dir):
     """K9: both batches saved to a table store and a document store; both read back."""
     from ipscope.session import scratch_path
     from ipscope.sinks.store import ProfileStore, save_profiles
-    stores = [ProfileStore(spark, scratch_path(spark, "store"), policy=p, mode=m)
-              for p, m in (("table", "merge_on_read"), ("document", "copy_on_write"))]
+    stores = [ProfileStore(spark, scratch_path(spark, "store"), p) for p in ("table", "document")]
     e, i = merge_inputs(spark, sf_dir)
     save_profiles(e, stores, 0, PREV_RUN_TS)
     save_profiles(i, stores, 1, RUN_TS)
@@ -438,11 +439,11 @@ def q_recent_report_counts(spark, sf_dir):
 
 
 def _versions(spark, sf_dir):
-    """Stored profiles as the base (``_ord`` -1) and the next batch as a delta."""
+    """Stored profiles as the base and the next batch as a delta."""
     e, i = merge_inputs(spark, sf_dir)
-    return (e.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS _merge_ts", "false AS _keep", "CAST(-1 AS BIGINT) AS _ord")
-            .unionByName(i.selectExpr("*", f"to_timestamp('{RUN_TS}') AS _merge_ts", "false AS _keep",
-                                      "CAST(0 AS BIGINT) AS _ord")))
+    rows = lambda df, ts, delta: df.selectExpr(
+        "*", f"CAST({ts} AS TIMESTAMP) AS _merge_ts", "false AS _keep", f"{merge.version_order(delta, f'CAST({ts} AS TIMESTAMP)', repr('w'), '0')} AS _ord")
+    return rows(e, "NULL", 0).unionByName(rows(i, f"'{RUN_TS}'", 1))
 
 
 def q_merge_on_read_table(spark, sf_dir):
@@ -480,7 +481,8 @@ def _utc(fn):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _utc(v) for k, v in _QUERIES.items()}
+    from ipscope.plans import flows, snapshots, values
+    return {k: _utc(v) for k, v in (_QUERIES | flows.QUERIES | snapshots.QUERIES | values.QUERIES).items()}
 
 
 _QUERIES = {

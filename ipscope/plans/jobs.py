@@ -14,8 +14,6 @@ Every step takes explicit paths; nothing is read "latest" twice within a run.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,7 +22,7 @@ from ipscope import schemas as S
 from ipscope.operators.lookup import lookup
 from ipscope.operators.normalize import normalize_abuse, normalize_state
 from ipscope.sinks.state import SnapshotGate
-from ipscope.sinks.store import ProfileStore, publish_json, save_profiles, snapshot_manifest, write_snapshot
+from ipscope.sinks.store import ProfileStore, publish_json, run_id_of, save_profiles, write_snapshot
 from ipscope.session import checkpoint_root
 from ipscope.sources.snapshots import newest_file, newest_run, read_envelope, read_json_lines, read_run
 
@@ -51,11 +49,11 @@ def run_daily(spark: SparkSession, raw_root: str, processed_root: str, state_pat
         if not decision["changed"]:
             return summary
         processed = normalize_abuse(raw, None, run_ts).drop("pos")
-        write_snapshot(processed, processed_root, run_ts, fmt="parquet")              # K2
+        counted = write_snapshot(processed, processed_root, run_ts, required=True)    # K2, S11
         if publish_path is not None or publish_format == "kafka":
             publish_json(processed, publish_format, publish_path, publish_options,
-                         run_id=re.sub(r"[^0-9]", "", run_ts)[:14])                   # K4
-        summary["record_count"] = snapshot_manifest(processed, "abuse_blacklist", run_ts).first().record_count
+                         run_id=run_id_of(run_ts))                   # K4
+        summary["record_count"] = counted["record_count"]
         gate.commit(normalize_state(raw), raw_path, run_ts)                           # K8, last
         return summary
     finally:
@@ -67,7 +65,7 @@ def run_lookup(spark: SparkSession, requests: DataFrame, stores: list[ProfileSto
     """Answer requests from the first store + landed responses, then save to all stores."""
     from ipscope.operators.lookup import split_requests
     valid, _ = split_requests(requests)
-    known = stores[0].rows_for(valid)  # only the buckets the requests hash to
+    known = stores[0].rows_for(valid)
     profiles, invalid = lookup(requests, known, responses, run_ts)
     # Fix the answer before the save changes the store it was computed from:
     # a reliable checkpoint in the shared folder (survives executor loss).
@@ -82,7 +80,7 @@ def run_enrichment_batch(spark: SparkSession, reports: DataFrame, pulses: DataFr
                          dead_letter_path: str | None = None) -> DataFrame:
     """Entry point B as a batch: enrich one landed report set and merge it into every store.
 
-    Same steps as one streaming micro-batch (dead letters, enrich, score, merge);
+    Same steps as one streaming micro-batch (quarantine, enrich, score, merge);
     returns the scored profiles of this batch, fixed by a reliable checkpoint.
     """
     from ipscope.operators.enrich import enrich_and_score, split_dead_letters

@@ -519,4 +519,7 @@ FROM n"""
         "SELECT 'same' AS step, false AS changed, 0 AS new_ip_count, 0 AS changed_ip_count, 0 AS removed_ip_count "
         "UNION ALL SELECT 'next', true, count(*) FILTER (WHERE change = 'new'), count(*) FILTER (WHERE change = 'changed'), "
         "count(*) FILTER (WHERE change = 'removed') FROM d")
+    from ipscope.plans import flows, snapshots, values
+    for module in (flows, snapshots, values):
+        o.update(module.oracle_sql(o))
     return o

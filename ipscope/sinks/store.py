@@ -1,302 +1,100 @@
-"""Keyed profile store on Parquet.
-
-Layout under ``<path>``:
-
-* ``data/v=<id>/`` — folders written once, each under a fresh id (in copy-on-write
-  mode with ``bucket=<b>`` below);
-* ``commits/<seq>.json`` — one small file per commit: which folders make up the
-  store, and which batches of which writers are in it.
-
-Data is written first, in full; then the commit file is renamed into place, which
-fails if another writer took that number.  The newest commit file is the pointer:
-readers see a whole commit or the one before, a crash before the rename leaves the
-store as it was, and a loser of the race starts again from the winner's commit.
-Folders are never shared between stores, writers or tries, so nothing is mixed.
-
-A batch is known by ``(writer, batch_id)``; one that is in the store already is
-skipped (at-least-once sources become effectively-once).  Streams, batch jobs and
-lookups that write to one store are different writers.
+"""Profile batches and snapshots, written with plain partitioned writers.
+
+A profile store is one Parquet folder, ``writer=<w>/batch_id=<n>/``, holding every
+merged batch as it came (K5, K6, K9).  Writing a batch again replaces its own folder
+(dynamic partition overwrite), so a replayed micro-batch or a retried job leaves
+nothing twice (X2).  Reading folds the batches per IP under the store's merge policy,
+in one aggregation; ``compact_to`` writes the folded rows as the base of a new folder
+when a store has gathered many batches.
 """
 
 from __future__ import annotations
 
-import json
 import re
-import uuid
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from ipscope import schemas as S
-from ipscope.functions.sqltext import lit
-from ipscope.operators.enrich import conform
-from ipscope.operators.merge import merge_profiles, resolve_versions
-
-EMPTY = {"seq": 0, "base": None, "deltas": [], "buckets": {}, "applied": {}}
-KEPT_COMMITS = 32  # commit files that readers of an older snapshot may still use
+from ipscope.operators.enrich import conform, run_time
+from ipscope.operators.keyed import rows_of_keys
+from ipscope.operators.merge import resolve_versions, version_order
 
-
-def bucket_of(key: str = "ip_address", buckets: int = 64):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
-def bucket_of_literal(ip: str, buckets: int = 64):
-    """The bucket expression over a literal (same hash as ``bucket_of``)."""
-    return F.pmod(F.xxhash64(F.lit(ip)), F.lit(buckets)).cast("int")
+VERSION = StructType([*S.PROFILE.fields, StructField("_merge_ts", TimestampType(), True), StructField("_keep", BooleanType(), True),
+                      StructField("_delta", IntegerType(), True), StructField("writer", StringType(), True),
+                      StructField("batch_id", LongType(), True)])
+BLOOM = {"parquet.bloom.filter.enabled#ip_address": "true"}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
         return True
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 
 
-class CommitLog:
-    """Numbered JSON files on any Hadoop file system; the highest number is current."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        jvm = spark._jvm
-        self.jvm, self.gateway = jvm, spark.sparkContext._gateway
-        self.folder = jvm.org.apache.hadoop.fs.Path(folder)
-        self.conf = spark._jsc.hadoopConfiguration()
-        self.fs = self.folder.getFileSystem(self.conf)
+class ProfileStore:
+    """Profiles by IP under one merge policy: ``table`` (J4) or ``document``.
 
-    def _path(self, name: str):
-        return self.jvm.org.apache.hadoop.fs.Path(self.folder, name)
+    A batch is known by (writer, batch_id); streams, batch jobs and lookups that write to
+    one store are different writers.  Batches fold in order of their run time, then
+    writer, then number.  Files are sorted by IP and carry a Bloom filter on it, so reads
+    for few IPs skip row groups.
+    """
 
-    def numbers(self) -> list[int]:
-        if not self.fs.exists(self.folder):
-            return []
-        names = [f.getPath().getName() for f in self.fs.listStatus(self.folder)]
-        return sorted(int(n[:-5]) for n in names if re.fullmatch(r"\d{20}\.json", n))
+    def __init__(self, spark: SparkSession, path: str, policy: str = "table", keep_old_enriched_at: bool = False):
+        if policy not in ("table", "document"):
+            raise ValueError(f"unknown merge policy {policy!r}")
+        self.spark, self.path, self.policy, self.keep_old_enriched_at = spark, path.rstrip("/"), policy, keep_old_enriched_at
 
-    def read(self, seq: int) -> dict:
-        stream = self.fs.open(self._path(f"{seq:020d}.json"))
-        try:
-            return json.loads(self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def current(self) -> dict:
-        found = self.numbers()
-        return self.read(found[-1]) if found else dict(EMPTY)
-
-    def write(self, state: dict) -> bool:
-        """Commit ``state`` under its number; False if that number is taken."""
-        fresh = self._path(f".{uuid.uuid4().hex}")
-        out = self.fs.create(fresh, False)
-        try:
-            out.write(json.dumps(state).encode())
-        finally:
-            out.close()
-        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf)
-        rename = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
-        try:
-            context.rename(fresh, self._path(f"{state['seq']:020d}.json"), self.gateway.new_array(rename, 0))
-            return True
-        except Py4JJavaError as e:
-            self.fs.delete(fresh, False)
-            if "FileAlreadyExists" in str(e.java_exception):
-                return False
-            raise
-
-    def delete(self, seq: int) -> None:
-        self.fs.delete(self._path(f"{seq:020d}.json"), False)
-
-    def delete_folder(self, path: str) -> None:
-        self.fs.delete(self.jvm.org.apache.hadoop.fs.Path(path), True)
-
-
-def _add_batch(ranges: list, batch: int) -> list:
-    """Batch ids as ranges [first, last], so that a stream's ids stay one pair."""
-    points = sorted([*ranges, [batch, batch]])
-    out = [points[0][:]]
-    for a, b in points[1:]:
-        if a <= out[-1][1] + 1:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
+    def merge(self, batch: DataFrame, batch_id: int, run_ts: str | None = None, writer: str = "default",
+              keep_old_enriched_at: bool | None = None) -> None:
+        """Add ``batch`` (PROFILE rows, key-unique), or put it in place of what this batch wrote before.
 
+        Rows with a blank key are left out.  ``keep_old_enriched_at`` holds for this write
+        (Q15: lookup writes keep the stored time where they bring none, pipeline writes
+        do not); by default the store's.
+        """
+        keep = self.keep_old_enriched_at if keep_old_enriched_at is None else keep_old_enriched_at
+        rows = conform(batch, S.PROFILE).filter(F.col("ip_address").isNotNull() & (F.col("ip_address") != ""))
+        self._write(rows, run_time(run_ts), keep, 1, writer, batch_id)
 
-class ProfileStore:
-    """A Parquet profile table with one row per ``ip_address``.
-
-    ``mode="copy_on_write"`` (default) rewrites the touched buckets on every
-    merge: reads are plain scans, writes cost the touched buckets; ``buckets``
-    should follow the size of the store.  ``mode="merge_on_read"`` writes each batch
-    as a delta (write cost = the batch, the store is not read) and resolves base and
-    deltas per IP on read with ``resolve_versions``; after ``max_deltas`` deltas a
-    merge compacts them into a new base.  For a very large store fed by frequent
-    batches of random IPs, where nearly every bucket is touched each time,
-    merge-on-read is the scalable choice.
-    """
+    def _write(self, rows: DataFrame, at: Column, keep: bool, delta: int, writer: str, batch_id: int) -> None:
+        (rows.withColumns({"_merge_ts": at, "_keep": F.lit(keep), "_delta": F.lit(delta), "writer": F.lit(writer),
+                           "batch_id": F.lit(int(batch_id)).cast("long")})
+         .sortWithinPartitions("ip_address").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .options(**BLOOM).partitionBy("writer", "batch_id").parquet(self.path))
 
-    def __init__(self, spark: SparkSession, path: str, policy: str = "table",
-                 buckets: int = 64, keep_old_enriched_at: bool = False,
-                 mode: str = "copy_on_write", max_deltas: int = 64):
-        if mode not in ("copy_on_write", "merge_on_read"):
-            raise ValueError(f"unknown store mode {mode!r}")
-        self.spark, self.path, self.policy = spark, path.rstrip("/"), policy
-        self.buckets, self.keep_old_enriched_at, self.mode = buckets, keep_old_enriched_at, mode
-        self.max_deltas = max_deltas
-        self.log = CommitLog(spark, f"{self.path}/commits")
-        self.schema = StructType(S.PROFILE.fields + [StructField("bucket", S.I, True)])
-        self.delta_schema = StructType(S.PROFILE.fields + [
-            StructField("_merge_ts", S.TS, True), StructField("_keep", BooleanType(), True),
-            StructField("v", StringType(), True)])
-
-    # ------------------------------------------------------------------ read
-    def _folder(self, version: str) -> str:
-        return f"{self.path}/data/v={version}"
-
-    def _buckets(self, state: dict) -> DataFrame:
-        """Copy-on-write rows of a commit, with their bucket column."""
-        paths = [f"{self._folder(v)}/bucket={b}" for b, v in state["buckets"].items()]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        schema = StructType(S.PROFILE.fields + [StructField("v", StringType(), True), StructField("bucket", S.I, True)])
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).drop("v")
-
-    def read(self) -> DataFrame:
-        """Copy-on-write table with its bucket column."""
-        if self.mode != "copy_on_write":
-            raise ValueError("read() is the copy-on-write table; use profiles()")
-        return self._buckets(self.log.current())
+    def versions(self) -> DataFrame:
+        """Every row of every batch, with its place; an unwritten store has none."""
+        try:
+            rows = self.spark.read.schema(VERSION).parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = self.spark.createDataFrame([], VERSION)
+        return rows.withColumn("_ord", F.expr(version_order("_delta", "_merge_ts", "writer", "batch_id"))).drop("_delta", "writer", "batch_id")
 
     def profiles(self) -> DataFrame:
-        if self.mode == "copy_on_write":
-            return self.read().drop("bucket")
-        return resolve_versions(self._versions(self.log.current()), self.policy)
+        return resolve_versions(self.versions(), self.policy)
 
-    def point(self, ip: str) -> DataFrame:
-        """F5 on the store: prune to the IP's bucket, push the equality to the scan."""
-        ip = ip.strip()
-        if self.mode != "copy_on_write":
-            return self.profiles().filter(F.col("ip_address") == ip).limit(1)
-        b = self.spark.range(1).select(bucket_of_literal(ip, self.buckets)).first()[0]
-        return (self.read().filter((F.col("bucket") == b) & (F.col("ip_address") == ip))
-                .drop("bucket").limit(1))
-
-    def rows_for(self, keys: DataFrame, key: str = "ip_address") -> DataFrame:
-        """Stored rows for a set of keys, scanning only the buckets they hash to.
-
-        The join on (bucket, ip) lets dynamic partition pruning skip untouched
-        bucket folders; the keys are never collected.
-        """
-        k = keys.select(F.col(key).alias("ip_address")).distinct()
-        if self.mode != "copy_on_write":
-            return self.profiles().join(k, "ip_address", "left_semi")
-        k = k.withColumn("bucket", bucket_of("ip_address", self.buckets))
-        return self.read().join(k, ["bucket", "ip_address"], "left_semi").drop("bucket")
-
-    def is_committed(self, batch_id: int, writer: str = "default") -> bool:
-        return any(a <= batch_id <= b for a, b in self.log.current()["applied"].get(writer, []))
-
-    # ---------------------------------------------------- merge-on-read parts
-    def _versions(self, state: dict) -> DataFrame:
-        """Base rows (``_ord`` = -1) plus the delta rows in the order of their commits."""
-        base = (self.spark.read.schema(S.PROFILE).parquet(self._folder(state["base"]))
-                if state["base"] else self.spark.createDataFrame([], S.PROFILE))
-        base = base.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS _merge_ts", "false AS _keep", "CAST(-1 AS BIGINT) AS _ord")
-        if not state["deltas"]:
-            return base
-        d = (self.spark.read.schema(self.delta_schema).option("basePath", f"{self.path}/data")
-             .parquet(*[self._folder(v) for _, v in state["deltas"]]))
-        order = "map(" + ", ".join(f"{lit(v)}, CAST({seq} AS BIGINT)" for seq, v in state["deltas"]) + ")"
-        return base.unionByName(d.withColumn("_ord", F.expr(f"element_at({order}, v)")).drop("v"))
-
-    def compact(self) -> bool:
-        """Fold the deltas into a new base and drop what no kept commit needs; False if there are none."""
-        state = self.log.current()
-        if self.mode != "merge_on_read" or not state["deltas"]:
-            return False
-        version = uuid.uuid4().hex
-        # Base files sorted by ip (row-group skipping for key lookups); a filter on
-        # ip_address also passes through the resolving aggregation to both scans.
-        (resolve_versions(self._versions(state), self.policy).sortWithinPartitions("ip_address")
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._folder(version)))
-        done = state["seq"]
-        while True:  # deltas committed meanwhile stay on top of the new base
-            now = self.log.current()
-            if now["base"] != state["base"]:
-                return False  # another compaction was first
-            later = [d for d in now["deltas"] if d[0] > done]
-            if self.log.write(now | {"seq": now["seq"] + 1, "base": version, "deltas": later}):
-                self._prune()
-                return True
-
-    def _prune(self) -> None:
-        """Delete commit files past the kept ones, and folders that only they name."""
-        numbers = self.log.numbers()
-        old, kept = numbers[:-KEPT_COMMITS], numbers[-KEPT_COMMITS:]
-        folders = lambda s: {s["base"], *(v for _, v in s["deltas"]), *s["buckets"].values()} - {None}
-        live = set().union(*(folders(self.log.read(n)) for n in kept)) if old else set()
-        for n in old:
-            for v in folders(self.log.read(n)) - live:
-                self.log.delete_folder(self._folder(v))
-            self.log.delete(n)
-
-    # ----------------------------------------------------------------- write
-    def merge(self, batch: DataFrame, batch_id: int, run_ts: str | None = None, writer: str = "default",
-              keep_old_enriched_at: bool | None = None) -> bool:
-        """Upsert ``batch`` (PROFILE rows, key-unique). Returns False when it is in the store already.
+    def rows_for(self, keys: DataFrame) -> DataFrame:
+        """The profiles of the IPs in ``keys``; the key test is below the fold, at the scan."""
+        return resolve_versions(rows_of_keys(self.versions(), keys), self.policy)
 
-        ``keep_old_enriched_at`` holds for this write (Q15: lookup writes keep the stored
-        time where they bring none, pipeline writes do not); by default the store's.
-        """
-        keep = self.keep_old_enriched_at if keep_old_enriched_at is None else keep_old_enriched_at
-        rows = conform(batch, S.PROFILE).filter(F.col("ip_address").isNotNull() & (F.col("ip_address") != ""))
-        delta = None
-        while True:
-            state = self.log.current()
-            applied = state["applied"].get(writer, [])
-            if any(a <= batch_id <= b for a, b in applied):
-                return False
-            new = state | {"seq": state["seq"] + 1, "applied": state["applied"] | {writer: _add_batch(applied, int(batch_id))}}
-            if self.mode == "merge_on_read":
-                delta = delta or self._write_delta(rows, run_ts, keep)
-                new["deltas"] = [*state["deltas"], [new["seq"], delta]]
-            else:
-                new["buckets"] = state["buckets"] | self._write_buckets(state, rows, run_ts, keep)
-            if self.log.write(new):
-                break
-        if len(new["deltas"]) >= self.max_deltas:
-            self.compact()
-        elif new["seq"] % KEPT_COMMITS == 0:
-            self._prune()
-        return True
+    def point(self, ip: str) -> DataFrame:
+        return resolve_versions(self.versions().filter(F.col("ip_address") == ip), self.policy)
 
-    def _write_delta(self, rows: DataFrame, run_ts: str | None, keep: bool) -> str:
-        version = uuid.uuid4().hex
-        now = F.to_timestamp(F.lit(run_ts)) if run_ts else F.current_timestamp()
-        (rows.withColumn("_merge_ts", now).withColumn("_keep", F.lit(keep))
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._folder(version)))
-        return version
-
-    def _write_buckets(self, state: dict, rows: DataFrame, run_ts: str | None, keep: bool) -> dict:
-        """The touched buckets, merged into a fresh folder: bucket -> folder."""
-        incoming = rows.withColumn("bucket", bucket_of("ip_address", self.buckets))
-        # Touched bucket ids: bounded by the bucket count, so safe to bring back.
-        touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
-        if not touched:
-            return {}
-        version = uuid.uuid4().hex
-        old = self._buckets({"buckets": {b: v for b, v in state["buckets"].items() if int(b) in touched}}).drop("bucket")
-        merged = merge_profiles(old, rows, self.policy, run_ts, keep)
-        # Rows sorted by ip inside each file: Parquet min/max statistics then let
-        # point lookups and key joins skip row groups.
-        (merged.withColumn("bucket", bucket_of("ip_address", self.buckets))
-         .sortWithinPartitions("bucket", "ip_address")
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket")
-         .parquet(self._folder(version)))
-        return {str(b): version for b in touched}
+    def compact_to(self, path: str) -> "ProfileStore":
+        """A new store at ``path`` that starts from this one's profiles; batches go there from then on."""
+        other = ProfileStore(self.spark, path, self.policy, self.keep_old_enriched_at)
+        other._write(self.profiles(), F.lit(None).cast("timestamp"), False, 0, "base", 0)
+        return other
 
 
 def save_profiles(profiles: DataFrame, stores: list[ProfileStore], batch_id: int,
@@ -312,35 +110,47 @@ def save_profiles(profiles: DataFrame, stores: list[ProfileStore], batch_id: int
 
 
 def write_snapshot(df: DataFrame, root: str, run_ts: str, fmt: str = "parquet",
-                   run_id: str | None = None) -> str:
-    """K1/K2: write a snapshot under ``year=/month=/day=`` of the run time.
+                   run_id: str | None = None, counters: dict[str, Column] | None = None, required: bool = False,
+                   drop: tuple[str, ...] = ()) -> dict:
+    """K1/K2: write a snapshot under ``year=/month=/day=`` of the run time; returns its counters.
 
     The run id column takes the place of the timestamped file name, so several
     runs on one day stay apart and the newest is selectable by partition filter.
-    Writing a run again replaces that run's partition.
+    Writing a run again replaces that run's partition.  ``record_count`` and ``counters``
+    (aggregates over the rows, ``drop`` columns included, which are not written) are
+    gathered while the rows are written, so counting costs no job (K3, A5).  A
+    ``required`` snapshot without rows raises (S11).
     """
     ts = F.to_timestamp(F.lit(run_ts))
-    out = (df.withColumn("year", F.date_format(ts, "yyyy"))
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("record_count"), *[c.alias(k) for k, c in (counters or {}).items()])
+    out = (counted.drop(*drop).withColumn("year", F.date_format(ts, "yyyy"))
              .withColumn("month", F.date_format(ts, "MM"))
              .withColumn("day", F.date_format(ts, "dd"))
-             .withColumn("run_id", F.lit(run_id or re.sub(r"[^0-9]", "", run_ts)[:14])))
+             .withColumn("run_id", F.lit(run_id or run_id_of(run_ts))))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month", "day", "run_id").format(fmt).save(root))
-    return root
+    got = {"record_count": 0, **dict.fromkeys(counters or {}, 0), **seen.get}
+    if required and not got["record_count"]:
+        raise ValueError(f"the snapshot of {run_ts} for {root} has no rows")
+    return got
+
+
+def run_id_of(run_ts: str) -> str:
+    return re.sub(r"[^0-9]", "", run_ts)[:14]
 
 
 def write_raw_snapshot(df: DataFrame, root: str, run_ts: str, source: str) -> str:
     """K1: a raw snapshot as JSON lines, and its envelope (source, ingestion time, record count) beside it.
 
     The envelope is one row under ``_envelopes/run_id=<id>``, so records are written and
-    read by many tasks; it is written last and names a complete snapshot.  Writing a
-    run again replaces both.
+    read by many tasks; it is written last, from what was counted while the records were
+    written, and names a complete snapshot.  Writing a run again replaces both.
     """
-    run_id = re.sub(r"[^0-9]", "", run_ts)[:14]
-    write_snapshot(df, f"{root}/records", run_ts, "json", run_id)
-    written = df.sparkSession.read.schema(df.schema).json(f"{root}/records/*/*/*/run_id={run_id}")
-    (snapshot_manifest(written, source, run_ts).coalesce(1).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").json(f"{root}/_envelopes/run_id={run_id}"))
+    run_id = run_id_of(run_ts)
+    count = write_snapshot(df, f"{root}/records", run_ts, "json", run_id)["record_count"]
+    (df.sparkSession.range(1).select(F.lit(source).alias("source"), F.lit(run_ts).alias("ingestion_time"), F.lit(count).alias("record_count"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").json(f"{root}/_envelopes/run_id={run_id}"))
     return root
 
 

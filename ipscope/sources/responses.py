@@ -53,11 +53,17 @@ def answers(responses: DataFrame, *kinds: str) -> DataFrame:
         F.col(f"{k}.http_status").alias("http_status"), F.col(f"{k}.value").alias("value"))).alias(k) for k in kinds])
 
 
-def fetch_status(http_status: Column, valid_ip: Column | None = None) -> Column:
-    """P9 vocabulary for the pulse feed: ok / rate_limited / not_found / request_failed / invalid_ip."""
-    s = (F.when(http_status == 200, F.lit("ok"))
-         .when(http_status == 429, F.lit("rate_limited"))
-         .when(http_status == 404, F.lit("not_found"))
+def fetch_status(answer: Column, valid_ip: Column | None = None) -> Column:
+    """P9 vocabulary for the pulse feed, of the best answer of a kind (a struct with ``http_status``).
+
+    ok / rate_limited / not_found; request_failed for any other status and for a try that
+    got no status; unknown_error where no try was landed; invalid_ip whatever was landed.
+    """
+    code = answer["http_status"]
+    s = (F.when(answer.isNull(), F.lit("unknown_error"))
+         .when(code == 200, F.lit("ok"))
+         .when(code == 429, F.lit("rate_limited"))
+         .when(code == 404, F.lit("not_found"))
          .otherwise(F.lit("request_failed")))
     return s if valid_ip is None else F.when(~valid_ip, F.lit("invalid_ip")).otherwise(s)
 
@@ -106,8 +112,8 @@ def parse_pulses(responses: DataFrame, ingestion_time: str | None) -> DataFrame:
         F.size(names).cast("string").alias("pulse_count"),
         F.filter(names, lambda n: n.isNotNull() & (n != F.lit(""))).alias("pulse_names"),
         F.coalesce(F.col("passive_dns.value.n"), F.lit(0)).cast("string").alias("passive_dns_count"),
-        fetch_status(F.col("pulse_general.http_status"), valid).alias("general_status"),
-        fetch_status(F.col("passive_dns.http_status"), valid).alias("passive_dns_status"),
+        fetch_status(F.col("pulse_general"), valid).alias("general_status"),
+        fetch_status(F.col("passive_dns"), valid).alias("passive_dns_status"),
         t.alias("first_ingestion_time"), t.alias("last_ingestion_time"),
         F.lit("1").alias("seen_count"))
 

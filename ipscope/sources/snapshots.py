@@ -13,10 +13,13 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import urlsplit
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType, TimestampType
 
 from ipscope.schemas import envelope_schema
 
@@ -82,6 +85,40 @@ def newest_file(spark: SparkSession, root: str, suffix: str | None = None) -> st
     return row[0]["path"] if row else None
 
 
+def newest_per_prefix(spark: SparkSession, root: str, suffix: str | None = None, unit: str = "file") -> DataFrame:
+    """S3/A10: (prefix, path, modified) of the newest object under each folder of ``root``.
+
+    One aggregation over file names and times, no content.  An object is a file, or with
+    ``unit="folder"`` a folder of part files, as new as its newest file.  Of equally new
+    objects the one listed first (by path) wins.
+    """
+    base = re.escape(urlsplit(root).path.rstrip("/"))
+    files = list_files(spark, root, suffix).select(
+        F.regexp_extract("path", f"{base}/([^/]+)/", 1).alias("prefix"), F.col("modificationTime").alias("modified"),
+        (F.regexp_extract("path", "^(.*)/[^/]*$", 1) if unit == "folder" else F.col("path")).alias("path")).filter("prefix <> ''")
+    if unit == "folder":
+        files = files.groupBy("prefix", "path").agg(F.max("modified").alias("modified"))
+    first = files.groupBy("prefix", "modified").agg(F.min("path").alias("path"))  # settles ties
+    return first.groupBy("prefix").agg(F.max_by("path", "modified").alias("path"), F.max("modified").alias("modified"))
+
+
+def read_newest(spark: SparkSession, root: str, schema: StructType, suffix: str | None = None, unit: str = "file",
+                fmt: str = "json") -> DataFrame:
+    """The newest object of every prefix, each row with where it came from (S10): prefix, source_file, source_modified.
+
+    One name a prefix comes back to the driver; only these objects are opened.
+    """
+    paths = [r.path for r in newest_per_prefix(spark, root, suffix, unit).collect()]
+    names = [f.name for f in schema.fields]
+    if not paths:
+        return spark.createDataFrame([], StructType([*schema.fields, StructField("prefix", StringType()), StructField("source_file", StringType()),
+                                                     StructField("source_modified", TimestampType())]))
+    base = re.escape(urlsplit(root).path.rstrip("/"))
+    return spark.read.schema(schema).format(fmt).load(paths).select(
+        *names, F.regexp_extract(F.col("_metadata.file_path"), f"{base}/([^/]+)/", 1).alias("prefix"),
+        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("source_modified"))
+
+
 RUN_FOLDERS = ("year", "month", "day", "run_id")
 
 

@@ -260,9 +260,11 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
         JOIN region r ON r.r_regionkey = n.n_regionkey
         LEFT JOIN v_pulse p ON p.ip_address = {ip_of('c.c_custkey')}"""
-    answers = spark.sql(f"""
-    WITH c AS ({base})
-    SELECT ip, 'geo' AS kind, CASE WHEN bal < 0 THEN 429 ELSE 200 END AS http_status,
+    # One row per customer, its four answers and their tries exploded from it.
+    return spark.sql(f"""
+    WITH c AS ({base}),
+    a AS (SELECT ip, inline(array(
+      named_struct('kind', 'geo', 'good', CASE WHEN bal < 0 THEN 429 ELSE 200 END, 'text',
            to_json(named_struct(
              'ip', ip,
              'location', named_struct('continent_name', region, 'country_code2', substr(nation, 1, 2),
@@ -271,26 +273,19 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                 'is_eu', region = 'EUROPE'),
              'asn', named_struct('as_number', 'AS' || CAST(k % 900 + 100 AS STRING),
                 'organization', 'Org ' || seg, 'country', substr(nation, 1, 2)),
-             'time_zone', named_struct('name', region, 'offset', CAST(k % 24 - 12 AS DOUBLE)))) AS body
-    FROM c
-    UNION ALL
-    SELECT ip, 'abuse_check', 200,
+             'time_zone', named_struct('name', region, 'offset', CAST(k % 24 - 12 AS DOUBLE))))),
+      named_struct('kind', 'abuse_check', 'good', 200, 'text',
            to_json(named_struct('data', named_struct(
              'abuseConfidenceScore', CAST(abs(floor(bal)) % 101 AS STRING),
              'countryCode', substr(nation, 1, 2), 'countryName', nation,
-             'lastReportedAt', CAST(NULL AS STRING), 'totalReports', CAST(k % 13 AS STRING))))
-    FROM c
-    UNION ALL
-    SELECT ip, 'pulse_general', 200,
+             'lastReportedAt', CAST(NULL AS STRING), 'totalReports', CAST(k % 13 AS STRING))))),
+      named_struct('kind', 'pulse_general', 'good', 200, 'text',
            to_json(named_struct('reputation', bal, 'pulse_info', named_struct('pulses',
              transform(coalesce(split(pulse_text, ' \\\\| '), CAST(array() AS ARRAY<STRING>)),
-                       x -> named_struct('name', x)))))
-    FROM c
-    UNION ALL
-    SELECT ip, 'passive_dns', CASE WHEN seg = 'HOUSEHOLD' THEN 404 ELSE 200 END,
+                       x -> named_struct('name', x)))))),
+      named_struct('kind', 'passive_dns', 'good', CASE WHEN seg = 'HOUSEHOLD' THEN 404 ELSE 200 END, 'text',
            to_json(named_struct('passive_dns', transform(sequence(1, CAST(k % 5 AS INT) + 1),
-             i -> named_struct('hostname', 'h' || CAST(i AS STRING) || '.example', 'address', ip))))
-    FROM c""").withColumn("landed_at", F.lit("2024-01-31T00:00:01Z"))
-    tries = answers.withColumn("http_status", F.lit(429)).withColumn("body", F.lit(None).cast("string"))
-    return (answers.unionByName(tries.withColumn("landed_at", F.lit("2024-01-31T00:00:00Z")))
-            .unionByName(tries.filter("kind = 'pulse_general'").withColumn("landed_at", F.lit("2024-01-31T00:00:02Z"))))
+             i -> named_struct('hostname', 'h' || CAST(i AS STRING) || '.example', 'address', ip))))))) FROM c),
+    t AS (SELECT *, explode(CASE WHEN kind = 'pulse_general' THEN array(0, 1, 2) ELSE array(0, 1) END) AS try FROM a)
+    SELECT ip, kind, CASE WHEN try = 1 THEN good ELSE 429 END AS http_status, CASE WHEN try = 1 THEN text END AS body,
+           '2024-01-31T00:00:0' || CAST(try AS STRING) || 'Z' AS landed_at FROM t""")
