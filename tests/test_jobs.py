@@ -46,8 +46,8 @@ def test_daily_gate_transform_publish_commit(spark, tmp_path):
 
 def test_lookup_saves_to_both_stores(spark, tmp_path):
     e = catalog.stored_profiles(spark, SF_SMALL)
-    table = ProfileStore(spark, str(tmp_path / "t"), policy="table", buckets=4)
-    doc = ProfileStore(spark, str(tmp_path / "d"), policy="document", mode="merge_on_read")
+    table = ProfileStore(spark, str(tmp_path / "t"), policy="table")
+    doc = ProfileStore(spark, str(tmp_path / "d"), policy="document")
     table.merge(e, 0, catalog.PREV_RUN_TS)
     doc.merge(e, 0, catalog.PREV_RUN_TS)
     reqs = spark.createDataFrame([("10.0.0.1",), (" 10.0.0.200 ",), ("not-an-ip",)], "ip string")
@@ -71,7 +71,7 @@ def test_enrichment_batch_equals_stream_step(spark, tmp_path):
     reps = standin.abuse_reports(spark, SF_SMALL).drop("pos")
     bad = spark.createDataFrame([(None, "X", 1, "2024-01-01T00:00:00Z", None, None)], reps.schema)
     pulses, geo = standin.pulse_snapshot(spark, SF_SMALL), standin.geo_snapshot(spark, SF_SMALL)
-    store = ProfileStore(spark, str(tmp_path / "s"), buckets=4)
+    store = ProfileStore(spark, str(tmp_path / "s"))
     out = run_enrichment_batch(spark, reps.unionByName(bad), pulses, geo, [store], 7, standin.RUN_TS,
                                str(tmp_path / "dead"))
     exp = enrich_and_score(reps, pulses, geo, run_ts=standin.RUN_TS)

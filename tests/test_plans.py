@@ -80,38 +80,54 @@ def test_word_boundary_option(spark):
     assert list(r.w) == ["brute force", "ssh"] and list(r.c) == ["Brute Force"]
 
 
-def test_store_point_lookup_prunes_and_pushes(spark, tmp_path):
+def test_store_point_lookup_reaches_the_scan(spark, tmp_path):
     from ipscope.sinks.store import ProfileStore
     e = catalog.stored_profiles(spark, SF_SMALL)
-    store = ProfileStore(spark, str(tmp_path / "s"), buckets=8)
+    store = ProfileStore(spark, str(tmp_path / "s"))
     store.merge(e, 0, catalog.PREV_RUN_TS)
     ip = e.select("ip_address").orderBy("ip_address").first()[0]
-    q = store.point(ip)
-    p = _plan(q)
-    assert "PartitionFilters: [isnotnull(bucket" in p and "EqualTo(ip_address," in p
-    got = q.collect()
+    assert f"EqualTo(ip_address,{ip})" in _plan(store.point(ip))
+    got = store.point(ip).collect()
     assert len(got) == 1 and got[0].ip_address == ip
-
-
-def test_store_rows_for_uses_partition_pruning(spark, tmp_path):
-    from ipscope.sinks.store import ProfileStore
-    e = catalog.stored_profiles(spark, SF_SMALL)
-    store = ProfileStore(spark, str(tmp_path / "s"), buckets=8)
-    store.merge(e, 0, catalog.PREV_RUN_TS)
-    keys = e.select("ip_address").limit(2)
-    rows = store.rows_for(keys)
-    assert "dynamicpruningexpression" in _plan(rows).lower()
-    assert rows.count() == 2
-
-
-def test_merge_on_read_key_filter_reaches_both_scans(spark, tmp_path):
-    from ipscope.sinks.store import ProfileStore
-    e, i = catalog.merge_inputs(spark, SF_SMALL)
-    store = ProfileStore(spark, str(tmp_path / "m"), policy="document", mode="merge_on_read")
-    store.merge(e, 0, catalog.PREV_RUN_TS)
-    store.compact()
-    store.merge(i, 1, standin.RUN_TS)
-    q = store.profiles().filter(F.col("ip_address") == "10.0.0.1")
-    p = _plan(q)
-    assert p.count("EqualTo(ip_address,10.0.0.1)") >= 2  # base and delta scans
-    assert q.count() == 1
+    few = store.rows_for(e.select("ip_address").limit(2))
+    assert "PushedFilters: [In(ip_address" in _plan(few) and few.count() == 2
+
+
+def test_a_diff_reads_only_the_buckets_that_changed(spark, tmp_path):
+    from ipscope.sinks.state import SnapshotGate
+    rows = spark.range(500).select(F.format_string("10.0.%d.%d", (F.col("id") / 250).cast("int"), F.col("id") % 250).alias("ip_address"),
+                                   F.lit(5).alias("abuse_confidence_score"), F.lit("t").alias("last_reported_at"), F.lit("DE").alias("country_code"))
+    gate = SnapshotGate(spark, str(tmp_path / "s"), buckets=40)
+    assert gate.diff(rows).count() == 500 and gate.commit(rows, "a", "t") == 1
+    assert not gate.detect(rows).first().changed and gate.diff(rows).count() == 0
+    one = rows.withColumn("country_code", F.when(F.col("ip_address") == "10.0.1.7", "FR").otherwise(F.col("country_code")))
+    again = SnapshotGate(spark, str(tmp_path / "s"), buckets=7)  # the commit's bucket count holds
+    d = again.diff(one)
+    assert [(r.ip_address, r.change) for r in d.collect()] == [("10.0.1.7", "changed")]
+    bucket = rows.filter("ip_address = '10.0.1.7'").select(changes.bucket_of("ip_address", 40)).first()[0]
+    assert f"PartitionFilters: [isnotnull(bucket" in _plan(d) and f"= {bucket})]" in _plan(d)
+    full = changes.diff_snapshots(again.committed_records(), one).filter("change <> 'same'")
+    assert sorted(full.collect()) == sorted(d.collect())
+    assert again.commit(one.limit(0), "b", "u") == 2 and again.committed_records().count() == 0
+    assert again.diff(one).filter("change = 'new'").count() == 500
+
+
+def test_two_commits_at_once_do_not_mix(spark, tmp_path, monkeypatch):
+    from ipscope.sinks.state import SnapshotGate
+    rows = lambda ip: spark.createDataFrame([(ip, 1, "t", "DE")], "ip_address string, abuse_confidence_score int, last_reported_at string, country_code string")
+    one, two = SnapshotGate(spark, str(tmp_path / "s")), SnapshotGate(spark, str(tmp_path / "s"))
+    monkeypatch.setattr(two, "latest", lambda: None)  # has not seen the first
+    assert one.commit(rows("1.1.1.1"), "a", "t") == two.commit(rows("2.2.2.2"), "b", "t") == 1
+    got = one.committed_records().collect()
+    assert len(got) == 1 and one.latest().source_object_name == {"1.1.1.1": "a", "2.2.2.2": "b"}[got[0].ip_address]
+
+
+def test_ordered_files_do_not_overlap(spark, tmp_path):
+    from ipscope.sinks import ordered
+    rows = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    ordered.write_ordered(rows, str(tmp_path / "o"), "k", 5)
+    ranges = sorted((r.least, r.greatest, r.rows) for r in ordered.file_ranges(spark, str(tmp_path / "o"), "k").collect())
+    assert len(ranges) == 5 and sum(r[2] for r in ranges) == 3000
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    ordered.write_ordered(rows.limit(0), str(tmp_path / "e"), "k", 5)
+    assert ordered.positions(spark, str(tmp_path / "e"), "k").count() == 0

@@ -139,3 +139,22 @@ def test_raw_snapshot_reads_the_newest_run_only(spark, tmp_path):
     got = read_raw_snapshot(spark, str(tmp_path), df.schema)
     assert {tuple(r) for r in got.collect()} == {("feed", "2024-02-01T00:00:00Z", 2, ip) for ip in ("1.1.1.1", "2.2.2.2")}
     assert all("run_id=20240201000000" in f for f in got.inputFiles())
+
+
+def test_newest_of_every_prefix_and_ties(spark, tmp_path):
+    from ipscope.sources.snapshots import newest_per_prefix, read_newest
+    from pyspark.sql.types import StructType
+    for name, t in (("a/one.json", 1000), ("a/two.json", 2000), ("b/x.json", 3000), ("b/w.json", 3000), ("c/part/1.json", 10), ("c/part/2.json", 5000),
+                    ("c/other/1.json", 4000), ("c/skip.txt", 9000), ("top.json", 9000)):
+        p = tmp_path / name
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text(json.dumps({"n": name}))
+        os.utime(p, (t, t))
+    got = {r.prefix: os.path.relpath(r.path.removeprefix("file:"), tmp_path) for r in newest_per_prefix(spark, str(tmp_path), ".json").collect()}
+    assert got == {"a": "a/two.json", "b": "b/w.json", "c": "c/part/2.json"}  # of equally new files the first listed
+    schema = StructType.fromDDL("n string")
+    rows = read_newest(spark, str(tmp_path), schema, ".json", unit="folder").collect()
+    assert sorted((r.prefix, r.n) for r in rows if r.prefix == "c") == [("c", "c/part/1.json"), ("c", "c/part/2.json")]
+    assert all(r.source_file.endswith(r.n) and r.source_modified for r in rows)
+    (tmp_path / "none").mkdir()
+    assert read_newest(spark, str(tmp_path / "none"), schema).collect() == []

@@ -1,15 +1,11 @@
-"""The store keeps every committed batch once, and nothing else, whatever happens around it."""
-import shutil
-
+"""The store keeps every batch once, whatever happens around it."""
 import pytest
 from pyspark.sql import functions as F
 
 from ipscope import schemas as S
-from ipscope.sinks import store as store_module
 from ipscope.sinks.store import ProfileStore, publish_json, write_snapshot
 
 RUN, LATER = "2024-05-05T00:00:00Z", "2024-06-06T00:00:00Z"
-MODES = ["copy_on_write", "merge_on_read"]
 
 
 def batch(spark, ips, **values):
@@ -22,97 +18,93 @@ def ips(store):
     return sorted(r[0] for r in store.profiles().select("ip_address").collect())
 
 
-@pytest.mark.parametrize("mode", MODES)
-def test_stores_with_equal_path_tails_stay_apart(spark, tmp_path, mode):
-    tail = "x" * 90
-    one, two = (ProfileStore(spark, str(tmp_path / name / tail), mode=mode, buckets=4) for name in ("a", "b"))
-    one.merge(batch(spark, ["1.1.1.1", "2.2.2.2"]), 0, RUN)
-    two.merge(batch(spark, ["9.9.9.9"]), 0, RUN)
+def test_writers_number_their_batches_on_their_own(spark, tmp_path):
+    one, two = (ProfileStore(spark, str(tmp_path / name)) for name in ("a", "b"))
+    assert ips(one) == []
+    one.merge(batch(spark, ["1.1.1.1"]), 1, RUN, writer="stream:/x=1/y z")
+    one.merge(batch(spark, ["2.2.2.2"]), 1, RUN, writer="lookup")
+    two.merge(batch(spark, ["9.9.9.9"]), 1, RUN)
     assert ips(one) == ["1.1.1.1", "2.2.2.2"] and ips(two) == ["9.9.9.9"]
 
 
-@pytest.mark.parametrize("mode", MODES)
-def test_a_store_started_anew_at_its_path_is_empty(spark, tmp_path, mode):
-    path = str(tmp_path / "s")
-    store = ProfileStore(spark, path, mode=mode, buckets=4)
-    store.merge(batch(spark, ["1.1.1.1", "2.2.2.2", "3.3.3.3"]), 0, RUN)
-    shutil.rmtree(path)
-    again = ProfileStore(spark, path, mode=mode, buckets=4)
-    assert again.merge(batch(spark, ["9.9.9.9"]), 0, RUN)
-    assert ips(again) == ["9.9.9.9"]
-
-
-@pytest.mark.parametrize("mode", MODES)
-def test_writers_number_their_batches_on_their_own(spark, tmp_path, mode):
-    store = ProfileStore(spark, str(tmp_path / "s"), mode=mode, buckets=4)
-    assert store.merge(batch(spark, ["1.1.1.1"]), 1, RUN, writer="stream")
-    assert store.merge(batch(spark, ["2.2.2.2"]), 1, RUN, writer="lookup")
-    assert not store.merge(batch(spark, ["3.3.3.3"]), 1, RUN, writer="lookup")
-    assert store.is_committed(1, "stream") and not store.is_committed(2, "stream")
-    assert ips(store) == ["1.1.1.1", "2.2.2.2"]
-
-
-def test_a_low_id_after_a_compaction_is_kept(spark, tmp_path):
-    store = ProfileStore(spark, str(tmp_path / "s"), mode="merge_on_read")
-    store.merge(batch(spark, ["1.1.1.1"]), 10, RUN)
-    assert store.compact() and not store.compact()
-    assert store.merge(batch(spark, ["2.2.2.2"]), 4, RUN)
-    assert ips(store) == ["1.1.1.1", "2.2.2.2"]
-
-
-@pytest.mark.parametrize("mode", MODES)
-def test_a_stop_before_the_commit_changes_nothing(spark, tmp_path, mode, monkeypatch):
-    store = ProfileStore(spark, str(tmp_path / "s"), mode=mode, buckets=4)
-    store.merge(batch(spark, ["1.1.1.1"], geo_city="Oslo"), 0, RUN)
-
-    def stop(self, state):
-        raise RuntimeError("the driver is gone")
-
-    with monkeypatch.context() as m:
-        m.setattr(store_module.CommitLog, "write", stop)
-        with pytest.raises(RuntimeError):
-            store.merge(batch(spark, ["1.1.1.1", "2.2.2.2"], geo_city="Lima"), 1, RUN)
-    assert [(r.ip_address, r.geo_city) for r in store.profiles().collect()] == [("1.1.1.1", "Oslo")]
-    assert store.merge(batch(spark, ["1.1.1.1", "2.2.2.2"], geo_city="Lima"), 1, RUN)
-    assert {(r.ip_address, r.geo_city) for r in store.profiles().collect()} == {("1.1.1.1", "Lima"), ("2.2.2.2", "Lima")}
-
-
-@pytest.mark.parametrize("mode", MODES)
-def test_a_writer_that_loses_the_race_starts_from_the_winner(spark, tmp_path, mode, monkeypatch):
-    path = str(tmp_path / "s")
-    one, two = (ProfileStore(spark, path, mode=mode, buckets=1) for _ in range(2))
-    before = one.log.current()
-    two.merge(batch(spark, ["1.1.1.1"]), 0, RUN, writer="two")
-    current, seen = one.log.current, []
-
-    def stale():
-        seen.append(1)
-        return before if len(seen) == 1 else current()
-
-    monkeypatch.setattr(one.log, "current", stale)
-    assert one.merge(batch(spark, ["2.2.2.2"]), 0, RUN, writer="one")
-    assert len(seen) == 2 and ips(two) == ["1.1.1.1", "2.2.2.2"]
-
-
-@pytest.mark.parametrize("mode", MODES)
-def test_each_write_says_whether_it_keeps_the_stored_time(spark, tmp_path, mode):
-    store = ProfileStore(spark, str(tmp_path / "s"), mode=mode, buckets=4)
+@pytest.mark.parametrize("policy", ["table", "document"])
+def test_a_batch_merged_again_takes_its_own_place(spark, tmp_path, policy):
+    store = ProfileStore(spark, str(tmp_path / "s"), policy)
+    for n, city in enumerate(("Oslo", "Lima", "Rome")):
+        store.merge(batch(spark, ["1.1.1.1", f"2.2.2.{n}"], geo_city=city), n, RUN)
+    before = sorted(map(tuple, store.profiles().collect()))
+    store.merge(batch(spark, ["1.1.1.1", "2.2.2.1"], geo_city="Lima"), 1, RUN)
+    assert sorted(map(tuple, store.profiles().collect())) == before
+    store.merge(batch(spark, ["2.2.2.1"], geo_city="Bonn"), 1, RUN)  # a batch that was wrong is replaced whole
+    assert {r.ip_address: r.geo_city for r in store.profiles().collect()} == {
+        "1.1.1.1": "Rome", "2.2.2.0": "Oslo", "2.2.2.1": "Bonn", "2.2.2.2": "Rome"}
+
+
+@pytest.mark.parametrize("policy", ["table", "document"])
+def test_a_compacted_store_goes_on(spark, tmp_path, policy):
+    store = ProfileStore(spark, str(tmp_path / "s"), policy)
+    store.merge(batch(spark, ["1.1.1.1"], geo_city="Oslo", first_seen_at=RUN), 10, RUN)
+    store.merge(batch(spark, ["1.1.1.1", "2.2.2.2"], geo_city="Lima", first_seen_at=LATER), 11, LATER)
+    small = store.compact_to(str(tmp_path / "t"))
+    assert sorted(map(tuple, small.profiles().collect())) == sorted(map(tuple, store.profiles().collect()))
+    for s in (store, small):
+        s.merge(batch(spark, ["1.1.1.1"], geo_asn_number="AS1"), 12, LATER)
+    assert sorted(map(tuple, small.profiles().collect())) == sorted(map(tuple, store.profiles().collect()))
+
+
+def test_rows_for_few_and_many_keys(spark, tmp_path):
+    store = ProfileStore(spark, str(tmp_path / "s"))
+    store.merge(batch(spark, [f"1.1.{k // 50}.{k % 50}" for k in range(200)]), 0, RUN)
+    for n in (0, 3, 60):
+        keys = [f"1.1.{k // 50}.{k % 50}" for k in range(n)]
+        frame = spark.createDataFrame([(k,) for k in keys + keys[:1] + ["8.8.8.8", None]], "ip_address string")
+        assert sorted(r.ip_address for r in store.rows_for(frame).collect()) == sorted(keys)
+
+
+def _rows_out_of_scans(df):
+    """Rows that the scans of an executed plan handed on."""
+    df.collect()
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+    def visit(p):
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return visit(p.executedPlan())
+        if name.startswith("Scan"):
+            out.append(p.metrics().apply("numOutputRows").value())
+        for child in ([p.plan()] if "QueryStage" in name else [p.children().apply(i) for i in range(p.children().size())]):
+            visit(child)
+    visit(plan)
+    return sum(out)
+
+
+def test_bloom_filters_keep_files_unread_for_few_keys(spark, tmp_path):
+    """Batches span the whole range of IPs, so only the Bloom filters tell them apart."""
+    store = ProfileStore(spark, str(tmp_path / "s"))
+    for n in range(4):
+        store.merge(batch(spark, [f"10.{k % 7}.{k // 7}.{4 * (k % 60) + n}" for k in range(400)]).coalesce(1), n, RUN)
+    keys = spark.createDataFrame([("10.3.0.13",), ("10.5.1.49",)], "ip_address string")  # both of batch 1
+    assert sorted(r.ip_address for r in store.rows_for(keys).collect()) == ["10.3.0.13", "10.5.1.49"]
+    assert _rows_out_of_scans(store.rows_for(keys)) <= 400 < 1600 == _rows_out_of_scans(store.profiles())
+
+
+def test_each_write_says_whether_it_keeps_the_stored_time(spark, tmp_path):
+    store = ProfileStore(spark, str(tmp_path / "s"))
     store.merge(batch(spark, ["1.1.1.1"], enriched_at=RUN), 0, RUN)
-    store.merge(batch(spark, ["1.1.1.1"]), 0, RUN, writer="lookup", keep_old_enriched_at=True)
+    store.merge(batch(spark, ["1.1.1.1"]), 0, LATER, writer="lookup", keep_old_enriched_at=True)
     assert store.profiles().first().enriched_at is not None
-    store.merge(batch(spark, ["1.1.1.1"]), 1, RUN)
+    store.merge(batch(spark, ["1.1.1.1"]), 1, LATER)
     assert store.profiles().first().enriched_at is None
 
 
-def test_old_commits_and_their_folders_go(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(store_module, "KEPT_COMMITS", 2)
-    store = ProfileStore(spark, str(tmp_path / "s"), mode="merge_on_read", max_deltas=3)
-    for k in range(7):
-        store.merge(batch(spark, [f"1.1.1.{k}"]), k, RUN)
-    assert ips(store) == [f"1.1.1.{k}" for k in range(7)]
-    assert len(store.log.numbers()) <= 4
-    assert len(list((tmp_path / "s" / "data").iterdir())) <= 6
-    assert all(not store.merge(batch(spark, ["9.9.9.9"]), k, RUN) for k in range(7))
+def test_counters_come_with_the_write_and_an_empty_required_snapshot_raises(spark, tmp_path):
+    rows = spark.createDataFrame([("1.1.1.1", "a"), ("2.2.2.2", "b")], "ip_address string, _flag string")
+    got = write_snapshot(rows, str(tmp_path / "p"), RUN, counters={"a_count": F.count_if(F.col("_flag") == "a")}, drop=("_flag",))
+    assert got == {"record_count": 2, "a_count": 1}
+    assert "_flag" not in spark.read.parquet(str(tmp_path / "p")).columns
+    assert write_snapshot(rows.limit(0), str(tmp_path / "p"), LATER)["record_count"] == 0
+    for nothing in (rows.limit(0), rows.filter("ip_address = 'x'")):
+        with pytest.raises(ValueError):
+            write_snapshot(nothing, str(tmp_path / "p"), LATER, required=True)
 
 
 def test_running_a_snapshot_or_a_publication_again_gives_each_row_once(spark, tmp_path):

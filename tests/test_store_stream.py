@@ -7,6 +7,7 @@ from ipscope import standin
 from ipscope.operators.enrich import enrich_and_score
 from ipscope.plans import catalog
 from ipscope.plans.render import render
+from ipscope.operators.quarantine import judge_values, land, landed
 from ipscope.sinks.store import ProfileStore
 from ipscope.streaming.enrich_stream import parse_values, read_source, start_enrichment
 
@@ -21,12 +22,11 @@ def _sorted(df):
 
 def test_store_merge_replay_and_keys(spark, tmp_path):
     e, i = catalog.merge_inputs(spark, SF_SMALL)
-    store = ProfileStore(spark, str(tmp_path / "store"), policy="table", buckets=8)
-    assert store.merge(e, 0, catalog.PREV_RUN_TS)
-    assert store.merge(i, 1, RUN)
+    store = ProfileStore(spark, str(tmp_path / "store"), policy="table")
+    store.merge(e, 0, catalog.PREV_RUN_TS)
+    store.merge(i, 1, RUN)
     first = _sorted(store.profiles())
-    # replaying a committed batch is a no-op
-    assert not store.merge(i, 1, RUN)
+    store.merge(i, 1, RUN)  # a replayed batch changes nothing
     assert _sorted(store.profiles()) == first
     # key-unique and equal to the pure merge
     prof = store.profiles()
@@ -66,8 +66,8 @@ def test_stream_equals_batch_and_dead_letters(spark, tmp_path):
             fh.write(json.dumps({"country_code": "X"}) + "\n")
     pulses = standin.pulse_snapshot(spark, SF_SMALL)
     geo = standin.geo_snapshot(spark, SF_SMALL)
-    store = ProfileStore(spark, str(tmp_path / "store"), policy="table", buckets=4)
-    docs = ProfileStore(spark, str(tmp_path / "docs"), policy="document", mode="merge_on_read")
+    store = ProfileStore(spark, str(tmp_path / "store"), policy="table")
+    docs = ProfileStore(spark, str(tmp_path / "docs"), policy="document")
     q = start_enrichment(
         spark, read_source(spark, "text", str(src), {"maxFilesPerTrigger": "1"}), [store, docs],
         lambda: pulses, lambda: geo, str(tmp_path / "ckpt"), str(tmp_path / "dead"),
@@ -89,15 +89,53 @@ def test_stream_equals_batch_and_dead_letters(spark, tmp_path):
     seq = merge_profiles(merge_profiles(spark.createDataFrame([], p0.schema), p0, "document", RUN),
                          p1, "document", RUN)
     assert _sorted(docs.profiles()) == _sorted(seq)
-    dead = spark.read.json(str(tmp_path / "dead"))
-    assert dead.count() == 4  # one bad line and one key-less record per file
-    # restart on the same checkpoint: nothing new, store unchanged
+    dead = landed(spark, str(tmp_path / "dead"), "quarantine")
+    # one bad line and one key-less record per file
+    assert sorted(r.reason for r in dead.collect()) == ["not_json", "not_json", "null_key", "null_key"]
+    assert {r.raw_value for r in dead.collect()} == {"this is not json", '{"country_code": "X"}'}
+    # the last batch's commit is lost: it is replayed on restart, and nothing changes
+    for name in ("commits/1", "commits/.1.crc"):
+        (tmp_path / "ckpt" / name).unlink()
     q2 = start_enrichment(
-        spark, read_source(spark, "text", str(src)), [store], lambda: pulses, lambda: geo,
+        spark, read_source(spark, "text", str(src), {"maxFilesPerTrigger": "1"}), [store, docs], lambda: pulses, geo,
         str(tmp_path / "ckpt"), str(tmp_path / "dead"), trigger={"availableNow": True}, run_ts=RUN)
     q2.awaitTermination(300)
     assert _sorted(store.profiles().select("ip_address", "risk_score", "abuse_confidence_score",
                                            "last_merged_at")) == _sorted(exp)
+    assert _sorted(docs.profiles()) == _sorted(seq)
+    assert landed(spark, str(tmp_path / "dead"), "quarantine").count() == 4
+    assert (tmp_path / "ckpt" / "commits" / "1").exists()
+
+
+def test_a_pinned_snapshot_stays_and_a_function_is_asked_for_every_batch(spark, tmp_path):
+    from ipscope.streaming.enrich_stream import make_batch_fn
+    reports = standin.abuse_reports(spark, SF_SMALL).limit(20).select(F.to_json(F.struct("*")).alias("value"))
+    pulses, geo, asked = standin.pulse_snapshot(spark, SF_SMALL), standin.geo_snapshot(spark, SF_SMALL), []
+    store = ProfileStore(spark, str(tmp_path / "s"))
+    fn = make_batch_fn([store], pulses, lambda: asked.append(1) or geo, str(tmp_path / "landing"), RUN)
+    fn(reports, 0)
+    fn(reports, 1)
+    fn(reports.limit(0), 2)
+    assert len(asked) == 2 and store.profiles().count() == len({r.ip_address for r in standin.abuse_reports(spark, SF_SMALL).limit(20).collect()})
+
+
+def test_reason_codes(spark, tmp_path):
+    good = '{"ip_address":" 1.2.3.4 ","abuse_confidence_score":100.0}'
+    cases = {good: None, "garbage": "not_json", "": "not_json", "[1, 2]": "not_json", "7": "not_json", '"x"': "not_json",
+             '{"ip_address":"1.1.1.1"': "not_json", "{}": "null_key", '{"ip_address":null}': "null_key", '{"ip_address":" \\t"}': "blank_key",
+             '{"ip_address":"1.1.1.1","abuse_confidence_score":"many"}': "wrong_type",
+             '{"ip_address":"1.1.1.1","abuse_confidence_score":{"a":1}}': "wrong_type",
+             '{"ip_address":"1.1.1.1","abuse_confidence_score":null,"other":5}': None}
+    df = spark.createDataFrame([(v, 1) for v in cases] + [(None, 1)], "value string, reason int")
+    got = {r.raw_value: r for r in judge_values(df).collect()}
+    assert {k: r.reason for k, r in got.items()} == cases | {None: "not_json"}
+    assert got[good].ip_address == "1.2.3.4" and got[good].abuse_confidence_score == 100
+    assert got['{"ip_address":"1.1.1.1"'].ip_address is None
+    for _ in range(2):  # landed again, a batch replaces itself
+        land(judge_values(df), str(tmp_path / "l"), 3)
+    assert landed(spark, str(tmp_path / "l"), "good", 3).count() == 2
+    assert landed(spark, str(tmp_path / "l"), "quarantine").count() == len(cases) - 1
+    assert landed(spark, str(tmp_path / "l"), "good", 4).count() == 0
 
 
 def test_parse_values_tolerates_float_score(spark):
@@ -133,19 +171,17 @@ def test_country_spike_stream_counts(spark, tmp_path):
     assert got == exp
 
 
-def test_merge_on_read_equals_copy_on_write(spark, tmp_path):
-    """Three batches merged both ways give the same profiles, before and after compaction."""
+def test_store_equals_merge_after_merge(spark, tmp_path):
+    """Three batches folded from the store equal one merge after the other, before and after compaction."""
+    from ipscope.operators.merge import merge_profiles
     e, i = catalog.merge_inputs(spark, SF_SMALL)
     third = i.filter(F.col("risk_score") >= 30).withColumn("geo_city", F.lit(""))
     for policy in ("table", "document"):
-        cow = ProfileStore(spark, str(tmp_path / f"cow_{policy}"), policy=policy, buckets=4)
-        mor = ProfileStore(spark, str(tmp_path / f"mor_{policy}"), policy=policy, mode="merge_on_read")
+        store = ProfileStore(spark, str(tmp_path / policy), policy=policy)
+        seq = spark.createDataFrame([], e.schema)
         for n, (b, ts) in enumerate([(e, catalog.PREV_RUN_TS), (i, RUN), (third, "2024-03-01T00:00:00Z")]):
-            cow.merge(b, n, ts)
-            mor.merge(b, n, ts)
+            store.merge(b, n, ts)
+            seq = merge_profiles(seq, b, policy, ts)
             if n == 1:
-                assert mor.compact() == 1
-        assert _sorted(mor.profiles()) == _sorted(cow.profiles()), policy
-        mor.compact()
-        assert _sorted(mor.profiles()) == _sorted(cow.profiles()), policy
-        assert not mor.merge(third, 2, RUN)  # replay is a no-op
+                store = store.compact_to(str(tmp_path / f"{policy}_compact"))
+        assert _sorted(store.profiles()) == _sorted(seq), policy
