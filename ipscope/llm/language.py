@@ -52,86 +52,96 @@ class Segmenter:
         with np.errstate(over="ignore"):
             for i in range(1, len(self.power)):
                 self.power[i] = self.power[i - 1] * BASE
-        codes = [np.zeros(len(pieces), np.uint64), np.array([len(p) for p in pieces])]
+        codes = np.zeros(len(pieces), np.uint64)
         for i, p in enumerate(pieces):
-            codes[0][i] = self._prefix(self._matrix([p])[0])[0, len(p)]
-        self.order = np.argsort(codes[0])
-        self.hashes = codes[0][self.order]
+            codes[i] = self._prefix([p])[len(p), 0]
+        self.order = np.argsort(codes)
+        self.hashes = codes[self.order]
+        # Most substrings are no piece; 20 bits of the hash tell that of nearly all of them.
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self.hashes >> np.uint64(44)] = True
 
     @staticmethod
-    def _matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def blocks(words: list[str], most: int = 4096) -> Iterator[np.ndarray]:
+        """Places of words of equal length, at most ``most`` at a time."""
+        if not len(words):
+            return
         size = np.array([len(w) for w in words])
-        out = np.zeros((len(words), int(size.max())), np.uint64)
-        out[np.arange(out.shape[1]) < size[:, None]] = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
-        return out, size
-
-    def _prefix(self, letters: np.ndarray) -> np.ndarray:
-        out = np.zeros((letters.shape[0], letters.shape[1] + 1), np.uint64)
+        order = np.argsort(size, kind="stable")
+        for same in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+            yield from (same[i:i + most] for i in range(0, len(same), most))
+
+    def _prefix(self, words: list[str]) -> np.ndarray:
+        """Hashes of the first 0, 1, ... letters: a row for each end, a column for each word (of equal length)."""
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), -1).T.astype(np.uint64)
+        out = np.zeros((len(letters) + 1, len(words)), np.uint64)
         with np.errstate(over="ignore"):
-            for i in range(letters.shape[1]):
-                out[:, i + 1] = out[:, i] * BASE + letters[:, i] + np.uint64(1)
+            for i, row in enumerate(letters):
+                out[i + 1] = out[i] * BASE + row + np.uint64(1)
         return out
 
-    def lattice(self, words: list[str]) -> tuple[dict[tuple[int, int], np.ndarray], np.ndarray]:
-        """For each (start, end): the piece of every word there, -1 for none; and the words' sizes."""
-        letters, size = self._matrix(words)
-        prefix = self._prefix(letters)
-        found = {}
-        for end in range(1, letters.shape[1] + 1):
-            inside = size >= end
+    def lattice(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For words of equal length, by end, then start: the words that have a piece there, and their pieces."""
+        prefix = self._prefix(words)
+        for end in range(1, len(prefix)):
             for start in range(max(0, end - self.longest), end):
                 with np.errstate(over="ignore"):
-                    key = prefix[:, end] - prefix[:, start] * self.power[end - start]
+                    key = prefix[end] - prefix[start] * self.power[end - start]
+                hit = np.flatnonzero(self.maybe[key >> np.uint64(44)])
+                key = key[hit]
                 at = np.minimum(np.searchsorted(self.hashes, key), len(self.hashes) - 1)
-                piece = np.where(inside & (self.hashes[at] == key), self.order[at], -1)
-                if end - start == 1:
-                    piece = np.where(inside & (piece < 0), len(self.prob) - 1, piece)
-                if (piece >= 0).any():
-                    found[start, end] = piece
-        return found, size
+                known = self.hashes[at] == key
+                hit, piece = hit[known], self.order[at[known]]
+                if end - start == 1 and len(hit) < len(words):
+                    every = np.full(len(words), len(self.prob) - 1)
+                    every[hit] = piece
+                    hit, piece = np.arange(len(words)), every
+                if len(hit):
+                    yield start, end, hit, piece
 
     def forward(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
         out = np.zeros((len(words), self.prob.shape[1]))
-        by_size = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for begin in range(0, len(by_size), 2048):
-            rows = by_size[begin:begin + 2048]
-            lattice, size = self.lattice([words[i] for i in rows])
-            alpha = np.zeros((int(size.max()) + 1, len(rows), self.prob.shape[1]))
+        for rows in self.blocks(words):
+            alpha = np.zeros((len(words[rows[0]]) + 1, len(rows), self.prob.shape[1]))
             alpha[0] = 1.0
-            for (start, end), piece in lattice.items():
-                hit = np.flatnonzero(piece >= 0)
-                alpha[end, hit] += alpha[start, hit] * self.prob[piece[hit]]
-            out[rows] = np.log(np.maximum(alpha[size, np.arange(len(rows))], 1e-300))
+            for start, end, hit, piece in self.lattice([words[i] for i in rows]):
+                alpha[end, hit] += alpha[start, hit] * self.prob[piece]
+            out[rows] = np.log(np.maximum(alpha[-1], 1e-300))
         return out
 
     def expected(self, words: list[str], times: np.ndarray, language: np.ndarray) -> np.ndarray:
         """Expected uses of each piece per language over all segmentations of the words."""
         total = np.zeros_like(self.prob)
-        by_size = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for begin in range(0, len(by_size), 2048):
-            rows = np.array(by_size[begin:begin + 2048])
-            lattice, size = self.lattice([words[i] for i in rows])
-            lang, n = language[rows], np.arange(len(rows))
-            alpha = np.zeros((int(size.max()) + 1, len(rows)))
+        for rows in self.blocks(words, 2048):
+            lang = language[rows]
+            alpha = np.zeros((len(words[rows[0]]) + 1, len(rows)))
             beta = np.zeros_like(alpha)
-            alpha[0], beta[size, n] = 1.0, 1.0
-            edges = [(s, e, h, p[h], self.prob[p[h], lang[h]]) for (s, e), p in lattice.items()
-                     if len(h := np.flatnonzero(p >= 0))]
+            alpha[0] = beta[-1] = 1.0
+            edges = [(s, e, h, p, self.prob[p, lang[h]]) for s, e, h, p in self.lattice([words[i] for i in rows])]
             for s, e, h, _, q in edges:
                 alpha[e, h] += alpha[s, h] * q
             for s, e, h, _, q in sorted(edges, key=lambda x: -x[0]):
                 beta[s, h] += beta[e, h] * q
-            weight = times[rows] / np.maximum(alpha[size, n], 1e-300)
+            weight = times[rows] / np.maximum(alpha[-1], 1e-300)
             for s, e, h, piece, q in edges:
                 np.add.at(total, (piece, lang[h]), alpha[s, h] * q * beta[e, h] * weight[h])
         return total
 
 
-def runs(token: str) -> list[str]:
-    """Words of a token, marked and in lower case; long ones in runs."""
-    words = [START + w for w in LETTERS.findall(token.lower())]
-    return [w[i:i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+_ASCII_WORDS = {c: chr(c) if chr(c).isalpha() else " " for c in range(128)}
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters in lower case."""
+    low = text.lower()
+    return low.translate(_ASCII_WORDS).split() if low.isascii() else LETTERS.findall(low)
+
+
+def runs(word: str) -> list[str]:
+    """A word marked, in runs of a length that can be scored."""
+    marked = START + word
+    return [marked[i:i + LONGEST] for i in range(0, len(marked), LONGEST)]
 
 
 def _with_schema(rows: dict[str, pa.Array]) -> pa.RecordBatch:
@@ -172,7 +182,7 @@ def fit(docs: DataFrame, vocabulary_path: str, text: str = "text", lang: str = "
         counts: Counter = Counter()
         for b in slices(batches, "text"):
             for x, t in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                counts.update((number[x], w) for w in chain.from_iterable(map(runs, t.split())))
+                counts.update((number[x], w) for w in chain.from_iterable(map(runs, words_of(t))))
         yield _with_schema({"lang": pa.array([k[0] for k in counts], pa.int32()),
                             "word": pa.array([k[1] for k in counts], pa.string()),
                             "n": pa.array(list(counts.values()), pa.int64())})
@@ -202,41 +212,40 @@ def fit(docs: DataFrame, vocabulary_path: str, text: str = "text", lang: str = "
 
 
 class TextScorer:
-    """Scores texts; a worker keeps the scores of up to ``most`` distinct tokens, then starts anew."""
+    """Scores texts; a worker keeps the scores of up to ``most`` distinct words, then starts anew."""
 
-    def __init__(self, segmenter: Segmenter, most: int = 150_000):
-        self.segmenter, self.most, self.wide = segmenter, most, segmenter.prob.shape[1] + 1
+    def __init__(self, segmenter: Segmenter, most: int = 400_000):
+        self.segmenter, self.most = segmenter, most
         self.place: dict[str, int] = {}
-        self.scores = np.zeros((0, self.wide))
+        self.scores = np.zeros((1 << 14, segmenter.prob.shape[1]))
 
-    def _learn(self, tokens: set[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         if len(self.place) > self.most:
-            self.place, self.scores = {}, np.zeros((0, self.wide))
-        new = list(tokens - self.place.keys())
+            self.place = {}
+        new = list(words - self.place.keys())
         if not new:
             return
-        found = [runs(x) for x in new]
-        distinct = list(set().union(*found))
-        at = {w: i for i, w in enumerate(distinct)}
-        score = np.zeros((len(new), self.wide))
-        if distinct:
-            words = np.hstack([self.segmenter.forward(distinct), np.ones((len(distinct), 1))])
-            owner = np.repeat(np.arange(len(new)), [len(f) for f in found])
-            np.add.at(score, owner, words[[at[w] for f in found for w in f]])
-        self.place.update((x, len(self.scores) + i) for i, x in enumerate(new))
-        self.scores = np.vstack([self.scores, score])
-
-    def score(self, texts: list[str]) -> np.ndarray:
+        done = len(self.place)
+        while len(self.scores) < done + len(new):
+            self.scores = np.vstack([self.scores, np.zeros_like(self.scores)])
+        long = [i for i, w in enumerate(new) if len(w) >= LONGEST]
+        score = self.segmenter.forward([START + w[:LONGEST - 1] for w in new])
+        for i in long:  # the first run is scored already
+            score[i] += self.segmenter.forward(runs(new[i])[1:]).sum(axis=0)
+        self.scores[done:done + len(new)] = score
+        self.place.update(zip(new, range(done, done + len(new))))
+
+    def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Log probability per language, and the number of words, of each text."""
-        parts = [x.split() for x in texts]
+        parts = [words_of(x) for x in texts]
         self._learn(set().union(*parts))
         size = np.array([len(p) for p in parts])
         at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(parts)), np.int64, int(size.sum()))
-        out = np.zeros((len(texts), self.wide))
+        out = np.zeros((len(texts), self.scores.shape[1]))
         full = np.flatnonzero(size)
         if len(full):
             out[full] = np.add.reduceat(self.scores[at], (np.cumsum(size) - size)[full], axis=0)
-        return out
+        return out, size
 
 
 def label(docs: DataFrame, model: LanguageModel, text: str = "text", lang: str = "lang_pred",
@@ -259,11 +268,10 @@ def label(docs: DataFrame, model: LanguageModel, text: str = "text", lang: str =
             names, best = ["und"] * b.num_rows, np.zeros(b.num_rows)
             if languages:
                 column = b.column(b.schema.get_field_index(text))
-                found = scorer.score([x or "" for x in column.to_pylist()])
-                log = found[:, :-1]
+                log, size = scorer.score([x or "" for x in column.to_pylist()])
                 top = log.argmax(axis=1)
                 odds = np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)
-                known = found[:, -1] > 0
+                known = size > 0
                 names = [languages[t] if k else "und" for t, k in zip(top, known)]
                 best = np.where(known, 1.0 / odds, 0.0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(best, pa.float64())],

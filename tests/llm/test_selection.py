@@ -169,6 +169,48 @@ def test_forward_sums_all_segmentations():
     assert np.isclose(uses[1, 0], 2 * 0.2 / both) and np.isclose(uses[0, 0], 2 * 0.03 / both)
 
 
+def test_predictions_equal_plain_python(spark):
+    """Whole texts scored word by word with sums over all segmentations, one letter after the other."""
+    docs = table(spark, SF, "documents")
+    model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))), catalog.PIECES, rounds=1)
+    at = {p: i for i, p in enumerate(model.pieces)}
+    longest = max(map(len, at))
+
+    def forward(run):
+        alpha = [np.ones(len(model.languages))] + [np.zeros(len(model.languages)) for _ in run]
+        for end in range(1, len(run) + 1):
+            for start in range(max(0, end - longest), end):
+                i = at.get(run[start:end])
+                if i is not None:
+                    alpha[end] = alpha[end] + alpha[start] * model.prob[i]
+                elif end - start == 1:
+                    alpha[end] = alpha[end] + alpha[start] * language.UNKNOWN
+        return np.log(np.maximum(alpha[-1], 1e-300))
+
+    known = {}
+
+    def score(text):
+        total = np.zeros(len(model.languages))
+        for w in regex.findall(r"\p{L}+", (text or "").lower()):
+            if w not in known:
+                marked = language.START + w
+                known[w] = sum(forward(marked[i:i + language.LONGEST]) for i in range(0, len(marked), language.LONGEST))
+            total = total + known[w]
+        return total
+
+    odd = [(10_001, "x" * 300 + " " + "ß" * 95 + " é"), (10_002, "12 34"), (10_003, None), (10_004, "a" * 47 + " " + "b" * 48), (10_005, "ΣΑΣ. σ 字字 İ")]
+    frame = docs.select("doc_id", "text").unionAll(spark.createDataFrame(odd, "doc_id long, text string"))
+    for r, text in zip(language.predict(frame.orderBy("doc_id"), model).orderBy("doc_id").collect(),
+                       [x.text for x in frame.orderBy("doc_id").collect()]):
+        if not regex.search(r"\p{L}", text or ""):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        log = score(text)
+        odds = np.exp(log - log.max())
+        best = odds.max() / odds.sum()
+        assert abs(r.score - best) < 1e-9 and odds[model.languages.index(r.lang_pred)] > 1 - 1e-9
+
+
 def test_licences(spark):
     lines = {t: f for f, ts in licenses.TEMPLATES.items() for t in ts[:1]}
     texts = [(i, words(20, i) + "\n" + t + ".\n" + words(15, 50 + i), f) for i, (t, f) in enumerate(lines.items())]
