@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from helpers import documents, empty, rows
+from helpers import documents, empty, rows, words
 
 from ipscope.llm import links, near_dup, repeats
 from ipscope.llm.catalog import queries
@@ -55,7 +55,7 @@ def test_near_duplicates_equal_brute_force(spark, block):
 
 def test_near_duplicates_odd_rows(spark):
     got = near_dup.near_duplicates(documents(spark)).collect()
-    assert len(got) == sum(r[0] is not None for r in rows())
+    assert len(got) == len(rows())
     by = {r.doc_id: r for r in got}
     want = brute_near([(r[0], r[1]) for r in rows() if r[0] is not None])
     for i, (root, n) in want.items():
@@ -66,12 +66,54 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dup.near_duplicates(empty(spark)).collect() == []
 
 
-def test_prefix_is_shortened_to_the_recall():
-    assert near_dup.prefix_length(28, 8, 0.8, 0.5) == 8
+def test_near_duplicates_of_repeated_and_missing_ids(spark):
+    x, y = words(80, 1), words(80, 2)
+    near = lambda t, k: " ".join(w if i != k else "other" for i, w in enumerate(t.split()))
+    z = words(80, 3)
+    data = [(5, x), (5, y), (3, near(y, 40)), (None, near(x, 79)), (None, z), (None, near(z, 0)), (None, near(z, 79)), (7, z + " more"), (None, None), (8, "")]
+    frame = spark.createDataFrame([(i, t, "k") for i, t in data], "doc_id long, text string, kept string").repartition(3)
+    got = {(r.doc_id, r.class_id, r.n_links, r.kept) for r in near_dup.near_duplicates(frame.select("doc_id", "text")).collect()}
+    assert got == {(5, 5, 1, True), (5, 3, 1, False), (3, 3, 1, True), (None, 5, 1, False), (None, 7, 3, False), (7, 7, 3, True),
+                   (None, None, 0, True), (8, 8, 0, True)}
+    left = near_dup.keep(frame)
+    assert left.columns == frame.columns
+    assert sorted(map(repr, map(tuple, left.collect()))) == sorted(repr((i, t, "k")) for i, t in data if (i, t) in (
+        (5, x), (3, near(y, 40)), (7, z + " more"), (None, None), (8, "")))
+    nameless = spark.createDataFrame([(None, t) for t in (z, near(z, 0), near(z, 79))], "doc_id long, text string")
+    assert near_dup.keep(nameless).count() == 1  # one document of a class stays, though none has an id
+    named = spark.createDataFrame([("b", x), ("a", near(x, 3))], "doc_id string, text string")
+    assert {(r.doc_id, r.class_id) for r in near_dup.near_duplicates(named).collect()} == {("a", "a"), ("b", "a")}
+
+
+def test_prefixes_are_shortened_until_the_recall_is_met():
+    assert near_dup.shortest_prefix(28, 8, 0.8, 0.5) == 8
     for recall in (0.9, 0.99, 0.9995):
-        n = near_dup.prefix_length(28, 8, 0.8, recall)
-        assert 1 - (1 - 0.8 ** n) ** 28 >= recall
-        assert n == 8 or 1 - (1 - 0.8 ** (n + 1)) ** 28 < recall
+        n = near_dup.shortest_prefix(28, 8, 0.8, recall)
+        assert near_dup.meets(0.8, 28, n) >= recall
+        assert n == 8 or near_dup.meets(0.8, 28, n + 1) < recall
+    assert near_dup.measured_recall({}, 28, 8) == 1.0 and near_dup.measured_recall({near_dup.BINS: 9}, 28, 8) == 1.0
+    low = near_dup.measured_recall({40: 10, 45: 10}, 28, 8)
+    assert near_dup.meets(0.8, 28, 8) < low < near_dup.meets(0.9, 28, 8) and low < near_dup.measured_recall({40: 10, 45: 10}, 28, 7)
+
+
+def test_forest_recall_level_by_level(spark, monkeypatch):
+    """Pairs just above the threshold: few trees find a share at full depth, shortening finds nearly all."""
+    base = [words(60, 100 + k, 5000).split() for k in range(150)]
+    docs = [(2 * k, " ".join(w)) for k, w in enumerate(base)] + [
+        (2 * k + 1, " ".join([*w[:-1 - k % 5], *(f"new{k}{i}" for i in range(1 + k % 5))])) for k, w in enumerate(base)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {i for i, (_, n) in brute_near(docs).items() if n}
+    depths = []
+    inner = near_dup._buckets
+    monkeypatch.setattr(near_dup, "_buckets", lambda c, trees, depth, length, block: depths.append(length) or inner(c, trees, depth, length, block))
+
+    def share(trees, recall):
+        depths.clear()
+        return len({r.doc_id for r in near_dup.near_duplicates(frame, trees=trees, recall=recall).collect() if r.n_links} & want) / len(want)
+
+    assert share(4, 0.1) < 0.97 and depths == [8]
+    assert share(4, 0.9) >= 0.9 and depths == list(range(8, min(depths) - 1, -1)) and len(depths) > 1
+    assert share(28, 0.9995) >= 0.99
 
 
 def test_components_of_chains_stars_and_loops(spark):
