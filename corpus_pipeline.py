@@ -12,10 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ipscope.llm import bpe_lexicon, language, mixing
+from ipscope.llm import bpe_lexicon, language, mixing, near_dup
 from ipscope.llm.common import staged, table
 from ipscope.llm.exact_dedup import DigestIndex
-from ipscope.llm.near_dup import near_duplicates
 from ipscope.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,9 +36,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near duplicates (five words, similarity 0.8)."""
-    dropped = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("__dropped"))
-    return docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti")
+    """Keeps one document of each group of near duplicates (five words, similarity 0.8): the smallest doc_id, a null one last."""
+    return near_dup.keep(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
