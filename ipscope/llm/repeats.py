@@ -1,12 +1,13 @@
-"""Removal of long repeated passages by equal windows of ``span`` bytes.
+"""Removal of long repeated passages by longest-previous-factor arrays.
 
 Texts are bytes.  Every string of ``span`` bytes that also starts in a document with
 a smaller id is covered and removed.  Suffixes are dealt to buckets by a minimizer,
-the smallest hash among the k-grams of their first ``span`` bytes, so equal strings
-meet; a run of neighbouring suffixes with one minimizer travels as one segment.  In a
-bucket the windows of ``span`` bytes are sorted and grouped, and a window is covered if
-its group has a smaller document.  This replaces longest-previous-factor arrays: only
-whether the longest earlier match has ``span`` bytes matters, not its length.
+the smallest hash among the k-grams of their first ``span`` bytes, so suffixes that
+agree that far meet; a run of neighbouring suffixes with one minimizer travels as one
+segment.  In a bucket the suffixes whose first ``span`` bytes occur twice are put in
+suffix order; with the common prefixes of neighbours, the previous and the next
+suffix of a smaller document give each suffix its longest earlier match.  A suffix
+is covered if that match has ``span`` bytes or more; shorter ones are not looked for.
 
 Minimizers that occur in one document only cannot belong to a repeat.  They are found
 first, and a filter of fixed size keeps their segments from travelling.
@@ -132,26 +133,118 @@ def repeated_minimizers(docs: DataFrame, span: int, bits: int) -> np.ndarray:
     return out
 
 
+SLICE = 1 << 18  # suffixes put in order at once
+COUNTED = 256  # bytes up to which the length of a match is counted; ``span`` is what decides
+
+
+def window_hashes(loads: np.ndarray, place: np.ndarray, span: int) -> np.ndarray:
+    """A hash of the ``span`` bytes from each position; ``loads`` are the 8-byte words from every byte on."""
+    out = np.zeros(len(place), np.uint64)
+    for k in [*range(0, span - 7, 8), span - 8]:
+        out = (out ^ loads[place + k]) * _C[k // 8 % 3]
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _rest(loads: np.ndarray, place: np.ndarray, left: np.ndarray, k: int) -> np.ndarray:
+    """The 8 bytes from ``place + k`` as a big-endian number, zero behind the end of the segment."""
+    inside = np.clip(left - k, 0, 8).astype(np.uint64)
+    drop = np.uint64(8) * (np.uint64(8) - inside)
+    word = loads[np.minimum(place + k, len(loads) - 1)].byteswap()
+    return np.where(inside == 0, np.uint64(0), word >> np.minimum(drop, np.uint64(63)) << np.minimum(drop, np.uint64(63)))
+
+
+def _leading(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Leading bytes in which big-endian words agree."""
+    differ = a ^ b
+    high = np.zeros(len(differ), np.int64)  # the highest bit that differs, in steps of bytes
+    for bits in (32, 16, 8):
+        high += np.where(differ >> (high + bits).astype(np.uint64) > 0, bits, 0)
+    return np.where(differ == 0, 8, 7 - high // 8)
+
+
+def nearest_smaller(documents: np.ndarray, common: np.ndarray, span: int) -> np.ndarray:
+    """Common prefix with the previous suffix of a smaller document, 0 if that has under ``span`` bytes.
+
+    ``common`` is that of each suffix with the one before.  Every suffix points to one
+    before it; as long as that one's document is not smaller, it takes over its pointer,
+    with the least common prefix on the way.
+    """
+    at, least = np.maximum(np.arange(len(documents)) - 1, 0), np.where(common >= span, common, 0)
+    while True:
+        more = np.flatnonzero((least > 0) & (documents[at] >= documents))
+        if not len(more):
+            return least
+        j = at[more]
+        least[more], at[more] = np.minimum(least[more], least[j]), at[j]
+
+
+def longest_previous(raw: np.ndarray, loads: np.ndarray, place: np.ndarray, left: np.ndarray, documents: np.ndarray, span: int) -> np.ndarray:
+    """Longest match of each suffix in a smaller document, 0 where it has under ``span`` bytes.
+
+    The suffixes begin at ``place`` and have ``left`` bytes.  They are sorted by ``span``
+    bytes, and those that agree there by what follows, up to ``COUNTED`` bytes or a few more.
+    """
+    keys = np.lib.stride_tricks.sliding_window_view(raw, span)[place].view(f"S{span}").ravel()
+    order = np.argsort(keys)
+    keys = keys[order]
+    same = keys[1:] == keys[:-1]
+    keep = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
+    out = np.zeros(len(place), np.int64)
+    if not len(keep):
+        return out
+    at, stretch = order[keep], np.cumsum(np.r_[True, ~same])[keep]
+    common = np.where(np.r_[False, stretch[1:] == stretch[:-1]], span, 0)
+    # Eight bytes at a time, suffixes that still agree with a neighbour are sorted on.
+    some, group = np.arange(len(at)), stretch
+    for k in range(span, min(COUNTED, int(left[at].max())), 8):
+        word = _rest(loads, place[at[some]], left[at[some]], k)
+        sorting = np.lexsort((left[at[some]], word, group))  # one that ends here stands before those that go on
+        at[some], word = at[some[sorting]], word[sorting]
+        pair = np.flatnonzero(group[1:] == group[:-1])
+        agree = _leading(word[pair], word[pair + 1])
+        common[some[pair + 1]] += agree
+        ends = np.minimum(left[at[some[pair]]], left[at[some[pair + 1]]])
+        on = pair[(agree == 8) & (ends > k + 8)]
+        tied = np.zeros(len(some), bool)
+        tied[on] = tied[on + 1] = True
+        first = np.ones(len(some), bool)  # of its new group
+        first[on + 1] = False
+        some, group = some[tied], np.cumsum(first)[tied]
+        if not len(some):
+            break
+    common[1:] = np.minimum(common[1:], np.minimum(left[at[1:]], left[at[:-1]]))  # zeros behind the end are no text
+    back = nearest_smaller(documents[at], common, span)
+    ahead = nearest_smaller(documents[at][::-1], np.r_[common[1:], 0][::-1], span)[::-1]
+    out[at] = np.maximum(back, ahead)
+    return out
+
+
 def earlier_matches(segments: list[bytes], documents: np.ndarray, span: int) -> list[np.ndarray]:
-    """For each distinct segment, the positions whose suffix matches ``span`` bytes of a smaller document.
+    """For each distinct segment, its suffixes' longest matches in smaller documents (0 under ``span`` bytes).
 
-    Suffixes are sorted by their first ``span`` bytes.  Those that agree stand together;
-    a suffix has a previous or next smaller document with a match that long exactly if
-    the smallest document of its stretch is smaller than its own.
+    Equal windows have equal hashes, so suffixes whose window hash is alone have no such
+    match; the others are put in order in slices that keep equal hashes together.
     """
     size = np.array([len(s) - span + 1 for s in segments])
-    raw = np.frombuffer(b"".join(segments), np.uint8)
+    raw = np.frombuffer(b"".join([*segments, bytes(8)]), np.uint8)
+    loads = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
     owner = np.repeat(np.arange(len(segments)), size)
     place = np.arange(len(owner)) + owner * (span - 1)
-    windows = np.lib.stride_tricks.sliding_window_view(raw, span)[place]
-    keys = np.ascontiguousarray(windows).view(f"S{span}").ravel()
-    order = np.argsort(keys)
-    keys = keys[order]
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    least = np.minimum.reduceat(documents[owner[order]], starts)
-    matched = np.empty(len(order), bool)
-    matched[order] = np.repeat(least, np.diff(np.r_[starts, len(order)])) < documents[owner[order]]
-    return np.split(matched, np.cumsum(size)[:-1])
+    code = window_hashes(loads, place, span)
+    order = np.argsort(code)
+    code = code[order]
+    same = code[1:] == code[:-1]
+    order, code = (x[np.r_[False, same] | np.r_[same, False]] for x in (order, code))
+    out = np.zeros(len(place), np.int64)
+    ends = np.cumsum(size + span - 1)
+    begin = 0
+    while begin < len(order):
+        stop = int(np.searchsorted(code, code[min(begin + SLICE, len(code)) - 1], side="right"))
+        at = order[begin:stop]
+        out[at] = longest_previous(raw, loads, place[at], ends[owner[at]] - place[at], documents[owner[at]], span)
+        begin = stop
+    return np.split(out, np.cumsum(size)[:-1])
 
 
 class _Segments:
@@ -247,7 +340,7 @@ def repeated_spans(docs: DataFrame, span: int, bits: int) -> DataFrame:
                 np.minimum.at(least, which, doc)
                 matched = earlier_matches(list(number), least, span)
                 out = [(doc[k], code[k], where[k, 0], where[k].sum()) for k in np.flatnonzero(doc > least[which])]
-                edges = [np.flatnonzero(np.diff(np.r_[0, m.view(np.int8), 0])).reshape(-1, 2) for m in matched]
+                edges = [np.flatnonzero(np.diff(np.r_[0, m > 0, 0])).reshape(-1, 2) for m in matched]
                 for k in np.flatnonzero(doc == least[which]):
                     out += [(doc[k], code[k], where[k, 0] + a, where[k, 0] + z + span - 1) for a, z in edges[which[k]]]
                 if out:

@@ -199,3 +199,49 @@ def test_repeats_of_one_byte_and_nulls_in_text(spark):
     got = {r.doc_id: (r.n_bytes, sum(s.stop - s.start for s in r.spans)) for r in repeats.remove_repeats(frame).collect()}
     want = {i: v[:2] for i, v in brute_repeats([(i, t.encode()) for i, t in texts]).items()}
     assert got == want
+
+
+@pytest.mark.parametrize("letters, slice_size", [("ab", 64), ("a", 64), ("abc\x00", 1 << 18)])
+def test_longest_previous_factors_equal_a_loop(monkeypatch, letters, slice_size):
+    monkeypatch.setattr(repeats, "SLICE", slice_size)
+    rng = np.random.default_rng(len(letters))
+    span = 32
+    text = ["".join(rng.choice(list(letters), 90)) for _ in range(3)] + ["x" * 40 + "".join(rng.choice(list(letters), 60))]
+    segments = sorted({text[i][a:a + n].encode() for i, a, n in zip(rng.integers(0, 4, 60), rng.integers(0, 30, 60), rng.integers(32, 60, 60))})
+    documents = rng.integers(0, 20, len(segments))
+    got = repeats.earlier_matches(segments, documents, span)
+
+    def common(a, b):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+
+    for k, (s, found) in enumerate(zip(segments, got)):
+        for p in range(len(s) - span + 1):
+            best = max((common(s[p:], t[q:]) for j, t in enumerate(segments) if documents[j] < documents[k] for q in range(len(t) - span + 1)), default=0)
+            assert found[p] == (best if best >= span else 0)
+
+
+def test_nearest_smaller_equals_a_loop():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 50, 400):
+        documents, common = rng.integers(0, 9, n), np.r_[0, rng.integers(30, 60, n - 1)] if n > 1 else np.zeros(1, int)
+        got = repeats.nearest_smaller(documents, common, 32)
+        for i in range(n):
+            j, least = i, 10 ** 9
+            while j > 0 and documents[j] >= documents[i]:
+                least = min(least, common[j])
+                j -= 1
+            found = j < i and documents[j] < documents[i] and least >= 32
+            assert got[i] == (least if found else 0), (n, i)
+
+
+def test_hot_minimizer_in_varied_text(spark):
+    """A line of 40 bytes in most documents with other text around it, and repeats that hold it."""
+    line = "this very common line has forty bytes ok"
+    docs = [(i, words(6, i) + " " + line + " " + words(6, 1000 + i)) for i in range(300)] + [(400 + i, docs_[1]) for i, docs_ in enumerate([(0, words(6, 5) + " " + line + " " + words(3, 1005))])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())
+           for r in repeats.remove_repeats(frame).collect()}
+    assert got == brute_repeats([(i, t.encode()) for i, t in docs])
