@@ -26,7 +26,8 @@ SLACK = 1e-9  # on the bounds, far above rounding errors
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
-    """Rows scaled to length 1 in double precision."""
+    """Rows scaled to length 1 in double precision; by their largest entry first, so that no square overflows or vanishes."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -59,36 +60,43 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     Vectors that are null, empty, zero, or hold a null or non-finite component, and those
     without label, are linked with nothing and kept.  Vectors of different lengths are
     not linked.  Equal vectors are compared once and counted as often as they occur.
-    One row per input row with a vec_id, which should be unique; rows without one give
-    none.  The centroids are fitted on about ``most_sample`` vectors picked by a digest of
-    vec_id; ``per_cell``, of the most frequent label, sets how many cells there are (a
+    One row per input row.  Vectors are compared whatever their vec_id: one without it
+    links like any other, but names no component (component_id is null where no vector
+    of it has one) and is not kept unless it is linked with nothing and alone.  The
+    centroids are fitted on about ``most_sample`` vectors picked by a digest of the
+    vector; ``per_cell``, of the most frequent label, sets how many cells there are (a
     twentieth of the sample at most), and ``block`` how many vectors of a
     cell are compared at once, not how many it holds.  All vectors are compared.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"),
                           F.col(embedding).cast("array<double>").alias("v"),
-                          (F.lit("") if label is None else F.col(label).cast("string")).alias("label")).filter("vec_id IS NOT NULL")
+                          (F.lit("") if label is None else F.col(label).cast("string")).alias("label"))
     valid = (F.col("label").isNotNull() & (F.size("v") > 0)
              & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
              & F.exists("v", lambda x: x != 0.0))
     # Equal vectors are one row; a vector that a third of the rows have is combined map-side.
     keyed = rows.withColumn("code", F.when(F.coalesce(valid, F.lit(False)),
                                            F.unhex(F.md5(F.to_json(F.struct("label", "v"))))))
-    classes = staged(keyed.filter("code IS NOT NULL").groupBy("code").agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"),
+    grouped = staged(keyed.filter("code IS NOT NULL").groupBy("code").agg(
+        F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"),
         F.first("v").alias("v")), "vector_classes")
+    # Numbered once they are written out; the numbers are the nodes of the graph.
+    classes = staged(grouped.withColumn("rep", F.monotonically_increasing_id()), "numbered_vectors")
     links = _links(classes, threshold, per_cell, most_sample, block)
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
-    known = staged(classes.select("code", "rep", "copies").join(counted, "rep", "left").join(roots, "rep", "left").select(
-        "code", F.coalesce("root", "rep").alias("component_id"),
-        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "vector_components")
+    member = staged(classes.select("code", "rep", "least", "copies").join(counted, "rep", "left").join(roots, "rep", "left")
+                    .withColumn("root", F.coalesce("root", "rep")), "vector_components")
+    smallest = staged(member.groupBy("root").agg(F.min("least").alias("component_id")), "component_ids")
+    known = staged(member.join(smallest, "root").select(
+        "code", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "vector_known")
     codes = keyed.select("vec_id", "code")
     linked = codes.filter("code IS NOT NULL").join(known, "code").select("vec_id", "n_links", "component_id")
     alone = codes.filter("code IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                                 F.col("vec_id").alias("component_id"))
-    return linked.unionAll(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return linked.unionAll(alone).withColumn(
+        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull() & (F.col("n_links") == 0)))
 
 
 def _links(classes: DataFrame, threshold: float, per_cell: int, most_sample: int, block: int) -> DataFrame:
@@ -96,7 +104,7 @@ def _links(classes: DataFrame, threshold: float, per_cell: int, most_sample: int
     spark = classes.sparkSession
     total = classes.count()
     largest = classes.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    place = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
+    place = F.pmod(F.xxhash64("code"), F.lit(1 << 30))
     cells = max(1, min(most_sample // 20, -(-largest // per_cell)))
     picked = classes.filter(place < int(min(1.0, most_sample / max(1, total)) * (1 << 30))).select("v").collect()
     centroids = {}  # by length of the vectors; almost always one
@@ -181,7 +189,7 @@ def _links(classes: DataFrame, threshold: float, per_cell: int, most_sample: int
                 if e - s < 2:
                     continue
                 x = _matrix(units.slice(s, e - s)).reshape(e - s, int(size[s]))
-                linked = (x @ x.T) >= threshold - 1e-15
+                linked = (x @ x.T) >= threshold
                 np.fill_diagonal(linked, False)
                 if side[s:e].any():
                     linked &= side[s:e][:, None] != side[s:e][None, :]

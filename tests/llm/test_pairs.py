@@ -150,6 +150,20 @@ def test_vectors_equal_brute_force(spark, per_cell, block):
     assert got == want
 
 
+def test_vectors_at_the_threshold_of_any_size_and_without_id(spark):
+    def at(c, scale=1.0):
+        return [scale * c, scale * math.sqrt(1 - c * c)]
+
+    base = [1.0, 0.0]
+    data = [(1, base), (2, at(0.93 + 1e-9)), (3, at(0.93 - 1e-9, -1.0)), (4, [-1e200, 0.0]), (5, [-1e-200, 0.0]), (6, [-5e-324, 0.0]),
+            (None, [0.0, 1.0]), (None, [0.0, 1e300]), (None, [0.0, -1.0]), (None, None), (9, [1e-3, -2.0])]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in data], "vec_id long, embedding array<double>, label int")
+    got = sorted(map(repr, map(tuple, near_vectors(frame).collect())))
+    want = [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 2, 4, True), (5, 2, 4, False), (6, 2, 4, False),
+            (None, 1, None, False), (None, 1, None, False), (None, 1, 9, False), (None, 0, None, True), (9, 1, 9, True)]
+    assert got == sorted(map(repr, want))
+
+
 def test_vectors_of_an_empty_table(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert near_vectors(frame).collect() == []
