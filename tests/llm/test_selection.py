@@ -5,10 +5,12 @@ import math
 import re
 import textwrap
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 import regex
+import xxhash
 from helpers import documents, empty, rows, words
 from oracle_compare import compare
 from test_pairs import brute_near
@@ -283,6 +285,44 @@ def test_quality_separates_and_keeps_the_wanted_number(spark):
     assert [k for *_, k in keys] == sorted((k for *_, k in keys), reverse=True)
 
 
+def test_quality_equals_plain_python(spark):
+    frame = spark.createDataFrame([(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
+                                  + [(i, t) for i, t, *_ in rows()], "doc_id long, text string")
+    targets = {1, 3, 8, 15, 60, 120, 999_999}
+    got = quality.resample(quality.weigh(frame, quality.fit(frame, spark.createDataFrame([(i,) for i in targets], "doc_id long"))),
+                           40, seed="s").collect()
+
+    def mix(x):
+        for _ in range(2):
+            x ^= x >> 32
+            x = x * 0xD6E8FEB86659FD93 % (1 << 64)
+        return x ^ (x >> 32)
+
+    def bins(text):
+        hashes = [xxhash.xxh64_intdigest(w.encode()) for w in regex.findall(r"\w+|[^\w\s]+", (text or "").lower())]
+        return ([mix(h) % quality.BINS for h in hashes]
+                + [mix((a * 3 + mix(b)) % (1 << 64)) % quality.BINS for a, b in zip(hashes, hashes[1:])])
+
+    raw, target, want = Counter(), Counter(), []
+    docs = [(r.doc_id, bins(r.text)) for r in frame.collect()]
+    for i, grams in docs:
+        raw.update(grams)
+        target.update(grams if i in targets else [])
+    sums = [sum(c.values()) + quality.BINS for c in (target, raw)]
+    for i, grams in docs:
+        weight = math.fsum(math.log((target[g] + 1) / sums[0]) - math.log((raw[g] + 1) / sums[1]) for g in grams)
+        digest = hashlib.md5(f"s{'' if i is None else i}".encode()).hexdigest()[:12]
+        want.append((i, len(grams), weight, weight - math.log(-math.log((int(digest, 16) + 0.5) / 2.0 ** 48))))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    want.sort(key=key)
+    got.sort(key=lambda r: key((r.doc_id, r.n_grams, r.log_weight)))
+    assert [(r.doc_id, r.n_grams) for r in got] == [w[:2] for w in want]
+    assert np.allclose([(r.log_weight, r.gumbel_key) for r in got], [w[2:] for w in want], rtol=1e-9, atol=1e-9)
+    floor = sorted((w[3] for w in want), reverse=True)[39]
+    assert sum(r.kept for r in got) == 40
+    assert all(r.kept == (r.gumbel_key >= floor - 1e-9) for r in got if abs(r.gumbel_key - floor) > 1e-9)
+
+
 def test_quality_odd_rows(spark):
     frame = documents(spark)
     ratio = quality.fit(frame, spark.createDataFrame([(1,), (None,), (999,), (1,)], "doc_id long"))
