@@ -10,7 +10,10 @@ suffix of a smaller document give each suffix its longest earlier match.  A suff
 is covered if that match has ``span`` bytes or more; shorter ones are not looked for.
 
 Minimizers that occur in one document only cannot belong to a repeat.  They are found
-first, and a filter of fixed size keeps their segments from travelling.
+first, and a filter of fixed size keeps their segments from travelling.  A second such
+filter marks minimizers of very many documents: their segments are cut into windows of
+``span`` bytes, and each window is dealt by its own hash, so that a phrase of most
+documents amid varied text is spread over all tasks.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,8 @@ from ipscope.llm.common import mix64, shuffle_partitions, slices, staged
 from ipscope.llm.near_dup import _groups
 
 GRAM = 24  # bytes of a k-gram: three 8-byte loads
+COARSE = 6  # 2**COARSE minimizers share a bit of the filter of hot ones
+WINDOWS = 1 << 17  # windows of hot minimizers that a task holds back
 PART = 1 << 16  # positions hashed at once, to stay in cache
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -79,16 +85,18 @@ def runs(raw: np.ndarray, offsets: np.ndarray, span: int) -> tuple[np.ndarray, n
     return found[first], row[first], place[first], np.diff(np.r_[first, len(row)])
 
 
-def repeated_minimizers(docs: DataFrame, span: int, bits: int) -> np.ndarray:
-    """A filter of 2**bits bits that has those of all minimizers occurring in two documents or more.
+def repeated_minimizers(docs: DataFrame, span: int, bits: int, hot: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two filters: minimizers of two documents or more (2**bits bits), and those of about ``hot`` or more.
 
-    A task sends each minimizer once per few megabytes of text, 39 bits of it, and
-    whether several documents had it; every bucket of minimizers answers with its
-    part of the filter.  The filter's size is fixed: with more repeats it lets more
-    segments through, which costs traffic and changes no result.
+    A task sends each minimizer once per few megabytes of text: 36 bits of it, and in 4
+    bits how many documents had it, to the next power of two.  Every bucket of minimizers
+    answers with its part of the filters; up to 2**COARSE minimizers share a bit of the second.
+    Their sizes are fixed: with more repeats they let more through, which costs traffic
+    and changes no result.
     """
     buckets = 1 << min(bits - 3, (2 * shuffle_partitions(docs.sparkSession) - 1).bit_length())
-    low, shift = np.uint64((1 << 39) - 1), np.uint64(bits - buckets.bit_length() + 1)
+    low, shift = np.uint64((1 << 36) - 1), np.uint64(bits - buckets.bit_length() + 1)
+    coarse = min(COARSE, int(shift) - 3)  # a bucket's part of a filter is whole bytes
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 22):
@@ -97,7 +105,8 @@ def repeated_minimizers(docs: DataFrame, span: int, bits: int) -> np.ndarray:
             found, row = found[order], row[order]
             once = np.r_[True, (found[1:] != found[:-1]) | (row[1:] != row[:-1])] if len(found) else np.zeros(0, bool)
             values, documents = np.unique(found[once], return_counts=True)
-            code = (values & low) << np.uint64(1) | (documents > 1)
+            level = np.minimum(15, np.ceil(np.log2(documents))).astype(np.uint64)
+            code = (values & low) << np.uint64(4) | level
             bucket = ((values & np.uint64((1 << bits) - 1)) >> shift).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             raw = np.ascontiguousarray(code[order]).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
@@ -114,23 +123,31 @@ def repeated_minimizers(docs: DataFrame, span: int, bits: int) -> np.ndarray:
                 wide = np.zeros((sum(map(len, codes[s:e])) // 5, 8), np.uint8)
                 wide[:, :5] = np.frombuffer(b"".join(codes[s:e]), np.uint8).reshape(-1, 5)
                 code = np.sort(wide.view("<u8").ravel())
-                value = code >> np.uint64(1)
-                again = (code & np.uint64(1)).astype(bool)
-                again[1:] |= value[1:] == value[:-1]
-                mine = np.zeros(1 << int(shift), np.uint8)
-                mine[(value[again] & np.uint64((1 << int(shift)) - 1)).astype(np.int64)] = 1
-                yield pa.RecordBatch.from_arrays([pa.array([bucket[s]], pa.int64()),
-                                                  pa.array([np.packbits(mine, bitorder="little").tobytes()], pa.binary())],
-                                                 names=["bucket", "part"])
+                first = np.flatnonzero(np.r_[True, code[1:] >> np.uint64(4) != code[:-1] >> np.uint64(4)])
+                documents = np.add.reduceat(np.int64(1) << (code & np.uint64(15)).astype(np.int64), first)
+                place = (code[first] >> np.uint64(4) & np.uint64((1 << int(shift)) - 1)).astype(np.int64)
+                some, many = np.zeros(1 << int(shift), np.uint8), np.zeros(1 << int(shift) - coarse, np.uint8)
+                some[place[documents > 1]] = 1
+                many[place[documents >= hot] >> coarse] = 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([bucket[s]], pa.int64()),
+                     *(pa.array([np.packbits(x, bitorder="little").tobytes()], pa.binary()) for x in (some, many))],
+                    names=["bucket", "some", "many"])
 
     parts = (docs.select("text").mapInArrow(send, "bucket long, codes binary")
              .repartition(2 * shuffle_partitions(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
-             .mapInArrow(answer, "bucket long, part binary"))
-    size = (1 << int(shift)) // 8
-    out = np.zeros(1 << bits - 3, np.uint8)
-    for r in staged(parts, "minimizer_filter").toLocalIterator():  # 2**bits bits in all
-        out[r.bucket * size:(r.bucket + 1) * size] = np.frombuffer(r.part, np.uint8)
-    return out
+             .mapInArrow(answer, "bucket long, some binary, many binary"))
+    filters = [np.zeros(1 << n - 3, np.uint8) for n in (bits, bits - coarse)]
+    for r in staged(parts, "minimizer_filter").toLocalIterator():  # 2**bits bits in all, and a part of that
+        for out, part in zip(filters, (r.some, r.many)):
+            out[r.bucket * len(part):(r.bucket + 1) * len(part)] = np.frombuffer(part, np.uint8)
+    return filters[0], filters[1]
+
+
+def marked(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the bit of each value is set."""
+    at = values & np.uint64(len(flags) * 8 - 1)
+    return (flags[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 SLICE = 1 << 18  # suffixes put in order at once
@@ -250,25 +267,27 @@ def earlier_matches(segments: list[bytes], documents: np.ndarray, span: int) ->
 class _Segments:
     """Segments of a task, held back where a smaller document of the task has the same one."""
 
-    def __init__(self, span: int, buckets: int):
-        self.span, self.buckets = span, buckets
+    def __init__(self, span: int, buckets: int, keep: np.ndarray, hot: np.ndarray):
+        self.span, self.buckets, self.keep, self.hot = span, buckets, keep, hot
+        self.coarse = np.uint64((len(keep) // len(hot)).bit_length() - 1)
         self.clear()
 
     def clear(self) -> None:
         self.owner: dict[bytes, int] = {}
         self.sent: list[tuple[int, int, int, int, bytes]] = []  # bucket, doc, hash, position, segment
         self.spans: list[list[int]] = []  # doc, hash, start, stop
-        self.size = 0
+        self.size = self.windows = 0
 
-    def add(self, docs: list[int], hashes: list[int], texts: pa.Array, keep: np.ndarray) -> None:
+    def add(self, docs: list[int], hashes: list[int], texts: pa.Array) -> Iterator[pa.RecordBatch]:
         raw, offsets = buffers(texts)
         found, row, place, count = runs(raw, offsets, self.span)
-        some = np.flatnonzero(keep[(found & np.uint64(len(keep) * 8 - 1)) >> np.uint64(3)] >> (found & np.uint64(7)).astype(np.uint8) & 1)
+        some = np.flatnonzero(marked(self.keep, found))
         bucket = (mix64(found[some]) % np.uint64(self.buckets)).tolist()
+        cut = marked(self.hot, (found[some] & np.uint64(len(self.keep) * 8 - 1)) >> self.coarse).tolist()
         whole, owner = raw.tobytes(), self.owner
         last: list[int] = [-1, 0, 0, 0]
         ends = (place + count + self.span - 1)[some].tolist()
-        for b, r, a, z, zero in zip(bucket, row[some].tolist(), place[some].tolist(), ends, offsets[row[some]].tolist()):
+        for b, r, a, z, zero, hot in zip(bucket, row[some].tolist(), place[some].tolist(), ends, offsets[row[some]].tolist(), cut):
             text, doc = whole[a:z], docs[r]
             known = owner.get(text)
             if known is not None and doc > known:
@@ -277,9 +296,24 @@ class _Segments:
                 else:
                     self.spans.append([doc, hashes[r], a - zero, z - zero])
                     last = [r, 0, 0, z - zero]
-            else:
-                owner[text] = doc
+                continue
+            owner[text] = doc
+            if not hot:
                 self.sent.append((b, doc, hashes[r], a - zero, text))
+                continue
+            for k in range(a, z - self.span + 1):
+                window = whole[k:k + self.span]
+                known = owner.get(window)
+                if known is not None and doc > known:
+                    self.spans.append([doc, hashes[r], k - zero, k - zero + self.span])
+                    last = [-1, 0, 0, 0]
+                else:
+                    owner[window] = doc
+                    self.sent.append((xxhash.xxh64_intdigest(window) % self.buckets, doc, hashes[r], k - zero, window))
+            self.windows += z - self.span + 1 - a
+            if self.windows >= WINDOWS:
+                yield from self.flush()
+                owner, last = self.owner, [-1, 0, 0, 0]
         self.size += len(whole)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
@@ -312,16 +346,16 @@ def _spans(docs: np.ndarray, hashes: np.ndarray, starts: np.ndarray, stops: np.n
                                       names=["doc_id", "hash", "start", "stop"])
 
 
-def repeated_spans(docs: DataFrame, span: int, bits: int) -> DataFrame:
+def repeated_spans(docs: DataFrame, span: int, bits: int, hot: int) -> DataFrame:
     """Covered stretches, overlapping as found: doc_id, hash (of the text), start, stop."""
     spark = docs.sparkSession
-    keep = spark.sparkContext.broadcast(repeated_minimizers(docs, span, bits))  # 2**bits bits
+    filters = spark.sparkContext.broadcast(repeated_minimizers(docs, span, bits, hot))  # 2**bits bits, and a part of that
     partitions = 2 * shuffle_partitions(spark)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Segments(span, partitions)
+        held = _Segments(span, partitions, *filters.value)
         for b in slices(batches, "text", 1 << 21):
-            held.add(b.column("doc_id").to_pylist(), b.column("hash").to_pylist(), b.column("text"), keep.value)
+            yield from held.add(b.column("doc_id").to_pylist(), b.column("hash").to_pylist(), b.column("text"))
             if held.size >= 1 << 24:
                 yield from held.flush()
         yield from held.flush()
@@ -358,7 +392,7 @@ def repeated_spans(docs: DataFrame, span: int, bits: int) -> DataFrame:
     return far.unionAll(found.filter("bucket < 0").select("docs", "hashes", "places").mapInArrow(local, kind))
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = 50, bits: int = 28) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = 50, bits: int = 28, hot: int = 1 << 18) -> DataFrame:
     """Remove every byte covered by a ``span``-byte string that also starts in a smaller document.
 
     Returns one row per input row: doc_id, n_bytes, spans (removed stretches as start and
@@ -367,13 +401,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     as empty, and texts under ``span`` bytes stay whole.  Rows with the same doc_id are no
     earlier than each other.  A row without doc_id stays whole and removes nothing
     elsewhere.  Other columns are not read.  ``span`` is at least 32; ``bits`` sets the size
-    of the filter sent to the tasks (2**bits bits) and changes no result.
+    of the filter sent to the tasks (2**bits bits).  Minimizers of about ``hot`` documents
+    or more are dealt by window.  Neither changes a result.
     """
     if span < 32:
         raise ValueError("span must be at least 32 bytes")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
         "hash", F.xxhash64("text"))
-    covered = repeated_spans(rows.filter("doc_id IS NOT NULL"), span, bits)
+    covered = repeated_spans(rows.filter("doc_id IS NOT NULL"), span, bits, hot)
     by_doc = staged(covered.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("start", "stop")).alias("covered")), "covered")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

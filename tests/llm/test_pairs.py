@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents, empty, rows, words
 
@@ -259,3 +260,36 @@ def test_hot_minimizer_in_varied_text(spark):
     got = {r.doc_id: (r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())
            for r in repeats.remove_repeats(frame).collect()}
     assert got == brute_repeats([(i, t.encode()) for i, t in docs])
+
+
+@pytest.mark.parametrize("hot, windows, bits", [(2, 1 << 17, 28), (100, 64, 28), (3, 1, 6)])
+def test_minimizers_dealt_by_window_change_no_result(spark, monkeypatch, hot, windows, bits):
+    """All repeats, or those of a common line, dealt by window; also with hardly any window held back."""
+    line = "this very common line has forty bytes ok"
+    texts = [(i, words(6, i % 120) + " " + line + " " + words(6, 1000 + i % 150)) for i in range(300)]
+    texts += [(1000 + r[0], r[1] or "") for r in rows() if r[0] is not None and r[0] != 15] + [(5000, texts[3][1] * 3)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(repeats, "WINDOWS", windows)
+    got = {r.doc_id: (r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())
+           for r in repeats.remove_repeats(frame, hot=hot, bits=bits).collect()}
+    assert got == brute_repeats([(i, t.encode()) for i, t in texts])
+
+
+def test_hot_minimizers_are_found_and_cut(spark):
+    """The line's minimizers are marked, those of two documents are not; its segments are single windows of many buckets."""
+    line = "this very common line has forty bytes ok"
+    texts = [(i, words(6, i) + " " + line + " " + words(6, 1000 + i)) for i in range(300)] + [(400, words(40, 7)), (401, words(40, 7))]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    keep, hot = repeats.repeated_minimizers(frame, 50, 28, 200)
+    found = [np.unique(repeats.minimizers(np.frombuffer(t.encode(), np.uint8), 50)) for t in (line + " 123456789", texts[-1][1])]
+    assert repeats.marked(keep, found[0]).any() and repeats.marked(keep, found[1]).all()
+    coarse = np.uint64(repeats.COARSE)
+    mask = np.uint64((1 << 28) - 1)
+    assert repeats.marked(hot, (found[0] & mask) >> coarse).any() and not repeats.marked(hot, (found[1] & mask) >> coarse).any()
+    held = repeats._Segments(50, 1 << 20, keep, hot)
+    ids, flat = [i for i, _ in texts], pa.array([t for _, t in texts])
+    assert not list(held.add(ids, ids, flat))
+    smallest = np.array([repeats.minimizers(np.frombuffer(x[4], np.uint8), 50)[0] for x in held.sent], np.uint64)
+    cut = [x for x, h in zip(held.sent, repeats.marked(hot, (smallest & mask) >> coarse)) if h]
+    assert all(len(x[4]) == 50 for x in cut) and any(len(x[4]) > 50 for x in held.sent)
+    assert len({x[0] for x in cut}) > 0.9 * len({x[4] for x in cut}) > 900
