@@ -32,6 +32,7 @@ from ipscope.llm.near_dup import _groups
 
 GRAM = 24  # bytes of a k-gram: three 8-byte loads
 COARSE = 6  # 2**COARSE minimizers share a bit of the filter of hot ones
+FINE = 8  # buckets of segments a task matches, one after another
 WINDOWS = 1 << 17  # windows of hot minimizers that a task holds back
 PART = 1 << 16  # positions hashed at once, to stay in cache
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -134,8 +135,9 @@ def repeated_minimizers(docs: DataFrame, span: int, bits: int, hot: int) -> tupl
                      *(pa.array([np.packbits(x, bitorder="little").tobytes()], pa.binary()) for x in (some, many))],
                     names=["bucket", "some", "many"])
 
+    partitions = 2 * shuffle_partitions(docs.sparkSession)
     parts = (docs.select("text").mapInArrow(send, "bucket long, codes binary")
-             .repartition(2 * shuffle_partitions(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
+             .repartitionById(partitions, F.expr(f"int(bucket % {partitions})")).sortWithinPartitions("bucket")
              .mapInArrow(answer, "bucket long, some binary, many binary"))
     filters = [np.zeros(1 << n - 3, np.uint8) for n in (bits, bits - coarse)]
     for r in staged(parts, "minimizer_filter").toLocalIterator():  # 2**bits bits in all, and a part of that
@@ -353,7 +355,7 @@ def repeated_spans(docs: DataFrame, span: int, bits: int, hot: int) -> DataFrame
     partitions = 2 * shuffle_partitions(spark)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Segments(span, partitions, *filters.value)
+        held = _Segments(span, FINE * partitions, *filters.value)
         for b in slices(batches, "text", 1 << 21):
             yield from held.add(b.column("doc_id").to_pylist(), b.column("hash").to_pylist(), b.column("text"))
             if held.size >= 1 << 24:
@@ -362,10 +364,10 @@ def repeated_spans(docs: DataFrame, span: int, bits: int, hot: int) -> DataFrame
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in _groups(batches, "bucket"):
-            columns = [table.column(c).to_pylist() for c in ("docs", "hashes", "places", "segments")]
-            for s, e in zip(starts[:-1], starts[1:]):
-                doc, code, where = (np.frombuffer(b"".join(c[s:e]), np.int64) for c in columns[:3])
-                where, raw = where.reshape(-1, 2), b"".join(columns[3][s:e])
+            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                *numbers, raw = (b"".join(table.column(c).slice(s, e - s).to_pylist()) for c in ("docs", "hashes", "places", "segments"))
+                doc, code, where = (np.frombuffer(x, np.int64) for x in numbers)
+                where = where.reshape(-1, 2)
                 stop = np.cumsum(where[:, 1])
                 texts = [raw[a:z] for a, z in zip((stop - where[:, 1]).tolist(), stop.tolist())]
                 number: dict[bytes, int] = {}
@@ -388,7 +390,8 @@ def repeated_spans(docs: DataFrame, span: int, bits: int, hot: int) -> DataFrame
 
     kind = "doc_id long, hash long, start long, stop long"
     found = staged(docs.mapInArrow(send, "bucket long, docs binary, hashes binary, places binary, segments binary"), "segments")
-    far = found.filter("bucket >= 0").repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(match, kind)
+    far = (found.filter("bucket >= 0").repartitionById(partitions, F.expr(f"int(bucket % {partitions})"))  # as many buckets in each
+           .sortWithinPartitions("bucket").mapInArrow(match, kind))
     return far.unionAll(found.filter("bucket < 0").select("docs", "hashes", "places").mapInArrow(local, kind))
 
 
