@@ -58,6 +58,20 @@ def test_lexicon_of_thousands_without_a_join_of_all_pairs(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_a_run_is_indexed_once_whatever_the_documents(spark):
+    """A run of many documents is one row of the index, and one row of a bucket; both rules come from one pass."""
+    docs = spark.createDataFrame([(i % 150, f"The sshd log, ssh-agent {i}") for i in range(300)] + [(None, None)], "doc_id long, text string")
+    lex = spark.createDataFrame([("SSH",), ("log, ssh",), ("d l",), ("e s",), (", ",), ("-",), ("absent",)], "term string")
+    index = docs.select(F.lit(0).alias("bucket"), F.explode(lexicon.runs(F.lower("text"))).alias("run")).distinct()
+    found = {r.run: dict(zip(r.terms, r.shifts)) for r in lexicon.terms_of_runs(index, lexicon.anchors(lex), [1, 2, 3]).collect()}
+    near = {"ssh": None, "log, ssh": -5, "e s": -2}
+    assert (found["sshd"], found["ssh"], found["-"], "absent" in found) == (near, near, {"-": None}, False)
+    got = lexicon.match_rules(docs, lex, partitions=3).collect()
+    assert len(got) == 301
+    assert {(tuple(r.anywhere), tuple(r.whole)) for r in got if r.doc_id is not None} == {((", ", "-", "d l", "e s", "log, ssh", "ssh"), ("log, ssh", "ssh"))}
+    assert [(r.anywhere, r.whole) for r in got if r.doc_id is None] == [([], [])]
+
+
 @pytest.mark.parametrize("slice_seconds", [1, 7, 10_000])
 def test_versions_in_force_equal_a_loop(spark, slice_seconds):
     rng = random.Random(slice_seconds)
