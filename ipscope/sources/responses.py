@@ -7,8 +7,9 @@ parsed here with ``from_json`` on explicit schemas.  ``kind`` is one of ``geo``,
 
 A call that was tried again has several rows.  Each IP keeps one answer per kind: a
 good one (status 200) before any other, then the newest.  Bodies are parsed before
-the shuffle, so only the typed values that are needed move, and a hot IP is reduced
-to one row per task first.
+the shuffle, so only the typed values that are needed move.  They are dealt into
+partitions of bounded size first, since a task sorts what it reduces; a hot IP is
+dealt by landing time too, and reduced to one row per task.
 """
 
 from __future__ import annotations
@@ -45,10 +46,10 @@ def answers(responses: DataFrame, *kinds: str) -> DataFrame:
     if "landed_at" not in responses.columns:
         responses = responses.withColumn("landed_at", F.lit(None).cast("string"))
     good = F.coalesce(F.col("http_status") == 200, F.lit(False))
-    parsed = responses.filter(F.col("kind").isin(*kinds)).select("ip", *[
+    parsed = responses.filter(F.col("kind").isin(*kinds)).select("ip", "landed_at", *[
         F.when(F.col("kind") == k, F.struct(good.alias("good"), "landed_at", "http_status", _parsed(k).alias("value"))).alias(k)
         for k in kinds])
-    best = parsed.groupBy("ip").agg(*[F.max(k).alias(k) for k in kinds])
+    best = parsed.hint("rebalance", "ip", "landed_at").groupBy("ip").agg(*[F.max(k).alias(k) for k in kinds])
     return best.select("ip", *[F.when(F.col(k).isNotNull(), F.struct(
         F.col(f"{k}.http_status").alias("http_status"), F.col(f"{k}.value").alias("value"))).alias(k) for k in kinds])
 

@@ -158,3 +158,16 @@ def test_newest_of_every_prefix_and_ties(spark, tmp_path):
     assert all(r.source_file.endswith(r.n) and r.source_modified for r in rows)
     (tmp_path / "none").mkdir()
     assert read_newest(spark, str(tmp_path / "none"), schema).collect() == []
+
+
+def test_answers_are_dealt_before_they_are_sorted(spark):
+    """One split of many tries, most of one IP, is reduced in several tasks; the answers are the same."""
+    from ipscope.sources.responses import answers
+
+    rows = [(f"10.0.0.{i % 7 if i % 3 == 0 else 9}", "passive_dns", 200 if i % 5 == 0 else 429, '{"passive_dns": [{}, {}]}', f"2024-01-01T00:{i // 60 % 60:02d}:{i % 60:02d}Z")
+            for i in range(3000)]
+    one = spark.createDataFrame(rows, "ip string, kind string, http_status int, body string, landed_at string").coalesce(1)
+    found = answers(one, "passive_dns")
+    assert {r.ip: (r.passive_dns.http_status, r.passive_dns.value.n) for r in found.collect()} == {f"10.0.0.{i}": (200, 2) for i in [*range(7), 9]}
+    plan = found._jdf.queryExecution().executedPlan().toString().replace(" ", "")
+    assert plan.index("SortAggregate") < plan.index("REBALANCE_PARTITIONS_BY_COL")
