@@ -259,8 +259,10 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                n.n_name AS nation, r.r_name AS region, p.pulse_text
         FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
         JOIN region r ON r.r_regionkey = n.n_regionkey
-        LEFT JOIN v_pulse p ON p.ip_address = {ip_of('c.c_custkey')}"""
-    # One row per customer, its four answers and their tries exploded from it.
+        LEFT JOIN v_pulse p ON p.ip_address = {ip_of('c.c_custkey')}
+        DISTRIBUTE BY c.c_custkey"""
+    # One row per customer, its four answers and their tries exploded from it; customers
+    # may come in one split, far smaller than their answers.
     return spark.sql(f"""
     WITH c AS ({base}),
     a AS (SELECT ip, inline(array(
